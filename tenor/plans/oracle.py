@@ -20,7 +20,7 @@ def strip_sql(expr: str) -> str:
 
 
 def tokens_sql(expr: str) -> str:
-    return f"list_filter(regexp_split_to_array(lower({expr}), '[\\s[:punct:]]+'), x -> x <> '')"
+    return f"list_filter(regexp_split_to_array(lower({expr}), '[\\s[:punct:]]+'), lambda x: x <> '')"
 
 
 def _wide_select() -> str:
@@ -31,7 +31,7 @@ def _wide_select() -> str:
 
 
 def _scaled(start0: int, n: int) -> str:
-    return f"list_transform(embedding[{start0 + 1}:{start0 + n}], x -> x::DOUBLE * {bindings.LOGIT_SCALE})"
+    return f"list_transform(embedding[{start0 + 1}:{start0 + n}], lambda x: x::DOUBLE * {bindings.LOGIT_SCALE})"
 
 
 CTES: dict[str, tuple[tuple[str, ...], str]] = {
