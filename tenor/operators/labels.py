@@ -22,7 +22,7 @@ def multi_hot_join(df: DataFrame) -> DataFrame:
     """C4: every sentence of the pooled list (G4) joined to every group file holding it
     (either tone): (tone, text, file_tone, target). A shuffle join on the text."""
     files = group_files(df)
-    pooled = corpus.concat_all(df)
+    pooled = corpus.concat_all(files)
     return pooled.join(files.select(F.col("tone").alias("file_tone"), "target", "text"), "text") \
         .select("tone", "text", "file_tone", "target")
 
@@ -37,14 +37,15 @@ def multi_hot(df: DataFrame) -> DataFrame:
     """
     files = group_files(df)
     agg = files.groupBy("text").agg(
-        F.bit_or(F.shiftleft(F.lit(1), F.col("target_id"))).alias("_mask"),
+        F.bit_or(F.expr("shiftleft(1L, target_id)")).alias("_mask"),
         F.max((F.col("tone") == vocab.TONES[1]).cast("int")).alias("_in_hate"),
         F.max((F.col("tone") == vocab.TONES[0]).cast("int")).alias("_in_neutral"))
     tones = F.filter(F.array(F.when(F.col("_in_hate") == 1, F.lit(vocab.TONES[1])),
                              F.when(F.col("_in_neutral") == 1, F.lit(vocab.TONES[0]))),
                      lambda t: t.isNotNull())
     labels = F.transform(F.sequence(F.lit(0), F.lit(N_GROUPS - 1)),
-                         lambda i: F.shiftright(F.col("_mask"), i).bitwiseAND(F.lit(1)))
+                         lambda i: F.when(F.col("_mask").bitwiseAND(F.pow(F.lit(2), i).cast("bigint")) != 0, F.lit(1))
+                         .otherwise(F.lit(0)))
     return agg.select(F.explode(tones).alias("tone"), "text", labels.alias("labels"))
 
 
