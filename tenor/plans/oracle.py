@@ -113,21 +113,24 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
 }
 
 
-def with_ctes(body: str, *names: str, extra: dict[str, str] | None = None) -> str:
+def with_ctes(body: str, *names: str, extra: dict[str, str] | None = None,
+              replace: dict[str, tuple[tuple[str, ...], str]] | None = None) -> str:
     """``WITH`` clause holding ``names`` and their dependencies, then ``body``.
-    ``extra`` adds query-local CTEs after the bindings (in the given order)."""
+    ``extra`` adds query-local CTEs after the bindings (in the given order);
+    ``replace`` swaps a binding's definition (dependencies, SQL) for this query."""
+    defs = dict(CTES, **(replace or {}))
     order: list[str] = []
 
     def visit(n: str):
         if n in order:
             return
-        for dep in CTES[n][0]:
+        for dep in defs[n][0]:
             visit(dep)
         order.append(n)
 
     for n in names:
         visit(n)
-    parts = [f"{n} AS ({CTES[n][1]})" for n in order]
+    parts = [f"{n} AS ({defs[n][1]})" for n in order]
     for k, v in (extra or {}).items():
         parts.append(f"{k} AS ({v})")
     head = ("WITH " + ",\n".join(parts) + "\n") if parts else ""

@@ -1,3 +1,104 @@
-"""Registered queries."""
+"""Registered model queries: exact Naive-Bayes experts and router (I1, I2, I9,
+SQL-checked) and Spark ML fits (I3-I7, rows-only check plus property tests)."""
 
 from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tenor.operators import clean, naive_bayes
+from tenor.plans import bindings
+from tenor.plans.contract import r6, register
+from tenor.plans.oracle import tokens_sql, with_ctes
+
+
+def nb_train(spark, sf_dir):
+    """Training rows of the NB models: the mapped corpus, label 1 = hate."""
+    c = bindings.corpus(spark, sf_dir)
+    return c.select("target", clean.tone_label("tone").alias("label"), "text")
+
+
+def nb_docs(spark, sf_dir):
+    """Documents to score: every document, whole text."""
+    return bindings.table(spark, sf_dir, "documents").select("doc_id", "text")
+
+
+_NB = {
+    "train": "SELECT target, CASE WHEN tone = 'hate' THEN 1 ELSE 0 END AS label, text FROM corpus",
+    "tk": f"SELECT target, label, unnest({tokens_sql('text')}) AS token FROM train",
+    "cnt": "SELECT target, label, token, count(*) AS n FROM tk GROUP BY target, label, token",
+    "tot": "SELECT target, label, sum(n) AS big_n FROM cnt GROUP BY target, label",
+    "vg": "SELECT target, count(DISTINCT token) AS v FROM cnt GROUP BY target",
+    "gc": """
+        SELECT g.target, g.target_id, coalesce(d.n1, 0) AS n1, coalesce(d.n0, 0) AS n0,
+               coalesce(s.big_n1, 0) AS big_n1, coalesce(s.big_n0, 0) AS big_n0, coalesce(v.v, 0) AS v
+        FROM groups g
+        LEFT JOIN (SELECT target, count_if(label = 1) AS n1, count_if(label = 0) AS n0 FROM train GROUP BY target) d
+          ON g.target = d.target
+        LEFT JOIN (SELECT target, sum(CASE WHEN label = 1 THEN n ELSE 0 END) AS big_n1,
+                          sum(CASE WHEN label = 0 THEN n ELSE 0 END) AS big_n0 FROM cnt GROUP BY target) s
+          ON g.target = s.target
+        LEFT JOIN vg v ON g.target = v.target""",
+    "gk": """
+        SELECT target, target_id,
+               CASE WHEN n1 + n0 > 0 THEN ln((n1 + 1) / (n1 + n0 + 2)) - ln((n0 + 1) / (n1 + n0 + 2)) ELSE 0.0 END AS pl,
+               CASE WHEN n1 + n0 > 0 THEN ln(big_n0 + v) - ln(big_n1 + v) ELSE 0.0 END AS kc,
+               ln((n1 + n0 + 1) / ((SELECT count(*) FROM train) + 11)) AS lp,
+               ln(big_n1 + big_n0 + (SELECT count(DISTINCT token) FROM cnt)) AS ld
+        FROM gc""",
+    "model": """
+        SELECT target, token, ln(sum(CASE WHEN label = 1 THEN n ELSE 0 END) + 1)
+                              - ln(sum(CASE WHEN label = 0 THEN n ELSE 0 END) + 1) AS a,
+               ln(sum(n) + 1) AS r
+        FROM cnt GROUP BY target, token""",
+    "occ": f"SELECT doc_id, unnest({tokens_sql('text')}) AS token FROM documents",
+    "sums": """
+        SELECT o.doc_id, m.target, sum(m.a) AS sa, count(*) AS k, sum(m.r) AS sr
+        FROM occ o JOIN model m ON o.token = m.token GROUP BY o.doc_id, m.target""",
+    "nx": "SELECT doc_id, count(*) AS n_x FROM occ WHERE token IN (SELECT token FROM cnt) GROUP BY doc_id",
+    "el": """
+        SELECT d.doc_id, gk.target, gk.target_id,
+               gk.pl + coalesce(s.sa, 0.0) + coalesce(s.k, 0) * gk.kc AS expert_logit,
+               (gk.lp + coalesce(s.sr, 0.0) - coalesce(nx.n_x, 0) * gk.ld) / greatest(coalesce(nx.n_x, 0), 1) AS router
+        FROM documents d CROSS JOIN gk
+        LEFT JOIN sums s ON s.doc_id = d.doc_id AND s.target = gk.target
+        LEFT JOIN nx ON nx.doc_id = d.doc_id""",
+}
+
+
+@register("nb_counts", with_ctes("""
+SELECT c.target, c.label, c.token, c.n, round(ln((c.n + 1) / (t.big_n + v.v)), 6) AS loglik
+FROM cnt c JOIN tot t ON c.target = t.target AND c.label = t.label JOIN vg v ON c.target = v.target""",
+                                 "corpus", extra={k: _NB[k] for k in ("train", "tk", "cnt", "tot", "vg")}))
+def nb_counts_q(spark, sf_dir):
+    """Token counts per (group, label) and their smoothed log-likelihoods."""
+    out = naive_bayes.nb_counts(nb_train(spark, sf_dir))
+    return out.select("target", "label", "token", "n", r6("loglik").alias("loglik"))
+
+
+@register("nb_score", with_ctes(
+    "SELECT doc_id, target, round(1.0 / (1.0 + exp(-expert_logit)), 6) AS p_hate FROM el",
+    "corpus", "groups", extra=_NB))
+def nb_score_q(spark, sf_dir):
+    """P(hate) of every document under every group's expert."""
+    model = naive_bayes.nb_fit(nb_train(spark, sf_dir))
+    out = naive_bayes.nb_score(nb_docs(spark, sf_dir), model)
+    return out.select("doc_id", "target", r6("p_hate").alias("p_hate"))
+
+
+_NB_DEPS = {"train": ("corpus",), "tk": ("train",), "cnt": ("tk",), "tot": ("cnt",), "vg": ("cnt",),
+            "gc": ("groups", "train", "cnt", "vg"), "gk": ("gc", "train", "cnt"), "model": ("cnt",), "occ": (),
+            "sums": ("occ", "model"), "nx": ("occ", "cnt"), "el": ("gk", "sums", "nx")}
+_NB_DEFS = {k: (_NB_DEPS[k], v) for k, v in _NB.items()}
+_I9_LONG = (("el",), """
+    SELECT doc_id AS vec_id, target_id AS idx, router AS logit, 0.0 AS l0, expert_logit AS l1,
+           0 AS gold, 0 AS label FROM el""")
+
+
+@register("score_corpus", with_ctes("""
+SELECT vec_id AS doc_id, n_groups, groups, round(score, 6) AS score, CAST(score > 0.5 AS INTEGER) AS prediction
+FROM scored""", "scored", replace=dict(_NB_DEFS, proba_long=_I9_LONG)))
+def score_corpus_q(spark, sf_dir):
+    """Routed mixture over documents with fitted NB router and experts."""
+    model = naive_bayes.nb_fit(nb_train(spark, sf_dir))
+    out = naive_bayes.score_corpus(nb_docs(spark, sf_dir), model)
+    return out.select("doc_id", "n_groups", "groups", r6("score").alias("score"), "prediction")
