@@ -83,7 +83,7 @@ def select_first(df: DataFrame, class_cols: list[str], key: str, n_keep: DataFra
 
 
 def balanced_downsample(df: DataFrame, group_col: str = "target", tone_col: str = "tone", key: str = "doc_id",
-                        seed: int = vocab.SPLIT_SEED, bits: int = DEFAULT_BITS) -> DataFrame:
+                        seed: int = vocab.SAMPLE_SEED, bits: int = DEFAULT_BITS) -> DataFrame:
     """E5: within every group, both tones cut to the size of the smaller one; a group
     with an empty tone keeps everything (balancing off)."""
     hashed = with_hash(df, key, seed)
@@ -100,7 +100,7 @@ def balanced_downsample(df: DataFrame, group_col: str = "target", tone_col: str
 
 
 def mixed_batches(df: DataFrame, batch_size: int = 16, group_col: str = "target", tone_col: str = "tone",
-                  key: str = "doc_id", seed: int = vocab.SPLIT_SEED, bits: int = DEFAULT_BITS) -> DataFrame:
+                  key: str = "doc_id", seed: int = vocab.SAMPLE_SEED, bits: int = DEFAULT_BITS) -> DataFrame:
     """Batch i of a group holds the i-th slice of ``batch_size`` rows of each tone;
     rows past the shorter tone are dropped (those batches are empty)."""
     n_classes = 2 * len(vocab.GROUPS) if group_col == "target" else None
@@ -116,7 +116,7 @@ def mixed_batches(df: DataFrame, batch_size: int = 16, group_col: str = "target"
             .drop("_total", "_other", "_ot"))
 
 
-def assign_batches(df: DataFrame, batch_size: int = 16, key: str = "doc_id", seed: int = vocab.SPLIT_SEED,
+def assign_batches(df: DataFrame, batch_size: int = 16, key: str = "doc_id", seed: int = vocab.BATCH_SEED,
                    bits: int = DEFAULT_BITS) -> DataFrame:
     """Shuffled fixed-size batches: ``batch_id = rank(h, key) div batch_size``."""
     ranked = exact_rank(df, [], key, seed, bits, n_classes_bound=1)
@@ -124,7 +124,7 @@ def assign_batches(df: DataFrame, batch_size: int = 16, key: str = "doc_id", see
             .drop("_total"))
 
 
-def sample_n(df: DataFrame, n: int = vocab.HEAD_TEST_ROWS, key: str = "doc_id", seed: int = vocab.SPLIT_SEED) -> DataFrame:
+def sample_n(df: DataFrame, n: int = vocab.HEAD_TEST_ROWS, key: str = "doc_id", seed: int = vocab.SAMPLE_SEED) -> DataFrame:
     """exactly ``n`` rows (all if fewer), the lowest (h, key): a top-n per task then
     one merge of at most ``n`` rows per task (TakeOrderedAndProject)."""
     return with_hash(df, key, seed).orderBy("_h", key).limit(n).drop("_h")

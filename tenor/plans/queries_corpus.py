@@ -415,8 +415,10 @@ def sorted_class_counts_q(spark, sf_dir):
 # --------------------------------------------------------------------------- E5-E7, F2, F3
 
 _H = hash_sql("doc_id")
+_HS = hash_sql("doc_id", vocab.SAMPLE_SEED)
+_HB = hash_sql("doc_id", vocab.BATCH_SEED)
 _RANKED = {"rk": f"""
-    SELECT doc_id, target, tone, row_number() OVER (PARTITION BY target, tone ORDER BY {_H}, doc_id) - 1 AS r,
+    SELECT doc_id, target, tone, row_number() OVER (PARTITION BY target, tone ORDER BY {_HS}, doc_id) - 1 AS r,
            count(*) OVER (PARTITION BY target, tone) AS n
     FROM corpus""",
            "pg": """
@@ -444,7 +446,7 @@ def mixed_batches_q(spark, sf_dir):
 
 
 @register("assign_batches", with_ctes(f"""
-SELECT doc_id, CAST((row_number() OVER (ORDER BY {_H}, doc_id) - 1) // 16 AS BIGINT) AS batch_id FROM corpus""",
+SELECT doc_id, CAST((row_number() OVER (ORDER BY {_HB}, doc_id) - 1) // 16 AS BIGINT) AS batch_id FROM corpus""",
                                       "corpus"))
 def assign_batches_q(spark, sf_dir):
     """Shuffled batches of 16 over the corpus."""
@@ -456,7 +458,8 @@ _KEY_SQL = "CAST(target_id AS VARCHAR) || ':' || text"
 
 
 @register("sample_n", with_ctes(f"""
-SELECT target_id, text FROM g5 ORDER BY {hash_sql(_KEY_SQL)}, {_KEY_SQL} LIMIT {vocab.HEAD_TEST_ROWS}""",
+SELECT target_id, text FROM g5 ORDER BY {hash_sql(_KEY_SQL, vocab.SAMPLE_SEED)}, {_KEY_SQL}
+LIMIT {vocab.HEAD_TEST_ROWS}""",
                                 "lines", "groups", extra={"g5": _G5}))
 def sample_n_q(spark, sf_dir):
     """the 1,000-row head test set drawn from the group-id table."""

@@ -102,3 +102,50 @@ def score_corpus_q(spark, sf_dir):
     model = naive_bayes.nb_fit(nb_train(spark, sf_dir))
     out = naive_bayes.score_corpus(nb_docs(spark, sf_dir), model)
     return out.select("doc_id", "n_groups", "groups", r6("score").alias("score"), "prediction")
+
+
+# --------------------------------------------------------------------------- I3-I7 (Spark ML, rows-only)
+
+_ML = "a fitted model (L-BFGS); checked by held-out metrics in tests, not by SQL"
+
+
+@register("fit_teacher", why_no_sql=_ML)
+def fit_teacher_q(spark, sf_dir):
+    """Binary teacher over the balanced pooled corpus; held-out weighted metrics."""
+    from tenor.plans import models
+    _, report = models.fit_teacher(bindings.corpus(spark, sf_dir))
+    return report
+
+
+@register("fit_students", why_no_sql=_ML)
+def fit_students_q(spark, sf_dir):
+    """I4: one distilled student per group (alpha 0.25, T 2)."""
+    from tenor.plans import models
+    c = bindings.corpus(spark, sf_dir)
+    teacher, _ = models.fit_teacher(c)
+    return models.fit_students(c, teacher)
+
+
+@register("fit_router", why_no_sql=_ML)
+def fit_router_q(spark, sf_dir):
+    """11-class router with class weights over the group-id table."""
+    from tenor.operators import corpus as corpus_ops
+    from tenor.plans import models
+    _, report = models.fit_router(corpus_ops.gather_group_ids(bindings.lines(spark, sf_dir)))
+    return report
+
+
+@register("sweep", why_no_sql=_ML)
+def sweep_q(spark, sf_dir):
+    """Nine alpha settings on one group (T 0.7), independent fits."""
+    from tenor.plans import models
+    c = bindings.corpus(spark, sf_dir)
+    teacher, _ = models.fit_teacher(c)
+    return models.sweep(c, teacher)
+
+
+@register("evaluate_per_round", why_no_sql=_ML)
+def evaluate_per_round_q(spark, sf_dir):
+    """Loss / accuracy / F1 per round of refits, pivoted into six series."""
+    from tenor.plans import models
+    return models.evaluate_per_round(bindings.corpus(spark, sf_dir))

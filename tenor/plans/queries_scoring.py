@@ -9,7 +9,7 @@ from tenor.functions import probs
 from tenor.operators import losses, metrics, routing, sampling
 from tenor.plans import bindings
 from tenor.plans.contract import r6, register
-from tenor.plans.oracle import GROUP_LIST, with_ctes
+from tenor.plans.oracle import GROUP_LIST, hash_sql, with_ctes
 
 # --------------------------------------------------------------------------- I8
 
@@ -211,7 +211,9 @@ def macro_f1_q(spark, sf_dir):
 
 
 _BATCH_EXTRA = dict(_MULTI_EXTRA)
-_BATCH_EXTRA["mcb"] = """SELECT *, (row_number() OVER (ORDER BY ('0x' || substring(md5('38:' || CAST(vec_id AS VARCHAR)), 1, 8))::BIGINT, vec_id) - 1) // 50 AS batch_id FROM mc"""
+_BATCH_EXTRA["mcb"] = f"""
+    SELECT *, (row_number() OVER (ORDER BY {hash_sql('vec_id', vocab.BATCH_SEED)}, vec_id) - 1) // 50 AS batch_id
+    FROM mc"""
 _BATCH_EXTRA["ct"] = class_table_sql("mcb", "gold", "prediction", by="batch_id")
 _BATCH_EXTRA["per"] = """SELECT batch_id, sum(tp) / sum(support) AS accuracy, avg(f1) AS macro_f1 FROM ct GROUP BY batch_id"""
 

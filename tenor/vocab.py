@@ -101,8 +101,13 @@ SWEEP_ALPHAS = [0.1, 0.3, 0.5, 0.7, 0.9, 0.2, 0.4, 0.6, 0.8]
 SWEEP_TEMPERATURE = 0.7
 SWEEP_GROUP = "muslim"
 
-# Split and sampling defaults.
+# Split and sampling defaults. The split seed is the original's; sampling (balancing,
+# the head test set) and batching get seeds of their own, so that the hash orders
+# they use are independent of the split (one shared hash would put a balanced
+# sample, its lowest hashes, entirely on one side of the split).
 SPLIT_SEED = 38
+SAMPLE_SEED = 1
+BATCH_SEED = 2
 TEST_FRACTION = 0.2
 HEAD_TEST_ROWS = 1000
 
