@@ -66,8 +66,17 @@ def route(col, max_groups: int = vocab.ROUTER_MAX_GROUPS, threshold: float = voc
     Classes are taken in descending p while the total of those already taken is
     below ``threshold`` and fewer than ``max_groups`` are taken. When the top p
     is below ``min_proba`` the result is the fallback group with p = 1.
+
+    As one expression this re-ranks at every use of the ranking; on DataFrames
+    prefer :func:`tenor.operators.routing.add_routing`, which materialises each step.
     """
-    ranked = rank_classes(col)
+    return route_ranked(rank_classes(col), max_groups, threshold, min_proba)
+
+
+def route_ranked(ranked, max_groups: int = vocab.ROUTER_MAX_GROUPS, threshold: float = vocab.ROUTER_THRESHOLD,
+                 min_proba: float = vocab.ROUTER_MIN_PROBA) -> Column:
+    """:func:`route` on an already ranked array (see :func:`rank_classes`)."""
+    ranked = _c(ranked)
     fallback = F.array(F.struct(F.lit(vocab.GROUPS.index(vocab.FALLBACK_GROUP)).alias("idx"),
                                 F.lit(1.0).alias("p")))
 

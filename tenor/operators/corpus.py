@@ -14,12 +14,14 @@ def dedup_keep_first(df: DataFrame, key: str = "text", order: tuple[str, ...] =
 
     A grouped min over a struct led by the order columns: partial aggregation
     collapses copies before the shuffle, so a key held by a third of all rows
-    still moves one row per map task.
+    still moves one row per map task. The struct buffer makes this a sort-based
+    aggregation; the grouping key is led by a 64-bit hash of the text, so sorting
+    compares longs and looks at the (long) texts only on hash ties.
     """
     others = [c for c in df.columns if c != key and c not in order]
     first = F.min(F.struct(*[F.col(c) for c in order], *[F.col(c) for c in others])).alias("_f")
-    return df.groupBy(key).agg(first).select(*[F.col(f"_f.{c}").alias(c) for c in order],
-                                             *[F.col(f"_f.{c}").alias(c) for c in others], key)
+    return (df.groupBy(F.xxhash64(key).alias("_kh"), key).agg(first)
+            .select(*[F.col(f"_f.{c}").alias(c) for c in order], *[F.col(f"_f.{c}").alias(c) for c in others], key))
 
 
 def distinct_rows(df: DataFrame, cols=("tone", "target", "text")) -> DataFrame:

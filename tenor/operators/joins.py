@@ -1,18 +1,21 @@
-"""Skew-aware equi-join.
+"""Skew-aware equi-joins.
 
 A key that holds a large share of the big side (a common word in a token
 join, a copied sentence in a text join) would put that share into one task
-of a shuffle join. ``skew_split_join`` counts rows per key on the big side
-(partial aggregation, one row per key and task), takes the keys holding at
-least ``hot_fraction`` of all rows - there can be at most ``1 / hot_fraction``
-of them, so that set has a proven size bound - and joins:
+of a shuffle join. Two ways out, both exact (nothing dropped or sampled):
 
-* big-side rows of hot keys against the small side's rows of those keys,
-  broadcast (at most ``1 / hot_fraction`` keys worth of small-side rows);
-* all other rows by an ordinary shuffle join, which now has no hot key.
+``salted_join`` (one pass over the big side): keys in a small *hot* set get
+a salt in ``0..buckets-1`` derived from the row's own content, so their rows
+spread over ``buckets`` tasks; only the small side's rows of hot keys are
+replicated ``buckets`` times. The hot set holds the keys with at least
+``hot_fraction`` of the rows of whatever frame it is counted on, so it has at
+most ``1 / hot_fraction`` keys - a proven bound, and it is broadcast.
 
-Nothing is dropped or sampled; the two parts are disjoint and their union is
-the plain join.
+``skew_split_join``: hot keys joined by broadcast, the rest by an ordinary
+shuffle join, unioned (reads the big side twice).
+
+AQE's skew-join splitting stays on as a second line for keys that turn out
+hot only at run time.
 """
 
 from __future__ import annotations
@@ -21,16 +24,37 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_HOT_FRACTION = 1e-3
+DEFAULT_BUCKETS = 32
 
 
-def hot_keys(big: DataFrame, key: str, hot_fraction: float = DEFAULT_HOT_FRACTION) -> DataFrame:
-    """Keys holding at least ``hot_fraction`` of ``big``'s rows (at most 1/hot_fraction keys)."""
-    counts = big.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+def hot_keys(df: DataFrame, key: str, hot_fraction: float = DEFAULT_HOT_FRACTION,
+             weight: str | None = None) -> DataFrame:
+    """Keys holding at least ``hot_fraction`` of ``df``'s rows (or of the total of
+    ``weight``): at most ``1 / hot_fraction`` keys."""
+    w = F.col(weight) if weight else F.lit(1)
+    counts = df.groupBy(key).agg(F.sum(w).alias("_n"))
     total = counts.agg(F.sum("_n")).first()[0] or 0
     cut = max(1, int(hot_fraction * total))
     return counts.where(F.col("_n") >= F.lit(cut)).select(key)
 
 
+def salted_join(big: DataFrame, small: DataFrame, key: str, hot: DataFrame, how: str = "inner",
+                buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+    """``big.join(small, key, how)`` (inner / left) with the keys of ``hot`` salted."""
+    if how not in ("inner", "left"):
+        raise ValueError("salted_join supports inner and left joins")
+    flag = F.broadcast(hot.select(key).distinct().withColumn("_hot", F.lit(True)))
+    content = F.xxhash64(*[F.col(c) for c in big.columns])
+    b = (big.join(flag, key, "left")
+         .withColumn("_salt", F.when(F.col("_hot"), F.pmod(content, F.lit(buckets))).otherwise(F.lit(0)))
+         .drop("_hot"))
+    salts = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(buckets - 1))).otherwise(F.array(F.lit(0)))
+    s = (small.join(flag, key, "left")
+         .withColumn("_salt", F.explode(F.transform(salts, lambda x: x.cast("bigint"))))
+         .drop("_hot"))
+    return b.join(s, [key, "_salt"], how).drop("_salt")
+
+
 def skew_split_join(big: DataFrame, small: DataFrame, key: str, how: str = "inner",
                     hot_fraction: float = DEFAULT_HOT_FRACTION) -> DataFrame:
     """``big.join(small, key, how)`` for ``how`` in inner / left, with hot keys split off."""

@@ -33,10 +33,12 @@ def multi_hot(df: DataFrame) -> DataFrame:
 
     One aggregation by text builds a bitmask (``bit_or``, a primitive buffer, partial
     aggregation before the shuffle) and the tones the text occurs in; the pooled rows
-    are then re-expanded from it, so no join on the long text is needed.
+    are then re-expanded from it, so no join on the long text is needed. ``bit_or``
+    and ``max`` ignore repeats, so the per-file dedup needs no shuffle of its own.
     """
-    files = group_files(df)
-    agg = files.groupBy("text").agg(
+    ids = F.broadcast(vocab.groups_df(df.sparkSession))
+    files = df.where(F.col("tone").isNotNull() & F.col("target").isNotNull()).join(ids, "target")
+    agg = files.groupBy(F.xxhash64("text").alias("_th"), "text").agg(
         F.bit_or(F.expr("shiftleft(1L, target_id)")).alias("_mask"),
         F.max((F.col("tone") == vocab.TONES[1]).cast("int")).alias("_in_hate"),
         F.max((F.col("tone") == vocab.TONES[0]).cast("int")).alias("_in_neutral"))

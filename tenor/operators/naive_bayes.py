@@ -27,14 +27,19 @@ from pyspark.sql import functions as F
 from tenor import vocab
 from tenor.functions import probs
 from tenor.functions.text import tokens
-from tenor.operators import joins
+from tenor.operators import joins, routing
+from tenor.session import scratch_path
 
 G = len(vocab.GROUPS)
+# Largest model (distinct tokens) broadcast to the scoring tasks: a row holds three
+# 11-element arrays, about 300 bytes, so this bound keeps the broadcast under ~150 MB.
+MAX_BROADCAST_TOKENS = 500_000
 
 
 def _occurrences(df: DataFrame, key: str, text: str = "text", outer: bool = False) -> DataFrame:
-    ex = F.explode_outer if outer else F.explode
-    return df.select(key, ex(tokens(text)).alias("token"))
+    """(key, pos, token): one row per token occurrence (a null token for an empty text if ``outer``)."""
+    ex = F.posexplode_outer if outer else F.posexplode
+    return df.select(key, ex(tokens(text)).alias("pos", "token"))
 
 
 def nb_counts(train: DataFrame) -> DataFrame:
@@ -50,23 +55,24 @@ def nb_counts(train: DataFrame) -> DataFrame:
                     F.log((F.col("n") + 1) / (F.col("_N") + F.col("_V"))).alias("loglik")))
 
 
-def _group_constants(train: DataFrame, counts: DataFrame) -> dict[str, list[float]]:
-    """Per-group scalars (11 groups x a few numbers): collected, as a fixed-size vocabulary."""
-    docs = train.groupBy("target").agg(F.count_if(F.col("label") == 1).alias("n1"),
-                                       F.count_if(F.col("label") == 0).alias("n0"))
-    toks = counts.groupBy("target").agg(F.sum(F.when(F.col("label") == 1, F.col("n"))).alias("N1"),
-                                        F.sum(F.when(F.col("label") == 0, F.col("n"))).alias("N0"),
-                                        F.sum("n").alias("T"))
-    vg = counts.select("target", "token").distinct().groupBy("target").agg(F.count(F.lit(1)).alias("V"))
-    rows = {r["target"]: r for r in docs.join(toks, "target", "full").join(vg, "target", "full").collect()}
-    v_all = counts.select("token").distinct().count()
-    m_all = sum((r["n1"] or 0) + (r["n0"] or 0) for r in rows.values())
+def _group_constants(train: DataFrame, counts: DataFrame, dense: DataFrame) -> dict[str, list[float]]:
+    """Per-group scalars (11 groups x a few numbers), collected as a fixed-size vocabulary.
+    Three small jobs: documents per (group, label) from the training rows, token totals
+    from the counts table, and distinct tokens per group plus overall from the dense model."""
+    docs = {r["target"]: (r["n1"], r["n0"]) for r in train.groupBy("target").agg(
+        F.count_if(F.col("label") == 1).alias("n1"), F.count_if(F.col("label") == 0).alias("n0")).collect()}
+    toks = {r["target"]: (r["N1"] or 0, r["N0"] or 0) for r in counts.groupBy("target").agg(
+        F.sum(F.when(F.col("label") == 1, F.col("n"))).alias("N1"),
+        F.sum(F.when(F.col("label") == 0, F.col("n"))).alias("N0")).collect()}
+    vrow = dense.agg(F.count(F.lit(1)).alias("v_all"),
+                     *[F.sum(F.get("inv", i)).alias(f"v{i}") for i in range(G)]).first()
+    v_all = vrow["v_all"]
+    m_all = sum(a + b for a, b in docs.values())
     out = {"prior_logit": [], "kconst": [], "log_prior": [], "log_denom": [], "v_all": float(v_all)}
-    for g in vocab.GROUPS:
-        r = rows.get(g)
-        n1, n0 = (r["n1"] or 0, r["n0"] or 0) if r else (0, 0)
-        big_n1, big_n0 = (r["N1"] or 0, r["N0"] or 0) if r else (0, 0)
-        t, v = (r["T"] or 0, r["V"] or 0) if r else (0, 0)
+    for i, g in enumerate(vocab.GROUPS):
+        n1, n0 = docs.get(g, (0, 0))
+        big_n1, big_n0 = toks.get(g, (0, 0))
+        v = vrow[f"v{i}"] or 0
         if n1 + n0 > 0:
             out["prior_logit"].append(math.log((n1 + 1) / (n1 + n0 + 2)) - math.log((n0 + 1) / (n1 + n0 + 2)))
             out["kconst"].append(math.log(big_n0 + v) - math.log(big_n1 + v))
@@ -74,44 +80,58 @@ def _group_constants(train: DataFrame, counts: DataFrame) -> dict[str, list[floa
             out["prior_logit"].append(0.0)
             out["kconst"].append(0.0)
         out["log_prior"].append(math.log((n1 + n0 + 1) / (m_all + G)))
-        out["log_denom"].append(math.log(t + v_all))
+        out["log_denom"].append(math.log(big_n1 + big_n0 + v_all))
     return out
 
 
 def _dense_model(counts: DataFrame) -> DataFrame:
     """(token, a ARRAY<DOUBLE>[11], inv ARRAY<INT>[11], r ARRAY<DOUBLE>[11]) - one row per token:
-    a = log(c1 + 1) - log(c0 + 1), inv = token in V_g, r = log(C_g + 1)."""
+    a = log(c1 + 1) - log(c0 + 1), inv = token in V_g, r = log(C_g + 1).
+    One aggregation by token with 33 primitive conditional sums (hash aggregate)."""
     ids = F.broadcast(vocab.groups_df(counts.sparkSession))
-    per = (counts.groupBy("target", "token")
-           .agg(F.sum(F.when(F.col("label") == 1, F.col("n")).otherwise(0)).alias("c1"),
-                F.sum(F.when(F.col("label") == 0, F.col("n")).otherwise(0)).alias("c0"))
-           .join(ids, "target"))
-    per = per.select("token", F.struct(
-        "target_id", (F.log(F.col("c1") + 1) - F.log(F.col("c0") + 1)).alias("a"),
-        F.log(F.col("c1") + F.col("c0") + 1).alias("r")).alias("s"))
-    agg = per.groupBy("token").agg(F.collect_list("s").alias("ss"))  # at most 11 entries per token
-
-    def dense(field, default):
-        return F.transform(F.sequence(F.lit(0), F.lit(G - 1)), lambda i: F.coalesce(
-            F.get(F.transform(F.filter("ss", lambda s: s["target_id"] == i), lambda s: s[field]), 0), default))
-
-    inv = F.transform(F.sequence(F.lit(0), F.lit(G - 1)),
-                      lambda i: F.when(F.exists("ss", lambda s: s["target_id"] == i), F.lit(1)).otherwise(F.lit(0)))
-    return agg.select("token", dense("a", F.lit(0.0)).alias("a"), inv.alias("inv"), dense("r", F.lit(0.0)).alias("r"))
-
-
-def nb_fit(train: DataFrame) -> dict:
-    """Counts, dense per-token model and per-group constants of both models."""
-    counts = nb_counts(train)
-    return {"counts": counts, "dense": _dense_model(counts), "const": _group_constants(train, counts)}
+    c = counts.join(ids, "target")
+    gid, lab, n = F.col("target_id"), F.col("label"), F.col("n")
+    aggs = []
+    for g in range(G):
+        aggs.append(F.sum(F.when((gid == g) & (lab == 1), n).otherwise(F.lit(0))).alias(f"c1_{g}"))
+        aggs.append(F.sum(F.when((gid == g) & (lab == 0), n).otherwise(F.lit(0))).alias(f"c0_{g}"))
+        aggs.append(F.max(F.when(gid == g, F.lit(1)).otherwise(F.lit(0))).alias(f"in_{g}"))
+    t = c.groupBy("token").agg(*aggs)
+    return t.select(
+        "token",
+        F.array(*[F.log(F.col(f"c1_{g}") + 1) - F.log(F.col(f"c0_{g}") + 1) for g in range(G)]).alias("a"),
+        F.array(*[F.col(f"in_{g}") for g in range(G)]).alias("inv"),
+        F.array(*[F.log(F.col(f"c1_{g}") + F.col(f"c0_{g}") + 1) for g in range(G)]).alias("r"))
+
+
+def nb_fit(train: DataFrame, path: str | None = None, hot_fraction: float = joins.DEFAULT_HOT_FRACTION) -> dict:
+    """Fit both models. The counts table and the dense per-token model are written
+    once under ``path`` (default: a fresh folder in the shared checkpoint folder) and
+    read back, so the later jobs - constants, hot tokens, scoring - read the small
+    model instead of re-tokenising the corpus, and lineage is cut at the model.
+    ``hot`` holds the tokens with at least ``hot_fraction`` of all training tokens
+    (at most 1/hot_fraction of them); the scoring join salts them."""
+    spark = train.sparkSession
+    path = path or scratch_path(spark, "nb-model")
+    nb_counts(train).write.mode("overwrite").parquet(f"{path}/counts")
+    counts = spark.read.parquet(f"{path}/counts")
+    _dense_model(counts).write.mode("overwrite").parquet(f"{path}/dense")
+    dense = spark.read.parquet(f"{path}/dense")
+    return {"path": path, "counts": counts, "dense": dense, "const": _group_constants(train, counts, dense),
+            "hot": joins.hot_keys(counts, "token", hot_fraction, weight="n")}
 
 
 def doc_sums(docs: DataFrame, model: dict, key: str = "doc_id", text: str = "text",
-             hot_fraction: float = joins.DEFAULT_HOT_FRACTION) -> DataFrame:
+             buckets: int = joins.DEFAULT_BUCKETS) -> DataFrame:
     """(key, n_x, sa ARRAY[11], k ARRAY[11], sr ARRAY[11]) for every document, also those
-    without a known token (outer explode + left join)."""
+    without a known token (outer explode + left join). Common words are hot keys of
+    the token join; they are salted over ``buckets`` tasks."""
     occ = _occurrences(docs, key, text, outer=True)
-    j = joins.skew_split_join(occ, model["dense"], "token", "left", hot_fraction)
+    if model["const"]["v_all"] <= MAX_BROADCAST_TOKENS:
+        # the model's size is counted at fit time: small enough to ship to every task
+        j = occ.join(F.broadcast(model["dense"]), "token", "left")
+    else:
+        j = joins.salted_join(occ, model["dense"], "token", model["hot"], "left", buckets)
     aggs = [F.count("a").alias("n_x")]
     aggs += [F.coalesce(F.sum(F.get("a", i)), F.lit(0.0)).alias(f"sa{i}") for i in range(G)]
     aggs += [F.coalesce(F.sum(F.get("inv", i)), F.lit(0)).alias(f"k{i}") for i in range(G)]
@@ -154,10 +174,10 @@ def nb_score(docs: DataFrame, model: dict, key: str = "doc_id") -> DataFrame:
 def score_corpus(docs: DataFrame, model: dict, key: str = "doc_id", threshold: float = 0.5, **kw) -> DataFrame:
     """Routed mixture with fitted parts: NB router -> top groups -> NB experts."""
     s = doc_sums(docs, model, key)
-    el = expert_logits(s, model["const"])
-    p = probs.softmax(router_scores(model["const"]))
-    kept = probs.normalize_weights(probs.route(p, **kw))
-    scored = s.select(key, kept.alias("kept"), el.alias("el"))
+    staged = (s.select(key, expert_logits(s, model["const"]).alias("el"),
+                       router_scores(model["const"]).alias("_rs"))
+              .withColumn("_p", probs.softmax("_rs")))
+    scored = routing.add_routing(staged, "_p", "kept").select(key, "kept", "el")
     score = F.aggregate("kept", F.lit(0.0), lambda acc, k: acc + k["weight"] / (
         F.lit(1.0) + F.exp(-F.get(F.col("el"), k["idx"]))))
     return scored.select(

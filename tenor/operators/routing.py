@@ -15,6 +15,19 @@ from tenor import vocab
 from tenor.functions import probs
 
 
+def add_routing(df: DataFrame, p: str, out: str = "kept", **kw) -> DataFrame:
+    """Add ``out`` = ARRAY<STRUCT<idx, weight>>: retained groups and normalised weights.
+
+    Each stage is its own column (ranked, routed, weighted). Higher-order functions
+    are interpreted per row, and a stage referenced several times is not inlined by
+    the optimiser when it is its own column, so every row is ranked exactly once.
+    """
+    return (df.withColumn("_ranked", probs.rank_classes(p))
+            .withColumn("_routed", probs.route_ranked("_ranked", **kw))
+            .withColumn(out, probs.normalize_weights("_routed"))
+            .drop("_ranked", "_routed"))
+
+
 def softmax_long(df: DataFrame, key: str, logits: str, temperature: float = 1.0) -> DataFrame:
     """(key, idx, p) - class probabilities from a logit array."""
     return (df.select(key, F.posexplode(probs.softmax(logits, temperature)).alias("idx", "p"))
@@ -30,15 +43,15 @@ def rank_classes_long(df: DataFrame, key: str, p: str) -> DataFrame:
 
 def route_topk(df: DataFrame, key: str, p: str, **kw) -> DataFrame:
     """(key, rank, target, p) of the retained groups (fallback: others, 1.0)."""
-    return (df.select(key, F.posexplode(probs.route(p, **kw)).alias("rank", "c"))
+    ranked = df.select(key, probs.rank_classes(p).alias("_ranked"))
+    return (ranked.select(key, F.posexplode(probs.route_ranked("_ranked", **kw)).alias("rank", "c"))
             .select(key, F.col("rank").cast("int").alias("rank"),
                     F.get(vocab.groups_array(), F.col("c.idx")).alias("target"), F.col("c.p").alias("p")))
 
 
 def normalize_weights(df: DataFrame, key: str, p: str, **kw) -> DataFrame:
     """(key, target_id, target, weight): retained p over their total."""
-    w = probs.normalize_weights(probs.route(p, **kw))
-    return (df.select(key, F.explode(w).alias("c"))
+    return (add_routing(df, p, "_kept", **kw).select(key, F.explode("_kept").alias("c"))
             .select(key, F.col("c.idx").alias("target_id"),
                     F.get(vocab.groups_array(), F.col("c.idx")).alias("target"), F.col("c.weight").alias("weight")))
 
@@ -69,9 +82,10 @@ def mixture_score(joined: DataFrame, key: str, threshold: float = 0.5) -> DataFr
             .withColumn("prediction", (F.col("score") > F.lit(threshold)).cast("int")))
 
 
-def score_routed_arrays(router_p, l0, l1, threshold: float = 0.5, **kw):
-    """I8 in array form: (n_groups, groups, score, prediction) as column expressions."""
-    kept = probs.normalize_weights(probs.route(router_p, **kw))
+def score_routed_arrays(kept, l0, l1, threshold: float = 0.5):
+    """I8 in array form from a materialised ``kept`` column (see :func:`add_routing`):
+    (n_groups, groups, score, prediction) as column expressions."""
+    kept = F.col(kept) if isinstance(kept, str) else kept
     l0c, l1c = F.col(l0) if isinstance(l0, str) else l0, F.col(l1) if isinstance(l1, str) else l1
     score = F.aggregate(kept, F.lit(0.0),
                         lambda acc, k: acc + k["weight"] * probs.p_binary(F.get(l0c, k["idx"]), F.get(l1c, k["idx"])))
@@ -86,6 +100,6 @@ def score_routed_arrays(router_p, l0, l1, threshold: float = 0.5, **kw):
 def score_routed(df: DataFrame, key: str, router_logits: str, l0: str, l1: str, threshold: float = 0.5,
                  **kw) -> DataFrame:
     """I8: router softmax -> retained groups -> normalised weights -> expert mixture."""
-    with_p = df.withColumn("_p", probs.softmax(router_logits))
-    cols = score_routed_arrays("_p", l0, l1, threshold, **kw)
-    return with_p.select(key, *[c.alias(n) for n, c in cols.items()])
+    routed = add_routing(df.withColumn("_p", probs.softmax(router_logits)), "_p", "_kept", **kw)
+    cols = score_routed_arrays("_kept", l0, l1, threshold)
+    return routed.select(key, *[c.alias(n) for n, c in cols.items()])

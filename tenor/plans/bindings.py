@@ -75,6 +75,13 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("line").alias("text")))
 
 
+def line_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document split at newline, text only: (doc_id, seq, text)."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return (docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("seq", "line"))
+            .select("doc_id", F.col("seq").cast("int").alias("seq"), F.col("line").alias("text")))
+
+
 def prompt_file_name(tone: Column, raw: Column) -> Column:
     """Synthetic prompt file name ``{tone}_{raw}_1k.txt``."""
     return F.concat(tone, F.lit("_"), raw, F.lit("_1k.txt"))

@@ -292,7 +292,7 @@ SELECT doc_id, seq, text FROM (
 WHERE rn = 1""", "lines"))
 def dedup_keep_first_q(spark, sf_dir):
     """One row per line text, the first (lowest doc_id, seq) kept."""
-    ln = _lines(spark, sf_dir).select("doc_id", "seq", "text")
+    ln = bindings.line_texts(spark, sf_dir)
     return corpus.dedup_keep_first(ln, "text", ("doc_id", "seq")).select("doc_id", "seq", "text")
 
 
@@ -431,7 +431,7 @@ SELECT rk.doc_id, rk.target, rk.tone FROM rk JOIN pg ON rk.target = pg.target
 WHERE rk.r < CASE WHEN pg.nh IS NOT NULL AND pg.nn IS NOT NULL THEN least(pg.nh, pg.nn) ELSE rk.n END""",
                                            "corpus", extra=_RANKED))
 def balanced_downsample_q(spark, sf_dir):
-    """E5: both tones of each group cut to the smaller size (hash order, seed 38)."""
+    """E5: both tones of each group cut to the smaller size (hash order, sampling seed)."""
     c = bindings.corpus(spark, sf_dir).select("doc_id", "target", "tone")
     return sampling.balanced_downsample(c).select("doc_id", "target", "tone")
 

@@ -40,9 +40,9 @@ def score_stream(spark: SparkSession, in_dir: str, out_dir: str, checkpoint: str
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     src = reader.parquet(in_dir)
-    with_p = src.withColumn("_p", probs.softmax("router"))
-    cols = routing.score_routed_arrays("_p", "l0", "l1")
-    scored = with_p.select("vec_id", *[c.alias(n) for n, c in cols.items()])
+    routed = routing.add_routing(src.withColumn("_p", probs.softmax("router")), "_p", "_kept")
+    cols = routing.score_routed_arrays("_kept", "l0", "l1")
+    scored = routed.select("vec_id", *[c.alias(n) for n, c in cols.items()])
     q = (scored.writeStream.format("parquet").option("path", out_dir).option("checkpointLocation", checkpoint)
          .outputMode("append").trigger(availableNow=True).start())
     q.awaitTermination()
@@ -66,8 +66,9 @@ def score_udf(df: DataFrame, fn: Callable[[str, pd.DataFrame], np.ndarray], grou
     as an array; it is called once per group and batch, only for rows routed to it.
     Any number of groups may be given; a group outside ``groups`` contributes 0.
     """
-    kept = probs.normalize_weights(probs.route(probs.softmax(router)))
-    prepared = df.select(
+    routed = routing.add_routing(df.withColumn("_p", probs.softmax(router)), "_p", "_kept")
+    kept = F.col("_kept")
+    prepared = routed.select(
         key, *pass_cols,
         dense_weights(kept).alias("_w"),
         F.size(kept).cast("bigint").alias("n_groups"),
