@@ -53,6 +53,17 @@ def binary_metrics(df: DataFrame, gold: str = "gold", pred: str = "prediction",
         F.coalesce(F.max(F.when(pos, F.col("f1"))), F.lit(0.0)).alias("f1"))
 
 
+def binary_metrics_by(df: DataFrame, by: str, gold: str = "gold", pred: str = "prediction",
+                      positive: int = 1) -> DataFrame:
+    """D8 per value of ``by`` (one aggregation for all groups)."""
+    ct = with_prf(class_table(df, gold, pred, (by,)))
+    pos = F.col("c") == F.lit(positive)
+    return ct.groupBy(by).agg(
+        F.sum("support").alias("n"),
+        _div(F.sum("tp"), F.sum("support")).alias("accuracy"),
+        F.coalesce(F.max(F.when(pos, F.col("f1"))), F.lit(0.0)).alias("f1"))
+
+
 def weighted_metrics(df: DataFrame, gold: str = "gold", pred: str = "prediction") -> DataFrame:
     """Accuracy and support-weighted precision, recall, F1."""
     ct = with_prf(class_table(df, gold, pred))

@@ -14,12 +14,10 @@ at T = 1 and an approximation of the T^2-scaled KL term for T != 1.
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
-
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import HashingTF, NGram
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tenor import vocab
@@ -81,7 +79,7 @@ def teacher_data(corpus: DataFrame) -> DataFrame:
 
 def fit_teacher(corpus: DataFrame, max_iter: int = 50, reg: float = 0.01):
     """Teacher over the whole pooled corpus; returns (model, report DataFrame)."""
-    data = featurize(teacher_data(corpus), TEACHER_FEATURES).persist()
+    data = spread(featurize(teacher_data(corpus), TEACHER_FEATURES)).persist()
     train, test = data.where(F.col("split") == "train"), data.where(F.col("split") == "test")
     model = LogisticRegression(maxIter=max_iter, regParam=reg, labelCol="label").fit(train)
     report = dict(_split_sizes(data), **_binary_report(model.transform(test)))
@@ -123,35 +121,70 @@ def _binary_eval(model, test: DataFrame) -> dict:
     return {"accuracy": float(row["accuracy"] or 0.0), "f1": float(row["f1"] or 0.0)}
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin to at least one partition per core when a small frame arrives in
+    fewer (AQE coalesces small shuffles); large frames already have more partitions
+    and are left alone, so this never adds a shuffle at scale."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def fit_students(corpus: DataFrame, teacher, alpha: float = vocab.DISTILL_ALPHA,
-                 temperature: float = vocab.DISTILL_TEMPERATURE, max_iter: int = 30, threads: int = 4):
-    """I4: one student per group on teacher soft labels; the 11 fits share one
-    persisted frame and are submitted from a small thread pool. A group without
-    rows (or without both labels) is reported, not fitted."""
+                 temperature: float = vocab.DISTILL_TEMPERATURE, max_iter: int = 30, reg: float = 0.01):
+    """I4: one student per group on teacher soft labels, fitted as ONE block-separable
+    logistic regression.
+
+    Each row's hashed features go to its group's block (``Interaction`` of the group
+    one-hot with the features) plus a per-group bias column. With row weights
+    normalised to total 1 per group, regParam / G and no standardisation, the joint
+    objective is exactly the sum of the G per-group objectives, so its optimum holds
+    every group's student (the bias is regularised like any coefficient). One
+    L-BFGS run (one distributed aggregation per iteration) replaces G fits, and a
+    group holding a third of the rows concentrates in no task. Groups without rows
+    or with a single label are reported, not fitted.
+    """
+    from pyspark.ml.feature import Interaction, OneHotEncoder, VectorAssembler
     spark = corpus.sparkSession
     data = student_data(corpus)
     soft = soft_labels(teacher, data, temperature)
-    frame = featurize(doubled(soft, {"w": alpha}), STUDENT_FEATURES).persist()
+    ids = F.broadcast(vocab.groups_df(spark))
+    frame = featurize(doubled(soft, {"w": alpha}), STUDENT_FEATURES).join(ids, "target")
+    # Interaction needs per-attribute metadata; hashed features carry only a count
+    meta = {"ml_attr": {"attrs": {"numeric": [{"idx": i, "name": f"h{i}"} for i in range(STUDENT_FEATURES)]},
+                        "num_attrs": STUDENT_FEATURES}}
+    frame = frame.withColumn("features", F.col("features").alias("features", metadata=meta))
     sizes = {(r["target"], r["split"]): (r["n"], r["n1"]) for r in
              frame.where(F.col("dlabel") == 1).groupBy("target", "split")
              .agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("n1")).collect()}  # at most 22 rows
-
-    def one(group: str):
-        n_tr, n1_tr = sizes.get((group, "train"), (0, 0))
-        n_te, _ = sizes.get((group, "test"), (0, 0))
-        if n_tr == 0 or n1_tr in (0, n_tr):
-            return (group, n_tr, n_te, None, None, False)
-        g = frame.where(F.col("target") == group)
-        lr = LogisticRegression(maxIter=max_iter, regParam=0.01, labelCol="dlabel", weightCol="w")
-        model = lr.fit(g.where(F.col("split") == "train"))
-        if n_te == 0:
-            return (group, n_tr, n_te, None, None, True)
-        ev = _binary_eval(model, g.where((F.col("split") == "test") & (F.col("dlabel") == 1)))
-        return (group, n_tr, n_te, ev["accuracy"], ev["f1"], True)
-
-    with ThreadPoolExecutor(max_workers=threads) as pool:
-        rows = list(pool.map(one, vocab.GROUPS))
-    frame.unpersist()
+    fitted = [g for g in vocab.GROUPS
+              if sizes.get((g, "train"), (0, 0))[0] > 0 and sizes[(g, "train")][1] not in (0, sizes[(g, "train")][0])]
+    rows = []
+    if fitted:
+        enc = OneHotEncoder(inputCols=["target_id"], outputCols=["_g"], dropLast=False,
+                            handleInvalid="keep").fit(spark.createDataFrame([(i,) for i in range(len(vocab.GROUPS))],
+                                                                            "target_id int"))
+        blocks = Interaction(inputCols=["_g", "features"], outputCol="_x")
+        assemble = VectorAssembler(inputCols=["_x", "_g"], outputCol="block_features")
+        train = frame.where(F.col("target").isin(fitted) & (F.col("split") == "train"))
+        gw = F.sum("w").over(Window.partitionBy("target"))
+        train = assemble.transform(blocks.transform(enc.transform(train))).withColumn("_wn", F.col("w") / gw)
+        train = spread(train.select("block_features", "dlabel", "_wn")).persist()
+        lr = LogisticRegression(maxIter=max_iter, regParam=reg / len(fitted), standardization=False,
+                                fitIntercept=False, featuresCol="block_features", labelCol="dlabel", weightCol="_wn")
+        model = lr.fit(train)
+        test = frame.where(F.col("target").isin(fitted) & (F.col("split") == "test") & (F.col("dlabel") == 1))
+        pred = model.transform(assemble.transform(blocks.transform(enc.transform(test))))
+        ev = {r["target"]: r for r in metrics.binary_metrics_by(
+            pred.select("target", F.col("label").alias("gold"), F.col("prediction").cast("int").alias("prediction")),
+            "target").collect()}
+        train.unpersist()
+    for g in vocab.GROUPS:
+        n_tr = sizes.get((g, "train"), (0, 0))[0]
+        n_te = sizes.get((g, "test"), (0, 0))[0]
+        if g in fitted and g in ev:
+            rows.append((g, n_tr, n_te, float(ev[g]["accuracy"]), float(ev[g]["f1"]), True))
+        else:
+            rows.append((g, n_tr, n_te, None, None, g in fitted))
     return spark.createDataFrame(rows, "target string, n_train long, n_test long, accuracy double, f1 double, "
                                        "fitted boolean")
 
@@ -167,7 +200,7 @@ def router_data(group_ids: DataFrame, inverse: bool = False) -> DataFrame:
 def fit_router(group_ids: DataFrame, max_iter: int = 30, inverse: bool = False):
     """Multinomial router over the group-id table with class weights;
     returns (model, report with n_train, n_test, accuracy, macro_f1)."""
-    data = featurize(router_data(group_ids, inverse), ROUTER_FEATURES).persist()
+    data = spread(featurize(router_data(group_ids, inverse), ROUTER_FEATURES)).persist()
     train, test = data.where(F.col("split") == "train"), data.where(F.col("split") == "test")
     lr = LogisticRegression(maxIter=max_iter, regParam=0.01, family="multinomial", labelCol="label",
                             weightCol="weight")
@@ -189,7 +222,7 @@ def sweep(corpus: DataFrame, teacher, group: str = vocab.SWEEP_GROUP, alphas=tup
     data = student_data(corpus.where(F.col("target") == group))
     soft = soft_labels(teacher, data, temperature)
     names = {f"w{i}": a for i, a in enumerate(alphas)}
-    frame = featurize(doubled(soft, names), STUDENT_FEATURES).persist()
+    frame = spread(featurize(doubled(soft, names), STUDENT_FEATURES)).persist()
     train = frame.where(F.col("split") == "train")
     test = frame.where((F.col("split") == "test") & (F.col("dlabel") == 1))
     n_train = train.where(F.col("dlabel") == 1).count()
@@ -208,7 +241,7 @@ def evaluate_per_round(corpus: DataFrame, rounds: int = 5):
     """The teacher refitted with ``maxIter = r`` for r = 1..rounds; train and
     eval loss / accuracy / macro F1 per round, in the metrics-log layout."""
     spark = corpus.sparkSession
-    data = featurize(teacher_data(corpus), TEACHER_FEATURES).persist()
+    data = spread(featurize(teacher_data(corpus), TEACHER_FEATURES)).persist()
     train, test = data.where(F.col("split") == "train"), data.where(F.col("split") == "test")
     lr = LogisticRegression(regParam=0.01, labelCol="label")
     logs = []
