@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from tenor import vocab
 from tenor.functions.text import seeded_hash
+from tenor.session import shared_dir
 
 DEFAULT_BITS = 12
 # Largest bucket-offset table that is broadcast; beyond it the join shuffles.
@@ -52,25 +53,42 @@ def bucket_offsets(df: DataFrame, class_cols: list[str], h: str, bits: int) -> D
                          F.sum("_cnt").over(w).alias("_total"))
 
 
+def prepare(df: DataFrame, class_cols: list[str], key: str, seed: int, bits: int):
+    """(hashed rows with ``_h``/``_b``, per-(class, bucket) offsets table). The offsets
+    table also gives every class size, so no other pass over the rows is needed.
+
+    The offsets table (at most classes x 2^bits rows) is checkpointed to the shared
+    folder: one counting pass over the rows, and every later use - class sizes,
+    cut buckets, the offsets join - reads the small stored table instead of
+    recounting (and lineage is cut there)."""
+    shared_dir(df.sparkSession)
+    hashed = with_hash(df, key, seed).withColumn("_b", _bucket("_h", bits))
+    return hashed, bucket_offsets(hashed, class_cols, "_h", bits).checkpoint(eager=True)
+
+
+def _small(df: DataFrame, bounded: bool) -> DataFrame:
+    return F.broadcast(df) if bounded else df
+
+
 def exact_rank(df: DataFrame, class_cols: list[str], key: str, seed: int = vocab.SPLIT_SEED,
-               bits: int = DEFAULT_BITS, n_classes_bound: int | None = None, out: str = "rank") -> DataFrame:
+               bits: int = DEFAULT_BITS, n_classes_bound: int | None = None, out: str = "rank",
+               prepared=None) -> DataFrame:
     """0-based rank of every row within its class, ordered by (h, key); adds ``out``
     and ``_total`` (class size)."""
-    hashed = with_hash(df, key, seed).withColumn("_b", _bucket("_h", bits))
-    offs = bucket_offsets(hashed, class_cols, "_h", bits).drop("_cnt")
-    joined = _join_small(hashed, offs, [*class_cols, "_b"], n_classes_bound, bits)
+    hashed, offs = prepared or prepare(df, class_cols, key, seed, bits)
+    joined = _join_small(hashed, offs.drop("_cnt"), [*class_cols, "_b"], n_classes_bound, bits)
     w = Window.partitionBy(*class_cols, "_b").orderBy("_h", key)
     return (joined.withColumn(out, (F.col("_off") + F.row_number().over(w) - 1).cast("bigint"))
             .drop("_h", "_b", "_off"))
 
 
 def select_first(df: DataFrame, class_cols: list[str], key: str, n_keep: DataFrame, seed: int = vocab.SPLIT_SEED,
-                 bits: int = DEFAULT_BITS, n_classes_bound: int | None = None) -> DataFrame:
+                 bits: int = DEFAULT_BITS, n_classes_bound: int | None = None, prepared=None) -> DataFrame:
     """Keep the first ``n`` rows of every class by (h, key). ``n_keep`` is a small
-    (class..., n) table computed by the caller from :func:`bucket_offsets`; classes
-    missing from it keep nothing."""
-    hashed = with_hash(df, key, seed).withColumn("_b", _bucket("_h", bits))
-    offs = bucket_offsets(hashed, class_cols, "_h", bits).join(n_keep, class_cols)
+    (class..., n) table; classes missing from it keep nothing. Rows of buckets wholly
+    below the cut are kept without a window; only the bucket holding the cut is ranked."""
+    hashed, offs = prepared or prepare(df, class_cols, key, seed, bits)
+    offs = offs.join(_small(n_keep, n_classes_bound is not None), class_cols)
     offs = offs.where(F.col("_off") < F.col("n")).select(
         *class_cols, "_b", "_off", "n", (F.col("_off") + F.col("_cnt") <= F.col("n")).alias("_whole"))
     joined = _join_small(hashed, offs, [*class_cols, "_b"], n_classes_bound, bits)
@@ -82,38 +100,46 @@ def select_first(df: DataFrame, class_cols: list[str], key: str, n_keep: DataFra
     return whole.unionByName(cut).drop("_h", "_b", "_off", "n", "_whole")
 
 
+def class_sizes(offs: DataFrame, class_cols: list[str]) -> DataFrame:
+    """(class..., _n) from an offsets table (small-table work only)."""
+    return offs.select(*class_cols, F.col("_total").alias("_n")).distinct()
+
+
 def balanced_downsample(df: DataFrame, group_col: str = "target", tone_col: str = "tone", key: str = "doc_id",
                         seed: int = vocab.SAMPLE_SEED, bits: int = DEFAULT_BITS) -> DataFrame:
     """E5: within every group, both tones cut to the size of the smaller one; a group
-    with an empty tone keeps everything (balancing off)."""
-    hashed = with_hash(df, key, seed)
-    sizes = hashed.groupBy(group_col, tone_col).agg(F.count(F.lit(1)).alias("_n"))
+    with an empty tone keeps everything (balancing off). Two passes over the rows:
+    bucket counts, then the selection."""
+    cls = [group_col, tone_col]
+    bound = 2 * len(vocab.GROUPS) if group_col == "target" else None
+    prepared = prepare(df, cls, key, seed, bits)
+    sizes = class_sizes(prepared[1], cls)
     per_group = sizes.groupBy(group_col).agg(
         F.min(F.when(F.col(tone_col) == vocab.TONES[1], F.col("_n"))).alias("_nh"),
         F.min(F.when(F.col(tone_col) == vocab.TONES[0], F.col("_n"))).alias("_nn"))
-    n_keep = (sizes.join(per_group, group_col)
+    n_keep = (sizes.join(_small(per_group, bound is not None), group_col)
               .select(group_col, tone_col,
                       F.when(F.col("_nh").isNotNull() & F.col("_nn").isNotNull(), F.least("_nh", "_nn"))
                       .otherwise(F.col("_n")).alias("n")))
-    n_classes = 2 * len(vocab.GROUPS) if group_col == "target" else None
-    return select_first(df, [group_col, tone_col], key, n_keep, seed, bits, n_classes)
+    return select_first(df, cls, key, n_keep, seed, bits, bound, prepared)
 
 
 def mixed_batches(df: DataFrame, batch_size: int = 16, group_col: str = "target", tone_col: str = "tone",
                   key: str = "doc_id", seed: int = vocab.SAMPLE_SEED, bits: int = DEFAULT_BITS) -> DataFrame:
     """Batch i of a group holds the i-th slice of ``batch_size`` rows of each tone;
     rows past the shorter tone are dropped (those batches are empty)."""
-    n_classes = 2 * len(vocab.GROUPS) if group_col == "target" else None
-    ranked = exact_rank(df, [group_col, tone_col], key, seed, bits, n_classes)
-    # the other tone's size for the same group, from the small per-class totals
-    totals = ranked.select(group_col, tone_col, "_total").distinct()
-    other = totals.select(group_col, F.col(tone_col).alias("_ot"), F.col("_total").alias("_other"))
-    paired = (ranked.join(F.broadcast(other) if n_classes else other,
-                          (ranked[group_col] == other[group_col]) & (ranked[tone_col] != other["_ot"]))
-              .drop(other[group_col]))
+    cls = [group_col, tone_col]
+    bound = 2 * len(vocab.GROUPS) if group_col == "target" else None
+    prepared = prepare(df, cls, key, seed, bits)
+    ranked = exact_rank(df, cls, key, seed, bits, bound, prepared=prepared)
+    # the other tone's size for the same group, from the small offsets table
+    other = class_sizes(prepared[1], cls).select(F.col(group_col).alias("_og"), F.col(tone_col).alias("_ot"),
+                                                 F.col("_n").alias("_other"))
+    paired = ranked.join(_small(other, bound is not None),
+                         (F.col(group_col) == F.col("_og")) & (F.col(tone_col) != F.col("_ot")))
     return (paired.where(F.col("rank") < F.col("_other"))
             .withColumn("batch_id", (F.col("rank") / F.lit(batch_size)).cast("bigint"))
-            .drop("_total", "_other", "_ot"))
+            .drop("_total", "_other", "_ot", "_og"))
 
 
 def assign_batches(df: DataFrame, batch_size: int = 16, key: str = "doc_id", seed: int = vocab.BATCH_SEED,

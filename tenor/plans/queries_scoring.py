@@ -266,3 +266,21 @@ def distillation_loss_q(spark, sf_dir):
     """Distillation loss at alpha 0.25, T 2 (log form and the original's raw form)."""
     m = losses.distillation_loss(bindings.logits(spark, sf_dir))
     return m.select(*[r6(c).alias(c) for c in ["ce", "kl", "kl_raw", "loss", "loss_raw"]])
+
+
+# --------------------------------------------------------------------------- D14
+
+
+@register("log_series", with_ctes("""
+SELECT epoch,
+       round(max(CASE WHEN mode = 'train' AND metric = 'loss' THEN value END), 6) AS train_loss,
+       round(max(CASE WHEN mode = 'train' AND metric = 'acc' THEN value END), 6) AS train_acc,
+       round(max(CASE WHEN mode = 'train' AND metric = 'f1' THEN value END), 6) AS train_f1,
+       round(max(CASE WHEN mode = 'eval' AND metric = 'loss' THEN value END), 6) AS eval_loss,
+       round(max(CASE WHEN mode = 'eval' AND metric = 'acc' THEN value END), 6) AS eval_acc,
+       round(max(CASE WHEN mode = 'eval' AND metric = 'f1' THEN value END), 6) AS eval_f1
+FROM mlog GROUP BY epoch""", "mlog"))
+def log_series_q(spark, sf_dir):
+    """The metrics log pivoted into six series (train/eval x loss/acc/f1) by epoch."""
+    s = metrics.log_series(bindings.metrics_log(spark, sf_dir))
+    return s.select("epoch", *[r6(c).alias(c) for c in s.columns if c != "epoch"])

@@ -37,23 +37,22 @@ def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide folder named by ``spark.checkpoint.dir``.
 
     The setting is read from the session. Only when it is unset (local tests, a
-    bare driver session) a folder is created and registered, so that later
-    ``checkpoint()`` calls and round-trip writes agree on one place.
+    bare driver session) a folder is created and registered as the checkpoint
+    folder, so that later ``checkpoint()`` calls and round-trip writes agree on
+    one place.
     """
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
-    if not conf_dir:
-        conf_dir = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not conf_dir:
-        conf_dir = spark.sparkContext.getCheckpointDir()
-    if not conf_dir:
-        conf_dir = tempfile.mkdtemp(prefix="tenor-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", conf_dir)
-    try:
-        if not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(conf_dir)
-    except Exception:  # Spark Connect has no SparkContext
-        pass
-    return conf_dir.rstrip("/")
+    sc = spark.sparkContext
+    if conf_dir:
+        if not sc.getCheckpointDir():
+            sc.setCheckpointDir(conf_dir)
+        return conf_dir.rstrip("/")
+    current = sc.getCheckpointDir()
+    if current:
+        return current.rstrip("/")
+    local = tempfile.mkdtemp(prefix="tenor-ckpt-")
+    sc.setCheckpointDir(local)
+    return sc.getCheckpointDir().rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
