@@ -52,14 +52,15 @@ def data_summary(df: DataFrame) -> DataFrame:
     """D3: hate / neutral counts per group after per-file dedup, every group listed,
     plus an ``overall`` row counted over the pooled, per-tone deduplicated texts."""
     hate, neutral = vocab.TONES[1], vocab.TONES[0]
-    per = (distinct_rows(df).groupBy("target")
+    dedup = distinct_rows(df)
+    per = (dedup.groupBy("target")
            .agg(F.count_if(F.col("tone") == hate).alias("n_hate"),
                 F.count_if(F.col("tone") == neutral).alias("n_neutral")))
-    groups = F.broadcast(vocab.groups_df(df.sparkSession))
-    per = (groups.join(per, "target", "left")
+    # per has one row per group of the 11-group taxonomy: a bounded side to broadcast
+    per = (vocab.groups_df(df.sparkSession).join(F.broadcast(per), "target", "left")
            .select("target", F.coalesce("n_hate", F.lit(0)).cast("bigint").alias("n_hate"),
                    F.coalesce("n_neutral", F.lit(0)).cast("bigint").alias("n_neutral")))
-    overall = (combine_groups(df)
+    overall = (combine_groups(dedup)
                .agg(F.count_if(F.col("tone") == hate).alias("n_hate"),
                     F.count_if(F.col("tone") == neutral).alias("n_neutral"))
                .select(F.lit("overall").alias("target"), "n_hate", "n_neutral"))

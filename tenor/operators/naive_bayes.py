@@ -28,7 +28,7 @@ from tenor import vocab
 from tenor.functions import probs
 from tenor.functions.text import tokens
 from tenor.operators import joins, routing
-from tenor.session import scratch_path
+from tenor.session import scratch_path, shared_dir
 
 G = len(vocab.GROUPS)
 # Largest model (distinct tokens) broadcast to the scoring tasks: a row holds three
@@ -42,19 +42,32 @@ def _occurrences(df: DataFrame, key: str, text: str = "text", outer: bool = Fals
     return df.select(key, ex(tokens(text)).alias("pos", "token"))
 
 
-def nb_counts(train: DataFrame) -> DataFrame:
-    """(target, label, token, n, loglik) with the smoothed log-likelihood of every
-    observed (group, label, token). ``train`` has (target, label, text)."""
+def token_counts(train: DataFrame) -> DataFrame:
+    """(target, label, token, n): token occurrences per (group, label); one aggregation
+    with partial combine (a hot token collapses map-side)."""
     occ = train.select("target", "label", F.explode(tokens("text")).alias("token"))
-    counts = occ.groupBy("target", "label", "token").agg(F.count(F.lit(1)).alias("n"))
+    return occ.groupBy("target", "label", "token").agg(F.count(F.lit(1)).alias("n"))
+
+
+def with_loglik(counts: DataFrame) -> DataFrame:
+    """Add the smoothed log-likelihood log((n + 1) / (N_{g,y} + V_g)) to stored counts."""
     totals = counts.groupBy("target", "label").agg(F.sum("n").alias("_N"))
     vg = counts.select("target", "token").distinct().groupBy("target").agg(F.count(F.lit(1)).alias("_V"))
-    small = totals.join(vg, "target")  # at most 2 x 11 rows
+    small = totals.join(F.broadcast(vg), "target")  # at most 2 x 11 rows
     return (counts.join(F.broadcast(small), ["target", "label"])
             .select("target", "label", "token", "n",
                     F.log((F.col("n") + 1) / (F.col("_N") + F.col("_V"))).alias("loglik")))
 
 
+def nb_counts(train: DataFrame) -> DataFrame:
+    """(target, label, token, n, loglik) with the smoothed log-likelihood of every
+    observed (group, label, token). ``train`` has (target, label, text). The counts are
+    checkpointed once (shared folder), so the totals and vocabulary sizes read the
+    stored table instead of re-tokenising the corpus."""
+    shared_dir(train.sparkSession)
+    return with_loglik(token_counts(train).checkpoint(eager=True))
+
+
 def _group_constants(train: DataFrame, counts: DataFrame, dense: DataFrame) -> dict[str, list[float]]:
     """Per-group scalars (11 groups x a few numbers), collected as a fixed-size vocabulary.
     Three small jobs: documents per (group, label) from the training rows, token totals
@@ -113,7 +126,7 @@ def nb_fit(train: DataFrame, path: str | None = None, hot_fraction: float = join
     (at most 1/hot_fraction of them); the scoring join salts them."""
     spark = train.sparkSession
     path = path or scratch_path(spark, "nb-model")
-    nb_counts(train).write.mode("overwrite").parquet(f"{path}/counts")
+    token_counts(train).write.mode("overwrite").parquet(f"{path}/counts")
     counts = spark.read.parquet(f"{path}/counts")
     _dense_model(counts).write.mode("overwrite").parquet(f"{path}/dense")
     dense = spark.read.parquet(f"{path}/dense")
