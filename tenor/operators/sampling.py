@@ -157,9 +157,36 @@ def sample_n(df: DataFrame, n: int = vocab.HEAD_TEST_ROWS, key: str = "doc_id",
 
 
 def train_test_split(df: DataFrame, test_fraction: float = vocab.TEST_FRACTION, key: str = "doc_id",
-                     seed: int = vocab.SPLIT_SEED) -> DataFrame:
+                     seed: int = vocab.SPLIT_SEED, exact: bool = False) -> DataFrame:
     """``split`` = test when h < fraction * 2^32, else train. Row-local: no shuffle."""
+    if exact:
+        return exact_split(df, test_fraction, key, seed)
     cut = int(test_fraction * (1 << 32))
     return (with_hash(df, key, seed)
             .withColumn("split", F.when(F.col("_h") < F.lit(cut), F.lit("test")).otherwise(F.lit("train")))
             .drop("_h"))
+
+
+def exact_split(df: DataFrame, test_fraction: float = vocab.TEST_FRACTION, key: str = "doc_id",
+                seed: int = vocab.SPLIT_SEED, bits: int = DEFAULT_BITS) -> DataFrame:
+    """F3 ``exact=True``: exactly ceil(fraction x n) rows (as the original split sizes its
+    test part) are ``test`` - the lowest (h, key) - the rest ``train``. Uses the
+    exact selection (two passes, only the cut bucket ranked)."""
+    one = df.withColumn("_all", F.lit(0))
+    prepared = prepare(one, ["_all"], key, seed, bits)
+    n_test = class_sizes(prepared[1], ["_all"]).select(
+        "_all", F.ceil(F.col("_n") * F.lit(float(test_fraction))).cast("bigint").alias("n"))
+    test = select_first(one, ["_all"], key, n_test, seed, bits, 1, prepared).select(key).withColumn("_t", F.lit(True))
+    return (one.join(test, key, "left")
+            .withColumn("split", F.when(F.col("_t"), F.lit("test")).otherwise(F.lit("train")))
+            .drop("_all", "_t"))
+
+
+def head_split(df: DataFrame, n: int = vocab.HEAD_TEST_ROWS, key: str = "doc_id", seed: int = vocab.SAMPLE_SEED,
+               disjoint: bool = False) -> tuple[DataFrame, DataFrame]:
+    """The router's (train, test): test = :func:`sample_n` rows drawn from the table;
+    train = the whole table, test rows included, as in the original (Q25), or
+    without them when ``disjoint``."""
+    test = sample_n(df, n, key, seed)
+    train = df.join(test.select(key), key, "left_anti") if disjoint else df
+    return train, test

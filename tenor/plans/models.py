@@ -189,18 +189,21 @@ def fit_students(corpus: DataFrame, teacher, alpha: float = vocab.DISTILL_ALPHA,
                                        "fitted boolean")
 
 
-def router_data(group_ids: DataFrame, inverse: bool = False) -> DataFrame:
-    """G5 rows with class weights (D5) and a hash split on (target_id, text)."""
+def router_data(group_ids: DataFrame, inverse: bool = False, disjoint: bool = False) -> DataFrame:
+    """G5 rows with class weights (D5); ``split`` = test for the 1,000-row head test set
+    (F2), which the training part keeps unless ``disjoint`` (Q25)."""
     w = labels.class_weights(group_ids, "target_id", inverse).select("target_id", "weight")
     keyed = group_ids.withColumn("_key", F.concat(F.col("target_id").cast("string"), F.lit(":"), F.col("text")))
-    split = sampling.train_test_split(keyed, key="_key")
-    return split.join(F.broadcast(w), "target_id").withColumn("label", F.col("target_id").cast("double"))
+    train, test = sampling.head_split(keyed, key="_key", disjoint=disjoint)
+    both = train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test")))
+    # at most 11 classes: the weight table is a bounded side
+    return both.join(F.broadcast(w), "target_id").withColumn("label", F.col("target_id").cast("double"))
 
 
-def fit_router(group_ids: DataFrame, max_iter: int = 30, inverse: bool = False):
+def fit_router(group_ids: DataFrame, max_iter: int = 30, inverse: bool = False, disjoint: bool = False):
     """Multinomial router over the group-id table with class weights;
     returns (model, report with n_train, n_test, accuracy, macro_f1)."""
-    data = spread(featurize(router_data(group_ids, inverse), ROUTER_FEATURES)).persist()
+    data = spread(featurize(router_data(group_ids, inverse, disjoint), ROUTER_FEATURES)).persist()
     train, test = data.where(F.col("split") == "train"), data.where(F.col("split") == "test")
     lr = LogisticRegression(maxIter=max_iter, regParam=0.01, family="multinomial", labelCol="label",
                             weightCol="weight")

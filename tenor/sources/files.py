@@ -118,9 +118,19 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType, header: bool,
             .option("multiLine", str(multiline).lower()).option("mode", "FAILFAST").csv(path))
 
 
-def read_labeled_csv(spark: SparkSession, path: str) -> DataFrame:
-    """A4: ``tone,target,text`` table with a header."""
-    return read_csv(spark, path, LABELED_CSV, header=True)
+def read_labeled_csv(spark: SparkSession, path: str, legacy_comma: bool = False) -> DataFrame:
+    """A4: ``tone,target,text`` table with a header.
+
+    ``legacy_comma=True`` reproduces the original line reader (Q4): every physical
+    line after the header is split on every comma (no quoting), tone is field 0,
+    target field 1 lower-cased, text field 2 stripped - so a text is cut at its
+    first comma and a quoted text keeps its quote."""
+    if not legacy_comma:
+        return read_csv(spark, path, LABELED_CSV, header=True)
+    fields = F.split(F.col("value"), ",")
+    body = _text_reader(spark).text(path).where(F.col("value") != F.lit("tone,target,text"))
+    return body.select(F.get(fields, 0).alias("tone"), F.lower(F.get(fields, 1)).alias("target"),
+                       clean.legacy_comma_field(F.col("value"), 2).alias("text"))
 
 
 def read_corpus_csv(spark: SparkSession, path: str) -> DataFrame:

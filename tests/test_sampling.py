@@ -82,3 +82,23 @@ def test_balanced_then_split_has_both_labels(spark):
     s = sampling.train_test_split(sampling.balanced_downsample(c))
     sides = {(r["split"], r["tone"]) for r in s.select("split", "tone").distinct().collect()}
     assert {("train", "hate"), ("train", "neutral")} <= sides
+
+
+def test_exact_split_size_and_repartition(spark):
+    import math
+    c = _corpus(spark)
+    s = sampling.train_test_split(c, exact=True)
+    n = c.count()
+    assert s.where(F.col("split") == "test").count() == math.ceil(0.2 * n)
+    assert s.count() == n
+    a = rows(s.select("doc_id", "split"))
+    assert rows(sampling.train_test_split(c.repartition(5), exact=True).select("doc_id", "split")) == a
+
+
+def test_head_split_keeps_or_removes_test_rows(spark):
+    c = _corpus(spark)
+    train, test = sampling.head_split(c, 30)
+    assert test.count() == 30 and train.count() == c.count()
+    train_d, _ = sampling.head_split(c, 30, disjoint=True)
+    assert train_d.count() == c.count() - 30
+    assert train_d.join(test, "doc_id").count() == 0

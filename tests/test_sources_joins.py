@@ -85,3 +85,11 @@ def test_skew_split_join_equals_plain_join(spark):
         ours = joins.skew_split_join(big, small, "key", how, hot_fraction=0.01)
         assert rows(ours, "id", "key", "v") == rows(big.join(small, "key", how), "id", "key", "v")
     assert rows(joins.hot_keys(big, "key", 0.1)) == [("hot",)]
+
+
+def test_labeled_csv_legacy_comma(spark):
+    p = scratch_path(spark, "t-legacy")
+    spark.createDataFrame([("tone,target,text",), ("hate,Women, first, second",), ('neutral,Jewish,"quoted, text"',)],
+                          "value string").coalesce(1).write.text(p)
+    out = rows(files.read_labeled_csv(spark, p, legacy_comma=True))
+    assert out == [("hate", "women", "first"), ("neutral", "jewish", '"quoted')]
