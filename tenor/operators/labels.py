@@ -20,11 +20,20 @@ def group_files(df: DataFrame) -> DataFrame:
 
 def multi_hot_join(df: DataFrame) -> DataFrame:
     """C4: every sentence of the pooled list (G4) joined to every group file holding it
-    (either tone): (tone, text, file_tone, target). A shuffle join on the text."""
-    files = group_files(df)
-    pooled = corpus.concat_all(files)
-    return pooled.join(files.select(F.col("tone").alias("file_tone"), "target", "text"), "text") \
-        .select("tone", "text", "file_tone", "target")
+    (either tone): (tone, text, file_tone, target).
+
+    The join is an equi-join on the text in which both sides are already grouped
+    by text, so it is computed as one aggregation: per text, the set of (tone,
+    group) files holding it - at most 2 x 11 entries, bounded by the vocabulary -
+    then each pooled tone of the text is paired with each of its files. One
+    shuffle (partial aggregation first), no join on the long text."""
+    files = df.where(F.col("tone").isNotNull() & F.col("target").isNotNull())
+    per_text = files.groupBy(F.xxhash64("text").alias("_th"), "text").agg(
+        F.collect_set(F.struct("tone", "target")).alias("_files"))
+    tones = F.array_distinct(F.transform("_files", lambda f: f["tone"]))
+    return (per_text.select("text", "_files", F.explode(tones).alias("tone"))
+            .select("tone", "text", F.explode("_files").alias("_f"))
+            .select("tone", "text", F.col("_f.tone").alias("file_tone"), F.col("_f.target").alias("target")))
 
 
 def multi_hot(df: DataFrame) -> DataFrame:

@@ -93,6 +93,6 @@ def score_udf(df: DataFrame, fn: Callable[[str, pd.DataFrame], np.ndarray], grou
 def binary_expert(group: str, batch: pd.DataFrame) -> np.ndarray:
     """A simple expert for :func:`score_udf`: softmax of the group's two logits, class 1."""
     gi = vocab.GROUPS.index(group)
-    l0 = np.array([a[gi] for a in batch["l0"]], dtype="float64")
-    l1 = np.array([a[gi] for a in batch["l1"]], dtype="float64")
+    l0 = np.stack(batch["l0"].to_numpy())[:, gi].astype("float64")
+    l1 = np.stack(batch["l1"].to_numpy())[:, gi].astype("float64")
     return 1.0 / (1.0 + np.exp(l0 - l1))
