@@ -3,7 +3,6 @@ SQL-checked) and Spark ML fits (I3-I7, rows-only check plus property tests)."""
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from tenor.operators import clean, naive_bayes
 from tenor.plans import bindings

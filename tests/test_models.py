@@ -74,3 +74,14 @@ def test_fits_run_and_report(spark):
     st = models.fit_students(c, teacher).collect()
     assert len(st) == len(vocab.GROUPS)
     assert any(x["fitted"] for x in st)
+
+
+def test_nb_broadcast_and_salted_paths_agree(spark, monkeypatch):
+    c = bindings.corpus(spark, SF_SMALL)
+    train = c.select("target", (F.col("tone") == "hate").cast("int").alias("label"), "text")
+    docs = bindings.table(spark, SF_SMALL, "documents").select("doc_id", "text")
+    model = naive_bayes.nb_fit(train)
+    a = {(r["doc_id"], r["target"]): r["p_hate"] for r in naive_bayes.nb_score(docs, model).collect()}
+    monkeypatch.setattr(naive_bayes, "MAX_BROADCAST_TOKENS", 0)  # force the salted shuffle join
+    b = {(r["doc_id"], r["target"]): r["p_hate"] for r in naive_bayes.nb_score(docs, model).collect()}
+    assert a.keys() == b.keys() and all(abs(a[k] - b[k]) < 1e-9 for k in a)

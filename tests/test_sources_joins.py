@@ -93,3 +93,13 @@ def test_labeled_csv_legacy_comma(spark):
                           "value string").coalesce(1).write.text(p)
     out = rows(files.read_labeled_csv(spark, p, legacy_comma=True))
     assert out == [("hate", "women", "first"), ("neutral", "jewish", '"quoted')]
+
+
+def test_salted_join_equals_plain_join(spark):
+    big = spark.range(0, 3000).select(F.when(F.col("id") % 2 == 0, F.lit("hot")).otherwise(
+        F.concat(F.lit("k"), (F.col("id") % 37).cast("string"))).alias("key"), F.col("id"))
+    small = spark.createDataFrame([("hot", 1.0), ("k1", 2.0), ("k3", 3.0)], "key string, v double")
+    hot = spark.createDataFrame([("hot",)], "key string")
+    for how in ("inner", "left"):
+        ours = joins.salted_join(big, small, "key", hot, how, buckets=8)
+        assert rows(ours, "id", "key", "v") == rows(big.join(small, "key", how), "id", "key", "v")
