@@ -129,59 +129,71 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
-def fit_students(corpus: DataFrame, teacher, alpha: float = vocab.DISTILL_ALPHA,
-                 temperature: float = vocab.DISTILL_TEMPERATURE, max_iter: int = 30, reg: float = 0.01):
-    """I4: one student per group on teacher soft labels, fitted as ONE block-separable
-    logistic regression.
-
-    Each row's hashed features go to its group's block (``Interaction`` of the group
-    one-hot with the features) plus a per-group bias column. With row weights
-    normalised to total 1 per group, regParam / G and no standardisation, the joint
-    objective is exactly the sum of the G per-group objectives, so its optimum holds
-    every group's student (the bias is regularised like any coefficient). One
-    L-BFGS run (one distributed aggregation per iteration) replaces G fits, and a
-    group holding a third of the rows concentrates in no task. Groups without rows
-    or with a single label are reported, not fitted.
+def fit_blocks(train: DataFrame, block_col: str, n_blocks: int, weight_col: str, label_col: str,
+               num_features: int, max_iter: int = 30, reg: float = 0.01, features_col: str = "features"):
+    """Fit ``n_blocks`` independent weighted binary logistic regressions as ONE fit.
+
+    Each row's features go to its block (``Interaction`` of the block one-hot with
+    the features) plus a block bias column. With row weights normalised to total 1
+    per block, ``regParam / n_blocks`` and no standardisation, the joint objective
+    is exactly the sum of the per-block objectives, so its optimum holds every
+    block's model (the bias is regularised like any coefficient). One L-BFGS run -
+    one distributed aggregation per iteration - replaces ``n_blocks`` fits, and a
+    block holding a third of the rows concentrates in no task.
+    Returns a function that adds ``prediction`` / ``probability`` to rows carrying
+    ``block_col`` and ``features_col``.
     """
     from pyspark.ml.feature import Interaction, OneHotEncoder, VectorAssembler
+    spark = train.sparkSession
+    meta = {"ml_attr": {"attrs": {"numeric": [{"idx": i, "name": f"h{i}"} for i in range(num_features)]},
+                        "num_attrs": num_features}}
+    enc = OneHotEncoder(inputCols=[block_col], outputCols=["_blk"], dropLast=False, handleInvalid="keep").fit(
+        spark.createDataFrame([(i,) for i in range(n_blocks)], f"{block_col} int"))
+    inter = Interaction(inputCols=["_blk", "_feat"], outputCol="_x")
+    assemble = VectorAssembler(inputCols=["_x", "_blk"], outputCol="_block_features")
+
+    def blockify(df: DataFrame) -> DataFrame:
+        df = df.withColumn("_feat", F.col(features_col).alias("_feat", metadata=meta))
+        return assemble.transform(inter.transform(enc.transform(df)))
+
+    total = F.sum(weight_col).over(Window.partitionBy(block_col))  # one row per block and task after partial sums
+    data = spread(blockify(train).withColumn("_wn", F.col(weight_col) / total)
+                  .select("_block_features", label_col, "_wn")).persist()
+    lr = LogisticRegression(maxIter=max_iter, regParam=reg / n_blocks, standardization=False, fitIntercept=False,
+                            featuresCol="_block_features", labelCol=label_col, weightCol="_wn")
+    model = lr.fit(data)
+    data.unpersist()
+    return lambda df: model.transform(blockify(df))
+
+
+def fit_students(corpus: DataFrame, teacher, alpha: float = vocab.DISTILL_ALPHA,
+                 temperature: float = vocab.DISTILL_TEMPERATURE, max_iter: int = 30, reg: float = 0.01):
+    """I4: one student per group on teacher soft labels, all groups in one
+    block-separable fit (:func:`fit_blocks`). Groups without rows or with a single
+    label are reported, not fitted."""
     spark = corpus.sparkSession
     data = student_data(corpus)
     soft = soft_labels(teacher, data, temperature)
     ids = F.broadcast(vocab.groups_df(spark))
     frame = featurize(doubled(soft, {"w": alpha}), STUDENT_FEATURES).join(ids, "target")
-    # Interaction needs per-attribute metadata; hashed features carry only a count
-    meta = {"ml_attr": {"attrs": {"numeric": [{"idx": i, "name": f"h{i}"} for i in range(STUDENT_FEATURES)]},
-                        "num_attrs": STUDENT_FEATURES}}
-    frame = frame.withColumn("features", F.col("features").alias("features", metadata=meta))
     sizes = {(r["target"], r["split"]): (r["n"], r["n1"]) for r in
              frame.where(F.col("dlabel") == 1).groupBy("target", "split")
              .agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("n1")).collect()}  # at most 22 rows
     fitted = [g for g in vocab.GROUPS
               if sizes.get((g, "train"), (0, 0))[0] > 0 and sizes[(g, "train")][1] not in (0, sizes[(g, "train")][0])]
-    rows = []
+    ev = {}
     if fitted:
-        enc = OneHotEncoder(inputCols=["target_id"], outputCols=["_g"], dropLast=False,
-                            handleInvalid="keep").fit(spark.createDataFrame([(i,) for i in range(len(vocab.GROUPS))],
-                                                                            "target_id int"))
-        blocks = Interaction(inputCols=["_g", "features"], outputCol="_x")
-        assemble = VectorAssembler(inputCols=["_x", "_g"], outputCol="block_features")
-        train = frame.where(F.col("target").isin(fitted) & (F.col("split") == "train"))
-        gw = F.sum("w").over(Window.partitionBy("target"))
-        train = assemble.transform(blocks.transform(enc.transform(train))).withColumn("_wn", F.col("w") / gw)
-        train = spread(train.select("block_features", "dlabel", "_wn")).persist()
-        lr = LogisticRegression(maxIter=max_iter, regParam=reg / len(fitted), standardization=False,
-                                fitIntercept=False, featuresCol="block_features", labelCol="dlabel", weightCol="_wn")
-        model = lr.fit(train)
+        predict = fit_blocks(frame.where(F.col("target").isin(fitted) & (F.col("split") == "train")),
+                             "target_id", len(vocab.GROUPS), "w", "dlabel", STUDENT_FEATURES, max_iter, reg)
         test = frame.where(F.col("target").isin(fitted) & (F.col("split") == "test") & (F.col("dlabel") == 1))
-        pred = model.transform(assemble.transform(blocks.transform(enc.transform(test))))
-        ev = {r["target"]: r for r in metrics.binary_metrics_by(
-            pred.select("target", F.col("label").alias("gold"), F.col("prediction").cast("int").alias("prediction")),
-            "target").collect()}
-        train.unpersist()
+        pred = predict(test).select("target", F.col("label").alias("gold"),
+                                    F.col("prediction").cast("int").alias("prediction"))
+        ev = {r["target"]: r for r in metrics.binary_metrics_by(pred, "target").collect()}
+    rows = []
     for g in vocab.GROUPS:
         n_tr = sizes.get((g, "train"), (0, 0))[0]
         n_te = sizes.get((g, "test"), (0, 0))[0]
-        if g in fitted and g in ev:
+        if g in ev:
             rows.append((g, n_tr, n_te, float(ev[g]["accuracy"]), float(ev[g]["f1"]), True))
         else:
             rows.append((g, n_tr, n_te, None, None, g in fitted))
@@ -218,25 +230,34 @@ def fit_router(group_ids: DataFrame, max_iter: int = 30, inverse: bool = False,
 
 
 def sweep(corpus: DataFrame, teacher, group: str = vocab.SWEEP_GROUP, alphas=tuple(vocab.SWEEP_ALPHAS),
-          temperature: float = vocab.SWEEP_TEMPERATURE, max_iter: int = 30):
-    """One student per alpha on one group, as independent fits over one frame
-    holding a weight column per configuration (``fitMultiple``)."""
+          temperature: float = vocab.SWEEP_TEMPERATURE, max_iter: int = 30, reg: float = 0.01):
+    """One student per alpha on one group (independent trials), all settings in one
+    block-separable fit (:func:`fit_blocks`): each training row appears once per
+    setting (bounded: len(alphas) copies) with that setting's soft-label weight."""
     spark = corpus.sparkSession
     data = student_data(corpus.where(F.col("target") == group))
     soft = soft_labels(teacher, data, temperature)
     names = {f"w{i}": a for i, a in enumerate(alphas)}
-    frame = spread(featurize(doubled(soft, names), STUDENT_FEATURES)).persist()
+    frame = featurize(doubled(soft, names), STUDENT_FEATURES)
     train = frame.where(F.col("split") == "train")
     test = frame.where((F.col("split") == "test") & (F.col("dlabel") == 1))
-    n_train = train.where(F.col("dlabel") == 1).count()
+    counts = train.where(F.col("dlabel") == 1).agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("n1")).first()
     rows = []
-    if n_train > 0 and train.select("label").distinct().count() == 2:
-        lr = LogisticRegression(maxIter=max_iter, regParam=0.01, labelCol="dlabel")
-        maps = [{lr.weightCol: n} for n in names]
-        for i, model in lr.fitMultiple(train, maps):
-            ev = _binary_eval(model, test)
-            rows.append((f"hyper{i}", float(alphas[i]), float(temperature), ev["accuracy"], ev["f1"]))
-    frame.unpersist()
+    if counts["n"] and counts["n1"] not in (0, counts["n"]):
+        cfg = F.explode(F.array(*[F.struct(F.lit(i).alias("config_id"), F.col(n).alias("w"))
+                                  for i, n in enumerate(names)]))
+        per_cfg = train.select("features", "dlabel", cfg.alias("_c")).select(
+            "features", "dlabel", "_c.config_id", "_c.w")
+        predict = fit_blocks(per_cfg, "config_id", len(alphas), "w", "dlabel", STUDENT_FEATURES, max_iter, reg)
+        test_cfg = test.select("features", "label", F.explode(F.sequence(F.lit(0), F.lit(len(alphas) - 1)))
+                               .alias("config_id"))
+        pred = predict(test_cfg).select("config_id", F.col("label").alias("gold"),
+                                        F.col("prediction").cast("int").alias("prediction"))
+        ev = {r["config_id"]: r for r in metrics.binary_metrics_by(pred, "config_id").collect()}
+        for i, a in enumerate(alphas):
+            r = ev.get(i)
+            rows.append((f"hyper{i}", float(a), float(temperature), float(r["accuracy"]) if r else None,
+                         float(r["f1"]) if r else None))
     return spark.createDataFrame(rows, "config string, alpha double, temperature double, accuracy double, f1 double")
 
 
