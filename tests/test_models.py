@@ -85,3 +85,37 @@ def test_nb_broadcast_and_salted_paths_agree(spark, monkeypatch):
     monkeypatch.setattr(naive_bayes, "MAX_BROADCAST_TOKENS", 0)  # force the salted shuffle join
     b = {(r["doc_id"], r["target"]): r["p_hate"] for r in naive_bayes.nb_score(docs, model).collect()}
     assert a.keys() == b.keys() and all(abs(a[k] - b[k]) < 1e-9 for k in a)
+
+
+def test_block_fit_equals_separate_fits(spark):
+    """The joint block-separable fit solves each block's own objective
+    (1/W_b) sum w logloss + reg/2 |beta|^2 over features [x, 1]; reference: Newton's
+    method per block in numpy."""
+    import numpy as np
+    from pyspark.ml.functions import vector_to_array
+    from pyspark.ml.linalg import Vectors
+    pts = []
+    for i in range(60):
+        b = i % 2
+        x = [((i * 7) % 11) / 10.0, ((i * 3) % 5) / 4.0]
+        y = float((i * 13 + b) % 3 == 0)
+        pts.append((b, y, Vectors.dense(x), 0.5 + (i % 4) / 4.0))
+    df = spark.createDataFrame(pts, ["block", "label", "features", "w"])
+    reg = 0.1
+    predict = models.fit_blocks(df, "block", 2, "w", "label", 2, max_iter=200, reg=reg)
+    got = predict(df).select("block", "features", F.get(vector_to_array("probability"), 1).alias("p")).collect()
+    for b in (0, 1):
+        rows_b = [p for p in pts if p[0] == b]
+        X = np.array([list(p[2]) + [1.0] for p in rows_b])
+        y = np.array([p[1] for p in rows_b])
+        w = np.array([p[3] for p in rows_b])
+        beta = np.zeros(X.shape[1])
+        for _ in range(50):
+            pr = 1 / (1 + np.exp(-X @ beta))
+            g = X.T @ (w * (pr - y)) / w.sum() + reg * beta
+            h = (X.T * (w * pr * (1 - pr))) @ X / w.sum() + reg * np.eye(X.shape[1])
+            beta -= np.linalg.solve(h, g)
+        ref = {tuple(p[2]): float(1 / (1 + np.exp(-np.append(list(p[2]), 1.0) @ beta))) for p in rows_b}
+        for r in got:
+            if r["block"] == b:
+                assert abs(r["p"] - ref[tuple(r["features"])]) < 1e-4
