@@ -10,7 +10,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # ---------------------------------------------------------------------------
 # FIXED VALUES (must match the original project)
@@ -157,9 +156,3 @@ def sql_values(rows, cols) -> str:
     body = ", ".join("(" + ", ".join(lit(v) for v in r) + ")" for r in rows)
     return f"(VALUES {body}) AS t({', '.join(cols)})"
 
-
-SCHEMA_PROMPT_TABLE = T.StructType([
-    T.StructField("tone", T.StringType()),
-    T.StructField("target", T.StringType()),
-    T.StructField("text", T.StringType()),
-])
