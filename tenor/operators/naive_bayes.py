@@ -1,9 +1,10 @@
 """Multinomial Naive Bayes as relational jobs.
 
 Fitting is counting: tokens per (group, label), an aggregation with partial
-combine. Scoring joins token occurrences to the model on the token (a
-skew-split join: common words are hot keys) and sums per document in one
-aggregation whose buffers are 34 primitive columns, 11 groups wide.
+combine, then one row per token holding all 11 groups. Scoring joins token
+occurrences to that model on the token - broadcast when the model's counted
+size allows, else a salted shuffle join (common words are hot keys) - and sums
+per document in one aggregation whose buffers are 34 primitive columns.
 
 Experts (one per group, hate vs neutral), add-one smoothing over the group's
 distinct tokens V_g:
@@ -31,8 +32,8 @@ from tenor.operators import joins, routing
 from tenor.session import scratch_path, shared_dir
 
 G = len(vocab.GROUPS)
-# Largest model (distinct tokens) broadcast to the scoring tasks: a row holds three
-# 11-element arrays, about 300 bytes, so this bound keeps the broadcast under ~150 MB.
+# Largest model (distinct tokens) broadcast to the scoring tasks: a row holds the token
+# and 33 numbers, about 300 bytes, so this bound keeps the broadcast under ~150 MB.
 MAX_BROADCAST_TOKENS = 500_000
 
 
@@ -68,24 +69,47 @@ def nb_counts(train: DataFrame) -> DataFrame:
     return with_loglik(token_counts(train).checkpoint(eager=True))
 
 
-def _group_constants(train: DataFrame, counts: DataFrame, dense: DataFrame) -> dict[str, list[float]]:
-    """Per-group scalars (11 groups x a few numbers), collected as a fixed-size vocabulary.
-    Three small jobs: documents per (group, label) from the training rows, token totals
-    from the counts table, and distinct tokens per group plus overall from the dense model."""
+def _dense_model(counts: DataFrame) -> DataFrame:
+    """One row per token, 11 groups wide, in scalar columns: ``a{g}`` = log(c1 + 1) -
+    log(c0 + 1), ``k{g}`` = token in V_g, ``r{g}`` = log(C_g + 1), the raw ``c1_{g}`` /
+    ``c0_{g}`` and ``n_tok`` (all occurrences). One aggregation by token with
+    primitive conditional sums (hash aggregate)."""
+    ids = F.broadcast(vocab.groups_df(counts.sparkSession))
+    c = counts.join(ids, "target")
+    gid, lab, n = F.col("target_id"), F.col("label"), F.col("n")
+    aggs = []
+    for g in range(G):
+        aggs.append(F.sum(F.when((gid == g) & (lab == 1), n).otherwise(F.lit(0))).alias(f"c1_{g}"))
+        aggs.append(F.sum(F.when((gid == g) & (lab == 0), n).otherwise(F.lit(0))).alias(f"c0_{g}"))
+        aggs.append(F.max(F.when(gid == g, F.lit(1)).otherwise(F.lit(0))).alias(f"k{g}"))
+    t = c.groupBy("token").agg(*aggs, F.sum(n).alias("n_tok"))
+    c1, c0 = (lambda g: F.col(f"c1_{g}")), (lambda g: F.col(f"c0_{g}"))
+    return t.select(
+        "token", "n_tok",
+        *[(F.log(c1(g) + 1) - F.log(c0(g) + 1)).alias(f"a{g}") for g in range(G)],
+        *[F.col(f"k{g}") for g in range(G)],
+        *[F.log(c1(g) + c0(g) + 1).alias(f"r{g}") for g in range(G)],
+        *[c1(g) for g in range(G)], *[c0(g) for g in range(G)])
+
+
+def _group_constants(train: DataFrame, dense: DataFrame) -> dict:
+    """Per-group scalars (11 groups x a few numbers), collected as a fixed-size vocabulary,
+    in two small jobs: documents per (group, label) from the training rows, and one
+    aggregation over the stored model for token totals, vocabulary sizes and the
+    total token count."""
     docs = {r["target"]: (r["n1"], r["n0"]) for r in train.groupBy("target").agg(
         F.count_if(F.col("label") == 1).alias("n1"), F.count_if(F.col("label") == 0).alias("n0")).collect()}
-    toks = {r["target"]: (r["N1"] or 0, r["N0"] or 0) for r in counts.groupBy("target").agg(
-        F.sum(F.when(F.col("label") == 1, F.col("n"))).alias("N1"),
-        F.sum(F.when(F.col("label") == 0, F.col("n"))).alias("N0")).collect()}
-    vrow = dense.agg(F.count(F.lit(1)).alias("v_all"),
-                     *[F.sum(F.get("inv", i)).alias(f"v{i}") for i in range(G)]).first()
-    v_all = vrow["v_all"]
+    t = dense.agg(F.count(F.lit(1)).alias("v_all"), F.sum("n_tok").alias("n_all"),
+                  *[F.sum(f"k{g}").alias(f"v{g}") for g in range(G)],
+                  *[F.sum(f"c1_{g}").alias(f"N1_{g}") for g in range(G)],
+                  *[F.sum(f"c0_{g}").alias(f"N0_{g}") for g in range(G)]).first()
+    v_all = t["v_all"]
     m_all = sum(a + b for a, b in docs.values())
-    out = {"prior_logit": [], "kconst": [], "log_prior": [], "log_denom": [], "v_all": float(v_all)}
+    out = {"prior_logit": [], "kconst": [], "log_prior": [], "log_denom": [], "v_all": float(v_all),
+           "n_all": float(t["n_all"] or 0)}
     for i, g in enumerate(vocab.GROUPS):
         n1, n0 = docs.get(g, (0, 0))
-        big_n1, big_n0 = toks.get(g, (0, 0))
-        v = vrow[f"v{i}"] or 0
+        big_n1, big_n0, v = t[f"N1_{i}"] or 0, t[f"N0_{i}"] or 0, t[f"v{i}"] or 0
         if n1 + n0 > 0:
             out["prior_logit"].append(math.log((n1 + 1) / (n1 + n0 + 2)) - math.log((n0 + 1) / (n1 + n0 + 2)))
             out["kconst"].append(math.log(big_n0 + v) - math.log(big_n1 + v))
@@ -97,41 +121,23 @@ def _group_constants(train: DataFrame, counts: DataFrame, dense: DataFrame) -> d
     return out
 
 
-def _dense_model(counts: DataFrame) -> DataFrame:
-    """(token, a ARRAY<DOUBLE>[11], inv ARRAY<INT>[11], r ARRAY<DOUBLE>[11]) - one row per token:
-    a = log(c1 + 1) - log(c0 + 1), inv = token in V_g, r = log(C_g + 1).
-    One aggregation by token with 33 primitive conditional sums (hash aggregate)."""
-    ids = F.broadcast(vocab.groups_df(counts.sparkSession))
-    c = counts.join(ids, "target")
-    gid, lab, n = F.col("target_id"), F.col("label"), F.col("n")
-    aggs = []
-    for g in range(G):
-        aggs.append(F.sum(F.when((gid == g) & (lab == 1), n).otherwise(F.lit(0))).alias(f"c1_{g}"))
-        aggs.append(F.sum(F.when((gid == g) & (lab == 0), n).otherwise(F.lit(0))).alias(f"c0_{g}"))
-        aggs.append(F.max(F.when(gid == g, F.lit(1)).otherwise(F.lit(0))).alias(f"in_{g}"))
-    t = c.groupBy("token").agg(*aggs)
-    return t.select(
-        "token",
-        F.array(*[F.log(F.col(f"c1_{g}") + 1) - F.log(F.col(f"c0_{g}") + 1) for g in range(G)]).alias("a"),
-        F.array(*[F.col(f"in_{g}") for g in range(G)]).alias("inv"),
-        F.array(*[F.log(F.col(f"c1_{g}") + F.col(f"c0_{g}") + 1) for g in range(G)]).alias("r"))
-
-
 def nb_fit(train: DataFrame, path: str | None = None, hot_fraction: float = joins.DEFAULT_HOT_FRACTION) -> dict:
-    """Fit both models. The counts table and the dense per-token model are written
-    once under ``path`` (default: a fresh folder in the shared checkpoint folder) and
-    read back, so the later jobs - constants, hot tokens, scoring - read the small
-    model instead of re-tokenising the corpus, and lineage is cut at the model.
-    ``hot`` holds the tokens with at least ``hot_fraction`` of all training tokens
-    (at most 1/hot_fraction of them); the scoring join salts them."""
+    """Fit both models. The token counts and the per-token model are written once
+    under ``path`` (default: a fresh folder in the shared checkpoint folder) and read
+    back, so the constants and the scoring read the small model instead of
+    re-tokenising the corpus, and lineage is cut at the model. ``hot`` holds the
+    tokens with at least ``hot_fraction`` of all training tokens (at most
+    1/hot_fraction of them); the scoring join salts them when it cannot broadcast."""
     spark = train.sparkSession
     path = path or scratch_path(spark, "nb-model")
     token_counts(train).write.mode("overwrite").parquet(f"{path}/counts")
     counts = spark.read.parquet(f"{path}/counts")
     _dense_model(counts).write.mode("overwrite").parquet(f"{path}/dense")
     dense = spark.read.parquet(f"{path}/dense")
-    return {"path": path, "counts": counts, "dense": dense, "const": _group_constants(train, counts, dense),
-            "hot": joins.hot_keys(counts, "token", hot_fraction, weight="n")}
+    const = _group_constants(train, dense)
+    hot = dense.where(F.col("n_tok") >= F.lit(max(1, int(hot_fraction * const["n_all"])))).select("token")
+    model_cols = ["token"] + [f"{p}{g}" for p in ("a", "k", "r") for g in range(G)]
+    return {"path": path, "counts": counts, "dense": dense.select(*model_cols), "const": const, "hot": hot}
 
 
 def doc_sums(docs: DataFrame, model: dict, key: str = "doc_id", text: str = "text",
@@ -145,15 +151,15 @@ def doc_sums(docs: DataFrame, model: dict, key: str = "doc_id", text: str = "tex
         j = occ.join(F.broadcast(model["dense"]), "token", "left")
     else:
         j = joins.salted_join(occ, model["dense"], "token", model["hot"], "left", buckets)
-    aggs = [F.count("a").alias("n_x")]
-    aggs += [F.coalesce(F.sum(F.get("a", i)), F.lit(0.0)).alias(f"sa{i}") for i in range(G)]
-    aggs += [F.coalesce(F.sum(F.get("inv", i)), F.lit(0)).alias(f"k{i}") for i in range(G)]
-    aggs += [F.coalesce(F.sum(F.get("r", i)), F.lit(0.0)).alias(f"sr{i}") for i in range(G)]
+    aggs = [F.count("a0").alias("n_x")]
+    aggs += [F.coalesce(F.sum(f"a{i}"), F.lit(0.0)).alias(f"_sa{i}") for i in range(G)]
+    aggs += [F.coalesce(F.sum(f"k{i}"), F.lit(0)).alias(f"_k{i}") for i in range(G)]
+    aggs += [F.coalesce(F.sum(f"r{i}"), F.lit(0.0)).alias(f"_sr{i}") for i in range(G)]
     s = j.groupBy(key).agg(*aggs)
     return s.select(key, "n_x",
-                    F.array(*[F.col(f"sa{i}") for i in range(G)]).alias("sa"),
-                    F.array(*[F.col(f"k{i}") for i in range(G)]).alias("k"),
-                    F.array(*[F.col(f"sr{i}") for i in range(G)]).alias("sr"))
+                    F.array(*[F.col(f"_sa{i}") for i in range(G)]).alias("sa"),
+                    F.array(*[F.col(f"_k{i}") for i in range(G)]).alias("k"),
+                    F.array(*[F.col(f"_sr{i}") for i in range(G)]).alias("sr"))
 
 
 def _lit_array(values: list[float]):
