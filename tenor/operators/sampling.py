@@ -11,6 +11,10 @@ its bucket offset plus its position inside the bucket, so the only window
 runs over one bucket (about ``1/2**bits`` of a class), never a whole class.
 Selections of the first ``n`` rows rank only the single bucket that holds
 the cut; rows of lower buckets are kept without any window.
+
+Keys are expected to be unique per row (doc_id, vec_id, or a text key after
+dedup): copies of one key share its hash and so its bucket. Deduplicate copies
+first (E1 / G2), or rank on a key made unique with a content column.
 """
 
 from __future__ import annotations
