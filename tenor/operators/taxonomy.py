@@ -51,15 +51,16 @@ def indicator_melt_join(wide: DataFrame, columns: dict[str, list[int]], name_of,
 
 def expected_combinations(files: DataFrame, tone_col: str = "tone", raw_col: str = "raw") -> DataFrame:
     """Every (tone, target) the prompt builder opens - each distinct target with
-    each tone, minus the excluded pair - flagged ``present`` when a file exists."""
-    present = files.select(F.col(tone_col).alias("tone"), F.col(raw_col).alias("raw")).distinct()
+    each tone, minus the excluded pair - flagged ``present`` when a file exists.
+
+    One aggregation: per target, the set of tones present (bounded by the tone
+    vocabulary), expanded over the fixed tones; no join."""
+    per_raw = files.groupBy(F.col(raw_col).alias("raw")).agg(F.collect_set(F.col(tone_col)).alias("_tones"))
     tones = F.array(*[F.lit(t) for t in sorted(set(vocab.TONES.values()))])
-    expected = present.select("raw").distinct().select(F.explode(tones).alias("tone"), "raw")
+    expected = per_raw.select("raw", "_tones", F.explode(tones).alias("tone"))
     for tone, raw in vocab.EXCLUDED_PROMPT_PAIRS:
         expected = expected.where(~((F.col("tone") == tone) & (F.col("raw") == raw)))
-    flagged = present.withColumn("present", F.lit(True))
-    return (expected.join(flagged, ["tone", "raw"], "left")
-            .select("tone", "raw", F.coalesce("present", F.lit(False)).alias("present")))
+    return expected.select("tone", "raw", F.array_contains("_tones", F.col("tone")).alias("present"))
 
 
 def missing_combinations(files: DataFrame, tone_col: str = "tone", raw_col: str = "raw") -> DataFrame:
