@@ -122,11 +122,14 @@ def _binary_eval(model, test: DataFrame) -> dict:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Round-robin to at least one partition per core when a small frame arrives in
-    fewer (AQE coalesces small shuffles); large frames already have more partitions
-    and are left alone, so this never adds a shuffle at scale."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    """Round-robin the training frame over one partition per core before it is cached.
+
+    L-BFGS scans the cached frame once per iteration, so its partitions should keep
+    every core busy; AQE coalesces small shuffles into a few partitions. A single
+    round-robin shuffle (made deterministic by Spark's sort before repartition) is
+    cheap next to the iterations. Asking the frame for its partition count instead
+    would execute the upstream stages an extra time."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
 
 
 def fit_blocks(train: DataFrame, block_col: str, n_blocks: int, weight_col: str, label_col: str,
