@@ -266,19 +266,29 @@ def sweep(corpus: DataFrame, teacher, group: str = vocab.SWEEP_GROUP, alphas=tup
 
 def evaluate_per_round(corpus: DataFrame, rounds: int = 5):
     """The teacher refitted with ``maxIter = r`` for r = 1..rounds; train and
-    eval loss / accuracy / macro F1 per round, in the metrics-log layout."""
-    spark = corpus.sparkSession
+    eval loss / accuracy / macro F1 per round, in the metrics-log layout.
+
+    The scored rows of every (round, mode) are unioned and evaluated together: one
+    confusion-table aggregation and one loss aggregation keyed by (epoch, mode)
+    instead of a pair of jobs per round and mode. The log is built as a DataFrame
+    and pivoted (D14) without passing through the driver."""
     data = spread(featurize(teacher_data(corpus), TEACHER_FEATURES)).persist()
     train, test = data.where(F.col("split") == "train"), data.where(F.col("split") == "test")
     lr = LogisticRegression(regParam=0.01, labelCol="label")
-    logs = []
+    scored = None
     for i, model in lr.fitMultiple(train, [{lr.maxIter: r} for r in range(1, rounds + 1)]):
         for mode, part in (("train", train), ("eval", test)):
-            s = _scored(model.transform(part))
-            m = metrics.macro_f1(s).first()
-            loss = s.agg(F.avg("_nll")).first()[0]
-            logs += [(i + 1, mode, "loss", float(loss)), (i + 1, mode, "acc", float(m["accuracy"])),
-                     (i + 1, mode, "f1", float(m["macro_f1"]))]
+            s = _scored(model.transform(part)).select(F.lit(i + 1).alias("epoch"), F.lit(mode).alias("mode"), "*")
+            scored = s if scored is None else scored.unionByName(s)
+    by = ("epoch", "mode")
+    m = metrics.macro_f1(scored, by=by).select(*by, "accuracy", "macro_f1")
+    loss = scored.groupBy(*by).agg(F.avg("_nll").alias("loss"))
+    joined = m.join(loss, list(by))  # at most 2 x rounds rows on each side
+    log = joined.select(*by, F.explode(F.array(
+        F.struct(F.lit("loss").alias("metric"), F.col("loss").alias("value")),
+        F.struct(F.lit("acc").alias("metric"), F.col("accuracy").alias("value")),
+        F.struct(F.lit("f1").alias("metric"), F.col("macro_f1").alias("value")))).alias("x"))
+    log = log.select(F.col("epoch").cast("int").alias("epoch"), "mode", "x.metric", "x.value").persist()
+    log.count()  # materialise before the training frame is released
     data.unpersist()
-    log = spark.createDataFrame(logs, "epoch int, mode string, metric string, value double")
     return metrics.log_series(log)
