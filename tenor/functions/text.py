@@ -70,3 +70,27 @@ def encode_pad(tok_col, max_len: int = MAX_LEN, vocab_size: int = VOCAB_SIZE) ->
         F.concat(F.array_repeat(F.lit(1), n), F.array_repeat(F.lit(0), pad)).alias("attention_mask"),
         F.array_repeat(F.lit(0), F.lit(max_len)).alias("token_type_ids"),
     )
+
+
+def token_ids(tok_col, vocab_size: int = VOCAB_SIZE) -> Column:
+    """ARRAY<INT>: hashed id of every token."""
+    return F.transform(_c(tok_col), lambda t: token_id(t, vocab_size))
+
+
+def encode_windows(ids_col, max_len: int = MAX_LEN) -> Column:
+    """ARRAY<STRUCT(input_ids, attention_mask, token_type_ids)>: a whole id sequence
+    (see :func:`token_ids`; pass it as its own column, it is read once per window)
+    encoded as consecutive ``max_len`` windows, the last one padded, so no token is
+    cut off; an empty text gives one all-padding window."""
+    ids = _c(ids_col)
+    n_windows = F.greatest(F.lit(1), F.ceil(F.size(ids) / F.lit(max_len)).cast("int"))
+
+    def window(w):
+        part = F.slice(ids, w * max_len + 1, max_len)
+        pad = F.lit(max_len) - F.size(part)
+        return F.struct(
+            F.concat(part, F.array_repeat(F.lit(0), pad)).alias("input_ids"),
+            F.concat(F.array_repeat(F.lit(1), F.size(part)), F.array_repeat(F.lit(0), pad)).alias("attention_mask"),
+            F.array_repeat(F.lit(0), F.lit(max_len)).alias("token_type_ids"))
+
+    return F.transform(F.sequence(F.lit(0), n_windows - 1), window)

@@ -72,23 +72,29 @@ def tokenize_q(spark, sf_dir):
 
 
 _ENC = f"""
-SELECT doc_id, CAST(len(tk) AS INTEGER) AS n_tokens,
-       array_to_string(list_concat(ids, list_transform(range({T.MAX_LEN} - len(ids)), lambda x: 0)), ',') AS input_ids,
-       CAST(len(ids) AS INTEGER) AS attention_sum
-FROM (SELECT doc_id, tk, list_transform(tk[1:{T.MAX_LEN}],
-        lambda t: CAST(1 + ('0x' || substring(md5(t), 1, 8))::BIGINT % {T.VOCAB_SIZE - 1} AS INTEGER)) AS ids
-      FROM (SELECT doc_id, {tokens_sql('text')} AS tk FROM corpus))"""
+SELECT doc_id, CAST(w AS INTEGER) AS window, CAST(len(tk) AS INTEGER) AS n_tokens,
+       array_to_string(list_concat(part, list_transform(range({T.MAX_LEN} - len(part)), lambda x: 0)), ',')
+         AS input_ids,
+       CAST(len(part) AS INTEGER) AS attention_sum
+FROM (SELECT doc_id, tk, w, ids[w * {T.MAX_LEN} + 1 : w * {T.MAX_LEN} + {T.MAX_LEN}] AS part
+      FROM (SELECT doc_id, tk, ids,
+                   unnest(range(0, greatest(1, CAST(ceil(len(ids) / {T.MAX_LEN}) AS BIGINT)))) AS w
+            FROM (SELECT doc_id, tk, list_transform(tk,
+                    lambda t: CAST(1 + ('0x' || substring(md5(t), 1, 8))::BIGINT % {T.VOCAB_SIZE - 1} AS INTEGER)) AS ids
+                  FROM (SELECT doc_id, {tokens_sql('text')} AS tk FROM corpus))))"""
 
 
 @register("encode_pad", with_ctes(_ENC, "corpus"))
 def encode_pad_q(spark, sf_dir):
-    """H5: hashed token ids truncated / padded to the model length, with attention mask."""
+    """H5: hashed token ids in model-length windows (padded, with attention mask) -
+    the whole text, window by window."""
     c = bindings.corpus(spark, sf_dir)
-    tk = T.tokens("text")
-    enc = T.encode_pad(tk)
-    return c.select("doc_id", F.size(tk).alias("n_tokens"),
-                    F.array_join(enc["input_ids"], ",").alias("input_ids"),
-                    F.aggregate(enc["attention_mask"], F.lit(0), lambda a, x: a + x).alias("attention_sum"))
+    ids = c.select("doc_id", T.tokens("text").alias("_tk")).select(
+        "doc_id", F.size("_tk").alias("n_tokens"), T.token_ids("_tk").alias("_ids"))
+    out = ids.select("doc_id", "n_tokens", F.posexplode(T.encode_windows("_ids")).alias("window", "e"))
+    return out.select("doc_id", F.col("window").cast("int").alias("window"), "n_tokens",
+                      F.array_join("e.input_ids", ",").alias("input_ids"),
+                      F.aggregate("e.attention_mask", F.lit(0), lambda a, x: a + x).alias("attention_sum"))
 
 
 # --------------------------------------------------------------------------- D1, D2

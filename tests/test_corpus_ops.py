@@ -162,3 +162,13 @@ def test_tokens_and_encoding(spark):
 def test_vocab_sizes():
     assert len(vocab.GROUPS) == 11 and len(vocab.ANNOTATION_TARGETS) == 18
     assert len(vocab.TAXONOMY) == 28 and len(vocab.PROMPT_TARGET_IDS) == 16
+
+
+def test_encode_windows_cover_whole_text(spark):
+    df = spark.createDataFrame([("a b c d e",), ("",)], "t string")
+    ids = df.select(T.token_ids(T.tokens("t")).alias("ids"))
+    out = ids.select("ids", T.encode_windows("ids", max_len=2).alias("w")).collect()
+    full = out[0]
+    assert [w["input_ids"] for w in full["w"]] == [full["ids"][0:2], full["ids"][2:4], [full["ids"][4], 0]]
+    assert [sum(w["attention_mask"]) for w in full["w"]] == [2, 2, 1]
+    assert [w["input_ids"] for w in out[1]["w"]] == [[0, 0]]  # empty text: one padding window
