@@ -79,7 +79,8 @@ def teacher_data(corpus: DataFrame) -> DataFrame:
 
 def fit_teacher(corpus: DataFrame, max_iter: int = 50, reg: float = 0.01):
     """Teacher over the whole pooled corpus; returns (model, report DataFrame)."""
-    data = spread(featurize(teacher_data(corpus), TEACHER_FEATURES)).persist()
+    td = teacher_data(corpus)
+    data = spread(featurize(td, TEACHER_FEATURES), td.count()).persist()
     train, test = data.where(F.col("split") == "train"), data.where(F.col("split") == "test")
     model = LogisticRegression(maxIter=max_iter, regParam=reg, labelCol="label").fit(train)
     report = dict(_split_sizes(data), **_binary_report(model.transform(test)))
@@ -121,19 +122,29 @@ def _binary_eval(model, test: DataFrame) -> dict:
     return {"accuracy": float(row["accuracy"] or 0.0), "f1": float(row["f1"] or 0.0)}
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin the training frame over one partition per core before it is cached.
+MIN_ROWS_PER_PARTITION = 100
+
+
+def spread(df: DataFrame, n_rows: int | None = None) -> DataFrame:
+    """Round-robin the training frame over up to one partition per core before it is
+    cached.
 
     L-BFGS scans the cached frame once per iteration, so its partitions should keep
-    every core busy; AQE coalesces small shuffles into a few partitions. A single
-    round-robin shuffle (made deterministic by Spark's sort before repartition) is
-    cheap next to the iterations. Asking the frame for its partition count instead
-    would execute the upstream stages an extra time."""
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+    the cores busy, while a small frame should not become thousands of near-empty
+    tasks per iteration: with a known row count the frame gets about one partition
+    per ``MIN_ROWS_PER_PARTITION`` rows, capped at the cluster's parallelism. AQE
+    coalesces small shuffles into very few partitions, hence the explicit spread; a
+    single round-robin shuffle (deterministic thanks to Spark's sort before
+    repartition) is cheap next to the iterations. (Asking the frame for its current
+    partition count would execute the upstream stages an extra time.)"""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    n = cores if n_rows is None else max(1, min(cores, -(-int(n_rows) // MIN_ROWS_PER_PARTITION)))
+    return df.repartition(n)
 
 
 def fit_blocks(train: DataFrame, block_col: str, n_blocks: int, weight_col: str, label_col: str,
-               num_features: int, max_iter: int = 30, reg: float = 0.01, features_col: str = "features"):
+               num_features: int, max_iter: int = 30, reg: float = 0.01, features_col: str = "features",
+               n_rows: int | None = None):
     """Fit ``n_blocks`` independent weighted binary logistic regressions as ONE fit.
 
     Each row's features go to its block (``Interaction`` of the block one-hot with
@@ -161,7 +172,7 @@ def fit_blocks(train: DataFrame, block_col: str, n_blocks: int, weight_col: str,
 
     total = F.sum(weight_col).over(Window.partitionBy(block_col))  # one row per block and task after partial sums
     data = spread(blockify(train).withColumn("_wn", F.col(weight_col) / total)
-                  .select("_block_features", label_col, "_wn")).persist()
+                  .select("_block_features", label_col, "_wn"), n_rows).persist()
     lr = LogisticRegression(maxIter=max_iter, regParam=reg / n_blocks, standardization=False, fitIntercept=False,
                             featuresCol="_block_features", labelCol=label_col, weightCol="_wn")
     model = lr.fit(data)
@@ -186,8 +197,10 @@ def fit_students(corpus: DataFrame, teacher, alpha: float = vocab.DISTILL_ALPHA,
               if sizes.get((g, "train"), (0, 0))[0] > 0 and sizes[(g, "train")][1] not in (0, sizes[(g, "train")][0])]
     ev = {}
     if fitted:
+        n_rows = 2 * sum(sizes[(g, "train")][0] for g in fitted)  # doubled rows
         predict = fit_blocks(frame.where(F.col("target").isin(fitted) & (F.col("split") == "train")),
-                             "target_id", len(vocab.GROUPS), "w", "dlabel", STUDENT_FEATURES, max_iter, reg)
+                             "target_id", len(vocab.GROUPS), "w", "dlabel", STUDENT_FEATURES, max_iter, reg,
+                             n_rows=n_rows)
         test = frame.where(F.col("target").isin(fitted) & (F.col("split") == "test") & (F.col("dlabel") == 1))
         pred = predict(test).select("target", F.col("label").alias("gold"),
                                     F.col("prediction").cast("int").alias("prediction"))
@@ -218,7 +231,8 @@ def router_data(group_ids: DataFrame, inverse: bool = False, disjoint: bool = Fa
 def fit_router(group_ids: DataFrame, max_iter: int = 30, inverse: bool = False, disjoint: bool = False):
     """Multinomial router over the group-id table with class weights;
     returns (model, report with n_train, n_test, accuracy, macro_f1)."""
-    data = spread(featurize(router_data(group_ids, inverse, disjoint), ROUTER_FEATURES)).persist()
+    rd = router_data(group_ids, inverse, disjoint)
+    data = spread(featurize(rd, ROUTER_FEATURES), rd.count()).persist()
     train, test = data.where(F.col("split") == "train"), data.where(F.col("split") == "test")
     lr = LogisticRegression(maxIter=max_iter, regParam=0.01, family="multinomial", labelCol="label",
                             weightCol="weight")
@@ -251,7 +265,8 @@ def sweep(corpus: DataFrame, teacher, group: str = vocab.SWEEP_GROUP, alphas=tup
                                   for i, n in enumerate(names)]))
         per_cfg = train.select("features", "dlabel", cfg.alias("_c")).select(
             "features", "dlabel", "_c.config_id", "_c.w")
-        predict = fit_blocks(per_cfg, "config_id", len(alphas), "w", "dlabel", STUDENT_FEATURES, max_iter, reg)
+        predict = fit_blocks(per_cfg, "config_id", len(alphas), "w", "dlabel", STUDENT_FEATURES, max_iter, reg,
+                             n_rows=2 * len(alphas) * counts["n"])
         test_cfg = test.select("features", "label", F.explode(F.sequence(F.lit(0), F.lit(len(alphas) - 1)))
                                .alias("config_id"))
         pred = predict(test_cfg).select("config_id", F.col("label").alias("gold"),
@@ -272,7 +287,8 @@ def evaluate_per_round(corpus: DataFrame, rounds: int = 5):
     confusion-table aggregation and one loss aggregation keyed by (epoch, mode)
     instead of a pair of jobs per round and mode. The log is built as a DataFrame
     and pivoted (D14) without passing through the driver."""
-    data = spread(featurize(teacher_data(corpus), TEACHER_FEATURES)).persist()
+    td = teacher_data(corpus)
+    data = spread(featurize(td, TEACHER_FEATURES), td.count()).persist()
     train, test = data.where(F.col("split") == "train"), data.where(F.col("split") == "test")
     lr = LogisticRegression(regParam=0.01, labelCol="label")
     scored = None
