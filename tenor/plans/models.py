@@ -299,7 +299,7 @@ def evaluate_per_round(corpus: DataFrame, rounds: int = 5):
     by = ("epoch", "mode")
     m = metrics.macro_f1(scored, by=by).select(*by, "accuracy", "macro_f1")
     loss = scored.groupBy(*by).agg(F.avg("_nll").alias("loss"))
-    joined = m.join(loss, list(by))  # at most 2 x rounds rows on each side
+    joined = m.join(F.broadcast(loss), list(by))  # at most 2 x rounds rows on each side
     log = joined.select(*by, F.explode(F.array(
         F.struct(F.lit("loss").alias("metric"), F.col("loss").alias("value")),
         F.struct(F.lit("acc").alias("metric"), F.col("accuracy").alias("value")),
