@@ -5,8 +5,8 @@ results do not depend on partitioning, retries or run.
 
 Exact ranks without a per-class window: the top ``bits`` of ``h`` cut every
 class into up to ``2**bits`` buckets. Rows are counted per (class, bucket) -
-a small table of at most ``n_classes * 2**bits`` rows, checked below before it
-is broadcast - whose running totals give each bucket's offset. A row's rank is
+a small table of at most ``n_classes * 2**bits`` rows, counted before it is
+broadcast - whose running totals give each bucket's offset. A row's rank is
 its bucket offset plus its position inside the bucket, so the only window
 runs over one bucket (about ``1/2**bits`` of a class), never a whole class.
 Selections of the first ``n`` rows rank only the single bucket that holds
@@ -39,10 +39,10 @@ def _bucket(h: str, bits: int):
     return F.shiftright(F.col(h), 32 - bits).cast("int")
 
 
-def _join_small(big: DataFrame, small: DataFrame, on: list[str], n_classes_bound: int | None, bits: int) -> DataFrame:
-    """Join the per-bucket table back. Its size is bounded by classes x buckets; broadcast
-    only when that bound is known to be small, else let the shuffle join take it."""
-    if n_classes_bound is not None and n_classes_bound * (1 << bits) <= MAX_BROADCAST_ROWS:
+def _join_small(big: DataFrame, small: DataFrame, on: list[str], n_small_rows: int | None) -> DataFrame:
+    """Join the per-bucket table back: broadcast when its counted size is within
+    ``MAX_BROADCAST_ROWS``, else let the shuffle join take it."""
+    if n_small_rows is not None and n_small_rows <= MAX_BROADCAST_ROWS:
         small = F.broadcast(small)
     return big.join(small, on)
 
@@ -67,7 +67,8 @@ def prepare(df: DataFrame, class_cols: list[str], key: str, seed: int, bits: int
     recounting (and lineage is cut there)."""
     shared_dir(df.sparkSession)
     hashed = with_hash(df, key, seed).withColumn("_b", _bucket("_h", bits))
-    return hashed, bucket_offsets(hashed, class_cols, "_h", bits).checkpoint(eager=True)
+    offs = bucket_offsets(hashed, class_cols, "_h", bits).checkpoint(eager=True)
+    return hashed, offs, offs.count()  # the count reads the small stored table
 
 
 def _small(df: DataFrame, bounded: bool) -> DataFrame:
@@ -75,27 +76,28 @@ def _small(df: DataFrame, bounded: bool) -> DataFrame:
 
 
 def exact_rank(df: DataFrame, class_cols: list[str], key: str, seed: int = vocab.SPLIT_SEED,
-               bits: int = DEFAULT_BITS, n_classes_bound: int | None = None, out: str = "rank",
+               bits: int = DEFAULT_BITS, out: str = "rank",
                prepared=None) -> DataFrame:
     """0-based rank of every row within its class, ordered by (h, key); adds ``out``
     and ``_total`` (class size)."""
-    hashed, offs = prepared or prepare(df, class_cols, key, seed, bits)
-    joined = _join_small(hashed, offs.drop("_cnt"), [*class_cols, "_b"], n_classes_bound, bits)
+    hashed, offs, n_offs = prepared or prepare(df, class_cols, key, seed, bits)
+    joined = _join_small(hashed, offs.drop("_cnt"), [*class_cols, "_b"], n_offs)
     w = Window.partitionBy(*class_cols, "_b").orderBy("_h", key)
     return (joined.withColumn(out, (F.col("_off") + F.row_number().over(w) - 1).cast("bigint"))
             .drop("_h", "_b", "_off"))
 
 
 def select_first(df: DataFrame, class_cols: list[str], key: str, n_keep: DataFrame, seed: int = vocab.SPLIT_SEED,
-                 bits: int = DEFAULT_BITS, n_classes_bound: int | None = None, prepared=None) -> DataFrame:
+                 bits: int = DEFAULT_BITS, prepared=None) -> DataFrame:
     """Keep the first ``n`` rows of every class by (h, key). ``n_keep`` is a small
     (class..., n) table; classes missing from it keep nothing. Rows of buckets wholly
     below the cut are kept without a window; only the bucket holding the cut is ranked."""
-    hashed, offs = prepared or prepare(df, class_cols, key, seed, bits)
-    offs = offs.join(_small(n_keep, n_classes_bound is not None), class_cols)
+    hashed, offs, n_offs = prepared or prepare(df, class_cols, key, seed, bits)
+    # n_keep has one row per class, so at most as many rows as the offsets table
+    offs = offs.join(_small(n_keep, n_offs <= MAX_BROADCAST_ROWS), class_cols)
     offs = offs.where(F.col("_off") < F.col("n")).select(
         *class_cols, "_b", "_off", "n", (F.col("_off") + F.col("_cnt") <= F.col("n")).alias("_whole"))
-    joined = _join_small(hashed, offs, [*class_cols, "_b"], n_classes_bound, bits)
+    joined = _join_small(hashed, offs, [*class_cols, "_b"], n_offs)
     whole = joined.where(F.col("_whole"))
     w = Window.partitionBy(*class_cols, "_b").orderBy("_h", key)
     cut = (joined.where(~F.col("_whole"))
@@ -115,17 +117,17 @@ def balanced_downsample(df: DataFrame, group_col: str = "target", tone_col: str
     with an empty tone keeps everything (balancing off). Two passes over the rows:
     bucket counts, then the selection."""
     cls = [group_col, tone_col]
-    bound = 2 * len(vocab.GROUPS) if group_col == "target" else None
     prepared = prepare(df, cls, key, seed, bits)
+    small = prepared[2] <= MAX_BROADCAST_ROWS  # classes <= offsets rows, counted
     sizes = class_sizes(prepared[1], cls)
     per_group = sizes.groupBy(group_col).agg(
         F.min(F.when(F.col(tone_col) == vocab.TONES[1], F.col("_n"))).alias("_nh"),
         F.min(F.when(F.col(tone_col) == vocab.TONES[0], F.col("_n"))).alias("_nn"))
-    n_keep = (sizes.join(_small(per_group, bound is not None), group_col)
+    n_keep = (sizes.join(_small(per_group, small), group_col)
               .select(group_col, tone_col,
                       F.when(F.col("_nh").isNotNull() & F.col("_nn").isNotNull(), F.least("_nh", "_nn"))
                       .otherwise(F.col("_n")).alias("n")))
-    return select_first(df, cls, key, n_keep, seed, bits, bound, prepared)
+    return select_first(df, cls, key, n_keep, seed, bits, prepared=prepared)
 
 
 def mixed_batches(df: DataFrame, batch_size: int = 16, group_col: str = "target", tone_col: str = "tone",
@@ -133,13 +135,13 @@ def mixed_batches(df: DataFrame, batch_size: int = 16, group_col: str = "target"
     """Batch i of a group holds the i-th slice of ``batch_size`` rows of each tone;
     rows past the shorter tone are dropped (those batches are empty)."""
     cls = [group_col, tone_col]
-    bound = 2 * len(vocab.GROUPS) if group_col == "target" else None
     prepared = prepare(df, cls, key, seed, bits)
-    ranked = exact_rank(df, cls, key, seed, bits, bound, prepared=prepared)
+    small = prepared[2] <= MAX_BROADCAST_ROWS  # classes <= offsets rows, counted
+    ranked = exact_rank(df, cls, key, seed, bits, prepared=prepared)
     # the other tone's size for the same group, from the small offsets table
     other = class_sizes(prepared[1], cls).select(F.col(group_col).alias("_og"), F.col(tone_col).alias("_ot"),
                                                  F.col("_n").alias("_other"))
-    paired = ranked.join(_small(other, bound is not None),
+    paired = ranked.join(_small(other, small),
                          (F.col(group_col) == F.col("_og")) & (F.col(tone_col) != F.col("_ot")))
     return (paired.where(F.col("rank") < F.col("_other"))
             .withColumn("batch_id", (F.col("rank") / F.lit(batch_size)).cast("bigint"))
@@ -149,7 +151,7 @@ def mixed_batches(df: DataFrame, batch_size: int = 16, group_col: str = "target"
 def assign_batches(df: DataFrame, batch_size: int = 16, key: str = "doc_id", seed: int = vocab.BATCH_SEED,
                    bits: int = DEFAULT_BITS) -> DataFrame:
     """Shuffled fixed-size batches: ``batch_id = rank(h, key) div batch_size``."""
-    ranked = exact_rank(df, [], key, seed, bits, n_classes_bound=1)
+    ranked = exact_rank(df, [], key, seed, bits)
     return (ranked.withColumn("batch_id", F.floor(F.col("rank") / F.lit(batch_size)).cast("bigint"))
             .drop("_total"))
 
@@ -180,7 +182,8 @@ def exact_split(df: DataFrame, test_fraction: float = vocab.TEST_FRACTION, key:
     prepared = prepare(one, ["_all"], key, seed, bits)
     n_test = class_sizes(prepared[1], ["_all"]).select(
         "_all", F.ceil(F.col("_n") * F.lit(float(test_fraction))).cast("bigint").alias("n"))
-    test = select_first(one, ["_all"], key, n_test, seed, bits, 1, prepared).select(key).withColumn("_t", F.lit(True))
+    test = select_first(one, ["_all"], key, n_test, seed, bits, prepared=prepared).select(key).withColumn(
+        "_t", F.lit(True))
     return (one.join(test, key, "left")
             .withColumn("split", F.when(F.col("_t"), F.lit("test")).otherwise(F.lit("train")))
             .drop("_all", "_t"))
