@@ -116,12 +116,6 @@ def student_data(corpus: DataFrame) -> DataFrame:
     return sampling.train_test_split(lab, key="doc_id")
 
 
-def _binary_eval(model, test: DataFrame) -> dict:
-    pred = model.transform(test).select(F.col("label").alias("gold"), F.col("prediction").cast("int").alias("prediction"))
-    row = metrics.binary_metrics(pred).first()
-    return {"accuracy": float(row["accuracy"] or 0.0), "f1": float(row["f1"] or 0.0)}
-
-
 MIN_ROWS_PER_PARTITION = 100
 
 
