@@ -270,6 +270,8 @@ def sweep(corpus: DataFrame, teacher, group: str = vocab.SWEEP_GROUP, alphas=tup
             r = ev.get(i)
             rows.append((f"hyper{i}", float(a), float(temperature), float(r["accuracy"]) if r else None,
                          float(r["f1"]) if r else None))
+    else:  # the group lacks rows or a label: every setting is reported, unfitted
+        rows = [(f"hyper{i}", float(a), float(temperature), None, None) for i, a in enumerate(alphas)]
     return spark.createDataFrame(rows, "config string, alpha double, temperature double, accuracy double, f1 double")
 
 
