@@ -24,7 +24,8 @@ def test_every_query_has_oracle_or_reason():
     from tenor.plans import contract
     qs, sq = E.queries(), E.oracle_sql()
     for k in qs:
-        assert k in sq or k in contract.NO_ORACLE, k
+        if k in contract.QUERIES:
+            assert k in sq or k in contract.NO_ORACLE, k
     assert set(sq) <= set(qs)
 
 
@@ -36,7 +37,14 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+def _own_oracles():
+    """Oracles of the library's own queries; the optional subpackage tests its own."""
+    from tenor.plans import contract
+    contract.load_all()
+    return sorted(contract.ORACLES)
+
+
+@pytest.mark.parametrize("name", _own_oracles())
 def test_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF_SMALL)
     srows = [tuple(r) for r in df.collect()]
