@@ -4,10 +4,25 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tenor.llm import token_counts
+from tenor.llm import hash_tree, poisson_mix, quality_lines, token_counts
 from tenor.llm.registry import register, table
 
 
 @register("op1_token_counts")
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.digest(table(spark, sf_dir, "documents"))
+
+
+@register("op3_quality_rules", sql=quality_lines.ORACLE)
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_lines.digest(table(spark, sf_dir, "documents"))
+
+
+@register("op5_sharding")
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hash_tree.digest(table(spark, sf_dir, "documents"))
+
+
+@register("op10_mixing", sql=poisson_mix.ORACLE)
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return poisson_mix.digest(table(spark, sf_dir, "documents"))
