@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tenor.llm import hash_tree, poisson_mix, quality_lines, token_counts
+from tenor.llm import hash_tree, jaccard_join, poisson_mix, quality_lines, token_counts
 from tenor.llm.registry import register, table
 
 
@@ -26,3 +26,8 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op10_mixing", sql=poisson_mix.ORACLE)
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return poisson_mix.digest(table(spark, sf_dir, "documents"))
+
+
+@register("op6_jaccard_join", sql=jaccard_join.ORACLE)
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
