@@ -31,9 +31,9 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def block_count(docs: DataFrame, text: str = "text", block_bytes: int = BLOCK_BYTES) -> int:
+def block_count(docs: DataFrame, text: str = "text", block_bytes: int | None = None) -> int:
     total = docs.agg(F.sum(F.octet_length(text).cast("long"))).first()[0] or 0
-    return max(1, -(-int(total) // block_bytes))
+    return max(1, -(-int(total) // (block_bytes or BLOCK_BYTES)))
 
 
 def with_block(docs: DataFrame, n: int, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tenor.llm import hash_tree, jaccard_join, poisson_mix, quality_lines, token_counts
+from tenor.llm import hash_tree, jaccard_join, poisson_mix, quality_lines, suffix_dedup, token_counts
 from tenor.llm.registry import register, table
 
 
@@ -13,6 +13,11 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.digest(table(spark, sf_dir, "documents"))
 
 
+@register("op2_suffix_dedup")
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digest(table(spark, sf_dir, "documents"))
+
+
 @register("op3_quality_rules", sql=quality_lines.ORACLE)
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_lines.digest(table(spark, sf_dir, "documents"))

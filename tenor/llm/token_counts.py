@@ -4,7 +4,8 @@ Method: a vocabulary string is *whole* when merging its own symbols ends in
 that one token. This is proved once, on the driver, for every entry
 (``WordBpe.prove_whole``). At run time a text is cut at ASCII white space, a
 chunk into pre-tokens by the vocabulary's own normaliser and splitter; a
-pre-token in the proved set counts one, and only the rest is merged.
+pre-token in the proved set counts one, and only the rest is merged (by the
+library's merge step alone).
 
 The counts equal the public library's (no begin / end tokens added, special
 strings inside a text are one token each, no truncation). Cutting at ASCII
@@ -31,7 +32,7 @@ TOKEN_LIMIT = 2048
 MEMO_ENTRIES = 400_000
 MEMO_CHARS = 64
 SHORT = 32
-_SPACES = str.maketrans("\t\n\r\x0b\x0c", "     ")
+_SPACES = "\t\n\r\x0b\x0c"
 # The vocabulary's splitter on lower-cased printable ASCII without white space.
 _ASCII_PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
 
@@ -111,24 +112,18 @@ class ChunkCounter(dict):
         from tokenizers import Tokenizer
         lib = Tokenizer.from_file(bpe.path)
         self.normalize, self.split = lib.normalizer.normalize_str, lib.pre_tokenizer.pre_tokenize_str
-        self.bpe, self.whole, self.merged = bpe, whole, {}
-
-    def merged_tokens(self, piece: str) -> int:
-        n = self.merged.get(piece)
-        if n is None:
-            n = len(self.bpe.merge(piece))
-            if len(piece) <= MEMO_CHARS:
-                if len(self.merged) > MEMO_ENTRIES:
-                    self.merged.clear()
-                self.merged[piece] = n
-        return n
+        self.merge = lib.model.tokenize  # the vocabulary's merges, run natively
+        self.bpe, self.whole = bpe, whole
 
     def plain(self, chunk: str) -> int:
         if chunk.isascii() and chunk.isprintable():
             pieces = _ASCII_PIECES.findall(chunk.lower())
         else:
             pieces = [p for p, _ in self.split(self.normalize(chunk))]
-        return sum(1 if p in self.whole else self.merged_tokens(p) for p in pieces)
+        n = 0
+        for p in pieces:
+            n += 1 if p in self.whole else len(self.merge(p))
+        return n
 
     def cut_special(self, chunk: str) -> int:
         """A chunk with special strings: each is one token, the parts between are ordinary text."""
@@ -151,7 +146,10 @@ class ChunkCounter(dict):
         return n
 
     def text(self, text: str) -> int:
-        return sum(map(self.__getitem__, text.translate(_SPACES).split(" ")))
+        for c in _SPACES:
+            if c in text:
+                text = text.replace(c, " ")
+        return sum(map(self.__getitem__, text.split(" ")))
 
 
 def count_tokens(df: DataFrame, text: str = "text", out: str = "n_tokens", path: str | None = None) -> DataFrame:
