@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tenor.llm import hash_tree, jaccard_join, poisson_mix, quality_lines, suffix_dedup, token_counts
+from tenor.llm import hash_tree, jaccard_join, poisson_mix, quality_lines, string_tiling, suffix_dedup, token_counts
 from tenor.llm.registry import register, table
 
 
@@ -28,6 +28,11 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hash_tree.digest(table(spark, sf_dir, "documents"))
 
 
+@register("op9_decontamination")
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return string_tiling.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @register("op10_mixing", sql=poisson_mix.ORACLE)
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return poisson_mix.digest(table(spark, sf_dir, "documents"))
