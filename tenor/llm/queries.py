@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tenor.llm import hash_tree, jaccard_join, poisson_mix, quality_lines, string_tiling, suffix_dedup, token_counts
+from tenor.llm import chat_format, hash_tree, jaccard_join, poisson_mix, quality_lines, string_tiling, suffix_dedup, token_counts
 from tenor.llm.registry import register, table
 
 
@@ -23,6 +23,11 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_lines.digest(table(spark, sf_dir, "documents"))
 
 
+@register("op4_chat_format", sql=chat_format.ORACLE)
+def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_format.digest(chat_format.with_special(table(spark, sf_dir, "conversations")))
+
+
 @register("op5_sharding")
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hash_tree.digest(table(spark, sf_dir, "documents"))
