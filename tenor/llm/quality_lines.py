@@ -32,24 +32,33 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(text, SPACE + "+"), "")
 
 
-def _repeat_words(df: DataFrame) -> DataFrame:
-    """n_repeat_words: positions inside a 3-word window that occurs twice or more.
-    Window hashes are sorted with their positions, so equal windows are neighbours."""
-    empty = F.expr("array_repeat(named_struct('h', 0L, 'p', 0), 0)")
-    window = lambda i: F.struct(
-        F.xxhash64(F.element_at("_w", i), F.element_at("_w", i + 1), F.element_at("_w", i + 2)).alias("h"),
-        i.alias("p"))
-    df = df.withColumn("_tri", F.when(
-        F.col("n_words") >= 3,
-        F.sort_array(F.transform(F.sequence(F.lit(1), F.col("n_words").cast("int") - 2), window)))
-        .otherwise(empty))
-    same = lambda i, j: F.get(F.col("_tri"), i)["h"] == F.get(F.col("_tri"), j)["h"]
-    df = df.withColumn("_dup", F.transform(
-        F.filter("_tri", lambda x, i: F.coalesce(same(i, i + 1), F.lit(False))
-                 | F.coalesce(F.when(i > 0, same(i, i - 1)), F.lit(False))), lambda x: x["p"]))
-    covered = F.array_distinct(F.concat("_dup", F.transform("_dup", lambda p: p + 1),
-                                        F.transform("_dup", lambda p: p + 2)))
-    return df.withColumn("n_repeat_words", F.size(covered).cast("long"))
+def _let(value: Column, body) -> Column:
+    """``body`` of ``value`` computed once: as a lambda variable it stays so when the
+    optimiser moves the expression (a filter on a result pushes whole expressions down)."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def repeat_words(text: Column) -> Column:
+    """Positions inside a 3-word window that occurs twice or more. Window hashes are sorted
+    with their positions, so equal windows are neighbours; texts without a repeat stop before."""
+    def windows(w):
+        return F.transform(F.sequence(F.lit(1), F.size(w) - 2),
+                           lambda i: F.xxhash64(F.element_at(w, i), F.element_at(w, i + 1), F.element_at(w, i + 2)))
+
+    def repeated(s):
+        same = lambda x, j: F.coalesce(F.get(s, j)["h"] == x["h"], F.lit(False))
+        return F.transform(F.filter(s, lambda x, i: same(x, i + 1) | same(x, F.when(i > 0, i - 1).otherwise(F.size(s)))),
+                           lambda x: x["p"])
+
+    def covered(d):
+        return F.size(F.array_distinct(F.concat(d, F.transform(d, lambda p: p + 1), F.transform(d, lambda p: p + 2))))
+
+    def count(h):
+        placed = F.sort_array(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("p"))))
+        return F.when(F.size(F.array_distinct(h)) == F.size(h), 0).otherwise(
+            _let(placed, lambda s: _let(repeated(s), covered)))
+
+    return _let(words(text), lambda w: F.when(F.size(w) >= 3, _let(windows(w), count)).otherwise(0)).cast("long")
 
 
 def base_rules(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -58,14 +67,14 @@ def base_rules(docs: DataFrame, text: str = "text") -> DataFrame:
     has_word = lambda line: F.rlike(line, F.lit(r"[^\x20\x09-\x0D]"))
     df = (docs.withColumn("_w", words(t))
           .withColumn("_l", F.filter(F.split(t, "\n"), has_word))
-          .withColumn("n_words", F.size("_w").cast("long")))
-    df = _repeat_words(df)
+          .withColumn("n_words", F.size("_w").cast("long"))
+          .withColumn("n_repeat_words", repeat_words(t)))
     return (df.withColumn("word_chars", F.length(F.array_join("_w", "")).cast("long"))
             .withColumn("n_symbols", F.regexp_count(t, F.lit("[#*$%&|<>]")).cast("long"))
             .withColumn("n_dup_lines", (F.size("_l") - F.size(F.array_distinct("_l"))).cast("long"))
             .withColumn("base_failed", (F.col("n_words") < MIN_WORDS)
                         | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words")))
-            .drop("_w", "_tri", "_dup"))
+            .drop("_w"))
 
 
 def normalise(line: Column) -> Column:
@@ -92,8 +101,9 @@ def quality_rules(docs: DataFrame, text: str = "text", host: str = "source", min
     unique = lines.groupBy("_host", "_doc", "_hash").agg(F.max("_words").alias("_words"))
     sizes = (docs.select(F.coalesce(F.col(host), F.lit("\x00")).alias("_host"), F.xxhash64(t, F.length(t)).alias("_doc"))
              .distinct().groupBy("_host").agg(F.count(F.lit(1)).alias("_docs")))
-    frequent = (unique.groupBy("_host", "_hash").agg(F.count(F.lit(1)).alias("_in"))
-                .where(F.col("_in") > min_docs).join(sizes, "_host")
+    # the second aggregate keeps _words in use, so that both branches read one exchange
+    frequent = (unique.groupBy("_host", "_hash").agg(F.count(F.lit(1)).alias("_in"), F.max("_words").alias("_most"))
+                .where((F.col("_in") > min_docs) & (F.col("_most") > 0)).join(sizes, "_host")
                 .where(F.col("_in") > F.lit(share) * F.col("_docs")).select("_host", "_hash"))
     removed = (unique.join(frequent, ["_host", "_hash"]).groupBy("_host", "_doc")
                .agg(F.sum("_words").cast("long").alias("removed_words")))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tenor.llm import chat_format, hash_tree, jaccard_join, poisson_mix, quality_lines, string_tiling, suffix_dedup, token_counts
+from tenor.llm import chat_format, hash_tree, jaccard_join, poisson_mix, quality_lines, string_tiling, suffix_dedup, token_counts, url_filter
 from tenor.llm.registry import register, table
 
 
@@ -33,6 +33,11 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hash_tree.digest(table(spark, sf_dir, "documents"))
 
 
+@register("op7_url_filter")
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.digest(table(spark, sf_dir, "pages"))
+
+
 @register("op9_decontamination")
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return string_tiling.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
