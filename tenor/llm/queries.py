@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tenor.llm import chat_format, hash_tree, jaccard_join, poisson_mix, quality_lines, string_tiling, suffix_dedup, token_counts, url_filter
+from tenor.llm import chat_format, hash_tree, jaccard_join, maxent_lm, poisson_mix, quality_lines, string_tiling, suffix_dedup, token_counts, url_filter
 from tenor.llm.registry import register, table
 
 
@@ -38,6 +38,11 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.digest(table(spark, sf_dir, "pages"))
 
 
+@register("op8_lm_scoring")
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maxent_lm.score(table(spark, sf_dir, "documents"))
+
+
 @register("op9_decontamination")
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return string_tiling.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
