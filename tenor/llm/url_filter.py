@@ -26,7 +26,8 @@ TREES, DEPTH = 10, 4
 PRIOR_ROWS = 20.0
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 FEATURES = ["f_len", "f_host_len", "f_path_len", "f_depth", "f_labels", "f_digits", "f_host_digits", "f_hyphens",
-            "f_entropy", "f_params", "f_fragment", "f_secure", "f_suffix1", "f_suffix2", "f_suffix3"]
+            "f_entropy", "f_params", "f_fragment", "f_secure", "f_suffix1", "f_suffix2", "f_suffix3", "f_suffix4"]
+SUFFIXES = (1, 2, 3, 4)
 
 
 def parse(pages: DataFrame, url: str = "url") -> DataFrame:
@@ -58,7 +59,8 @@ def _entropy(text: Column) -> Column:
 
 
 def lexical(parsed: DataFrame, url: str = "url") -> DataFrame:
-    """Adds the lexical features and the host's last one, two and three labels."""
+    """Adds the lexical features and the suffixes: the host's last one, two and three labels,
+    and its last two with the first path segment."""
     u, labels = F.coalesce(F.col(url), F.lit("")), F.split("host", r"\.")
     query = F.regexp_extract(u, r"://[^?#]*\?([^#]*)", 1)
     tail = lambda k: F.array_join(F.slice(labels, -F.least(F.lit(k), F.size(labels)), F.lit(k)), ".")
@@ -72,17 +74,17 @@ def lexical(parsed: DataFrame, url: str = "url") -> DataFrame:
            .withColumn("f_secure", F.startswith(u, F.lit("https")).cast("double")))
     for k in (1, 2, 3):
         out = out.withColumn(f"_s{k}", F.concat(F.lit(f"{k}:"), tail(k)))
-    return out
+    return out.withColumn("_s4", F.concat(F.lit("4:"), tail(2), F.regexp_extract("path", "^(/[^/]*/?)", 1)))
 
 
 def suffix_rates(labelled: DataFrame) -> DataFrame:
     """(_s, _rate): smoothed block rate of every suffix among labelled rows."""
-    rows = labelled.select("_y", F.explode(F.array_distinct(F.array("_s1", "_s2", "_s3"))).alias("_s"))
+    rows = labelled.select("_y", F.explode(F.array(*[f"_s{k}" for k in SUFFIXES])).alias("_s"))
     return rows.groupBy("_s").agg(((F.sum("_y") + PRIOR_ROWS / 2) / (F.count(F.lit(1)) + PRIOR_ROWS)).alias("_rate"))
 
 
 def with_rates(df: DataFrame, rates: DataFrame) -> DataFrame:
-    for k in (1, 2, 3):
+    for k in SUFFIXES:
         table = rates.select(F.col("_s").alias(f"_s{k}"), F.col("_rate").alias(f"f_suffix{k}"))
         df = df.join(table, f"_s{k}", "left").withColumn(f"f_suffix{k}", F.coalesce(f"f_suffix{k}", F.lit(0.5)))
     return df
