@@ -15,7 +15,9 @@ from tenor import vocab
 VOCAB_SIZE = 30522
 MAX_LEN = 512
 
-_WS_EDGES = r"^\s+|\s+$"
+# The white space of Python's ``str.strip()``, as a regex class.
+PY_SPACE = r"[\t\n\x0b\x0c\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+_WS_EDGES = rf"^{PY_SPACE}+|{PY_SPACE}+$"
 _TOKEN_SPLIT = r"[\s\p{Punct}]+"
 
 

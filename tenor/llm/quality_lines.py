@@ -77,6 +77,10 @@ def base_rules(docs: DataFrame, text: str = "text") -> DataFrame:
             .drop("_w"))
 
 
+OUTPUT = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "line_words", "removed_words",
+          "base_failed", "kept")
+
+
 def normalise(line: Column) -> Column:
     line = F.regexp_replace(F.lower(line), "[0-9]+", "0")
     return F.trim(F.regexp_replace(line, SPACE + "+", " "))
@@ -86,7 +90,8 @@ def quality_rules(docs: DataFrame, text: str = "text", host: str = "source", min
                   share: float = LINE_DOC_SHARE, left_percent: int = LEFT_PERCENT) -> DataFrame:
     """The input's columns plus the base counts, ``line_words`` (words of the distinct
     lines), ``removed_words`` (those in removed lines), ``base_failed`` and ``kept``."""
-    own = docs.columns
+    own = [c for c in docs.columns if c not in OUTPUT]
+    docs = docs.select(*own)
     t = F.coalesce(F.col(text), F.lit(""))
     rows = base_rules(docs, text)
     rows = (rows.withColumn("_n", F.array_distinct(F.transform("_l", normalise)))
@@ -111,9 +116,7 @@ def quality_rules(docs: DataFrame, text: str = "text", host: str = "source", min
     out = rows.withColumn("line_words", total).drop("_l", "_n").join(removed, ["_host", "_doc"], "left")
     out = out.withColumn("removed_words", F.coalesce("removed_words", F.lit(0).cast("long")))
     depleted = 100 * (F.col("line_words") - F.col("removed_words")) < left_percent * F.col("line_words")
-    return out.withColumn("kept", ~F.col("base_failed") & ~depleted).select(
-        *own, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "line_words", "removed_words",
-        "base_failed", "kept")
+    return out.withColumn("kept", ~F.col("base_failed") & ~depleted).select(*own, *OUTPUT)
 
 
 def digest(docs: DataFrame) -> DataFrame:

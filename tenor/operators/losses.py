@@ -36,11 +36,13 @@ def distillation_loss(df: DataFrame, student: str = "student", teacher: str = "t
     probabilities where log-probabilities are expected.
     """
     t = float(temperature)
-    q = probs.softmax(teacher, t)
-    p = probs.softmax(student, t)
-    pairs = F.arrays_zip(q.alias("q"), p.alias("p"))
-    kl = F.aggregate(pairs, F.lit(0.0), lambda acc, z: acc + z["q"] * (F.log(z["q"]) - F.log(z["p"])))
-    kl_raw = F.aggregate(pairs, F.lit(0.0), lambda acc, z: acc + z["q"] * (F.log(z["q"]) - z["p"]))
+    lq = probs.log_softmax(teacher, t)
+    lp = probs.log_softmax(student, t)
+    pairs = F.arrays_zip(lq.alias("lq"), lp.alias("lp"))
+    # a class the teacher gives probability 0 adds nothing (0 log 0 = 0); the logs stay finite
+    term = lambda z, p: F.when(F.exp(z["lq"]) > 0, F.exp(z["lq"]) * (z["lq"] - p)).otherwise(0.0)
+    kl = F.aggregate(pairs, F.lit(0.0), lambda acc, z: acc + term(z, z["lp"]))
+    kl_raw = F.aggregate(pairs, F.lit(0.0), lambda acc, z: acc + term(z, F.exp(z["lp"])))
     rows = df.select(nll(student, gold).alias("_nll"), kl.alias("_kl"), kl_raw.alias("_klr"))
     a, t2 = F.lit(float(alpha)), F.lit(t * t)
     agg = rows.agg(F.avg("_nll").alias("ce"), F.avg("_kl").alias("kl"), F.avg("_klr").alias("kl_raw"))

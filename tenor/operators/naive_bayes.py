@@ -1,10 +1,10 @@
 """Multinomial Naive Bayes as relational jobs.
 
 Fitting is counting: tokens per (group, label), an aggregation with partial
-combine, then one row per token holding all 11 groups. Scoring joins token
-occurrences to that model on the token - broadcast when the model's counted
-size allows, else a salted shuffle join (common words are hot keys) - and sums
-per document in one aggregation whose buffers are 34 primitive columns.
+combine, then one row per token holding all 11 groups. Scoring counts (document,
+token) first, joins the known tokens to that model - Spark broadcasts the stored
+model when its bytes allow, else it shuffles and AQE splits a hot token - and sums
+per document; documents without a known token come from the document list.
 
 Experts (one per group, hate vs neutral), add-one smoothing over the group's
 distinct tokens V_g:
@@ -28,19 +28,10 @@ from pyspark.sql import functions as F
 from tenor import vocab
 from tenor.functions import probs
 from tenor.functions.text import tokens
-from tenor.operators import joins, routing
+from tenor.operators import routing
 from tenor.session import scratch_path, shared_dir
 
 G = len(vocab.GROUPS)
-# Largest model (distinct tokens) broadcast to the scoring tasks: a row holds the token
-# and 33 numbers, about 300 bytes, so this bound keeps the broadcast under ~150 MB.
-MAX_BROADCAST_TOKENS = 500_000
-
-
-def _occurrences(df: DataFrame, key: str, text: str = "text", outer: bool = False) -> DataFrame:
-    """(key, pos, token): one row per token occurrence (a null token for an empty text if ``outer``)."""
-    ex = F.posexplode_outer if outer else F.posexplode
-    return df.select(key, ex(tokens(text)).alias("pos", "token"))
 
 
 def token_counts(train: DataFrame) -> DataFrame:
@@ -121,13 +112,11 @@ def _group_constants(train: DataFrame, dense: DataFrame) -> dict:
     return out
 
 
-def nb_fit(train: DataFrame, path: str | None = None, hot_fraction: float = joins.DEFAULT_HOT_FRACTION) -> dict:
+def nb_fit(train: DataFrame, path: str | None = None) -> dict:
     """Fit both models. The token counts and the per-token model are written once
     under ``path`` (default: a fresh folder in the shared checkpoint folder) and read
     back, so the constants and the scoring read the small model instead of
-    re-tokenising the corpus, and lineage is cut at the model. ``hot`` holds the
-    tokens with at least ``hot_fraction`` of all training tokens (at most
-    1/hot_fraction of them); the scoring join salts them when it cannot broadcast."""
+    re-tokenising the corpus, and lineage is cut at the model."""
     spark = train.sparkSession
     path = path or scratch_path(spark, "nb-model")
     token_counts(train).write.mode("overwrite").parquet(f"{path}/counts")
@@ -135,27 +124,26 @@ def nb_fit(train: DataFrame, path: str | None = None, hot_fraction: float = join
     _dense_model(counts).write.mode("overwrite").parquet(f"{path}/dense")
     dense = spark.read.parquet(f"{path}/dense")
     const = _group_constants(train, dense)
-    hot = dense.where(F.col("n_tok") >= F.lit(max(1, int(hot_fraction * const["n_all"])))).select("token")
     model_cols = ["token"] + [f"{p}{g}" for p in ("a", "k", "r") for g in range(G)]
-    return {"path": path, "counts": counts, "dense": dense.select(*model_cols), "const": const, "hot": hot}
+    return {"path": path, "counts": counts, "dense": dense.select(*model_cols), "const": const}
 
 
-def doc_sums(docs: DataFrame, model: dict, key: str = "doc_id", text: str = "text",
-             buckets: int = joins.DEFAULT_BUCKETS) -> DataFrame:
+def doc_sums(docs: DataFrame, model: dict, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, n_x, sa ARRAY[11], k ARRAY[11], sr ARRAY[11]) for every document, also those
-    without a known token (outer explode + left join). Common words are hot keys of
-    the token join; they are salted over ``buckets`` tasks."""
-    occ = _occurrences(docs, key, text, outer=True)
-    if model["const"]["v_all"] <= MAX_BROADCAST_TOKENS:
-        # the model's size is counted at fit time: small enough to ship to every task
-        j = occ.join(F.broadcast(model["dense"]), "token", "left")
-    else:
-        j = joins.salted_join(occ, model["dense"], "token", model["hot"], "left", buckets)
-    aggs = [F.count("a0").alias("n_x")]
-    aggs += [F.coalesce(F.sum(f"a{i}"), F.lit(0.0)).alias(f"_sa{i}") for i in range(G)]
-    aggs += [F.coalesce(F.sum(f"k{i}"), F.lit(0)).alias(f"_k{i}") for i in range(G)]
-    aggs += [F.coalesce(F.sum(f"r{i}"), F.lit(0.0)).alias(f"_sr{i}") for i in range(G)]
-    s = j.groupBy(key).agg(*aggs)
+    without a known token (from the document list). Texts are dealt by document once,
+    so counting and summing need no further shuffle while the model is broadcast."""
+    tf = (docs.select(key, text).repartition(key).select(key, F.explode(tokens(text)).alias("token"))
+          .groupBy(key, "token").agg(F.count(F.lit(1)).alias("_tf")))
+    j = tf.join(model["dense"], "token")
+    aggs = [F.sum("_tf").alias("n_x")]
+    for i in range(G):
+        aggs += [F.sum(F.col("_tf") * F.col(f"{p}{i}")).alias(f"_s{p}{i}") for p in ("a", "k", "r")]
+    known = j.groupBy(key).agg(*aggs)
+    s = docs.select(key).distinct().join(known, key, "left")
+    s = s.select(key, F.coalesce("n_x", F.lit(0)).alias("n_x"),
+                 *[F.coalesce(f"_sa{i}", F.lit(0.0)).alias(f"_sa{i}") for i in range(G)],
+                 *[F.coalesce(f"_sk{i}", F.lit(0)).alias(f"_k{i}") for i in range(G)],
+                 *[F.coalesce(f"_sr{i}", F.lit(0.0)).alias(f"_sr{i}") for i in range(G)])
     return s.select(key, "n_x",
                     F.array(*[F.col(f"_sa{i}") for i in range(G)]).alias("sa"),
                     F.array(*[F.col(f"_k{i}") for i in range(G)]).alias("k"),

@@ -26,9 +26,9 @@ from tenor import vocab
 from tenor.functions.text import seeded_hash
 from tenor.session import shared_dir
 
-DEFAULT_BITS = 12
-# Largest bucket-offset table that is broadcast; beyond it the join shuffles.
-MAX_BROADCAST_ROWS = 2_000_000
+DEFAULT_BITS = 12   # first cut; refined while a bucket holds more than BUCKET_ROWS rows
+BUCKET_ROWS = 50_000
+HASH_BITS = 32
 
 
 def with_hash(df: DataFrame, key: str, seed: int = vocab.SPLIT_SEED, out: str = "_h") -> DataFrame:
@@ -39,14 +39,6 @@ def _bucket(h: str, bits: int):
     return F.shiftright(F.col(h), 32 - bits).cast("int")
 
 
-def _join_small(big: DataFrame, small: DataFrame, on: list[str], n_small_rows: int | None) -> DataFrame:
-    """Join the per-bucket table back: broadcast when its counted size is within
-    ``MAX_BROADCAST_ROWS``, else let the shuffle join take it."""
-    if n_small_rows is not None and n_small_rows <= MAX_BROADCAST_ROWS:
-        small = F.broadcast(small)
-    return big.join(small, on)
-
-
 def bucket_offsets(df: DataFrame, class_cols: list[str], h: str, bits: int) -> DataFrame:
     """(class..., _b, _cnt, _off, _total): per-bucket counts, offsets and class totals."""
     counts = df.groupBy(*class_cols, _bucket(h, bits).alias("_b")).agg(F.count(F.lit(1)).alias("_cnt"))
@@ -61,18 +53,19 @@ def prepare(df: DataFrame, class_cols: list[str], key: str, seed: int, bits: int
     """(hashed rows with ``_h``/``_b``, per-(class, bucket) offsets table). The offsets
     table also gives every class size, so no other pass over the rows is needed.
 
-    The offsets table (at most classes x 2^bits rows) is checkpointed to the shared
-    folder: one counting pass over the rows, and every later use - class sizes,
-    cut buckets, the offsets join - reads the small stored table instead of
-    recounting (and lineage is cut there)."""
+    The offsets table is checkpointed to the shared folder: one counting pass over the
+    rows, and every later use - class sizes, cut buckets, the offsets join - reads the
+    small stored table (and lineage is cut there). When its largest bucket holds more than
+    ``BUCKET_ROWS`` rows the hash is cut finer and counted again, so the rows ordered
+    together stay bounded at any class size. Joins to the table are Spark's choice by bytes."""
     shared_dir(df.sparkSession)
-    hashed = with_hash(df, key, seed).withColumn("_b", _bucket("_h", bits))
-    offs = bucket_offsets(hashed, class_cols, "_h", bits).checkpoint(eager=True)
-    return hashed, offs, offs.count()  # the count reads the small stored table
-
-
-def _small(df: DataFrame, bounded: bool) -> DataFrame:
-    return F.broadcast(df) if bounded else df
+    while True:
+        hashed = with_hash(df, key, seed).withColumn("_b", _bucket("_h", bits))
+        offs = bucket_offsets(hashed, class_cols, "_h", bits).checkpoint(eager=True)
+        largest = offs.agg(F.max("_cnt")).first()[0] or 0
+        if largest <= BUCKET_ROWS or bits >= HASH_BITS:
+            return hashed, offs
+        bits = min(HASH_BITS, bits + max(1, (largest // BUCKET_ROWS).bit_length()))
 
 
 def exact_rank(df: DataFrame, class_cols: list[str], key: str, seed: int = vocab.SPLIT_SEED,
@@ -80,8 +73,8 @@ def exact_rank(df: DataFrame, class_cols: list[str], key: str, seed: int = vocab
                prepared=None) -> DataFrame:
     """0-based rank of every row within its class, ordered by (h, key); adds ``out``
     and ``_total`` (class size)."""
-    hashed, offs, n_offs = prepared or prepare(df, class_cols, key, seed, bits)
-    joined = _join_small(hashed, offs.drop("_cnt"), [*class_cols, "_b"], n_offs)
+    hashed, offs = prepared or prepare(df, class_cols, key, seed, bits)
+    joined = hashed.join(offs.drop("_cnt"), [*class_cols, "_b"])
     w = Window.partitionBy(*class_cols, "_b").orderBy("_h", key)
     return (joined.withColumn(out, (F.col("_off") + F.row_number().over(w) - 1).cast("bigint"))
             .drop("_h", "_b", "_off"))
@@ -92,12 +85,11 @@ def select_first(df: DataFrame, class_cols: list[str], key: str, n_keep: DataFra
     """Keep the first ``n`` rows of every class by (h, key). ``n_keep`` is a small
     (class..., n) table; classes missing from it keep nothing. Rows of buckets wholly
     below the cut are kept without a window; only the bucket holding the cut is ranked."""
-    hashed, offs, n_offs = prepared or prepare(df, class_cols, key, seed, bits)
-    # n_keep has one row per class, so at most as many rows as the offsets table
-    offs = offs.join(_small(n_keep, n_offs <= MAX_BROADCAST_ROWS), class_cols)
+    hashed, offs = prepared or prepare(df, class_cols, key, seed, bits)
+    offs = offs.join(n_keep, class_cols)
     offs = offs.where(F.col("_off") < F.col("n")).select(
         *class_cols, "_b", "_off", "n", (F.col("_off") + F.col("_cnt") <= F.col("n")).alias("_whole"))
-    joined = _join_small(hashed, offs, [*class_cols, "_b"], n_offs)
+    joined = hashed.join(offs, [*class_cols, "_b"])
     whole = joined.where(F.col("_whole"))
     w = Window.partitionBy(*class_cols, "_b").orderBy("_h", key)
     cut = (joined.where(~F.col("_whole"))
@@ -118,12 +110,11 @@ def balanced_downsample(df: DataFrame, group_col: str = "target", tone_col: str
     bucket counts, then the selection."""
     cls = [group_col, tone_col]
     prepared = prepare(df, cls, key, seed, bits)
-    small = prepared[2] <= MAX_BROADCAST_ROWS  # classes <= offsets rows, counted
     sizes = class_sizes(prepared[1], cls)
     per_group = sizes.groupBy(group_col).agg(
         F.min(F.when(F.col(tone_col) == vocab.TONES[1], F.col("_n"))).alias("_nh"),
         F.min(F.when(F.col(tone_col) == vocab.TONES[0], F.col("_n"))).alias("_nn"))
-    n_keep = (sizes.join(_small(per_group, small), group_col)
+    n_keep = (sizes.join(per_group, group_col)
               .select(group_col, tone_col,
                       F.when(F.col("_nh").isNotNull() & F.col("_nn").isNotNull(), F.least("_nh", "_nn"))
                       .otherwise(F.col("_n")).alias("n")))
@@ -136,12 +127,11 @@ def mixed_batches(df: DataFrame, batch_size: int = 16, group_col: str = "target"
     rows past the shorter tone are dropped (those batches are empty)."""
     cls = [group_col, tone_col]
     prepared = prepare(df, cls, key, seed, bits)
-    small = prepared[2] <= MAX_BROADCAST_ROWS  # classes <= offsets rows, counted
     ranked = exact_rank(df, cls, key, seed, bits, prepared=prepared)
     # the other tone's size for the same group, from the small offsets table
     other = class_sizes(prepared[1], cls).select(F.col(group_col).alias("_og"), F.col(tone_col).alias("_ot"),
                                                  F.col("_n").alias("_other"))
-    paired = ranked.join(_small(other, small),
+    paired = ranked.join(other,
                          (F.col(group_col) == F.col("_og")) & (F.col(tone_col) != F.col("_ot")))
     return (paired.where(F.col("rank") < F.col("_other"))
             .withColumn("batch_id", (F.col("rank") / F.lit(batch_size)).cast("bigint"))
@@ -157,9 +147,11 @@ def assign_batches(df: DataFrame, batch_size: int = 16, key: str = "doc_id", see
 
 
 def sample_n(df: DataFrame, n: int = vocab.HEAD_TEST_ROWS, key: str = "doc_id", seed: int = vocab.SAMPLE_SEED) -> DataFrame:
-    """exactly ``n`` rows (all if fewer), the lowest (h, key): a top-n per task then
-    one merge of at most ``n`` rows per task (TakeOrderedAndProject)."""
-    return with_hash(df, key, seed).orderBy("_h", key).limit(n).drop("_h")
+    """exactly ``n`` rows (all if fewer), the lowest (h, key), by the exact selection:
+    only the bucket that holds the cut is ordered."""
+    one = df.withColumn("_all", F.lit(0))
+    keep = df.sparkSession.range(1).select(F.lit(0).alias("_all"), F.lit(n).cast("bigint").alias("n"))
+    return select_first(one, ["_all"], key, keep, seed).drop("_all")
 
 
 def train_test_split(df: DataFrame, test_fraction: float = vocab.TEST_FRACTION, key: str = "doc_id",

@@ -51,13 +51,14 @@ def indicator_melt_join(wide: DataFrame, columns: dict[str, list[int]], name_of,
 
 def expected_combinations(files: DataFrame, tone_col: str = "tone", raw_col: str = "raw") -> DataFrame:
     """Every (tone, target) the prompt builder opens - each distinct target with
-    each tone, minus the excluded pair - flagged ``present`` when a file exists.
+    each tone found, minus the excluded pair - flagged ``present`` when a file exists.
 
-    One aggregation: per target, the set of tones present (bounded by the tone
-    vocabulary), expanded over the fixed tones; no join."""
+    Two aggregations: the distinct tones (one array, as wide as the tone vocabulary),
+    and per target the set of tones present, expanded over the first by a one-row join."""
     per_raw = files.groupBy(F.col(raw_col).alias("raw")).agg(F.collect_set(F.col(tone_col)).alias("_tones"))
-    tones = F.array(*[F.lit(t) for t in sorted(set(vocab.TONES.values()))])
-    expected = per_raw.select("raw", "_tones", F.explode(tones).alias("tone"))
+    found = files.where(F.col(tone_col).isNotNull()).agg(F.collect_set(F.col(tone_col)).alias("_found"))
+    expected = (per_raw.withColumn("_one", F.lit(1)).join(F.broadcast(found.withColumn("_one", F.lit(1))), "_one")
+                .select("raw", "_tones", F.explode("_found").alias("tone")))
     for tone, raw in vocab.EXCLUDED_PROMPT_PAIRS:
         expected = expected.where(~((F.col("tone") == tone) & (F.col("raw") == raw)))
     return expected.select("tone", "raw", F.array_contains("_tones", F.col("tone")).alias("present"))

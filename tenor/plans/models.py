@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import HashingTF, NGram
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tenor import vocab
@@ -58,6 +58,12 @@ def _binary_report(pred: DataFrame, label: str = "label") -> dict:
             "f1": m["f1"]}
 
 
+def learns(model) -> bool:
+    """Final training loss below that of the starting point (the constant model)."""
+    history = model.summary.objectiveHistory
+    return bool(history[-1] < history[0])
+
+
 def _split_sizes(data: DataFrame) -> dict:
     r = data.agg(F.count_if(F.col("split") == "train").alias("n_train"),
                  F.count_if(F.col("split") == "test").alias("n_test")).first()
@@ -80,7 +86,7 @@ def teacher_data(corpus: DataFrame) -> DataFrame:
 def fit_teacher(corpus: DataFrame, max_iter: int = 50, reg: float = 0.01):
     """Teacher over the whole pooled corpus; returns (model, report DataFrame)."""
     td = teacher_data(corpus)
-    data = spread(featurize(td, TEACHER_FEATURES), td.count()).persist()
+    data = spread(featurize(td, TEACHER_FEATURES)).persist()
     train, test = data.where(F.col("split") == "train"), data.where(F.col("split") == "test")
     model = LogisticRegression(maxIter=max_iter, regParam=reg, labelCol="label").fit(train)
     report = dict(_split_sizes(data), **_binary_report(model.transform(test)))
@@ -116,29 +122,19 @@ def student_data(corpus: DataFrame) -> DataFrame:
     return sampling.train_test_split(lab, key="doc_id")
 
 
-MIN_ROWS_PER_PARTITION = 100
-
-
-def spread(df: DataFrame, n_rows: int | None = None) -> DataFrame:
-    """Round-robin the training frame over up to one partition per core before it is
-    cached.
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin the training frame over ``spark.sql.shuffle.partitions`` partitions before
+    it is cached.
 
-    L-BFGS scans the cached frame once per iteration, so its partitions should keep
-    the cores busy, while a small frame should not become thousands of near-empty
-    tasks per iteration: with a known row count the frame gets about one partition
-    per ``MIN_ROWS_PER_PARTITION`` rows, capped at the cluster's parallelism. AQE
-    coalesces small shuffles into very few partitions, hence the explicit spread; a
-    single round-robin shuffle (deterministic thanks to Spark's sort before
-    repartition) is cheap next to the iterations. (Asking the frame for its current
-    partition count would execute the upstream stages an extra time.)"""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    n = cores if n_rows is None else max(1, min(cores, -(-int(n_rows) // MIN_ROWS_PER_PARTITION)))
-    return df.repartition(n)
+    L-BFGS scans the cached frame once per iteration; AQE coalesces small shuffles
+    into very few partitions, so the session's own partition count (sized for the
+    cluster and its data) is asked for explicitly. One round-robin shuffle, made
+    deterministic by Spark's sort before it."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
 def fit_blocks(train: DataFrame, block_col: str, n_blocks: int, weight_col: str, label_col: str,
-               num_features: int, max_iter: int = 30, reg: float = 0.01, features_col: str = "features",
-               n_rows: int | None = None):
+               num_features: int, max_iter: int = 30, reg: float = 0.01, features_col: str = "features"):
     """Fit ``n_blocks`` independent weighted binary logistic regressions as ONE fit.
 
     Each row's features go to its block (``Interaction`` of the block one-hot with
@@ -164,9 +160,10 @@ def fit_blocks(train: DataFrame, block_col: str, n_blocks: int, weight_col: str,
         df = df.withColumn("_feat", F.col(features_col).alias("_feat", metadata=meta))
         return assemble.transform(inter.transform(enc.transform(df)))
 
-    total = F.sum(weight_col).over(Window.partitionBy(block_col))  # one row per block and task after partial sums
-    data = spread(blockify(train).withColumn("_wn", F.col(weight_col) / total)
-                  .select("_block_features", label_col, "_wn"), n_rows).persist()
+    # at most n_blocks rows: partial sums per task, then a bounded side of the join
+    totals = train.groupBy(block_col).agg(F.sum(weight_col).alias("_total"))
+    weighted = train.join(F.broadcast(totals), block_col).withColumn("_wn", F.col(weight_col) / F.col("_total"))
+    data = spread(blockify(weighted).select("_block_features", label_col, "_wn")).persist()
     lr = LogisticRegression(maxIter=max_iter, regParam=reg / n_blocks, standardization=False, fitIntercept=False,
                             featuresCol="_block_features", labelCol=label_col, weightCol="_wn")
     model = lr.fit(data)
@@ -191,10 +188,8 @@ def fit_students(corpus: DataFrame, teacher, alpha: float = vocab.DISTILL_ALPHA,
               if sizes.get((g, "train"), (0, 0))[0] > 0 and sizes[(g, "train")][1] not in (0, sizes[(g, "train")][0])]
     ev = {}
     if fitted:
-        n_rows = 2 * sum(sizes[(g, "train")][0] for g in fitted)  # doubled rows
         predict = fit_blocks(frame.where(F.col("target").isin(fitted) & (F.col("split") == "train")),
-                             "target_id", len(vocab.GROUPS), "w", "dlabel", STUDENT_FEATURES, max_iter, reg,
-                             n_rows=n_rows)
+                             "target_id", len(vocab.GROUPS), "w", "dlabel", STUDENT_FEATURES, max_iter, reg)
         test = frame.where(F.col("target").isin(fitted) & (F.col("split") == "test") & (F.col("dlabel") == 1))
         pred = predict(test).select("target", F.col("label").alias("gold"),
                                     F.col("prediction").cast("int").alias("prediction"))
@@ -226,7 +221,7 @@ def fit_router(group_ids: DataFrame, max_iter: int = 30, inverse: bool = False,
     """Multinomial router over the group-id table with class weights;
     returns (model, report with n_train, n_test, accuracy, macro_f1)."""
     rd = router_data(group_ids, inverse, disjoint)
-    data = spread(featurize(rd, ROUTER_FEATURES), rd.count()).persist()
+    data = spread(featurize(rd, ROUTER_FEATURES)).persist()
     train, test = data.where(F.col("split") == "train"), data.where(F.col("split") == "test")
     lr = LogisticRegression(maxIter=max_iter, regParam=0.01, family="multinomial", labelCol="label",
                             weightCol="weight")
@@ -259,8 +254,7 @@ def sweep(corpus: DataFrame, teacher, group: str = vocab.SWEEP_GROUP, alphas=tup
                                   for i, n in enumerate(names)]))
         per_cfg = train.select("features", "dlabel", cfg.alias("_c")).select(
             "features", "dlabel", "_c.config_id", "_c.w")
-        predict = fit_blocks(per_cfg, "config_id", len(alphas), "w", "dlabel", STUDENT_FEATURES, max_iter, reg,
-                             n_rows=2 * len(alphas) * counts["n"])
+        predict = fit_blocks(per_cfg, "config_id", len(alphas), "w", "dlabel", STUDENT_FEATURES, max_iter, reg)
         test_cfg = test.select("features", "label", F.explode(F.sequence(F.lit(0), F.lit(len(alphas) - 1)))
                                .alias("config_id"))
         pred = predict(test_cfg).select("config_id", F.col("label").alias("gold"),
@@ -284,7 +278,7 @@ def evaluate_per_round(corpus: DataFrame, rounds: int = 5):
     instead of a pair of jobs per round and mode. The log is built as a DataFrame
     and pivoted (D14) without passing through the driver."""
     td = teacher_data(corpus)
-    data = spread(featurize(td, TEACHER_FEATURES), td.count()).persist()
+    data = spread(featurize(td, TEACHER_FEATURES)).persist()
     train, test = data.where(F.col("split") == "train"), data.where(F.col("split") == "test")
     lr = LogisticRegression(regParam=0.01, labelCol="label")
     scored = None

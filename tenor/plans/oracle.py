@@ -5,6 +5,7 @@ dependency order."""
 from __future__ import annotations
 
 from tenor import vocab
+from tenor.functions.text import PY_SPACE
 from tenor.plans import bindings
 
 ANN_LIST = "[" + ", ".join(f"'{a}'" for a in vocab.ANNOTATION_TARGETS) + "]"
@@ -16,7 +17,7 @@ def _hash(expr: str, seed: int = vocab.SPLIT_SEED) -> str:
 
 
 def strip_sql(expr: str) -> str:
-    return f"regexp_replace({expr}, '^\\s+|\\s+$', '', 'g')"
+    return f"regexp_replace({expr}, '^{PY_SPACE}+|{PY_SPACE}+$', '', 'g')"
 
 
 def tokens_sql(expr: str) -> str:

@@ -280,7 +280,7 @@ def taxonomy_quarantine_q(spark, sf_dir):
 @register("expected_combinations", with_ctes("""
 SELECT e.tone, e.raw, (p.raw IS NOT NULL) AS present
 FROM (SELECT t.tone, r.raw FROM (SELECT DISTINCT raw FROM lines WHERE tone IS NOT NULL) r,
-                                (VALUES ('hate'), ('neutral')) t(tone)
+                                (SELECT DISTINCT tone FROM lines WHERE tone IS NOT NULL) t
       WHERE NOT (t.tone = 'neutral' AND r.raw = 'trans')) e
 LEFT JOIN (SELECT DISTINCT tone, raw FROM lines WHERE tone IS NOT NULL) p ON e.tone = p.tone AND e.raw = p.raw""",
                                              "lines"))

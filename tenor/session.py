@@ -54,6 +54,8 @@ def shared_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
     local = tempfile.mkdtemp(prefix="tenor-ckpt-")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir().rstrip("/")

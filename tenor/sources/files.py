@@ -128,7 +128,9 @@ def read_labeled_csv(spark: SparkSession, path: str, legacy_comma: bool = False)
     if not legacy_comma:
         return read_csv(spark, path, LABELED_CSV, header=True)
     fields = F.split(F.col("value"), ",")
-    body = _text_reader(spark).text(path).where(F.col("value") != F.lit("tone,target,text"))
+    # one column per physical line; the reader drops the first line of each file and no other
+    body = (spark.read.schema("value string").option("header", "true").option("sep", "\x01").option("quote", "")
+            .option("lineSep", "\n").option("recursiveFileLookup", "true").csv(path))
     return body.select(F.get(fields, 0).alias("tone"), F.lower(F.get(fields, 1)).alias("target"),
                        clean.legacy_comma_field(F.col("value"), 2).alias("text"))
 

@@ -17,7 +17,7 @@ def score_stream_q(spark, sf_dir):
     """B-PROBA rows land as parquet files; a Structured Streaming query scores them."""
     base = scratch_path(spark, "stream")
     src = bindings.proba(spark, sf_dir).select("vec_id", "router", "l0", "l1")
-    src.repartition(4).write.mode("overwrite").parquet(f"{base}/in")
+    src.write.mode("overwrite").parquet(f"{base}/in")
     stream.score_stream(spark, f"{base}/in", f"{base}/out", f"{base}/checkpoint")
     out = spark.read.schema(stream.SCORED_SCHEMA).parquet(f"{base}/out")
     return out.select("vec_id", "n_groups", "groups", r6("score").alias("score"), "prediction")

@@ -64,7 +64,8 @@ def score_udf(df: DataFrame, fn: Callable[[str, pd.DataFrame], np.ndarray], grou
     Routing stays in the JVM (array expressions). ``fn(group, batch)`` receives the
     pandas rows of an Arrow batch that retained ``group`` and returns their P(hate)
     as an array; it is called once per group and batch, only for rows routed to it.
-    Any number of groups may be given; a group outside ``groups`` contributes 0.
+    Any number of groups may be given; a routed group outside ``groups`` contributes 0,
+    and a name the router does not know is never routed to. ``key`` names the id column.
     """
     routed = routing.add_routing(df.withColumn("_p", probs.softmax(router)), "_p", "_kept")
     kept = F.col("_kept")
@@ -73,7 +74,8 @@ def score_udf(df: DataFrame, fn: Callable[[str, pd.DataFrame], np.ndarray], grou
         dense_weights(kept).alias("_w"),
         F.size(kept).cast("bigint").alias("n_groups"),
         F.array_join(probs.group_names(F.transform(kept, lambda k: k["idx"])), ",").alias("groups"))
-    index = {g: vocab.GROUPS.index(g) for g in groups}
+    index = {g: vocab.GROUPS.index(g) for g in groups if g in vocab.GROUPS}
+    schema = T.StructType([T.StructField(key, T.LongType()), *SCORED_SCHEMA.fields[1:]])
 
     def run(batches):
         for pdf in batches:
@@ -87,7 +89,7 @@ def score_udf(df: DataFrame, fn: Callable[[str, pd.DataFrame], np.ndarray], grou
                                 "groups": pdf["groups"], "score": score,
                                 "prediction": (score > threshold).astype("int32")})
 
-    return prepared.mapInPandas(run, SCORED_SCHEMA)
+    return prepared.mapInPandas(run, schema)
 
 
 def binary_expert(group: str, batch: pd.DataFrame) -> np.ndarray:

@@ -82,3 +82,20 @@ def test_distillation_forms(spark):
     assert abs(r["kl"] - kl) < 1e-12 and abs(r["kl_raw"] - klr) < 1e-12
     assert abs(r["loss"] - ((1 - a) * ce + a * t * t * kl)) < 1e-12
     assert abs(r["loss_raw"] - ((1 - a) * ce + a * t * t * klr)) < 1e-12
+
+
+def test_distillation_loss_with_an_underflowed_teacher(spark):
+    """A teacher probability of 0 adds nothing and the row stays in the mean."""
+    import math
+
+    from tenor.operators import losses
+    rows_ = [([2000.0, 0.0], [0.0, 1.0], 0), ([0.5, -0.5], [0.2, 0.1], 1)]
+    df = spark.createDataFrame(rows_, "teacher array<double>, student array<double>, gold int")
+    got = losses.distillation_loss(df, temperature=2.0).first()
+
+    def soft(z):
+        m = max(z)
+        e = [math.exp((x - m) / 2.0) for x in z]
+        return [x / sum(e) for x in e]
+    kl = [sum(q * (math.log(q) - math.log(p)) for q, p in zip(soft(t), soft(s)) if q > 0) for t, s, _ in rows_]
+    assert abs(got["kl"] - sum(kl) / 2) < 1e-9

@@ -76,15 +76,62 @@ def test_fits_run_and_report(spark):
     assert any(x["fitted"] for x in st)
 
 
-def test_nb_broadcast_and_salted_paths_agree(spark, monkeypatch):
+def test_nb_broadcast_and_shuffle_joins_agree(spark):
+    """Without any broadcast the scores are the same, and empty or unknown texts sit with their documents."""
     c = bindings.corpus(spark, SF_SMALL)
     train = c.select("target", (F.col("tone") == "hate").cast("int").alias("label"), "text")
-    docs = bindings.table(spark, SF_SMALL, "documents").select("doc_id", "text")
+    docs = bindings.table(spark, SF_SMALL, "documents").select("doc_id", "text").unionByName(
+        spark.range(900, 1400).selectExpr("id AS doc_id", "IF(id % 2 = 0, '', 'zzunknown') AS text"))
     model = naive_bayes.nb_fit(train)
     a = {(r["doc_id"], r["target"]): r["p_hate"] for r in naive_bayes.nb_score(docs, model).collect()}
-    monkeypatch.setattr(naive_bayes, "MAX_BROADCAST_TOKENS", 0)  # force the salted shuffle join
-    b = {(r["doc_id"], r["target"]): r["p_hate"] for r in naive_bayes.nb_score(docs, model).collect()}
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        sums = naive_bayes.doc_sums(docs, model)
+        b = {(r["doc_id"], r["target"]): r["p_hate"] for r in naive_bayes.nb_score(docs, model).collect()}
+        assert "BroadcastHashJoin" not in sums._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     assert a.keys() == b.keys() and all(abs(a[k] - b[k]) < 1e-9 for k in a)
+    per = [r["count"] for r in sums.where("doc_id >= 900").groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(per) == 500
+
+
+def test_fits_beat_the_majority(spark):
+    """Teacher, router, sweep and rounds on a corpus with a signal: better than the majority class."""
+    rows = []
+    for i in range(600):
+        g, y = ("women", "jews", "asian")[i % 3], (i // 3) % 2
+        rows.append((i, "hate" if y else "neutral", g, f"{'awful bad' if y else 'kind nice'} {g} word{i % 17} id{i}"))
+    c = spark.createDataFrame(rows, "doc_id long, tone string, target string, text string")
+    model, report = models.fit_teacher(c)
+    assert report.first()["accuracy"] > 0.9 and models.learns(model)
+    students = {r["target"]: r for r in models.fit_students(c, model).collect()}
+    assert all(students[g]["fitted"] and students[g]["accuracy"] > 0.8 for g in ("women", "jews", "asian"))
+    assert not students["arab"]["fitted"]
+    ids = c.join(vocab.groups_df(spark), "target").select("target_id", "text")
+    router, rep = models.fit_router(ids)
+    assert rep.first()["accuracy"] > 0.6 and models.learns(router)  # three equal classes
+    sweep = models.sweep(c, model, group="women").collect()
+    assert len(sweep) == len(vocab.SWEEP_ALPHAS) and all(r["accuracy"] > 0.8 for r in sweep)
+    rounds = models.evaluate_per_round(c, 3).orderBy("epoch").collect()
+    assert [r["epoch"] for r in rounds] == [1, 2, 3] and rounds[2]["train_loss"] < rounds[0]["train_loss"] < math.log(2)
+
+
+def test_block_totals_use_no_window(spark):
+    plans = []
+    listen = models.LogisticRegression.fit
+    def spy(self, data, *a):
+        plans.append(data._jdf.queryExecution().optimizedPlan().toString())
+        return listen(self, data, *a)
+    models.LogisticRegression.fit = spy
+    try:
+        df = spark.range(40).selectExpr("CAST(id % 2 AS INT) AS b", "1.0 AS w", "CAST(id % 4 > 1 AS DOUBLE) AS y",
+                                        "concat('t', id % 4) AS text")
+        models.fit_blocks(models.featurize(df, 16), "b", 2, "w", "y", 16)
+    finally:
+        models.LogisticRegression.fit = listen
+    assert plans and all("Window" not in p for p in plans)
 
 
 def test_block_fit_equals_separate_fits(spark):

@@ -26,8 +26,7 @@ def test_row_local_queries_do_not_shuffle(spark, name):
     assert s["shuffles"] == 0 and s["smj"] == 0 and s["python"] == 0
 
 
-@pytest.mark.parametrize("name", ["nb_score", "score_corpus", "multi_hot", "multi_hot_join", "dedup_keep_first",
-                                  "expected_combinations"])
+@pytest.mark.parametrize("name", ["multi_hot", "multi_hot_join", "dedup_keep_first"])
 def test_one_shuffle(spark, name):
     s = _plan(spark, name)
     assert s["shuffles"] <= 1 and s["smj"] == 0
