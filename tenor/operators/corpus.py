@@ -12,13 +12,19 @@ from tenor.operators import clean, taxonomy
 def dedup_keep_first(df: DataFrame, key: str = "text", order: tuple[str, ...] = ("doc_id", "seq")) -> DataFrame:
     """One row per ``key``, the row with the lowest ``order`` kept.
 
-    A grouped min over a struct led by the order columns: partial aggregation
-    collapses copies before the shuffle, so a key held by a third of all rows
-    still moves one row per map task. The struct buffer makes this a sort-based
-    aggregation; the grouping key is led by a 64-bit hash of the text, so sorting
-    compares longs and looks at the (long) texts only on hash ties.
+    Partial aggregation collapses copies before the shuffle, so a key held by a third
+    of all rows still moves one row per map task. With just (doc_id, seq) the pair is
+    packed into one decimal, whose min is a hash aggregate; further columns travel in a
+    struct, a sort-based aggregation led by a 64-bit hash of the text.
     """
     others = [c for c in df.columns if c != key and c not in order]
+    if not others and order == ("doc_id", "seq"):
+        wide = F.lit(1 << 32).cast("decimal(11,0)")
+        packed = F.col("doc_id").cast("decimal(20,0)") * wide + F.col("seq").cast("decimal(11,0)")
+        low = df.groupBy(key).agg(F.min(packed).alias("_p"))
+        low = low.withColumn("_d", F.floor(F.col("_p") / wide).cast("decimal(20,0)"))
+        seq = (F.col("_p") - F.col("_d") * wide).cast(df.schema["seq"].dataType)
+        return low.select(F.col("_d").cast(df.schema["doc_id"].dataType).alias("doc_id"), seq.alias("seq"), key)
     first = F.min(F.struct(*[F.col(c) for c in order], *[F.col(c) for c in others])).alias("_f")
     return (df.groupBy(F.xxhash64(key).alias("_kh"), key).agg(first)
             .select(*[F.col(f"_f.{c}").alias(c) for c in order], *[F.col(f"_f.{c}").alias(c) for c in others], key))
@@ -36,10 +42,8 @@ def combine_groups(df: DataFrame) -> DataFrame:
 
 def concat_all(df: DataFrame) -> DataFrame:
     """Pooled hate rows then pooled neutral rows; a text in both tones appears twice."""
-    pooled = combine_groups(df)
-    hate = pooled.where(F.col("tone") == vocab.TONES[1]).withColumn("part", F.lit(0))
-    neutral = pooled.where(F.col("tone") == vocab.TONES[0]).withColumn("part", F.lit(1))
-    return hate.unionByName(neutral).select("part", "tone", "text")
+    pooled = combine_groups(df).where(F.col("tone").isin(vocab.TONES[0], vocab.TONES[1]))
+    return pooled.select(F.when(F.col("tone") == vocab.TONES[1], 0).otherwise(1).alias("part"), "tone", "text")
 
 
 def gather_group_ids(df: DataFrame) -> DataFrame:

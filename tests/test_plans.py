@@ -8,15 +8,14 @@ import pytest
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
 
 import __spark_entry__ as E  # noqa: E402
-from plans import summary  # noqa: E402
+from plans import executed, summary  # noqa: E402
 
 from conftest import SF_SMALL  # noqa: E402
 
 
 def _plan(spark, name):
     df = E.queries()[name](spark, SF_SMALL)
-    df.write.format("noop").mode("overwrite").save()
-    return summary(df._jdf.queryExecution().executedPlan().toString())
+    return summary(executed(df))
 
 
 @pytest.mark.parametrize("name", ["score_routed", "softmax", "route_topk", "normalize_weights", "argmax_class",
