@@ -147,8 +147,12 @@ def test_expected_combinations(spark):
     df = spark.createDataFrame([("hate", "trans"), ("hate", "women"), ("neutral", "women")], "tone string, raw string")
     out = rows(taxonomy.expected_combinations(df), "tone", "raw", "present")
     assert out == [("hate", "trans", True), ("hate", "women", True), ("neutral", "women", True)]
+    # the tones are those found: a single tone implies no file of another, a third tone its own files
     df2 = spark.createDataFrame([("hate", "women")], "tone string, raw string")
-    assert rows(taxonomy.missing_combinations(df2), "tone", "raw") == [("neutral", "women")]
+    assert rows(taxonomy.missing_combinations(df2), "tone", "raw") == []
+    df3 = spark.createDataFrame([("hate", "women"), ("sarcasm", "asian"), ("neutral", "asian")], "tone string, raw string")
+    assert rows(taxonomy.missing_combinations(df3), "tone", "raw") == [
+        ("hate", "asian"), ("neutral", "women"), ("sarcasm", "women")]
 
 
 def test_tokens_and_encoding(spark):
