@@ -60,20 +60,6 @@ def token_id(tok: Column, vocab_size: int = VOCAB_SIZE) -> Column:
     return (F.lit(1) + F.pmod(hash32(tok), F.lit(vocab_size - 1))).cast("int")
 
 
-def encode_pad(tok_col, max_len: int = MAX_LEN, vocab_size: int = VOCAB_SIZE) -> Column:
-    """STRUCT(input_ids, attention_mask, token_type_ids), each ARRAY<INT> of ``max_len``:
-    ids truncated to the model input length, then right-padded with 0."""
-    toks = _c(tok_col)
-    ids = F.transform(F.slice(toks, 1, max_len), lambda t: token_id(t, vocab_size))
-    n = F.size(ids)
-    pad = F.lit(max_len) - n
-    return F.struct(
-        F.concat(ids, F.array_repeat(F.lit(0), pad)).alias("input_ids"),
-        F.concat(F.array_repeat(F.lit(1), n), F.array_repeat(F.lit(0), pad)).alias("attention_mask"),
-        F.array_repeat(F.lit(0), F.lit(max_len)).alias("token_type_ids"),
-    )
-
-
 def token_ids(tok_col, vocab_size: int = VOCAB_SIZE) -> Column:
     """ARRAY<INT>: hashed id of every token."""
     return F.transform(_c(tok_col), lambda t: token_id(t, vocab_size))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tenor import vocab
+from tenor.functions.text import strip_text
 from tenor.operators import clean, taxonomy
 
 
@@ -92,3 +93,21 @@ def union_sources(annotations: DataFrame, prompts: DataFrame, survey: DataFrame)
         F.lit("prompts").alias("origin"), "tone", "target", "text")
     sv = survey.select(F.lit("survey").alias("origin"), "tone", "target", "text")
     return ann.unionByName(pr).unionByName(sv)
+
+
+def build_corpus(annotations: DataFrame, prompts: DataFrame, survey: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The whole corpus build: (corpus, quarantine).
+
+    Prompt lines pass the prompt cleaning (B2), annotations are D2 rows, survey rows come
+    mapped. Raw names go through the taxonomy; texts are stripped, empty ones dropped,
+    copies removed per (tone, target) with partial aggregation. ``quarantine`` counts
+    the rows without a group by (origin, raw), so nothing disappears unseen."""
+    ann = annotations.select(F.lit("annotations").alias("origin"), clean.label_tone(F.col("toxic")).alias("tone"),
+                             F.lower("target").alias("raw"), F.col("sentence").alias("text"))
+    pr = prompts.select(F.lit("prompts").alias("origin"), "tone", F.lower("raw").alias("raw"),
+                        F.explode(clean.clean_prompt("text")).alias("text"))
+    named = ann.unionByName(pr)
+    quarantine = taxonomy.taxonomy_quarantine(named).groupBy("origin", "raw").agg(F.count(F.lit(1)).alias("n"))
+    rows = taxonomy.map_taxonomy(named).select("tone", "target", "text").unionByName(survey.select("tone", "target", "text"))
+    corpus = rows.select("tone", "target", strip_text("text").alias("text")).where(F.col("text") != "").distinct()
+    return corpus, quarantine

@@ -9,6 +9,8 @@ from tenor import vocab
 from tenor.functions import text as T
 from tenor.operators import clean, consensus, corpus, labels, sampling, taxonomy
 from tenor.plans import bindings
+from tenor.sources import files
+from tenor.session import scratch_path
 from tenor.plans.contract import r6, register
 from tenor.plans.oracle import ANN_LIST, hash_sql, strip_sql, tokens_sql, with_ctes
 
@@ -81,14 +83,14 @@ FROM (SELECT doc_id, tk, w, ids[w * {T.MAX_LEN} + 1 : w * {T.MAX_LEN} + {T.MAX_L
                    unnest(range(0, greatest(1, CAST(ceil(len(ids) / {T.MAX_LEN}) AS BIGINT)))) AS w
             FROM (SELECT doc_id, tk, list_transform(tk,
                     lambda t: CAST(1 + ('0x' || substring(md5(t), 1, 8))::BIGINT % {T.VOCAB_SIZE - 1} AS INTEGER)) AS ids
-                  FROM (SELECT doc_id, {tokens_sql('text')} AS tk FROM corpus))))"""
+                  FROM (SELECT doc_id, {tokens_sql('text')} AS tk FROM documents))))"""
 
 
-@register("encode_pad", with_ctes(_ENC, "corpus"))
+@register("encode_pad", with_ctes(_ENC))
 def encode_pad_q(spark, sf_dir):
     """H5: hashed token ids in model-length windows (padded, with attention mask) -
     the whole text, window by window."""
-    c = bindings.corpus(spark, sf_dir)
+    c = bindings.table(spark, sf_dir, "documents")
     ids = c.select("doc_id", T.tokens("text").alias("_tk")).select(
         "doc_id", F.size("_tk").alias("n_tokens"), T.token_ids("_tk").alias("_ids"))
     out = ids.select("doc_id", "n_tokens", F.posexplode(T.encode_windows("_ids")).alias("window", "e"))
@@ -153,7 +155,7 @@ def clean_prompt_q(spark, sf_dir):
 
 
 @register("drop_tone", with_ctes(
-    "SELECT doc_id, seq, raw AS target, text FROM lines WHERE tone IS NOT NULL", "lines"))
+    "SELECT doc_id, seq, raw AS target, text FROM lines", "lines"))
 def drop_tone_q(spark, sf_dir):
     """The prompt table without its tone column."""
     t = _prompt_lines(spark, sf_dir).select("doc_id", "seq", "tone", F.col("raw").alias("target"), "text")
@@ -161,20 +163,20 @@ def drop_tone_q(spark, sf_dir):
 
 
 @register("drop_matching_columns", with_ctes(
-    "SELECT doc_id, seq, raw AS target, text FROM lines WHERE tone IS NOT NULL", "lines"))
+    "SELECT doc_id, seq, raw AS target, text FROM lines", "lines"))
 def drop_matching_columns_q(spark, sf_dir):
     """A saved index column (``Unnamed: 0``) dropped by name pattern."""
-    t = _prompt_lines(spark, sf_dir).select("doc_id", "seq", F.col("seq").alias("Unnamed: 0"),
-                                             F.col("raw").alias("target"), "text")
+    t = _lines(spark, sf_dir).select("doc_id", "seq", F.col("seq").alias("Unnamed: 0"),
+                                     F.col("raw").alias("target"), "text")
     return clean.drop_matching_columns(t, ":")
 
 
 @register("encode_target_16", with_ctes("""
 SELECT l.doc_id, l.seq, coalesce(CAST(p.raw_id AS VARCHAR), l.raw) AS target
-FROM lines l LEFT JOIN prompt_ids p ON l.raw = p.raw WHERE l.tone IS NOT NULL""", "lines", "prompt_ids"))
+FROM lines l LEFT JOIN prompt_ids p ON l.raw = p.raw""", "lines", "prompt_ids"))
 def encode_target_16_q(spark, sf_dir):
     """The 16 prompt names to ids; other names kept."""
-    t = _prompt_lines(spark, sf_dir).select("doc_id", "seq", F.col("raw").alias("target"))
+    t = _lines(spark, sf_dir).select("doc_id", "seq", F.col("raw").alias("target"))
     return clean.encode_target_16(t, "target").select("doc_id", "seq", "target")
 
 
@@ -373,6 +375,46 @@ def union_sources_q(spark, sf_dir):
     return corpus.union_sources(ann, prompts, survey)
 
 
+_ALL_ROWS = """
+SELECT 'annotations' AS origin, CASE WHEN p.toxic_votes >= 2 THEN 'hate' ELSE 'neutral' END AS tone, lower(c.target) AS raw,
+       p.sentence AS text
+FROM cnt c JOIN posts p ON c.post_id = p.post_id WHERE c.votes >= CASE WHEN p.toxic_votes >= 2 THEN 2 ELSE 1 END
+UNION ALL SELECT 'prompts', tone, lower(raw), unnest(list_filter(list_transform(string_split(text, '\\n'),
+       lambda x: replace(x, '-', '')), lambda x: x <> '')) FROM lines WHERE tone IS NOT NULL"""
+_SURVEY_ROWS = """
+SELECT CASE WHEN hate_speech_score > 0.5 THEN 'hate' ELSE 'neutral' END AS tone, target, text
+FROM melt WHERE hate_speech_score IS NOT NULL"""
+_BUILD_EXTRA = dict(_TARGETS_SQL, **_MELT_SQL, allrows=_ALL_ROWS, surveyrows=_SURVEY_ROWS)
+
+
+def _build(spark, sf_dir):
+    survey = clean.score_threshold_split(taxonomy.indicator_melt_join(
+        bindings.wide(spark, sf_dir), bindings.wide_columns(), bindings.indicator_name,
+        ["vec_id", "text", "hate_speech_score"]))
+    return corpus.build_corpus(consensus.consensus_targets(_flat_posts(spark, sf_dir)), _prompt_lines(spark, sf_dir), survey)
+
+
+@register("setup_data", with_ctes(f"""
+SELECT DISTINCT tone, target, text FROM (
+  SELECT a.tone, t.target, {strip_sql('a.text')} AS text FROM allrows a JOIN taxonomy t ON a.raw = t.raw
+  UNION ALL SELECT tone, target, {strip_sql('text')} FROM surveyrows) WHERE text <> ''""",
+                                  "votes", "lines", "taxonomy", extra=_BUILD_EXTRA))
+def setup_data_q(spark, sf_dir):
+    """The corpus build as one job: three sources cleaned, mapped, stripped, deduplicated per
+    (tone, group), written by folder and read back."""
+    path = scratch_path(spark, "setup")
+    files.write_corpus(_build(spark, sf_dir)[0], path)
+    return files.read_corpus(spark, path).select("tone", "target", "text")
+
+
+@register("setup_quarantine", with_ctes("""
+SELECT a.origin, a.raw, CAST(count(*) AS BIGINT) AS n FROM allrows a
+WHERE a.raw NOT IN (SELECT raw FROM taxonomy) GROUP BY a.origin, a.raw""", "votes", "lines", "taxonomy", extra=_BUILD_EXTRA))
+def setup_quarantine_q(spark, sf_dir):
+    """Rows of the corpus build whose raw name has no group, counted by source and name."""
+    return _build(spark, sf_dir)[1]
+
+
 # --------------------------------------------------------------------------- C4, D5, D6, F4
 
 _FILES = {"files": """

@@ -115,12 +115,12 @@ def metrics_log_q(spark, sf_dir):
 
 
 @register("read_scoring_input", with_ctes(f"""
-SELECT 'txt' AS fmt, {strip_sql('l')} AS text FROM (SELECT unnest(string_split(text, chr(10))) AS l FROM corpus)
-UNION ALL SELECT 'csv' AS fmt, text FROM corpus""", "corpus"))
+SELECT 'txt' AS fmt, {strip_sql('l')} AS text FROM (SELECT unnest(string_split(text, chr(10))) AS l FROM documents)
+UNION ALL SELECT 'csv' AS fmt, text FROM documents"""))
 def read_scoring_input_q(spark, sf_dir):
     """A10: sentences read by extension: ``.txt`` stripped lines, ``.csv`` first column."""
     base = scratch_path(spark, "scoring-input")
-    c = bindings.corpus(spark, sf_dir).select("text")
+    c = bindings.table(spark, sf_dir, "documents").select("text")
     c.write.mode("overwrite").text(f"{base}/input.txt")
     files.write_csv(c, f"{base}/input.csv", header=False)
     txt = files.read_scoring_input(spark, f"{base}/input.txt").withColumn("fmt", F.lit("txt"))

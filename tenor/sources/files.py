@@ -170,9 +170,17 @@ def read_scoring_input(spark: SparkSession, path: str) -> DataFrame:
 # --------------------------------------------------------------------------- A5, A7, A8 parquet / JSON
 
 
+FOLDER_ROWS = 1_000_000
+
+
 def write_corpus(df: DataFrame, path: str) -> None:
-    """Corpus partitioned by tone and group (one folder per original file)."""
-    df.write.mode("overwrite").partitionBy("tone", "target").parquet(path)
+    """Corpus partitioned by tone and group (one folder per original file). Rows are
+    dealt by folder and a salt, a salt for every ``FOLDER_ROWS`` rows of the largest
+    folder (counted), so a task writes few folders and a hot folder many files."""
+    largest = df.groupBy("tone", "target").count().agg(F.max("count")).first()[0] or 0
+    salt = F.pmod(F.xxhash64(*[c for c in df.columns if c not in ("tone", "target")]), F.lit(1 + largest // FOLDER_ROWS))
+    dealt = df.withColumn("_salt", salt).repartition("tone", "target", "_salt").drop("_salt")
+    dealt.write.mode("overwrite").partitionBy("tone", "target").parquet(path)
 
 
 def read_corpus(spark: SparkSession, path: str, tone: str | None = None, target: str | None = None) -> DataFrame:

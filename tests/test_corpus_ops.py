@@ -159,7 +159,10 @@ def test_tokens_and_encoding(spark):
     df = spark.createDataFrame([("Hello, World!  It's-fine",)], "t string")
     tk = df.select(T.tokens("t").alias("k")).first()["k"]
     assert tk == ["hello", "world", "it", "s", "fine"]
-    enc = df.select(T.encode_pad(T.tokens("t"), max_len=8).alias("e")).first()["e"]
+    ids = df.select(T.token_ids(T.tokens("t")).alias("i"))
+    enc = ids.select(T.encode_windows("i", max_len=8).alias("e")).first()["e"]
+    assert len(enc) == 1
+    enc = enc[0]
     assert len(enc["input_ids"]) == 8 and enc["input_ids"][5:] == [0, 0, 0]
     assert enc["attention_mask"] == [1] * 5 + [0] * 3 and all(0 < i < T.VOCAB_SIZE for i in enc["input_ids"][:5])
 
