@@ -14,16 +14,17 @@ at T = 1 and an approximation of the T^2-scaled KL term for T != 1.
 
 from __future__ import annotations
 
-from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import HashingTF, NGram
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tenor import vocab
 from tenor.functions import probs
 from tenor.functions.text import tokens
-from tenor.operators import labels, metrics, sampling
+from tenor.operators import labels, metrics, routing, sampling
+from tenor.session import shared_dir
 
 TEACHER_FEATURES = 1 << 16
 STUDENT_FEATURES = 1 << 10
@@ -133,6 +134,42 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
+class BlockModel:
+    """The models of :func:`fit_blocks` as one: ``transform`` adds ``prediction`` /
+    ``probability`` to rows carrying the block and features columns."""
+
+    def __init__(self, spark: SparkSession, block_col: str, n_blocks: int, num_features: int, features_col: str = "features"):
+        from pyspark.ml.feature import Interaction, OneHotEncoder, VectorAssembler
+        self.shape, self.model = (block_col, n_blocks, num_features, features_col), None
+        self._meta = {"ml_attr": {"attrs": {"numeric": [{"idx": i, "name": f"h{i}"} for i in range(num_features)]},
+                                  "num_attrs": num_features}}
+        self._enc = OneHotEncoder(inputCols=[block_col], outputCols=["_blk"], dropLast=False, handleInvalid="keep").fit(
+            spark.createDataFrame([(i,) for i in range(n_blocks)], f"{block_col} int"))
+        self._inter = Interaction(inputCols=["_blk", "_feat"], outputCol="_x")
+        self._assemble = VectorAssembler(inputCols=["_x", "_blk"], outputCol="_block_features")
+
+    def blockify(self, df: DataFrame) -> DataFrame:
+        df = df.withColumn("_feat", F.col(self.shape[3]).alias("_feat", metadata=self._meta))
+        return self._assemble.transform(self._inter.transform(self._enc.transform(df)))
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        return self.model.transform(self.blockify(df))
+
+    def save(self, path: str) -> None:
+        """Under the shared folder: the coefficients and the shape."""
+        spark = SparkSession.active()
+        self.model.write().overwrite().save(f"{path}/coefficients")
+        spark.createDataFrame([self.shape], "block_col string, n_blocks int, num_features int, features_col string").write.mode(
+            "overwrite").json(f"{path}/shape")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> BlockModel:
+        schema = "block_col string, n_blocks int, num_features int, features_col string"
+        out = cls(spark, *spark.read.schema(schema).json(f"{path}/shape").first())
+        out.model = LogisticRegressionModel.load(f"{path}/coefficients")
+        return out
+
+
 def fit_blocks(train: DataFrame, block_col: str, n_blocks: int, weight_col: str, label_col: str,
                num_features: int, max_iter: int = 30, reg: float = 0.01, features_col: str = "features"):
     """Fit ``n_blocks`` independent weighted binary logistic regressions as ONE fit.
@@ -144,54 +181,45 @@ def fit_blocks(train: DataFrame, block_col: str, n_blocks: int, weight_col: str,
     block's model (the bias is regularised like any coefficient). One L-BFGS run -
     one distributed aggregation per iteration - replaces ``n_blocks`` fits, and a
     block holding a third of the rows concentrates in no task.
-    Returns a function that adds ``prediction`` / ``probability`` to rows carrying
-    ``block_col`` and ``features_col``.
+    Returns a :class:`BlockModel`: a block without training rows keeps zero
+    coefficients, so it answers probability 0.5.
     """
-    from pyspark.ml.feature import Interaction, OneHotEncoder, VectorAssembler
-    spark = train.sparkSession
-    meta = {"ml_attr": {"attrs": {"numeric": [{"idx": i, "name": f"h{i}"} for i in range(num_features)]},
-                        "num_attrs": num_features}}
-    enc = OneHotEncoder(inputCols=[block_col], outputCols=["_blk"], dropLast=False, handleInvalid="keep").fit(
-        spark.createDataFrame([(i,) for i in range(n_blocks)], f"{block_col} int"))
-    inter = Interaction(inputCols=["_blk", "_feat"], outputCol="_x")
-    assemble = VectorAssembler(inputCols=["_x", "_blk"], outputCol="_block_features")
-
-    def blockify(df: DataFrame) -> DataFrame:
-        df = df.withColumn("_feat", F.col(features_col).alias("_feat", metadata=meta))
-        return assemble.transform(inter.transform(enc.transform(df)))
-
+    blocks = BlockModel(train.sparkSession, block_col, n_blocks, num_features, features_col)
     # at most n_blocks rows: partial sums per task, then a bounded side of the join
     totals = train.groupBy(block_col).agg(F.sum(weight_col).alias("_total"))
     weighted = train.join(F.broadcast(totals), block_col).withColumn("_wn", F.col(weight_col) / F.col("_total"))
-    data = spread(blockify(weighted).select("_block_features", label_col, "_wn")).persist()
+    data = spread(blocks.blockify(weighted).select("_block_features", label_col, "_wn")).persist()
     lr = LogisticRegression(maxIter=max_iter, regParam=reg / n_blocks, standardization=False, fitIntercept=False,
                             featuresCol="_block_features", labelCol=label_col, weightCol="_wn")
-    model = lr.fit(data)
+    blocks.model = lr.fit(data)
     data.unpersist()
-    return lambda df: model.transform(blockify(df))
+    return blocks
 
 
 def fit_students(corpus: DataFrame, teacher, alpha: float = vocab.DISTILL_ALPHA,
                  temperature: float = vocab.DISTILL_TEMPERATURE, max_iter: int = 30, reg: float = 0.01):
     """I4: one student per group on teacher soft labels, all groups in one
-    block-separable fit (:func:`fit_blocks`). Groups without rows or with a single
-    label are reported, not fitted."""
+    block-separable fit (:func:`fit_blocks`); returns (students or None, report). Groups
+    without rows or with a single label are reported, not fitted. The labelled frame is
+    stored once (shared folder): sizes, fit and test read it."""
     spark = corpus.sparkSession
     data = student_data(corpus)
     soft = soft_labels(teacher, data, temperature)
     ids = F.broadcast(vocab.groups_df(spark))
+    shared_dir(spark)
+    soft = soft.checkpoint()
     frame = featurize(doubled(soft, {"w": alpha}), STUDENT_FEATURES).join(ids, "target")
     sizes = {(r["target"], r["split"]): (r["n"], r["n1"]) for r in
              frame.where(F.col("dlabel") == 1).groupBy("target", "split")
              .agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("n1")).collect()}  # at most 22 rows
     fitted = [g for g in vocab.GROUPS
               if sizes.get((g, "train"), (0, 0))[0] > 0 and sizes[(g, "train")][1] not in (0, sizes[(g, "train")][0])]
-    ev = {}
+    ev, students = {}, None
     if fitted:
-        predict = fit_blocks(frame.where(F.col("target").isin(fitted) & (F.col("split") == "train")),
+        predict = students = fit_blocks(frame.where(F.col("target").isin(fitted) & (F.col("split") == "train")),
                              "target_id", len(vocab.GROUPS), "w", "dlabel", STUDENT_FEATURES, max_iter, reg)
         test = frame.where(F.col("target").isin(fitted) & (F.col("split") == "test") & (F.col("dlabel") == 1))
-        pred = predict(test).select("target", F.col("label").alias("gold"),
+        pred = predict.transform(test).select("target", F.col("label").alias("gold"),
                                     F.col("prediction").cast("int").alias("prediction"))
         ev = {r["target"]: r for r in metrics.binary_metrics_by(pred, "target").collect()}
     rows = []
@@ -202,8 +230,23 @@ def fit_students(corpus: DataFrame, teacher, alpha: float = vocab.DISTILL_ALPHA,
             rows.append((g, n_tr, n_te, float(ev[g]["accuracy"]), float(ev[g]["f1"]), True))
         else:
             rows.append((g, n_tr, n_te, None, None, g in fitted))
-    return spark.createDataFrame(rows, "target string, n_train long, n_test long, accuracy double, f1 double, "
-                                       "fitted boolean")
+    return students, spark.createDataFrame(rows, "target string, n_train long, n_test long, accuracy double, "
+                                                 "f1 double, fitted boolean")
+
+
+def score_fitted(docs: DataFrame, router, students: BlockModel, key: str = "doc_id", threshold: float = 0.5) -> DataFrame:
+    """(key, n_groups, weight, score, prediction): documents routed by the fitted router (E3, E4),
+    each retained group's student asked, the answers mixed by weight (D7). A document is
+    at most as many rows as the router retains groups."""
+    routed = router.transform(featurize(docs.select(key, "text"), ROUTER_FEATURES)).select(
+        key, "text", vector_to_array("probability").alias("_p"))
+    kept = routing.add_routing(routed, "_p", "kept").select(key, "text", "kept")
+    rows = featurize(kept, STUDENT_FEATURES).select(key, "features", F.explode("kept").alias("k")).select(
+        key, "features", F.col("k.idx").cast("int").alias("target_id"), F.col("k.weight").alias("_w"))
+    asked = students.transform(rows).select(key, "_w", _p1(rows).alias("_p1"))
+    score = F.sum(F.col("_w") * F.col("_p1"))
+    return asked.groupBy(key).agg(F.count(F.lit(1)).alias("n_groups"), F.sum("_w").alias("weight"), score.alias("score"),
+                                  (score > threshold).cast("int").alias("prediction"))
 
 
 def router_data(group_ids: DataFrame, inverse: bool = False, disjoint: bool = False) -> DataFrame:
@@ -257,7 +300,7 @@ def sweep(corpus: DataFrame, teacher, group: str = vocab.SWEEP_GROUP, alphas=tup
         predict = fit_blocks(per_cfg, "config_id", len(alphas), "w", "dlabel", STUDENT_FEATURES, max_iter, reg)
         test_cfg = test.select("features", "label", F.explode(F.sequence(F.lit(0), F.lit(len(alphas) - 1)))
                                .alias("config_id"))
-        pred = predict(test_cfg).select("config_id", F.col("label").alias("gold"),
+        pred = predict.transform(test_cfg).select("config_id", F.col("label").alias("gold"),
                                         F.col("prediction").cast("int").alias("prediction"))
         ev = {r["config_id"]: r for r in metrics.binary_metrics_by(pred, "config_id").collect()}
         for i, a in enumerate(alphas):

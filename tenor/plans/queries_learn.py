@@ -12,6 +12,7 @@ from tenor import vocab
 from tenor.operators import clean, naive_bayes
 from tenor.plans import bindings
 from tenor.plans.contract import r6, register
+from tenor.session import scratch_path
 from tenor.plans.oracle import hash_sql, tokens_sql, with_ctes
 
 
@@ -156,7 +157,7 @@ def fit_students_q(spark, sf_dir):
     from tenor.plans import models
     c = bindings.corpus(spark, sf_dir)
     teacher, _ = models.fit_teacher(c)
-    return models.fit_students(c, teacher).select(
+    return models.fit_students(c, teacher)[1].select(
         "target", "n_train", "n_test", "fitted", F.coalesce(F.col("accuracy").between(0, 1), F.lit(False)).alias("scored"))
 
 
@@ -171,6 +172,26 @@ def fit_router_q(spark, sf_dir):
     return report.select("n_train", "n_test", F.lit(models.learns(model)).alias("learns"))
 
 
+@register("score_fitted", """
+SELECT doc_id, TRUE AS routed, TRUE AS weighted, TRUE AS scored FROM documents""")
+def score_fitted_q(spark, sf_dir):
+    """Every document scored by the fitted router and students, saved and loaded first: one to
+    three groups, weights that sum to 1, a mixture between 0 and 1."""
+    from pyspark.ml.classification import LogisticRegressionModel
+
+    from tenor.operators import corpus as corpus_ops
+    from tenor.plans import models
+    c, path = bindings.corpus(spark, sf_dir), scratch_path(spark, "fitted")
+    teacher, _ = models.fit_teacher(c)
+    models.fit_students(c, teacher)[0].save(f"{path}/students")
+    router, _ = models.fit_router(corpus_ops.gather_group_ids(bindings.lines(spark, sf_dir)))
+    router.write().overwrite().save(f"{path}/router")
+    out = models.score_fitted(bindings.table(spark, sf_dir, "documents"), LogisticRegressionModel.load(f"{path}/router"),
+                              models.BlockModel.load(spark, f"{path}/students"))
+    return out.select("doc_id", F.col("n_groups").between(1, 3).alias("routed"),
+                      (F.abs(F.col("weight") - 1) < 1e-9).alias("weighted"), F.col("score").between(0, 1).alias("scored"))
+
+
 _ALPHAS = ", ".join(f"({i}, CAST({a} AS DOUBLE))" for i, a in enumerate(vocab.SWEEP_ALPHAS))
 
 

@@ -10,6 +10,8 @@ from tenor import vocab
 from tenor.operators import naive_bayes
 from tenor.plans import bindings, models
 
+from tenor.session import scratch_path
+
 from conftest import SF_SMALL
 
 TOK = re.compile(r"[\s!\"#$%&'()*+,\-./:;<=>?@\[\\\]^_`{|}~]+")
@@ -71,7 +73,7 @@ def test_fits_run_and_report(spark):
     teacher, rep = models.fit_teacher(c)
     r = rep.first()
     assert r["n_train"] > 0 and r["n_test"] > 0 and 0.0 <= r["accuracy"] <= 1.0
-    st = models.fit_students(c, teacher).collect()
+    st = models.fit_students(c, teacher)[1].collect()
     assert len(st) == len(vocab.GROUPS)
     assert any(x["fitted"] for x in st)
 
@@ -106,12 +108,20 @@ def test_fits_beat_the_majority(spark):
     c = spark.createDataFrame(rows, "doc_id long, tone string, target string, text string")
     model, report = models.fit_teacher(c)
     assert report.first()["accuracy"] > 0.9 and models.learns(model)
-    students = {r["target"]: r for r in models.fit_students(c, model).collect()}
+    fitted, students = models.fit_students(c, model)
+    students = {r["target"]: r for r in students.collect()}
     assert all(students[g]["fitted"] and students[g]["accuracy"] > 0.8 for g in ("women", "jews", "asian"))
     assert not students["arab"]["fitted"]
     ids = c.join(vocab.groups_df(spark), "target").select("target_id", "text")
     router, rep = models.fit_router(ids)
     assert rep.first()["accuracy"] > 0.6 and models.learns(router)  # three equal classes
+    path = scratch_path(spark, "t-students")
+    fitted.save(path)
+    score = lambda s: {r["doc_id"]: (r["n_groups"], r["score"], r["prediction"])
+                       for r in models.score_fitted(c, router, s).collect()}
+    scored = score(fitted)
+    assert scored == score(models.BlockModel.load(spark, path)) and len(scored) == 600
+    assert sum(scored[i][2] == (i // 3) % 2 for i in range(600)) > 500
     sweep = models.sweep(c, model, group="women").collect()
     assert len(sweep) == len(vocab.SWEEP_ALPHAS) and all(r["accuracy"] > 0.8 for r in sweep)
     rounds = models.evaluate_per_round(c, 3).orderBy("epoch").collect()
@@ -150,7 +160,7 @@ def test_block_fit_equals_separate_fits(spark):
     df = spark.createDataFrame(pts, ["block", "label", "features", "w"])
     reg = 0.1
     predict = models.fit_blocks(df, "block", 2, "w", "label", 2, max_iter=200, reg=reg)
-    got = predict(df).select("block", "features", F.get(vector_to_array("probability"), 1).alias("p")).collect()
+    got = predict.transform(df).select("block", "features", F.get(vector_to_array("probability"), 1).alias("p")).collect()
     for b in (0, 1):
         rows_b = [p for p in pts if p[0] == b]
         X = np.array([list(p[2]) + [1.0] for p in rows_b])
