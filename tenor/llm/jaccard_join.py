@@ -12,12 +12,14 @@ distinct 3-word shingles (both numbers are parameters). Steps:
    and goes no further. Shingles of frequency one are left out of the prefix.
 3. Documents with equal sets are one class. Classes with identical prefix and
    size are one *group*; only groups enter the posting lists.
-4. Stars: in each list every group is paired with the list's pivot group; size
-   and sharing bounds drop pairs; pairs are expanded to members (each against
-   the pivot's member) and verified on the whole sets.
+4. Stars: in each list every group is paired with the list's pivot group; size and
+   position bounds drop pairs; pairs are expanded to members (each against the
+   pivot's member) and verified on the whole sets, keeping the exact overlaps.
 5. Rest: lists that still hold two or more components pair classes of different
-   components (same bounds), minus pairs already verified. Pairs inside one component
-   cannot change the result, so groups of near copies are never expanded into all pairs.
+   components under the same bounds and one more: two classes that overlap one pivot
+   share at most what both share with it plus what neither does. Pairs already
+   verified are left out. Pairs inside one component cannot change the result, so
+   groups of near copies are never expanded into all pairs.
 
 Every pair of classes that links is either verified or lies inside a
 component that verified links connect already. Texts without words, null
@@ -132,20 +134,25 @@ def describe(docs: DataFrame, k: int, percent: int, key: str, text: str) -> Data
 
 
 def _may_link(percent: int, na: str, ua: str, nb: str, ub: str) -> Column:
-    """Size and sharing bounds a linked pair meets."""
+    """Size and sharing bounds a linked pair meets. With the position of a token in place of
+    ``u``: what the pair still can share if that token is the first they share."""
     n1, n2 = F.col(na).cast("long"), F.col(nb).cast("long")
     shared = F.least(n1 - F.col(ua), n2 - F.col(ub))
     return ((100 * F.least(n1, n2) >= percent * F.greatest(n1, n2))
             & ((100 + percent) * shared >= percent * (n1 + n2)))
 
 
-def _verify(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) whose whole sets reach the threshold."""
+def _overlaps(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(a, b, na, nb, c): the exact overlap of the whole sets of every pair."""
     sets = nodes.select("cid", "toks")
-    both = (pairs.join(sets.select(F.col("cid").alias("a"), F.col("toks").alias("_ta")), "a")
+    both = (pairs.select("a", "b").join(sets.select(F.col("cid").alias("a"), F.col("toks").alias("_ta")), "a")
             .join(sets.select(F.col("cid").alias("b"), F.col("toks").alias("_tb")), "b"))
-    both = both.withColumn("_c", F.size(F.array_intersect("_ta", "_tb")))
-    return both.where(100 * F.col("_c") >= percent * (F.size("_ta") + F.size("_tb") - F.col("_c"))).select("a", "b")
+    return both.select("a", "b", F.size("_ta").alias("na"), F.size("_tb").alias("nb"),
+                       F.size(F.array_intersect("_ta", "_tb")).alias("c"))
+
+
+def _linked(overlaps: DataFrame, percent: int) -> DataFrame:
+    return overlaps.where(100 * F.col("c") >= percent * (F.col("na") + F.col("nb") - F.col("c"))).select("a", "b")
 
 
 def links(nodes: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -153,38 +160,43 @@ def links(nodes: DataFrame, percent: int = PERCENT) -> DataFrame:
     (cid, n, u, gid, prefix, toks), one stored row per class that may link."""
     slim = nodes.select("cid", "gid", "n", "u")
     groups = blocks.stored(nodes.groupBy("gid").agg(
-        F.min(F.struct("u", "cid")).alias("_p"), F.first("n").alias("n"), F.first("prefix").alias("prefix"),
-        F.count(F.lit(1)).alias("members"))
-        .select("gid", "n", F.col("_p.u").alias("u"), F.col("_p.cid").alias("pivot"), "members", "prefix"), "groups")
-    post = blocks.stored(groups.select(F.explode("prefix").alias("t"), "gid", "n", "u"), "postings")
-    lists = blocks.stored(post.groupBy("t").agg(F.min(F.struct("u", "gid")).alias("_p"), F.count(F.lit(1)).alias("_n"))
-                          .where(F.col("_n") > 1).select("t", F.col("_p.gid").alias("pgid")), "lists")
-    # a group against the pivots of its lists, and against its own pivot member
-    star = (post.join(lists, "t").where(F.col("gid") != F.col("pgid")).select("gid", "pgid").distinct()
+        F.min("cid").alias("pivot"), F.first("n").alias("n"), F.first("u").alias("u"), F.first("prefix").alias("prefix"),
+        F.count(F.lit(1)).alias("members")), "groups")  # equal size and prefix: equal u
+    post = blocks.stored(groups.select("gid", "n", "u", F.posexplode("prefix").alias("i", "t"))
+                         .withColumn("i", F.col("i") + F.col("u")), "postings")
+    lists = blocks.stored(post.groupBy("t").agg(F.min(F.struct("u", "gid", "n", "i")).alias("p"), F.count(F.lit(1)).alias("_n"))
+                          .where(F.col("_n") > 1).select("t", F.col("p.gid").alias("pgid"), F.col("p.n").alias("pn"),
+                                                         F.col("p.i").alias("pi")), "lists")
+    # a group against the pivots of its lists, and its members against its own pivot
+    star = (post.join(lists, "t").where((F.col("gid") != F.col("pgid")) & _may_link(percent, "n", "i", "pn", "pi"))
+            .select("gid", "pgid").distinct()
             .unionByName(groups.where(F.col("members") > 1).select("gid", F.col("gid").alias("pgid"))))
-    heads = groups.select(F.col("gid").alias("pgid"), F.col("pivot").alias("a")).join(
-        slim.select(F.col("cid").alias("a"), F.col("n").alias("na"), F.col("u").alias("ua")), "a")
-    pairs = (star.join(heads, "pgid").join(slim.select("gid", F.col("cid").alias("b"), F.col("n").alias("nb"),
-                                                       F.col("u").alias("ub")), "gid")
-             .where((F.col("a") != F.col("b")) & _may_link(percent, "na", "ua", "nb", "ub"))
-             .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    pairs = blocks.stored(pairs, "pairs")
-    found = blocks.stored(_verify(pairs, nodes, percent), "links")
+    heads = groups.select(F.col("gid").alias("pgid"), F.col("pivot").alias("a"))
+    pairs = (star.join(heads, "pgid").join(slim.select("gid", F.col("cid").alias("b")), "gid")
+             .where(F.col("a") != F.col("b")).select("a", "b").distinct())
+    stars = blocks.stored(_overlaps(pairs, nodes), "stars")
+    found = blocks.stored(_linked(stars, percent), "links")
     label = components(found)
-    member = (slim.join(label.withColumnRenamed("id", "cid"), "cid", "left")
-              .withColumn("comp", F.coalesce("comp", "cid")))
-    wide = blocks.stored(post.select("t", "gid").join(member, "gid").drop("gid"), "members")
+    # the pivot a class overlaps most, and by how much; others are their own
+    near = stars.groupBy("b").agg(F.max(F.struct("c", "a")).alias("_m")).select(
+        F.col("b").alias("cid"), F.col("_m.a").alias("pv"), F.col("_m.c").alias("pc"))
+    member = (slim.join(label.withColumnRenamed("id", "cid"), "cid", "left").join(near, "cid", "left")
+              .select("cid", "gid", F.coalesce("comp", "cid").alias("comp"), F.coalesce("pv", "cid").alias("pv"),
+                      F.coalesce("pc", "n").alias("pc")))
+    wide = blocks.stored(post.select("t", "gid", "n", "i").join(member, "gid").drop("gid"), "members")
     mixed = wide.groupBy("t").agg(F.min("comp").alias("_lo"), F.max("comp").alias("_hi")).where(
         F.col("_lo") != F.col("_hi")).select("t")
     wide = blocks.stored(wide.join(mixed, "t"), "mixed")
-    left = wide.select("t", F.col("cid").alias("a"), F.col("n").alias("na"), F.col("u").alias("ua"),
-                       F.col("comp").alias("ca"))
-    right = wide.select("t", F.col("cid").alias("b"), F.col("n").alias("nb"), F.col("u").alias("ub"),
-                        F.col("comp").alias("cb"))
-    rest = left.join(right, (left["t"] == right["t"]) & (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb"))
-                     & _may_link(percent, "na", "ua", "nb", "ub")).select("a", "b").distinct()
-    rest = rest.join(pairs, ["a", "b"], "left_anti")
-    return found.unionByName(_verify(rest, nodes, percent))
+    side = lambda x: wide.select(F.col("t").alias(f"t{x}"), *[F.col(c).alias(f"{c}{x}") for c in ("cid", "n", "i", "comp", "pv", "pc")])
+    # two sets share at most what both share with a third, and what neither shares with it
+    over_pivot = F.least("pca", "pcb") + F.least(F.col("na") - F.col("pca"), F.col("nb") - F.col("pcb"))
+    may = (F.col("pva") != F.col("pvb")) | ((100 + percent) * over_pivot.cast("long") >= percent * (F.col("na") + F.col("nb")).cast("long"))
+    rest = (side("a").join(side("b"), (F.col("ta") == F.col("tb")) & (F.col("cida") < F.col("cidb"))
+                           & (F.col("compa") != F.col("compb")) & _may_link(percent, "na", "ia", "nb", "ib") & may)
+            .select(F.col("cida").alias("a"), F.col("cidb").alias("b")).distinct())
+    known = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    rest = rest.join(known, ["a", "b"], "left_anti")
+    return found.unionByName(_linked(_overlaps(rest, nodes), percent))
 
 
 def jaccard_components(docs: DataFrame, k: int = WORDS, percent: int = PERCENT, key: str = "doc_id",

@@ -86,12 +86,12 @@ def test_large_family_is_not_expanded(spark):
         w[rng.randrange(120)] = f"e{i}"
         rows.append((i, " ".join(w)))
     seen = []
-    real = jaccard_join._verify
-    jaccard_join._verify = lambda pairs, nodes, percent: seen.append(pairs.count()) or real(pairs, nodes, percent)
+    real = jaccard_join._overlaps
+    jaccard_join._overlaps = lambda pairs, nodes: seen.append(pairs.count()) or real(pairs, nodes)
     try:
         got = jaccard_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     finally:
-        jaccard_join._verify = real
+        jaccard_join._overlaps = real
     assert {r.component_id for r in got} == {0} and sum(seen) < 300 * 20
 
 
