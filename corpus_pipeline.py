@@ -16,8 +16,8 @@ from tenor.llm.blocks import stored
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents the quality rules keep."""
-    return quality_lines.quality_rules(docs).where("kept").select(*docs.columns)
+    """Documents the quality rules keep, without the lines these remove."""
+    return quality_lines.clean(docs).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

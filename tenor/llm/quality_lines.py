@@ -4,7 +4,8 @@ Base rules are row-local. The method's verdict: lines are normalised
 (lower-cased, digit runs as ``0``, white space collapsed) and hashed; for every
 host (``source``) the distinct documents holding a line are counted; a line
 above the host's limit is removed, and a document left with too small a share
-of its line words is *depleted* and rejected.
+of its line words is *depleted* and rejected. ``clean_text`` is the text without its
+removed lines: every copy of them goes, all other lines stay as they are and in order.
 
 Distinct documents of a host are distinct texts: exact copies count once, so a
 copied document does not make its own lines frequent. Everything after the
@@ -89,8 +90,9 @@ def normalise(line: Column) -> Column:
 def quality_rules(docs: DataFrame, text: str = "text", host: str = "source", min_docs: int = MIN_LINE_DOCS,
                   share: float = LINE_DOC_SHARE, left_percent: int = LEFT_PERCENT) -> DataFrame:
     """The input's columns plus the base counts, ``line_words`` (words of the distinct
-    lines), ``removed_words`` (those in removed lines), ``base_failed`` and ``kept``."""
-    own = [c for c in docs.columns if c not in OUTPUT]
+    lines), ``removed_words`` (those in removed lines), ``base_failed``, ``kept`` and
+    ``clean_text`` (null for a null text)."""
+    own = [c for c in docs.columns if c not in (*OUTPUT, "clean_text")]
     docs = docs.select(*own)
     t = F.coalesce(F.col(text), F.lit(""))
     rows = base_rules(docs, text)
@@ -111,17 +113,29 @@ def quality_rules(docs: DataFrame, text: str = "text", host: str = "source", min
                 .where((F.col("_in") > min_docs) & (F.col("_most") > 0)).join(sizes, "_host")
                 .where(F.col("_in") > F.lit(share) * F.col("_docs")).select("_host", "_hash"))
     removed = (unique.join(frequent, ["_host", "_hash"]).groupBy("_host", "_doc")
-               .agg(F.sum("_words").cast("long").alias("removed_words")))
+               .agg(F.sum("_words").cast("long").alias("removed_words"), F.collect_list("_hash").alias("_cut")))
     total = F.aggregate("_n", F.lit(0).cast("long"), lambda acc, line: acc + line_words(line))
     out = rows.withColumn("line_words", total).drop("_l", "_n").join(removed, ["_host", "_doc"], "left")
     out = out.withColumn("removed_words", F.coalesce("removed_words", F.lit(0).cast("long")))
     depleted = 100 * (F.col("line_words") - F.col("removed_words")) < left_percent * F.col("line_words")
-    return out.withColumn("kept", ~F.col("base_failed") & ~depleted).select(*own, *OUTPUT)
+    left = F.filter(F.split(F.col(text), "\n"), lambda line: ~F.array_contains("_cut", F.xxhash64(normalise(line))))
+    out = out.withColumn("clean_text", F.when(F.col("_cut").isNull(), F.col(text)).otherwise(F.array_join(left, "\n")))
+    return out.withColumn("kept", ~F.col("base_failed") & ~depleted).select(*own, *OUTPUT, "clean_text")
+
+
+def clean(docs: DataFrame, text: str = "text", size: str = "n_chars", **options) -> DataFrame:
+    """The kept documents without their removed lines, in the input's columns; ``size``, if
+    there, follows a text that lost lines."""
+    rules = quality_rules(docs.withColumns({f"_in_{c}": F.col(c) for c in docs.columns}), text, **options).where("kept")
+    out = {c: F.col(f"_in_{c}") for c in docs.columns} | {text: F.col("clean_text")}
+    if size in docs.columns:
+        out[size] = F.when(F.col("removed_words") > 0, F.length("clean_text").cast(docs.schema[size].dataType)).otherwise(out[size])
+    return rules.select(*[c.alias(name) for name, c in out.items()])
 
 
 def digest(docs: DataFrame) -> DataFrame:
     slim = docs.select("doc_id", "text", "source")
-    return quality_rules(slim).drop("text", "source")
+    return quality_rules(slim).drop("text", "source", "clean_text")
 
 
 ORACLE = f"""
