@@ -21,14 +21,14 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of every group of linked documents (5-word shingles, similarity 0.8)."""
+    """One row of every group of linked rows (5-word shingles, similarity 0.8)."""
     return jaccard_join.keep_one(docs, k=5, percent=80).select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
+    """Rows that hold no benchmark item."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return string_tiling.decontaminate(docs, items).select(*docs.columns)
+    return string_tiling.decontaminate_rows(docs, items).select(*docs.columns)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -16,7 +16,7 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tenor.session import scratch_path
@@ -31,6 +31,11 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def row_hash(docs: DataFrame) -> Column:
+    """One key per distinct row, from all its columns; never null. Equal rows share it."""
+    return F.xxhash64(*[x for c in docs.columns for x in (F.col(c), F.col(c).isNull())])
+
+
 def block_count(docs: DataFrame, text: str = "text", block_bytes: int | None = None) -> int:
     total = docs.agg(F.sum(F.octet_length(text).cast("long"))).first()[0] or 0
     return max(1, -(-int(total) // (block_bytes or BLOCK_BYTES)))

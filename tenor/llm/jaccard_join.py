@@ -217,11 +217,17 @@ def jaccard_components(docs: DataFrame, k: int = WORDS, percent: int = PERCENT,
 
 def keep_one(docs: DataFrame, k: int = WORDS, percent: int = PERCENT, key: str = "doc_id",
              text: str = "text") -> DataFrame:
-    """The documents that lead their component (smallest doc_id); documents with an empty
-    set or a null doc_id stay."""
-    comp = jaccard_components(docs, k, percent, key, text)
-    drop = comp.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias(key)).distinct()
-    return docs.join(drop, key, "left_anti")
+    """One row of every component: the smallest doc_id (null last), then the smallest hash of
+    the row, and one of equal rows. Rows with an empty set stay."""
+    rows = docs.withColumn("_row", blocks.row_hash(docs))
+    comp = (jaccard_components(rows, k, percent, "_row", text).where("n_shingles > 0")
+            .groupBy(F.col("doc_id").alias("_row")).agg(F.min("component_id").alias("_comp"), F.count(F.lit(1)).alias("_copies")))
+    named = blocks.stored(comp.join(rows.groupBy("_row").agg(F.min(key).alias("_key")), "_row"), "rows")
+    lead = named.groupBy("_comp").agg(F.min(F.struct(F.col("_key").isNull(), "_key", "_row")).alias("_lead")).select("_lead._row")
+    stay = rows.join(named.join(lead, "_row", "left_anti").select("_row"), "_row", "left_anti")
+    many = named.where("_copies > 1").select("_row")
+    once = stay.join(many, "_row", "left_semi").dropDuplicates(["_row"])
+    return stay.join(many, "_row", "left_anti").unionByName(once).select(*docs.columns)
 
 
 ORACLE = f"""

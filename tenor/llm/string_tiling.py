@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tenor.llm import textkit
-from tenor.llm.blocks import stored
+from tenor.llm.blocks import row_hash, stored
 
 MIN_MATCH = 5
 COVERAGE = 0.5
@@ -169,9 +169,11 @@ def tile(pattern: list[int], text: list[int], k: int) -> list[tuple[int, int, in
 
 
 def leaks(docs: DataFrame, items: DataFrame, k: int = MIN_MATCH, coverage: float = COVERAGE, bits: int = BITS,
-          key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text") -> DataFrame:
+          key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text",
+          copies: DataFrame | None = None) -> DataFrame:
     """(doc_id, item_id, item_words, covered_words, coverage, n_tiles, longest_tile) of every
-    document and item whose coverage reaches the threshold."""
+    document and item whose coverage reaches the threshold. ``copies``: (doc_id, copies) of the
+    keys whose rows are all equal and count as one of them."""
     spark = docs.sparkSession
     bench = stored(item_words(items, k, item_key, item_text), "items")
     shared = spark.sparkContext.broadcast(_bitmap(bench, bits))
@@ -188,6 +190,9 @@ def leaks(docs: DataFrame, items: DataFrame, k: int = MIN_MATCH, coverage: float
     # equal stretches of a document travel once, with their number
     words = runs.withColumn("_run", F.xxhash64("words")).groupBy("doc_id", "_run").agg(
         F.first("words").alias("words"), F.count(F.lit(1)).cast("int").alias("times"))
+    if copies is not None:
+        words = words.join(copies, "doc_id", "left").select(
+            "doc_id", "_run", "words", F.expr("cast(times div coalesce(copies, 1) as int)").alias("times"))
     work = (use.join(words, ["doc_id", "_run"]).groupBy("doc_id", "rid")
             .agg(F.sort_array(F.collect_list(F.struct("_run", "times", "words"))).alias("runs"))
             .join(bench.select("rid", "item_id", F.col("words").alias("item")), "rid"))
@@ -219,3 +224,10 @@ def decontaminate(docs: DataFrame, items: DataFrame, key: str = "doc_id", **opti
     """Documents without a leak (null doc_id stays)."""
     found = leaks(docs, items, key=key, **options).select(F.col("doc_id").alias(key)).distinct()
     return docs.join(found, key, "left_anti")
+
+
+def decontaminate_rows(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
+    """Rows without a leak, each judged by its own text, whatever its doc_id."""
+    rows = docs.withColumn("_row", row_hash(docs))
+    copies = (rows.groupBy(F.col("_row").alias("doc_id")).agg(F.count(F.lit(1)).alias("copies")).where("copies > 1"))
+    return decontaminate(rows, items, key="_row", copies=copies, **options).select(*docs.columns)
