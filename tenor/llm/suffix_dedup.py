@@ -6,9 +6,11 @@ How a corpus-wide suffix comparison is cut into bounded parts:
 * Every LENGTH-byte window has an *anchor*: its smallest GRAM-byte substring by
   hash (leftmost on ties). Equal windows have equal anchors at equal offsets.
   Neighbouring windows with one anchor form a *stretch* (at most 2 LENGTH - GRAM bytes).
-* Blocks send the distinct (anchor, stretch) hashes once each; the earliest
-  document that holds a stretch owns it. Equal stretches are thus collapsed before
-  any text moves: all windows of a stretch that is not the owner's start earlier there.
+* Blocks send the distinct (anchor, stretch) hashes once each, bucketed by the stretch;
+  the earliest document that holds a stretch owns it. Equal stretches are thus collapsed
+  before any text moves: all windows of a stretch that is not the owner's start earlier there.
+* A second exchange, by anchor, adds up the distinct stretches that the buckets counted
+  for it, so an anchor meets one number a bucket, however many stretches it has.
 * Owners' stretches whose anchor also occurs in a different stretch meet in a
   part (by anchor hash). There the suffix array over these texts, built by
   two-stage sorting, and its adjacent common prefixes give the equal windows;
@@ -60,7 +62,7 @@ class Prefixes:
 class Slice:
     """Stretches of consecutive documents: arrays anchor, stretch, lo, hi (window starts), doc."""
 
-    def __init__(self, raw: np.ndarray, offsets: np.ndarray, length: int, gram: int):
+    def __init__(self, raw: np.ndarray, offsets: np.ndarray, length: int, gram: int, anchors_only: bool = False):
         self.raw, self.offsets, self.length = raw, offsets, length
         n = len(raw)
         self.lo = self.hi = self.doc = np.empty(0, np.int64)
@@ -89,6 +91,8 @@ class Slice:
         self.lo, self.hi = start[first], start[np.append(first[1:], len(start)) - 1]
         place = place[first]
         self.anchor = grams[place]
+        if anchors_only:
+            return
         self.second = Prefixes(raw, _BASES[1])
         shape = ((self.hi - self.lo) << 16 | (place - self.lo)).astype(U)
         self.stretch = textkit.mix(self.second.of(self.lo, self.hi + length) + shape * U(_BASES[0]))
@@ -124,12 +128,24 @@ class Block:
         self.keyed = self.order[new]              # earliest stretch per distinct key, in key order
         self.key_of = np.empty(len(a), np.int64)  # distinct key of every stretch
         self.key_of[self.order] = np.cumsum(new) - 1
+        a, s = a[new], s[new]
+        self.by_stretch = np.lexsort((a, s))      # distinct keys in the order of the first exchange
+        self.anchor_of = np.unique(textkit.mix(a), return_inverse=True)[1]  # place in block_anchors
 
     def text(self, i: int, lo: int, hi: int) -> bytes:
         part = self.slices[self.slice[i]]
         return part.raw[lo:hi + part.length].tobytes()
 
 
+def block_anchors(table: pa.Table, length: int, gram: int) -> np.ndarray:
+    """The distinct anchors of a block. An anchor is a least hash, so small ones abound; they
+    are mixed again for even buckets."""
+    raw, offsets = textkit.buffers(table.column("text"))
+    parts = [Slice(raw[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo], length, gram, True).anchor
+             for lo, hi in textkit.slices(offsets)]
+    return np.unique(textkit.mix(np.concatenate([np.empty(0, U), *parts])))
+
+
 OWNER, CONTESTED, HOT = 1, 2, 4
 _PIECES = {"part": pa.int32(), "block": pa.int32(), "doc_id": pa.int64(), "row": pa.int32(), "slice": pa.int32(),
            "lo": pa.int64(), "text": pa.binary()}
@@ -165,35 +181,66 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot:
 
     def emit(table: pa.Table) -> pa.Table:
         b = Block(table, length, gram)
-        keys = b.anchor[b.keyed]
+        keyed = b.keyed[b.by_stretch]
+        keys = b.stretch[keyed]
         return blocks.pack(b.number, blocks.bucket_edges64(keys, n_blocks),
-                           {"anchors": keys, "stretches": b.stretch[b.keyed], "ids": b.ids[b.row[b.keyed]]})
+                           {"anchors": b.anchor[keyed], "stretches": keys, "ids": b.ids[b.row[keyed]]})
 
     def merge(table: pa.Table) -> pa.Table:
         a, sizes = blocks.unpack(table.column("anchors"), U)
         s, _ = blocks.unpack(table.column("stretches"), U)
         ids, _ = blocks.unpack(table.column("ids"), np.int64)
         block = np.repeat(table.column("block").to_numpy(), sizes)
-        order = np.lexsort((block, ids, s, a))
+        order = np.lexsort((block, ids, a, s))
         a, s = a[order], s[order]
-        other = np.ones(len(a), bool)
-        other[1:] = a[1:] != a[:-1]
-        new = other.copy()
-        new[1:] |= s[1:] != s[:-1]
-        group = np.cumsum(other) - 1
-        kinds = np.bincount(group, weights=new)[group] if len(group) else np.empty(0)
+        new = np.ones(len(a), bool)
+        new[1:] = (a[1:] != a[:-1]) | (s[1:] != s[:-1])
         flag = np.empty(len(a), np.uint8)
-        flag[order] = new * OWNER + (kinds > 1) * CONTESTED + (kinds > hot) * HOT
+        flag[order] = new * OWNER
+        ends = np.cumsum(sizes)
+        found, kinds = np.unique(textkit.mix(a[new]), return_counts=True)
+        counts = blocks.pack(-1, blocks.bucket_edges64(found, n_blocks), {"anchors": found, "kinds": kinds.astype(np.int64)})
+        flags = pa.table({"block": table.column("block"), "bucket": table.column("bucket"),
+                          "flags": pa.array([flag[e - n:e].tobytes() for n, e in zip(sizes, ends)], pa.binary())})
+        return pa.concat_tables([flags, counts], promote_options="default").select(
+            ["block", "bucket", "flags", "anchors", "kinds"])
+
+    owned = blocks.stored(blocks.exchange(
+        rows, emit, "bucket int, block int, anchors binary, stretches binary, ids binary",
+        merge, "block int, bucket int, flags binary, anchors binary, kinds binary"), "owners")
+
+    def emit_anchors(table: pa.Table) -> pa.Table:
+        keys = block_anchors(table, length, gram)
+        return blocks.pack(table.column("block")[0].as_py(), blocks.bucket_edges64(keys, n_blocks), {"anchors": keys})
+
+    def merge_anchors(table: pa.Table) -> pa.Table:
+        """Per block: is an anchor in several stretches, in very many?"""
+        counted = pc.equal(table.column("block"), -1)
+        counts, asked = table.filter(counted), table.filter(pc.invert(counted))
+        anchors, inverse = np.unique(blocks.unpack(counts.column("anchors"), U)[0], return_inverse=True)
+        kinds = np.zeros(len(anchors), np.int64)
+        np.add.at(kinds, inverse, blocks.unpack(counts.column("kinds"), np.int64)[0])
+        a, sizes = blocks.unpack(asked.column("anchors"), U)
+        kinds = kinds[np.searchsorted(anchors, a)]
+        flag = ((kinds > 1) * CONTESTED + (kinds > hot) * HOT).astype(np.uint8)
         ends = np.cumsum(sizes)
-        return pa.table({"block": table.column("block"), "bucket": table.column("bucket"),
-                         "flags": pa.array([flag[e - n:e].tobytes() for n, e in zip(sizes, ends)], pa.binary())})
+        return pa.table({"block": asked.column("block"), "bucket": asked.column("bucket"),
+                         "kind_flags": pa.array([flag[e - n:e].tobytes() for n, e in zip(sizes, ends)], pa.binary())})
 
-    replies = blocks.exchange(rows, emit, "bucket int, block int, anchors binary, stretches binary, ids binary",
-                              merge, "block int, bucket int, flags binary")
+    asked = rows.groupBy("block").applyInArrow(emit_anchors, "bucket int, block int, anchors binary")
+    anchored = blocks.stored(asked.withColumn("kinds", F.lit(None).cast("binary"))
+                             .unionByName(owned.where("block = -1").select("bucket", "block", "anchors", "kinds"))
+                             .groupBy("bucket").applyInArrow(merge_anchors, "block int, bucket int, kind_flags binary"),
+                             "anchors")
+    replies = (owned.where("block >= 0").select("block", "bucket", "flags", F.lit(None).cast("binary").alias("kind_flags"))
+               .unionByName(anchored.select("block", "bucket", F.lit(None).cast("binary").alias("flags"), "kind_flags")))
 
     def owners(b: Block, answer: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(flag per distinct key, contested owners' stretches, hot owners' stretches)."""
-        flag = blocks.answers(answer, "flags", np.uint8)
+        flag = np.empty(len(b.keyed), np.uint8)
+        flag[b.by_stretch] = blocks.answers(answer.filter(answer.column("flags").is_valid()), "flags", np.uint8)
+        kinds = answer.filter(answer.column("kind_flags").is_valid())
+        flag |= blocks.answers(kinds, "kind_flags", np.uint8)[b.anchor_of]
         mine = (flag & (OWNER | CONTESTED)) == (OWNER | CONTESTED)
         is_hot = (flag & HOT) > 0
         return flag, b.keyed[mine & ~is_hot], b.keyed[mine & is_hot]
@@ -241,14 +288,14 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot:
                          "lo": pa.array(at[later], pa.int64())})
 
     later = texts.groupBy("part").applyInArrow(compare, "block int, slice int, lo long")
-    both = replies.select("block", "bucket", "flags", F.lit(None).cast("int").alias("slice"),
+    both = replies.select("block", "bucket", "flags", "kind_flags", F.lit(None).cast("int").alias("slice"),
                           F.lit(None).cast("long").alias("lo")).unionByName(
         later.select("block", F.lit(None).cast("int").alias("bucket"), F.lit(None).cast("binary").alias("flags"),
-                     "slice", "lo"))
+                     F.lit(None).cast("binary").alias("kind_flags"), "slice", "lo"))
 
     def finish(table: pa.Table, answer: pa.Table) -> pa.Table:
         b = Block(table, length, gram)
-        is_flag = answer.column("flags").is_valid()
+        is_flag = answer.column("bucket").is_valid()
         flag, _, heated = owners(b, answer.filter(is_flag))
         found = answer.filter(pc.invert(is_flag))
         f_slice, f_lo = found.column("slice").to_numpy(), found.column("lo").to_numpy()
