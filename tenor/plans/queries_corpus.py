@@ -158,7 +158,7 @@ def clean_prompt_q(spark, sf_dir):
     "SELECT doc_id, seq, raw AS target, text FROM lines", "lines"))
 def drop_tone_q(spark, sf_dir):
     """The prompt table without its tone column."""
-    t = _prompt_lines(spark, sf_dir).select("doc_id", "seq", "tone", F.col("raw").alias("target"), "text")
+    t = _lines(spark, sf_dir).select("doc_id", "seq", "tone", F.col("raw").alias("target"), "text")
     return clean.drop_tone(t)
 
 
