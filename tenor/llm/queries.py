@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tenor.llm import chat_format, hash_tree, jaccard_join, maxent_lm, poisson_mix, quality_lines, string_tiling, suffix_dedup, token_counts, url_filter
+from tenor.llm import chat_format, hash_tree, jaccard_join, maxent_lm, poisson_mix, quality_lines, secret_scan, string_tiling, suffix_dedup, token_counts, url_filter
 from tenor.llm.registry import register, table
 
 
@@ -56,3 +56,8 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op6_jaccard_join", sql=jaccard_join.ORACLE)
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
+
+
+@register("op12_secret_scan")
+def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.digest(table(spark, sf_dir, "documents"))
