@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tenor.llm import chat_format, hash_tree, jaccard_join, maxent_lm, poisson_mix, quality_lines, secret_scan, string_tiling, suffix_dedup, token_counts, turn_repair, url_filter
+from tenor.llm import chat_format, hard_negatives, hash_tree, jaccard_join, maxent_lm, poisson_mix, quality_lines, secret_scan, string_tiling, suffix_dedup, token_counts, turn_repair, url_filter
 from tenor.llm.registry import register, table
 
 
@@ -66,3 +66,8 @@ def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op13_turn_repair")
 def op13_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return turn_repair.digest(turn_repair.damage(table(spark, sf_dir, "conversations")))
+
+
+@register("op11_hard_negatives", sql=hard_negatives.ORACLE)
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.digest(table(spark, sf_dir, "embeddings"))
