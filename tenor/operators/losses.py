@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tenor import vocab
@@ -28,8 +28,10 @@ def cross_entropy(df: DataFrame, logits: str = "student", gold: str = "gold") ->
 
 
 def distillation_loss(df: DataFrame, student: str = "student", teacher: str = "teacher", gold: str = "gold",
-                      alpha: float = vocab.DISTILL_ALPHA, temperature: float = vocab.DISTILL_TEMPERATURE) -> DataFrame:
-    """(1 - alpha) CE + alpha T^2 mean KL(teacher_T || student_T).
+                      alpha: float | Column = vocab.DISTILL_ALPHA, temperature: float = vocab.DISTILL_TEMPERATURE,
+                      by: tuple[str, ...] = ()) -> DataFrame:
+    """(1 - alpha) CE + alpha T^2 mean KL(teacher_T || student_T), over all rows or per ``by`` (then with
+    their number ``n``); alpha may be an aggregate column, when it differs by group.
 
     ``kl`` is the divergence taken on log-probabilities (the intended loss);
     ``kl_raw`` is sum q (log q - p), the value the original computes by passing
@@ -43,9 +45,11 @@ def distillation_loss(df: DataFrame, student: str = "student", teacher: str = "t
     term = lambda z, p: F.when(F.exp(z["lq"]) > 0, F.exp(z["lq"]) * (z["lq"] - p)).otherwise(0.0)
     kl = F.aggregate(pairs, F.lit(0.0), lambda acc, z: acc + term(z, z["lp"]))
     kl_raw = F.aggregate(pairs, F.lit(0.0), lambda acc, z: acc + term(z, F.exp(z["lp"])))
-    rows = df.select(nll(student, gold).alias("_nll"), kl.alias("_kl"), kl_raw.alias("_klr"))
-    a, t2 = F.lit(float(alpha)), F.lit(t * t)
-    agg = rows.agg(F.avg("_nll").alias("ce"), F.avg("_kl").alias("kl"), F.avg("_klr").alias("kl_raw"))
-    return agg.select("ce", "kl", "kl_raw",
+    rows = df.select("*", nll(student, gold).alias("_nll"), kl.alias("_kl"), kl_raw.alias("_klr"))
+    a, t2 = alpha if isinstance(alpha, Column) else F.max(F.lit(float(alpha))), F.lit(t * t)
+    agg = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.avg("_nll").alias("ce"), F.avg("_kl").alias("kl"),
+                                F.avg("_klr").alias("kl_raw"), a.alias("_a"))
+    a = F.col("_a")
+    return agg.select(*by, *(["n"] if by else []), "ce", "kl", "kl_raw",
                       ((F.lit(1.0) - a) * F.col("ce") + a * t2 * F.col("kl")).alias("loss"),
                       ((F.lit(1.0) - a) * F.col("ce") + a * t2 * F.col("kl_raw")).alias("loss_raw"))

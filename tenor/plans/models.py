@@ -1,74 +1,44 @@
-"""Distributed fits with Spark ML.
-
-The transformer networks of the original are re-aimed as logistic
-regressions over hashed unigram + bigram features; every fit runs over all
-rows (each L-BFGS iteration is one distributed aggregation).
-
-Distillation as weighting: a soft-label cross-entropy
-    -[(1 - a) y + a q1] log p1 - [(1 - a)(1 - y) + a q0] log p0
-equals a weighted logistic loss over two copies of each row (label 1 with
-weight (1 - a) y + a q1, label 0 with the rest), so a student is an ordinary
-``LogisticRegression(weightCol=...)`` fit on a doubled frame. This is exact
-at T = 1 and an approximation of the T^2-scaled KL term for T != 1.
+"""Fitted models (I3-I7): teacher, distilled students, router, sweep, rounds.
+
+The transformer networks of the original are re-aimed as linear classifiers over hashed words and word pairs,
+trained in rounds on the original's own losses by ``tenor.operators.gradient``: cross-entropy for the teacher, class-
+weighted cross-entropy for the router, and (1 - a) CE + a T^2 KL(teacher_T || student_T) for the students,
+whose blocks (one per group) are one joint fit. Texts are hashed once, into a stored frame that every
+round, evaluation and teacher pass reads; the teacher's logits are a column of the students' frame.
 """
 
 from __future__ import annotations
 
-from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.feature import HashingTF, NGram
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tenor import vocab
 from tenor.functions import probs
-from tenor.functions.text import tokens
-from tenor.operators import labels, metrics, routing, sampling
-from tenor.session import shared_dir
-
-TEACHER_FEATURES = 1 << 16
-STUDENT_FEATURES = 1 << 10
-ROUTER_FEATURES = 1 << 12
-
-
-def featurize(df: DataFrame, num_features: int, text: str = "text", out: str = "features") -> DataFrame:
-    """Hashed counts of lower-case unigrams and bigrams."""
-    words = df.withColumn("_w", tokens(text))
-    grams = NGram(n=2, inputCol="_w", outputCol="_b").transform(words)
-    both = grams.withColumn("_t", F.concat("_w", "_b"))
-    return HashingTF(numFeatures=num_features, inputCol="_t", outputCol=out).transform(both).drop("_w", "_b", "_t")
+from tenor.operators import gradient, labels, losses, metrics, routing, sampling
+from tenor.operators.gradient import Model, Shape
+from tenor.session import scratch_path
 
+TEACHER = Shape(1, 2, 1 << 16)
+STUDENTS = Shape(len(vocab.GROUPS), 2, 1 << 10)
+ROUTER = Shape(1, len(vocab.GROUPS), 1 << 12)
+ROUNDS = 5
 
-def _p1(df: DataFrame) -> F.Column:
-    return F.get(vector_to_array("probability"), 1)
 
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    """Written once to the shared folder and read back: rounds read columns, not the plan that made them."""
+    path = scratch_path(df.sparkSession, name)
+    spread(df).write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
-def _scored(pred: DataFrame, label: str = "label") -> DataFrame:
-    """(gold, prediction, _nll) with the clipped log loss of each row."""
-    p1 = F.least(F.greatest(_p1(pred), F.lit(1e-15)), F.lit(1 - 1e-15))
-    return pred.select(F.col(label).cast("int").alias("gold"), F.col("prediction").cast("int").alias("prediction"),
-                       F.when(F.col(label) == 1, -F.log(p1)).otherwise(-F.log(F.lit(1.0) - p1)).alias("_nll"))
 
-
-def _binary_report(pred: DataFrame, label: str = "label") -> dict:
-    """log loss, accuracy, support-weighted P/R/F1 of a binary prediction frame (scalars)."""
-    scored = _scored(pred, label)
-    m = metrics.weighted_metrics(scored).first()
-    loss = scored.agg(F.avg("_nll")).first()[0]
-    return {"loss": loss, "accuracy": m["accuracy"], "precision": m["precision"], "recall": m["recall"],
-            "f1": m["f1"]}
-
-
-def learns(model) -> bool:
-    """Final training loss below that of the starting point (the constant model)."""
-    history = model.summary.objectiveHistory
-    return bool(history[-1] < history[0])
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin over ``spark.sql.shuffle.partitions`` partitions: the joins and selections before may have left
+    few or uneven ones, and every round scans the frame."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
-def _split_sizes(data: DataFrame) -> dict:
-    r = data.agg(F.count_if(F.col("split") == "train").alias("n_train"),
-                 F.count_if(F.col("split") == "test").alias("n_test")).first()
-    return {"n_train": r["n_train"], "n_test": r["n_test"]}
+def _gold() -> Column:
+    return (F.col("tone") == vocab.TONES[1]).cast("int").alias("gold")
 
 
 def pooled_corpus(corpus: DataFrame) -> DataFrame:
@@ -76,268 +46,159 @@ def pooled_corpus(corpus: DataFrame) -> DataFrame:
     return corpus.groupBy("tone", "text").agg(F.min("doc_id").alias("doc_id"))
 
 
-def teacher_data(corpus: DataFrame) -> DataFrame:
-    """Balanced pooled corpus with a hash split: (doc_id, text, label, split)."""
+def teacher_frame(corpus: DataFrame) -> DataFrame:
+    """Balanced pooled corpus with a hash split, hashed and stored: (doc_id, gold, split, block, weight, idx)."""
     pooled = pooled_corpus(corpus).withColumn("_pool", F.lit("all"))
     bal = sampling.balanced_downsample(pooled, group_col="_pool", tone_col="tone", key="doc_id")
-    lab = bal.select("doc_id", "text", (F.col("tone") == vocab.TONES[1]).cast("int").alias("label"))
-    return sampling.train_test_split(lab, key="doc_id")
-
-
-def fit_teacher(corpus: DataFrame, max_iter: int = 50, reg: float = 0.01):
-    """Teacher over the whole pooled corpus; returns (model, report DataFrame)."""
-    td = teacher_data(corpus)
-    data = spread(featurize(td, TEACHER_FEATURES)).persist()
-    train, test = data.where(F.col("split") == "train"), data.where(F.col("split") == "test")
-    model = LogisticRegression(maxIter=max_iter, regParam=reg, labelCol="label").fit(train)
-    report = dict(_split_sizes(data), **_binary_report(model.transform(test)))
-    data.unpersist()
-    schema = ("n_train long, n_test long, loss double, accuracy double, precision double, recall double, "
-              "f1 double")
-    return model, corpus.sparkSession.createDataFrame([report], schema)
-
-
-def soft_labels(model, df: DataFrame, temperature: float) -> DataFrame:
-    """Teacher probabilities at a temperature, from its margins: adds q0, q1."""
-    scored = model.transform(featurize(df, TEACHER_FEATURES))
-    q = probs.softmax(vector_to_array("rawPrediction"), temperature)
-    return (scored.select(*df.columns, q.alias("_q"))
-            .select(*df.columns, F.get("_q", 0).alias("q0"), F.get("_q", 1).alias("q1")))
-
-
-def doubled(df: DataFrame, alphas: dict[str, float]) -> DataFrame:
-    """Each row twice: label 1 and label 0, one weight column per alpha."""
-    one = df.withColumn("dlabel", F.lit(1.0))
-    zero = df.withColumn("dlabel", F.lit(0.0))
-    y = F.col("label").cast("double")
-    for name, a in alphas.items():
-        one = one.withColumn(name, (1 - a) * y + a * F.col("q1"))
-        zero = zero.withColumn(name, (1 - a) * (1 - y) + a * F.col("q0"))
-    return one.unionByName(zero)
-
-
-def student_data(corpus: DataFrame) -> DataFrame:
-    """Per-group balanced rows with a hash split: (doc_id, target, text, label, split)."""
-    bal = sampling.balanced_downsample(corpus.select("doc_id", "target", "tone", "text"))
-    lab = bal.select("doc_id", "target", "text", (F.col("tone") == vocab.TONES[1]).cast("int").alias("label"))
-    return sampling.train_test_split(lab, key="doc_id")
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin the training frame over ``spark.sql.shuffle.partitions`` partitions before
-    it is cached.
-
-    L-BFGS scans the cached frame once per iteration; AQE coalesces small shuffles
-    into very few partitions, so the session's own partition count (sized for the
-    cluster and its data) is asked for explicitly. One round-robin shuffle, made
-    deterministic by Spark's sort before it."""
-    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    rows = gradient.add_features(sampling.train_test_split(bal.select("doc_id", "text", _gold()), key="doc_id"))
+    return _stored(rows.select("doc_id", "gold", "split", F.lit(0).alias("block"), F.lit(1.0).alias("weight"), "idx"), "teacher-rows")
 
 
-class BlockModel:
-    """The models of :func:`fit_blocks` as one: ``transform`` adds ``prediction`` /
-    ``probability`` to rows carrying the block and features columns."""
-
-    def __init__(self, spark: SparkSession, block_col: str, n_blocks: int, num_features: int, features_col: str = "features"):
-        from pyspark.ml.feature import Interaction, OneHotEncoder, VectorAssembler
-        self.shape, self.model = (block_col, n_blocks, num_features, features_col), None
-        self._meta = {"ml_attr": {"attrs": {"numeric": [{"idx": i, "name": f"h{i}"} for i in range(num_features)]},
-                                  "num_attrs": num_features}}
-        self._enc = OneHotEncoder(inputCols=[block_col], outputCols=["_blk"], dropLast=False, handleInvalid="keep").fit(
-            spark.createDataFrame([(i,) for i in range(n_blocks)], f"{block_col} int"))
-        self._inter = Interaction(inputCols=["_blk", "_feat"], outputCol="_x")
-        self._assemble = VectorAssembler(inputCols=["_x", "_blk"], outputCol="_block_features")
-
-    def blockify(self, df: DataFrame) -> DataFrame:
-        df = df.withColumn("_feat", F.col(self.shape[3]).alias("_feat", metadata=self._meta))
-        return self._assemble.transform(self._inter.transform(self._enc.transform(df)))
-
-    def transform(self, df: DataFrame) -> DataFrame:
-        return self.model.transform(self.blockify(df))
-
-    def save(self, path: str) -> None:
-        """Under the shared folder: the coefficients and the shape."""
-        spark = SparkSession.active()
-        self.model.write().overwrite().save(f"{path}/coefficients")
-        spark.createDataFrame([self.shape], "block_col string, n_blocks int, num_features int, features_col string").write.mode(
-            "overwrite").json(f"{path}/shape")
-
-    @classmethod
-    def load(cls, spark: SparkSession, path: str) -> BlockModel:
-        schema = "block_col string, n_blocks int, num_features int, features_col string"
-        out = cls(spark, *spark.read.schema(schema).json(f"{path}/shape").first())
-        out.model = LogisticRegressionModel.load(f"{path}/coefficients")
-        return out
-
-
-def fit_blocks(train: DataFrame, block_col: str, n_blocks: int, weight_col: str, label_col: str,
-               num_features: int, max_iter: int = 30, reg: float = 0.01, features_col: str = "features"):
-    """Fit ``n_blocks`` independent weighted binary logistic regressions as ONE fit.
-
-    Each row's features go to its block (``Interaction`` of the block one-hot with
-    the features) plus a block bias column. With row weights normalised to total 1
-    per block, ``regParam / n_blocks`` and no standardisation, the joint objective
-    is exactly the sum of the per-block objectives, so its optimum holds every
-    block's model (the bias is regularised like any coefficient). One L-BFGS run -
-    one distributed aggregation per iteration - replaces ``n_blocks`` fits, and a
-    block holding a third of the rows concentrates in no task.
-    Returns a :class:`BlockModel`: a block without training rows keeps zero
-    coefficients, so it answers probability 0.5.
-    """
-    blocks = BlockModel(train.sparkSession, block_col, n_blocks, num_features, features_col)
-    # at most n_blocks rows: partial sums per task, then a bounded side of the join
-    totals = train.groupBy(block_col).agg(F.sum(weight_col).alias("_total"))
-    weighted = train.join(F.broadcast(totals), block_col).withColumn("_wn", F.col(weight_col) / F.col("_total"))
-    data = spread(blocks.blockify(weighted).select("_block_features", label_col, "_wn")).persist()
-    lr = LogisticRegression(maxIter=max_iter, regParam=reg / n_blocks, standardization=False, fitIntercept=False,
-                            featuresCol="_block_features", labelCol=label_col, weightCol="_wn")
-    blocks.model = lr.fit(data)
-    data.unpersist()
-    return blocks
-
-
-def fit_students(corpus: DataFrame, teacher, alpha: float = vocab.DISTILL_ALPHA,
-                 temperature: float = vocab.DISTILL_TEMPERATURE, max_iter: int = 30, reg: float = 0.01):
-    """I4: one student per group on teacher soft labels, all groups in one
-    block-separable fit (:func:`fit_blocks`); returns (students or None, report). Groups
-    without rows or with a single label are reported, not fitted. The labelled frame is
-    stored once (shared folder): sizes, fit and test read it."""
-    spark = corpus.sparkSession
-    data = student_data(corpus)
-    soft = soft_labels(teacher, data, temperature)
-    ids = F.broadcast(vocab.groups_df(spark))
-    shared_dir(spark)
-    soft = soft.checkpoint()
-    frame = featurize(doubled(soft, {"w": alpha}), STUDENT_FEATURES).join(ids, "target")
-    sizes = {(r["target"], r["split"]): (r["n"], r["n1"]) for r in
-             frame.where(F.col("dlabel") == 1).groupBy("target", "split")
-             .agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("n1")).collect()}  # at most 22 rows
-    fitted = [g for g in vocab.GROUPS
-              if sizes.get((g, "train"), (0, 0))[0] > 0 and sizes[(g, "train")][1] not in (0, sizes[(g, "train")][0])]
-    ev, students = {}, None
-    if fitted:
-        predict = students = fit_blocks(frame.where(F.col("target").isin(fitted) & (F.col("split") == "train")),
-                             "target_id", len(vocab.GROUPS), "w", "dlabel", STUDENT_FEATURES, max_iter, reg)
-        test = frame.where(F.col("target").isin(fitted) & (F.col("split") == "test") & (F.col("dlabel") == 1))
-        pred = predict.transform(test).select("target", F.col("label").alias("gold"),
-                                    F.col("prediction").cast("int").alias("prediction"))
-        ev = {r["target"]: r for r in metrics.binary_metrics_by(pred, "target").collect()}
-    rows = []
-    for g in vocab.GROUPS:
-        n_tr = sizes.get((g, "train"), (0, 0))[0]
-        n_te = sizes.get((g, "test"), (0, 0))[0]
-        if g in ev:
-            rows.append((g, n_tr, n_te, float(ev[g]["accuracy"]), float(ev[g]["f1"]), True))
-        else:
-            rows.append((g, n_tr, n_te, None, None, g in fitted))
-    return students, spark.createDataFrame(rows, "target string, n_train long, n_test long, accuracy double, "
-                                                 "f1 double, fitted boolean")
-
-
-def score_fitted(docs: DataFrame, router, students: BlockModel, key: str = "doc_id", threshold: float = 0.5) -> DataFrame:
-    """(key, n_groups, weight, score, prediction): documents routed by the fitted router (E3, E4),
-    each retained group's student asked, the answers mixed by weight (D7). A document is
-    at most as many rows as the router retains groups."""
-    routed = router.transform(featurize(docs.select(key, "text"), ROUTER_FEATURES)).select(
-        key, "text", vector_to_array("probability").alias("_p"))
-    kept = routing.add_routing(routed, "_p", "kept").select(key, "text", "kept")
-    rows = featurize(kept, STUDENT_FEATURES).select(key, "features", F.explode("kept").alias("k")).select(
-        key, "features", F.col("k.idx").cast("int").alias("target_id"), F.col("k.weight").alias("_w"))
-    asked = students.transform(rows).select(key, "_w", _p1(rows).alias("_p1"))
-    score = F.sum(F.col("_w") * F.col("_p1"))
-    return asked.groupBy(key).agg(F.count(F.lit(1)).alias("n_groups"), F.sum("_w").alias("weight"), score.alias("score"),
-                                  (score > threshold).cast("int").alias("prediction"))
-
-
-def router_data(group_ids: DataFrame, inverse: bool = False, disjoint: bool = False) -> DataFrame:
-    """G5 rows with class weights (D5); ``split`` = test for the 1,000-row head test set
-    (F2), which the training part keeps unless ``disjoint`` (Q25)."""
+def student_frame(corpus: DataFrame, teacher: Model) -> DataFrame:
+    """Per-group balanced rows with a hash split, hashed once, next to the teacher's logits, stored:
+    (doc_id, target, gold, split, block, weight, idx, teacher)."""
+    bal = sampling.balanced_downsample(corpus.select("doc_id", "target", "tone", "text"))
+    lab = sampling.train_test_split(bal.select("doc_id", "target", "text", _gold()), key="doc_id")
+    rows = gradient.add_features(lab).join(F.broadcast(vocab.groups_df(corpus.sparkSession)), "target")
+    rows = rows.select("doc_id", "target", "gold", "split", F.col("target_id").alias("group"), F.lit(0).alias("block"),
+                       F.lit(1.0).alias("weight"), "idx", F.col("idx").alias("_idx"))
+    asked = gradient.logits(rows, teacher, out="teacher")
+    return _stored(asked.select("doc_id", "target", "gold", "split", F.col("group").alias("block"), "weight",
+                                F.col("_idx").alias("idx"), "teacher"), "student-rows")
+
+
+def router_frame(group_ids: DataFrame, inverse: bool = False, disjoint: bool = False) -> DataFrame:
+    """G5 rows with class weights (D5), hashed and stored; ``split`` = test for the head test set (F2),
+    which the training part keeps unless ``disjoint`` (Q25)."""
     w = labels.class_weights(group_ids, "target_id", inverse).select("target_id", "weight")
     keyed = group_ids.withColumn("_key", F.concat(F.col("target_id").cast("string"), F.lit(":"), F.col("text")))
     train, test = sampling.head_split(keyed, key="_key", disjoint=disjoint)
     both = train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test")))
-    # at most 11 classes: the weight table is a bounded side
-    return both.join(F.broadcast(w), "target_id").withColumn("label", F.col("target_id").cast("double"))
-
-
-def fit_router(group_ids: DataFrame, max_iter: int = 30, inverse: bool = False, disjoint: bool = False):
-    """Multinomial router over the group-id table with class weights;
-    returns (model, report with n_train, n_test, accuracy, macro_f1)."""
-    rd = router_data(group_ids, inverse, disjoint)
-    data = spread(featurize(rd, ROUTER_FEATURES)).persist()
-    train, test = data.where(F.col("split") == "train"), data.where(F.col("split") == "test")
-    lr = LogisticRegression(maxIter=max_iter, regParam=0.01, family="multinomial", labelCol="label",
-                            weightCol="weight")
-    model = lr.fit(train)
-    pred = model.transform(test).select(F.col("label").cast("int").alias("gold"),
-                                        F.col("prediction").cast("int").alias("prediction"))
-    m = metrics.macro_f1(pred).first()
-    report = dict(_split_sizes(data), accuracy=m["accuracy"], macro_f1=m["macro_f1"])
-    data.unpersist()
-    schema = "n_train long, n_test long, accuracy double, macro_f1 double"
-    return model, group_ids.sparkSession.createDataFrame([report], schema)
-
-
-def sweep(corpus: DataFrame, teacher, group: str = vocab.SWEEP_GROUP, alphas=tuple(vocab.SWEEP_ALPHAS),
-          temperature: float = vocab.SWEEP_TEMPERATURE, max_iter: int = 30, reg: float = 0.01):
-    """One student per alpha on one group (independent trials), all settings in one
-    block-separable fit (:func:`fit_blocks`): each training row appears once per
-    setting (bounded: len(alphas) copies) with that setting's soft-label weight."""
+    rows = gradient.add_features(both.join(F.broadcast(w), "target_id"))  # at most 11 classes
+    return _stored(rows.select(F.col("target_id").alias("gold"), "split", F.lit(0).alias("block"), "weight", "idx"), "router-rows")
+
+
+def _split(df: DataFrame, name: str) -> DataFrame:
+    return df.where(F.col("split") == name)
+
+
+def _sizes(frame: DataFrame) -> DataFrame:
+    return frame.agg(F.count_if(F.col("split") == "train").alias("n_train"), F.count_if(F.col("split") == "test").alias("n_test"))
+
+
+def _answers(frame: DataFrame, model: Model, **kw) -> DataFrame:
+    """The frame with ``logits`` and ``prediction`` in place of its features."""
+    return gradient.logits(frame, model, **kw).withColumn("prediction", probs.argmax("logits"))
+
+
+def fit_teacher(corpus: DataFrame, rounds: int = ROUNDS, path: str | None = None) -> tuple[Model, DataFrame]:
+    """Teacher over the whole pooled corpus; (model, report: n_train, n_test, loss, accuracy, precision,
+    recall, f1, the last five on the test part)."""
+    frame = teacher_frame(corpus)
+    model = gradient.fit(_split(frame, "train"), TEACHER, gradient.cross_entropy, rounds, path)
+    asked = _answers(_split(frame, "test"), model)
+    scores = metrics.weighted_metrics(asked).drop("n").crossJoin(losses.cross_entropy(asked, "logits").select(F.col("ce").alias("loss")))
+    return model, _sizes(frame).crossJoin(scores)  # one row each
+
+
+def fitted_groups(frame: DataFrame) -> list[str]:
+    """Groups whose training part holds both labels (at most 11 names)."""
+    seen = _split(frame, "train").groupBy("target").agg(F.countDistinct("gold").alias("n")).where("n = 2")
+    return sorted(r["target"] for r in seen.collect())
+
+
+def fit_students(corpus: DataFrame, teacher: Model, alpha: float = vocab.DISTILL_ALPHA,
+                 temperature: float = vocab.DISTILL_TEMPERATURE, rounds: int = ROUNDS, path: str | None = None):
+    """I4: one student per group on the distillation loss, one joint fit; (model, frame of the fitted groups, report). The report has a
+    row per group: n_train, n_test, fitted, and of fitted groups the training loss (D13) and accuracy and F1 on the test part."""
     spark = corpus.sparkSession
-    data = student_data(corpus.where(F.col("target") == group))
-    soft = soft_labels(teacher, data, temperature)
-    names = {f"w{i}": a for i, a in enumerate(alphas)}
-    frame = featurize(doubled(soft, names), STUDENT_FEATURES)
-    train = frame.where(F.col("split") == "train")
-    test = frame.where((F.col("split") == "test") & (F.col("dlabel") == 1))
-    counts = train.where(F.col("dlabel") == 1).agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("n1")).first()
-    rows = []
-    if counts["n"] and counts["n1"] not in (0, counts["n"]):
-        cfg = F.explode(F.array(*[F.struct(F.lit(i).alias("config_id"), F.col(n).alias("w"))
-                                  for i, n in enumerate(names)]))
-        per_cfg = train.select("features", "dlabel", cfg.alias("_c")).select(
-            "features", "dlabel", "_c.config_id", "_c.w")
-        predict = fit_blocks(per_cfg, "config_id", len(alphas), "w", "dlabel", STUDENT_FEATURES, max_iter, reg)
-        test_cfg = test.select("features", "label", F.explode(F.sequence(F.lit(0), F.lit(len(alphas) - 1)))
-                               .alias("config_id"))
-        pred = predict.transform(test_cfg).select("config_id", F.col("label").alias("gold"),
-                                        F.col("prediction").cast("int").alias("prediction"))
-        ev = {r["config_id"]: r for r in metrics.binary_metrics_by(pred, "config_id").collect()}
-        for i, a in enumerate(alphas):
-            r = ev.get(i)
-            rows.append((f"hyper{i}", float(a), float(temperature), float(r["accuracy"]) if r else None,
-                         float(r["f1"]) if r else None))
-    else:  # the group lacks rows or a label: every setting is reported, unfitted
-        rows = [(f"hyper{i}", float(a), float(temperature), None, None) for i, a in enumerate(alphas)]
-    return spark.createDataFrame(rows, "config string, alpha double, temperature double, accuracy double, f1 double")
-
-
-def evaluate_per_round(corpus: DataFrame, rounds: int = 5):
-    """The teacher refitted with ``maxIter = r`` for r = 1..rounds; train and
-    eval loss / accuracy / macro F1 per round, in the metrics-log layout.
-
-    The scored rows of every (round, mode) are unioned and evaluated together: one
-    confusion-table aggregation and one loss aggregation keyed by (epoch, mode)
-    instead of a pair of jobs per round and mode. The log is built as a DataFrame
-    and pivoted (D14) without passing through the driver."""
-    td = teacher_data(corpus)
-    data = spread(featurize(td, TEACHER_FEATURES)).persist()
-    train, test = data.where(F.col("split") == "train"), data.where(F.col("split") == "test")
-    lr = LogisticRegression(regParam=0.01, labelCol="label")
-    scored = None
-    for i, model in lr.fitMultiple(train, [{lr.maxIter: r} for r in range(1, rounds + 1)]):
-        for mode, part in (("train", train), ("eval", test)):
-            s = _scored(model.transform(part)).select(F.lit(i + 1).alias("epoch"), F.lit(mode).alias("mode"), "*")
-            scored = s if scored is None else scored.unionByName(s)
+    frame = student_frame(corpus, teacher)
+    mine = frame.where(F.col("target").isin(fitted_groups(frame)))
+    model = gradient.fit(_split(mine, "train"), STUDENTS, gradient.distillation(alpha, temperature), rounds, path)
+    asked = _answers(mine, model)
+    lost = losses.distillation_loss(_split(asked, "train"), "logits", alpha=alpha, temperature=temperature, by=("target",))
+    scores = metrics.binary_metrics_by(_split(asked, "test"), "target").drop("n")
+    sizes = frame.groupBy("target").agg(F.count_if(F.col("split") == "train").alias("n_train"),
+                                        F.count_if(F.col("split") == "test").alias("n_test"))
+    groups = vocab.groups_df(spark).select("target")
+    report = (groups.join(sizes, "target", "left").join(lost, "target", "left").join(scores, "target", "left")  # 11 rows each
+              .select("target", F.coalesce("n_train", F.lit(0)).alias("n_train"), F.coalesce("n_test", F.lit(0)).alias("n_test"),
+                      F.col("loss").isNotNull().alias("fitted"), "ce", "kl", "loss", "accuracy", "f1"))
+    return model, mine, report
+
+
+def round_scores(frame: DataFrame, model: Model) -> DataFrame:
+    """The frame's rows once per round (``epoch``), with that round's logits and prediction: one pass over the features."""
+    return _answers(frame, model, turns=list(range(1, model.rounds + 1)))
+
+
+def distill_rounds(frame: DataFrame, model: Model, alpha: float = vocab.DISTILL_ALPHA,
+                   temperature: float = vocab.DISTILL_TEMPERATURE) -> DataFrame:
+    """(target, epoch, split, n, ce, kl, loss): D13 of every student after every round."""
+    return losses.distillation_loss(round_scores(frame, model), "logits", alpha=alpha, temperature=temperature,
+                                    by=("target", "epoch", "split"))
+
+
+def evaluate_rounds(frame: DataFrame, model: Model, alpha: float = vocab.DISTILL_ALPHA,
+                    temperature: float = vocab.DISTILL_TEMPERATURE) -> DataFrame:
+    """(epoch, mode, metric, value) of the students' rounds over all groups, the layout of the metrics log: D13,
+    accuracy and macro F1 on the training and on the test part."""
     by = ("epoch", "mode")
-    m = metrics.macro_f1(scored, by=by).select(*by, "accuracy", "macro_f1")
-    loss = scored.groupBy(*by).agg(F.avg("_nll").alias("loss"))
-    joined = m.join(F.broadcast(loss), list(by))  # at most 2 x rounds rows on each side
-    log = joined.select(*by, F.explode(F.array(
-        F.struct(F.lit("loss").alias("metric"), F.col("loss").alias("value")),
-        F.struct(F.lit("acc").alias("metric"), F.col("accuracy").alias("value")),
-        F.struct(F.lit("f1").alias("metric"), F.col("macro_f1").alias("value")))).alias("x"))
-    log = log.select(F.col("epoch").cast("int").alias("epoch"), "mode", "x.metric", "x.value").persist()
-    log.count()  # materialise before the training frame is released
-    data.unpersist()
-    return metrics.log_series(log)
+    rows = round_scores(frame, model).withColumn("mode", F.when(F.col("split") == "train", "train").otherwise("eval"))
+    lost = losses.distillation_loss(rows, "logits", alpha=alpha, temperature=temperature, by=by).select(*by, "loss")
+    both = metrics.macro_f1(rows, by=by).select(*by, "accuracy", "macro_f1").join(lost, list(by))  # 2 x rounds rows
+    return both.select(*by, F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(c).alias("value")) for m, c in (
+        ("loss", "loss"), ("acc", "accuracy"), ("f1", "macro_f1"))])).alias("x")).select(*by, "x.metric", "x.value")
+
+
+def fit_router(group_ids: DataFrame, rounds: int = ROUNDS, inverse: bool = False, disjoint: bool = False,
+               path: str | None = None) -> tuple[Model, DataFrame]:
+    """11-class router over the group-id table with class weights; (model, report: n_train, n_test, accuracy, macro_f1)."""
+    frame = router_frame(group_ids, inverse, disjoint)
+    model = gradient.fit(_split(frame, "train"), ROUTER, gradient.cross_entropy, rounds, path)
+    scores = metrics.macro_f1(_answers(_split(frame, "test"), model)).select("accuracy", "macro_f1")
+    return model, _sizes(frame).crossJoin(scores)  # one row each
+
+
+def sweep(corpus: DataFrame, teacher: Model, group: str = vocab.SWEEP_GROUP, alphas=tuple(vocab.SWEEP_ALPHAS),
+          temperature: float = vocab.SWEEP_TEMPERATURE, rounds: int = ROUNDS) -> DataFrame:
+    """One student per alpha on one group, all settings as blocks of one fit (independent trials; each row appears once per
+    setting): (config, alpha, temperature, loss, accuracy, f1), the last three on the test part, null where the group
+    lacks rows of a label."""
+    spark = corpus.sparkSession
+    frame = student_frame(corpus.where(F.col("target") == group), teacher)
+    settings = spark.createDataFrame([(i, f"hyper{i}", float(a), float(temperature)) for i, a in enumerate(alphas)],
+                                     "block int, config string, alpha double, temperature double")
+    if not fitted_groups(frame):
+        return settings.select("config", "alpha", "temperature", *[F.lit(None).cast("double").alias(c) for c in ("loss", "accuracy", "f1")])
+    each = frame.drop("block").withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(len(alphas) - 1))))
+    model = gradient.fit(_split(each, "train"), Shape(len(alphas), 2, STUDENTS.features), gradient.distillation(alphas, temperature), rounds)
+    asked = _answers(_split(each, "test"), model).join(F.broadcast(settings), "block")
+    lost = losses.distillation_loss(asked, "logits", alpha=F.max("alpha"), temperature=temperature, by=("config",)).select("config", "loss")
+    scores = metrics.binary_metrics_by(asked, "config").drop("n")
+    return (settings.join(lost, "config", "left").join(scores, "config", "left")
+            .select("config", "alpha", "temperature", "loss", "accuracy", "f1"))
+
+
+def score_fitted(docs: DataFrame, router: Model, students: Model, key: str = "doc_id", text: str = "text",
+                 threshold: float = 0.5) -> DataFrame:
+    """(key, n_groups, groups, score, prediction): documents routed by the fitted router (E3, E4), each retained
+    group's student asked, the answers mixed by weight (D7). Only retained (document, group) pairs meet a
+    student; their features stay in the row, so nothing but the last sum is shuffled. Rows that share a key are one document.
+    A score that differs from the threshold by rounding only (groups without a student answer 0.5) does not exceed it."""
+    rows = gradient.add_features(docs.select(key, text), text).select(key, F.lit(0).alias("block"), "idx", F.col("idx").alias("_idx"))
+    routed = gradient.logits(rows, router, out="router").select(key, "_idx", probs.softmax("router").alias("_p"))
+    kept = routing.add_routing(routed, "_p", "kept").select(key, F.col("_idx").alias("idx"), F.posexplode("kept").alias("rank", "k"))
+    pairs = kept.select(key, "rank", F.col("k.idx").cast("int").alias("block"), F.col("k.weight").alias("weight"), "idx")
+    asked = gradient.logits(pairs, students).withColumn("p", probs.p_binary(F.get("logits", 0), F.get("logits", 1)))
+    names = F.array_sort(F.collect_list(F.struct("rank", F.get(vocab.groups_array(), F.col("block")).alias("g"))))  # three at most
+    score = F.sum(F.col("weight") * F.col("p"))
+    return asked.groupBy(key).agg(F.count(F.lit(1)).alias("n_groups"), F.array_join(F.transform(names, lambda x: x["g"]), ",").alias("groups"),
+                                  score.alias("score"), (F.round(score, 12) > threshold).cast("int").alias("prediction"))
+
+
+def corpus_models(spark: SparkSession, corpus: DataFrame, group_ids: DataFrame, path: str) -> tuple[Model, Model, Model]:
+    """(teacher, students, router) fitted under ``path`` (or gone on with from the rounds found there)."""
+    teacher, _ = fit_teacher(corpus, path=f"{path}/teacher")
+    students, _, _ = fit_students(corpus, teacher, path=f"{path}/students")
+    return teacher, students, fit_router(group_ids, path=f"{path}/router")[0]

@@ -115,10 +115,11 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
 
 
 def with_ctes(body: str, *names: str, extra: dict[str, str] | None = None,
-              replace: dict[str, tuple[tuple[str, ...], str]] | None = None) -> str:
+              replace: dict[str, tuple[tuple[str, ...], str]] | None = None, keep: bool = False) -> str:
     """``WITH`` clause holding ``names`` and their dependencies, then ``body``.
     ``extra`` adds query-local CTEs after the bindings (in the given order);
-    ``replace`` swaps a binding's definition (dependencies, SQL) for this query."""
+    ``replace`` swaps a binding's definition (dependencies, SQL) for this query;
+    ``keep`` has every CTE computed once."""
     defs = dict(CTES, **(replace or {}))
     order: list[str] = []
 
@@ -131,9 +132,10 @@ def with_ctes(body: str, *names: str, extra: dict[str, str] | None = None,
 
     for n in names:
         visit(n)
-    parts = [f"{n} AS ({defs[n][1]})" for n in order]
+    how = "AS MATERIALIZED" if keep else "AS"
+    parts = [f"{n} {how} ({defs[n][1]})" for n in order]
     for k, v in (extra or {}).items():
-        parts.append(f"{k} AS ({v})")
+        parts.append(f"{k} {how} ({v})")
     head = ("WITH " + ",\n".join(parts) + "\n") if parts else ""
     return head + body
 

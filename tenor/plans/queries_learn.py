@@ -1,19 +1,16 @@
-"""Registered model queries: exact Naive-Bayes experts and router (I1, I2, I9,
-SQL-checked) and Spark ML fits (I3-I7, rows-only check plus property tests)."""
+"""Registered model queries: Naive-Bayes experts and router (I1, I2, I9), and the models fitted in rounds."""
 
 from __future__ import annotations
 
-import math
-
-
-from pyspark.sql import functions as F
-
 from tenor import vocab
-from tenor.operators import clean, naive_bayes
-from tenor.plans import bindings
+from tenor.operators import clean, metrics, naive_bayes
+from tenor.operators import corpus as corpus_ops
+from tenor.plans import bindings, models
 from tenor.plans.contract import r6, register
+from tenor.plans.oracle import tokens_sql, with_ctes
+from tenor.plans.oracle_fit import DEFS
+from tenor.plans.queries_scoring import class_table_sql
 from tenor.session import scratch_path
-from tenor.plans.oracle import hash_sql, tokens_sql, with_ctes
 
 
 def nb_train(spark, sf_dir):
@@ -109,111 +106,126 @@ def score_corpus_q(spark, sf_dir):
     return out.select("doc_id", "n_groups", "groups", r6("score").alias("score"), "prediction")
 
 
-# --------------------------------------------------------------------------- I3-I7 (Spark ML)
-# The fits run; what they report here is exact: the sizes of their training frames and
-# whether the fitted model beats the constant one, which SQL states as TRUE.
-
-_H = hash_sql("doc_id")
-_HS = hash_sql("doc_id", vocab.SAMPLE_SEED)
-_CUT = int(vocab.TEST_FRACTION * (1 << 32))
-_POOL = {"pool": "SELECT tone, min(doc_id) AS doc_id FROM corpus GROUP BY tone, text",
-         "prk": f"""
-    SELECT doc_id, tone, row_number() OVER (PARTITION BY tone ORDER BY {_HS}, doc_id) AS r,
-           count(*) OVER (PARTITION BY tone) AS n FROM pool""",
-         "teach": f"""
-    SELECT doc_id, tone, {_H} < {_CUT} AS test FROM prk
-    WHERE (SELECT count(DISTINCT tone) FROM pool) < 2 OR r <= (SELECT min(n) FROM prk)"""}
-_STUD = {"srk": f"""
-    SELECT doc_id, target, tone, row_number() OVER (PARTITION BY target, tone ORDER BY {_HS}, doc_id) AS r,
-           count(*) OVER (PARTITION BY target, tone) AS n FROM corpus""",
-         "sgr": """
-    SELECT target, min(CASE WHEN tone = 'hate' THEN n END) AS nh, min(CASE WHEN tone = 'neutral' THEN n END) AS nn
-    FROM srk GROUP BY target""",
-         "stud": f"""
-    SELECT srk.target, count_if(NOT {_H} < {_CUT}) AS n_train, count_if({_H} < {_CUT}) AS n_test,
-           count_if(NOT {_H} < {_CUT} AND tone = 'hate') AS n_hate
-    FROM srk JOIN sgr ON srk.target = sgr.target
-    WHERE srk.r <= CASE WHEN nh IS NOT NULL AND nn IS NOT NULL THEN least(nh, nn) ELSE n END GROUP BY srk.target"""}
-_FITTED = "coalesce(s.n_train > 0 AND s.n_hate > 0 AND s.n_hate < s.n_train, FALSE)"
-
-
-@register("fit_teacher", with_ctes("""
-SELECT CAST(count_if(NOT test) AS BIGINT) AS n_train, CAST(count_if(test) AS BIGINT) AS n_test, TRUE AS learns,
-       TRUE AS scored FROM teach""", "corpus", extra=_POOL))
+# --------------------------------------------------------------------------- I3-I7
+# The oracles fit the same models round by round in SQL (``oracle_fit``), so losses, metrics and scores are checked as such.
+
+
+def _fits(body: str, *names: str, extra: dict[str, str] | None = None) -> str:
+    return with_ctes(body, *names, extra=extra, replace=DEFS, keep=True)
+
+
+def _sizes_sql(rows: str, by: str = "") -> str:
+    return f"SELECT {by}CAST(count_if(train) AS BIGINT) AS n_train, CAST(count_if(NOT train) AS BIGINT) AS n_test FROM {rows}"
+
+
+_T, _A = vocab.DISTILL_TEMPERATURE, vocab.DISTILL_ALPHA
+_MIX = f"(1 - {_A!r}::DOUBLE) * ce + {_A * _T * _T!r}::DOUBLE * kl"
+
+
+@register("fit_teacher", _fits("""
+SELECT s.n_train, s.n_test, round((SELECT avg(nll) FROM t_scored), 6) AS loss, round(sum(tp) / sum(support), 6) AS accuracy,
+       round(sum(support * precision) / sum(support), 6) AS precision, round(sum(support * recall) / sum(support), 6) AS recall,
+       round(sum(support * f1) / sum(support), 6) AS f1
+FROM ct, n s GROUP BY s.n_train, s.n_test""", "corpus", "t_scored",
+                               extra={"ct": class_table_sql("t_scored", "gold", "prediction"), "n": _sizes_sql("t_rows")}))
 def fit_teacher_q(spark, sf_dir):
-    """Binary teacher over the balanced pooled corpus; frame sizes, and whether it learns."""
-    from tenor.plans import models
-    model, report = models.fit_teacher(bindings.corpus(spark, sf_dir))
-    return report.select("n_train", "n_test", F.lit(models.learns(model)).alias("learns"),
-                         F.col("accuracy").between(0, 1).alias("scored"))
+    """Binary teacher over the balanced pooled corpus: sizes, and loss and weighted metrics on the test part."""
+    report = models.fit_teacher(bindings.corpus(spark, sf_dir))[1]
+    return report.select("n_train", "n_test", *[r6(c).alias(c) for c in ("loss", "accuracy", "precision", "recall", "f1")])
 
 
-@register("fit_students", with_ctes(f"""
-SELECT g.target, CAST(coalesce(s.n_train, 0) AS BIGINT) AS n_train, CAST(coalesce(s.n_test, 0) AS BIGINT) AS n_test,
-       {_FITTED} AS fitted, {_FITTED} AND coalesce(s.n_test, 0) > 0 AS scored
-FROM groups g LEFT JOIN stud s ON g.target = s.target""", "corpus", "groups", extra=_STUD))
-def fit_students_q(spark, sf_dir):
-    """I4: one distilled student per group (alpha 0.25, T 2): sizes, fitted, scored."""
-    from tenor.plans import models
+def _distilled(spark, sf_dir):
+    """(corpus, students, their frame, report)."""
     c = bindings.corpus(spark, sf_dir)
-    teacher, _ = models.fit_teacher(c)
-    return models.fit_students(c, teacher)[1].select(
-        "target", "n_train", "n_test", "fitted", F.coalesce(F.col("accuracy").between(0, 1), F.lit(False)).alias("scored"))
+    return models.fit_students(c, models.fit_teacher(c)[0])
+
 
+_LAST = {"last": f"""
+    SELECT r.target, r.train, r.gold, l.ce, l.kl, l.prediction FROM s_scored l JOIN s_rows r ON l.rid = r.rid WHERE epoch = {models.ROUNDS}""",
+         "lost": f"SELECT target, avg(ce) AS ce, avg(kl) AS kl, avg({_MIX}) AS loss FROM last WHERE train GROUP BY target",
+         "ct": class_table_sql("(SELECT * FROM last WHERE NOT train)", "gold", "prediction", by="target"),
+         "seen": "SELECT target, sum(tp) / sum(support) AS accuracy, coalesce(max(CASE WHEN c = 1 THEN f1 END), 0.0) AS f1 FROM ct GROUP BY target",
+         "n": _sizes_sql("s_all GROUP BY target", "target, ")}
 
-@register("fit_router", with_ctes(f"""
-SELECT CAST(count(*) AS BIGINT) AS n_train, CAST(least(count(*), {vocab.HEAD_TEST_ROWS}) AS BIGINT) AS n_test, TRUE AS learns
-FROM (SELECT DISTINCT g.target_id, l.text FROM lines l JOIN groups g ON l.target = g.target)""", "lines", "groups"))
+
+@register("fit_students", _fits("""
+SELECT g.target, coalesce(n.n_train, 0) AS n_train, coalesce(n.n_test, 0) AS n_test, l.loss IS NOT NULL AS fitted,
+       round(l.ce, 6) AS ce, round(l.kl, 6) AS kl, round(l.loss, 6) AS loss, round(a.accuracy, 6) AS accuracy, round(a.f1, 6) AS f1
+FROM groups g LEFT JOIN n ON g.target = n.target LEFT JOIN lost l ON g.target = l.target LEFT JOIN seen a ON g.target = a.target""",
+                                "corpus", "groups", "s_scored", extra=_LAST))
+def fit_students_q(spark, sf_dir):
+    """I4: one student per group on (1 - a) CE + a T^2 KL (alpha 0.25, T 2): sizes, the parts of the training loss, test metrics."""
+    report = _distilled(spark, sf_dir)[2]
+    return report.select("target", "n_train", "n_test", "fitted", *[r6(c).alias(c) for c in ("ce", "kl", "loss", "accuracy", "f1")])
+
+
+@register("distill_rounds", _fits(f"""
+SELECT r.target, l.epoch, CASE WHEN r.train THEN 'train' ELSE 'test' END AS split, count(*) AS n, round(avg(ce), 6) AS ce,
+       round(avg(kl), 6) AS kl, round(avg({_MIX}), 6) AS loss
+FROM s_scored l JOIN s_rows r ON l.rid = r.rid GROUP BY r.target, l.epoch, r.train""", "corpus", "groups", "s_scored"))
+def distill_rounds_q(spark, sf_dir):
+    """D13 of every student after every round, from the stored weights of that round."""
+    model, frame, _ = _distilled(spark, sf_dir)
+    out = models.distill_rounds(frame, model)
+    return out.select("target", "epoch", "split", "n", *[r6(c).alias(c) for c in ("ce", "kl", "loss")])
+
+
+@register("fit_router", _fits("""
+SELECT (SELECT count(*) FROM r_rows) AS n_train, (SELECT count(*) FROM r_scored) AS n_test,
+       round(sum(tp) / sum(support), 6) AS accuracy, round(avg(f1), 6) AS macro_f1 FROM ct""", "lines", "groups", "r_scored",
+                              extra={"ct": class_table_sql("r_scored", "gold", "prediction")}))
 def fit_router_q(spark, sf_dir):
-    """11-class router with class weights over the group-id table."""
-    from tenor.operators import corpus as corpus_ops
-    from tenor.plans import models
-    model, report = models.fit_router(corpus_ops.gather_group_ids(bindings.lines(spark, sf_dir)))
-    return report.select("n_train", "n_test", F.lit(models.learns(model)).alias("learns"))
+    """11-class router with class weights over the group-id table; sizes, and metrics on the head test set."""
+    report = models.fit_router(corpus_ops.gather_group_ids(bindings.lines(spark, sf_dir)))[1]
+    return report.select("n_train", "n_test", r6("accuracy").alias("accuracy"), r6("macro_f1").alias("macro_f1"))
 
 
-@register("score_fitted", """
-SELECT doc_id, TRUE AS routed, TRUE AS weighted, TRUE AS scored FROM documents""")
+@register("score_fitted", _fits("""
+SELECT vec_id AS doc_id, n_groups, groups, round(score, 6) AS score, CAST(round(score, 12) > 0.5 AS INTEGER) AS prediction
+FROM scored""", "corpus", "lines", "scored"))
 def score_fitted_q(spark, sf_dir):
-    """Every document scored by the fitted router and students, saved and loaded first: one to
-    three groups, weights that sum to 1, a mixture between 0 and 1."""
-    from pyspark.ml.classification import LogisticRegressionModel
-
-    from tenor.operators import corpus as corpus_ops
-    from tenor.plans import models
-    c, path = bindings.corpus(spark, sf_dir), scratch_path(spark, "fitted")
-    teacher, _ = models.fit_teacher(c)
-    models.fit_students(c, teacher)[0].save(f"{path}/students")
-    router, _ = models.fit_router(corpus_ops.gather_group_ids(bindings.lines(spark, sf_dir)))
-    router.write().overwrite().save(f"{path}/router")
-    out = models.score_fitted(bindings.table(spark, sf_dir, "documents"), LogisticRegressionModel.load(f"{path}/router"),
-                              models.BlockModel.load(spark, f"{path}/students"))
-    return out.select("doc_id", F.col("n_groups").between(1, 3).alias("routed"),
-                      (F.abs(F.col("weight") - 1) < 1e-9).alias("weighted"), F.col("score").between(0, 1).alias("scored"))
+    """Every document scored by the fitted router and students, from the weights they stored."""
+    c = bindings.corpus(spark, sf_dir)
+    _, students, router = models.corpus_models(spark, c, corpus_ops.gather_group_ids(bindings.lines(spark, sf_dir)), scratch_path(spark, "fitted"))
+    out = models.score_fitted(bindings.table(spark, sf_dir, "documents"), router, students)
+    return out.select("doc_id", "n_groups", "groups", r6("score").alias("score"), "prediction")
 
 
 _ALPHAS = ", ".join(f"({i}, CAST({a} AS DOUBLE))" for i, a in enumerate(vocab.SWEEP_ALPHAS))
+_ST = vocab.SWEEP_TEMPERATURE
 
 
-@register("sweep", with_ctes(f"""
-SELECT 'hyper' || i AS config, alpha, CAST({vocab.SWEEP_TEMPERATURE} AS DOUBLE) AS temperature,
-       coalesce((SELECT {_FITTED} AND s.n_test > 0 FROM stud s WHERE s.target = '{vocab.SWEEP_GROUP}'), FALSE) AS scored
-FROM (VALUES {_ALPHAS}) v(i, alpha)""", "corpus", extra=_STUD))
+@register("sweep", _fits(f"""
+SELECT 'hyper' || v.i AS config, v.alpha, CAST({_ST} AS DOUBLE) AS temperature, round(l.loss, 6) AS loss,
+       round(a.accuracy, 6) AS accuracy, round(a.f1, 6) AS f1
+FROM (VALUES {_ALPHAS}) v(i, alpha) LEFT JOIN lost l ON v.i = l.block LEFT JOIN seen a ON v.i = a.block""", "corpus", "groups", "h_scored", extra={
+    "last": "SELECT r.block, r.alpha, r.gold, l.ce, l.kl, l.prediction FROM h_scored l JOIN h_rows r ON l.rid = r.rid WHERE NOT r.train",
+    "lost": f"SELECT block, avg((1 - alpha) * ce + alpha * {_ST * _ST!r}::DOUBLE * kl) AS loss FROM last GROUP BY block",
+    "ct": class_table_sql("last", "gold", "prediction", by="block"),
+    "seen": "SELECT block, sum(tp) / sum(support) AS accuracy, coalesce(max(CASE WHEN c = 1 THEN f1 END), 0.0) AS f1 FROM ct GROUP BY block"}))
 def sweep_q(spark, sf_dir):
-    """Nine alpha settings on one group (T 0.7), independent fits."""
-    from tenor.plans import models
+    """Nine alpha settings on one group (T 0.7), independent trials: test loss, accuracy and F1 of each."""
     c = bindings.corpus(spark, sf_dir)
-    teacher, _ = models.fit_teacher(c)
-    return models.sweep(c, teacher).select("config", "alpha", "temperature", F.coalesce(
-        F.col("accuracy").between(0, 1), F.lit(False)).alias("scored"))
+    out = models.sweep(c, models.fit_teacher(c)[0])
+    return out.select("config", "alpha", "temperature", *[r6(x).alias(x) for x in ("loss", "accuracy", "f1")])
+
+
+_SERIES_SQL = {"rows_": """
+    SELECT l.epoch, CASE WHEN r.train THEN 'train' ELSE 'eval' END AS mode, r.gold, l.prediction, l.ce, l.kl
+    FROM s_scored l JOIN s_rows r ON l.rid = r.rid""",
+               "keyed": "SELECT *, epoch || ':' || mode AS em FROM rows_",
+               "ct": class_table_sql("keyed", "gold", "prediction", by="em"),
+               "scores": "SELECT em, sum(tp) / sum(support) AS acc, avg(f1) AS f1 FROM ct GROUP BY em",
+               "series": f"""
+    SELECT k.epoch, k.mode, avg({_MIX}) AS loss, any_value(s.acc) AS acc, any_value(s.f1) AS f1
+    FROM keyed k JOIN scores s ON k.em = s.em GROUP BY k.epoch, k.mode"""}
 
 
-@register("evaluate_per_round", """
-SELECT CAST(e AS INTEGER) AS epoch, TRUE AS learns, TRUE AS scored FROM generate_series(1, 5) t(e)""")
+@register("evaluate_per_round", _fits("SELECT epoch, " + ", ".join(
+    f"round(max(CASE WHEN mode = '{m}' THEN {x} END), 6) AS {m}_{x}" for m in ("train", "eval") for x in ("loss", "acc", "f1"))
+    + " FROM series GROUP BY epoch", "corpus", "groups", "s_scored", extra=_SERIES_SQL))
 def evaluate_per_round_q(spark, sf_dir):
-    """Five rounds of refits: training loss below the constant model's, six series present."""
-    from tenor.plans import models
-    log = models.evaluate_per_round(bindings.corpus(spark, sf_dir))
-    scores = [F.col(c).between(0, 1) for c in ("train_acc", "train_f1", "eval_acc", "eval_f1")]
-    return log.select("epoch", (F.col("train_loss") < math.log(2)).alias("learns"),
-                      (scores[0] & scores[1] & scores[2] & scores[3] & (F.col("eval_loss") > 0)).alias("scored"))
+    """The distilled students after every round: six series from the stored weights of the rounds."""
+    model, frame, _ = _distilled(spark, sf_dir)
+    s = metrics.log_series(models.evaluate_rounds(frame, model))
+    return s.select("epoch", *[r6(c).alias(c) for c in s.columns if c != "epoch"])

@@ -7,7 +7,7 @@ from collections import Counter
 from pyspark.sql import functions as F
 
 from tenor import vocab
-from tenor.operators import naive_bayes
+from tenor.operators import gradient, naive_bayes
 from tenor.plans import bindings, models
 
 from tenor.session import scratch_path
@@ -55,29 +55,6 @@ def test_score_corpus_weights_and_coverage(spark):
     assert out.where((F.col("score") < 0) | (F.col("score") > 1)).count() == 0
 
 
-def test_soft_labels_alpha_zero_equals_plain_lr(spark):
-    """At alpha = 0 the doubled, weighted frame gives the coefficients of plain LR."""
-    from pyspark.ml.classification import LogisticRegression
-    from pyspark.ml.linalg import Vectors
-    pts = [(float(i % 2), Vectors.dense([i / 10.0, (i * 7 % 5) / 5.0]), 0.3) for i in range(40)]
-    df = spark.createDataFrame(pts, ["label", "features", "q1"])
-    df = df.withColumn("q0", 1 - F.col("q1"))
-    plain = LogisticRegression(maxIter=100, regParam=0.0, tol=1e-10).fit(df)
-    dbl = models.doubled(df, {"w": 0.0})
-    soft = LogisticRegression(maxIter=100, regParam=0.0, tol=1e-10, labelCol="dlabel", weightCol="w").fit(dbl)
-    assert all(abs(a - b) < 1e-3 for a, b in zip(plain.coefficients, soft.coefficients))
-
-
-def test_fits_run_and_report(spark):
-    c = bindings.corpus(spark, "/root/testdata/sf0.01")
-    teacher, rep = models.fit_teacher(c)
-    r = rep.first()
-    assert r["n_train"] > 0 and r["n_test"] > 0 and 0.0 <= r["accuracy"] <= 1.0
-    st = models.fit_students(c, teacher)[1].collect()
-    assert len(st) == len(vocab.GROUPS)
-    assert any(x["fitted"] for x in st)
-
-
 def test_nb_broadcast_and_shuffle_joins_agree(spark):
     """Without any broadcast the scores are the same, and empty or unknown texts sit with their documents."""
     c = bindings.corpus(spark, SF_SMALL)
@@ -99,80 +76,161 @@ def test_nb_broadcast_and_shuffle_joins_agree(spark):
     assert sum(per) == 500
 
 
-def test_fits_beat_the_majority(spark):
-    """Teacher, router, sweep and rounds on a corpus with a signal: better than the majority class."""
+def signal_corpus(spark, n=600):
     rows = []
-    for i in range(600):
+    for i in range(n):
         g, y = ("women", "jews", "asian")[i % 3], (i // 3) % 2
         rows.append((i, "hate" if y else "neutral", g, f"{'awful bad' if y else 'kind nice'} {g} word{i % 17} id{i}"))
-    c = spark.createDataFrame(rows, "doc_id long, tone string, target string, text string")
+    return spark.createDataFrame(rows, "doc_id long, tone string, target string, text string")
+
+
+def test_fits_beat_the_majority(spark):
+    """Teacher, students, router, sweep and rounds on a corpus with a signal: better than the majority class."""
+    c = signal_corpus(spark)
     model, report = models.fit_teacher(c)
-    assert report.first()["accuracy"] > 0.9 and models.learns(model)
-    fitted, students = models.fit_students(c, model)
+    r = report.first()
+    assert r["n_train"] + r["n_test"] == 600 and r["accuracy"] > 0.9 and r["loss"] < math.log(2)
+    fitted, frame, students = models.fit_students(c, model)
     students = {r["target"]: r for r in students.collect()}
+    assert len(students) == len(vocab.GROUPS)
     assert all(students[g]["fitted"] and students[g]["accuracy"] > 0.8 for g in ("women", "jews", "asian"))
-    assert not students["arab"]["fitted"]
+    assert not students["arab"]["fitted"] and students["arab"]["loss"] is None
     ids = c.join(vocab.groups_df(spark), "target").select("target_id", "text")
     router, rep = models.fit_router(ids)
-    assert rep.first()["accuracy"] > 0.6 and models.learns(router)  # three equal classes
-    path = scratch_path(spark, "t-students")
-    fitted.save(path)
-    score = lambda s: {r["doc_id"]: (r["n_groups"], r["score"], r["prediction"])
-                       for r in models.score_fitted(c, router, s).collect()}
-    scored = score(fitted)
-    assert scored == score(models.BlockModel.load(spark, path)) and len(scored) == 600
-    assert sum(scored[i][2] == (i // 3) % 2 for i in range(600)) > 500
+    assert rep.first()["accuracy"] > 0.6  # three equal classes
+    scored = {r["doc_id"]: r for r in models.score_fitted(c, router, fitted).collect()}
+    assert len(scored) == 600 and all(1 <= r["n_groups"] <= 3 for r in scored.values())
+    assert sum(scored[i]["prediction"] == (i // 3) % 2 for i in range(600)) > 500
     sweep = models.sweep(c, model, group="women").collect()
     assert len(sweep) == len(vocab.SWEEP_ALPHAS) and all(r["accuracy"] > 0.8 for r in sweep)
-    rounds = models.evaluate_per_round(c, 3).orderBy("epoch").collect()
-    assert [r["epoch"] for r in rounds] == [1, 2, 3] and rounds[2]["train_loss"] < rounds[0]["train_loss"] < math.log(2)
+    log = {(r["epoch"], r["mode"], r["metric"]): r["value"] for r in models.evaluate_rounds(frame, fitted).collect()}
+    assert len(log) == models.ROUNDS * 6 and log[5, "train", "loss"] < log[1, "train", "loss"]
+    assert all(models.sweep(c, model, group="arab").select("accuracy").first()[0] is None for _ in range(1))
 
 
-def test_block_totals_use_no_window(spark):
-    plans = []
-    listen = models.LogisticRegression.fit
-    def spy(self, data, *a):
-        plans.append(data._jdf.queryExecution().optimizedPlan().toString())
-        return listen(self, data, *a)
-    models.LogisticRegression.fit = spy
-    try:
-        df = spark.range(40).selectExpr("CAST(id % 2 AS INT) AS b", "1.0 AS w", "CAST(id % 4 > 1 AS DOUBLE) AS y",
-                                        "concat('t', id % 4) AS text")
-        models.fit_blocks(models.featurize(df, 16), "b", 2, "w", "y", 16)
-    finally:
-        models.LogisticRegression.fit = listen
-    assert plans and all("Window" not in p for p in plans)
+def _rows(spark, n=300, features=50, seed=1, blocks=3):
+    import numpy as np
+    rng = np.random.default_rng(seed)
+    out = []
+    for i in range(n):
+        idx = rng.integers(0, features, rng.integers(0, 12)).tolist()
+        out.append((i, int(rng.integers(blocks)), int(sum(idx) % 2), float(rng.uniform(0.5, 2)), idx, rng.normal(0, 2, 2).tolist()))
+    return spark.createDataFrame(out, "id long, block int, gold int, weight double, idx array<int>, teacher array<double>").repartition(5)
 
 
-def test_block_fit_equals_separate_fits(spark):
-    """The joint block-separable fit solves each block's own objective
-    (1/W_b) sum w logloss + reg/2 |beta|^2 over features [x, 1]; reference: Newton's
-    method per block in numpy."""
+def test_slopes_equal_finite_differences():
+    import numpy as np
+    rng = np.random.default_rng(2)
+    z, teacher = rng.normal(0, 3, (40, 2)), rng.normal(0, 3, (40, 2))
+    gold, block = rng.integers(0, 2, 40), rng.integers(0, 3, 40)
+    for loss in (gradient.cross_entropy, gradient.distillation(0.25, 2.0), gradient.distillation([0.1, 0.5, 0.9], 0.7)):
+        value, slope = loss(z, gold, teacher, block)
+        for k in range(2):
+            d = np.zeros((40, 2))
+            d[:, k] = 1e-6
+            got = (loss(z + d, gold, teacher, block)[0] - loss(z - d, gold, teacher, block)[0]) / 2e-6
+            assert np.abs(got - slope[:, k]).max() < 1e-6
+
+
+def test_summed_gradient_equals_finite_differences(spark):
+    import numpy as np
+    shape, loss = gradient.Shape(3, 2, 50), gradient.distillation(0.25, 2.0)
+    rows = _rows(spark)
+    w = np.random.default_rng(3).normal(0, 0.3, (3 * 51, 2))
+    g, lost, weight = gradient.gradient(rows, shape, loss, w)
+    data = rows.collect()
+    assert abs(weight.sum() - sum(r["weight"] for r in data)) < 1e-9
+
+    def plain(w):
+        """Mean loss by block, row by row."""
+        total = np.zeros(3)
+        for r in data:
+            at = [r["block"] * 51 + i for i in r["idx"]]
+            z = w[r["block"] * 51 + 50] + (w[at].sum(axis=0) / math.sqrt(len(at)) if at else 0)
+            total[r["block"]] += r["weight"] * loss(z[None], np.array([r["gold"]]), np.array([r["teacher"]]), np.array([r["block"]]))[0][0]
+        return total / weight
+
+    assert np.abs(lost - plain(w)).max() < 1e-9
+    for at, k in [(0, 0), (7, 1), (50, 0), (51 + 3, 1), (101, 1), (152, 0), (120, 0)]:
+        d = np.zeros_like(w)
+        d[at, k] = 1e-5
+        want = (plain(w + d) - plain(w - d))[at // 51] / 2e-5
+        assert abs(g[at, k] - want) < 1e-7
+
+
+def test_joint_fit_equals_separate_fits_and_any_partitioning(spark):
+    import numpy as np
+    loss = gradient.distillation(0.25, 2.0)
+    rows = _rows(spark).persist()
+    joint = gradient.fit(rows, gradient.Shape(3, 2, 50), loss, 4).weights(spark).reshape(3, 51, 2)
+    again = gradient.fit(rows.repartition(1), gradient.Shape(3, 2, 50), loss, 4).weights(spark).reshape(3, 51, 2)
+    assert np.abs(joint - again).max() < 1e-9
+    for b in range(3):
+        alone = rows.where(F.col("block") == b).withColumn("block", F.lit(0))
+        assert np.abs(gradient.fit(alone, gradient.Shape(1, 2, 50), loss, 4).weights(spark) - joint[b]).max() < 1e-9
+    plain = gradient.fit(rows, gradient.Shape(3, 2, 50), gradient.cross_entropy, 3).weights(spark)
+    assert np.abs(plain - gradient.fit(rows, gradient.Shape(3, 2, 50), gradient.distillation(0.0, 2.0), 3).weights(spark)).max() < 1e-9
+
+
+def test_interrupted_fit_goes_on(spark):
     import numpy as np
-    from pyspark.ml.functions import vector_to_array
-    from pyspark.ml.linalg import Vectors
-    pts = []
-    for i in range(60):
-        b = i % 2
-        x = [((i * 7) % 11) / 10.0, ((i * 3) % 5) / 4.0]
-        y = float((i * 13 + b) % 3 == 0)
-        pts.append((b, y, Vectors.dense(x), 0.5 + (i % 4) / 4.0))
-    df = spark.createDataFrame(pts, ["block", "label", "features", "w"])
-    reg = 0.1
-    predict = models.fit_blocks(df, "block", 2, "w", "label", 2, max_iter=200, reg=reg)
-    got = predict.transform(df).select("block", "features", F.get(vector_to_array("probability"), 1).alias("p")).collect()
-    for b in (0, 1):
-        rows_b = [p for p in pts if p[0] == b]
-        X = np.array([list(p[2]) + [1.0] for p in rows_b])
-        y = np.array([p[1] for p in rows_b])
-        w = np.array([p[3] for p in rows_b])
-        beta = np.zeros(X.shape[1])
-        for _ in range(50):
-            pr = 1 / (1 + np.exp(-X @ beta))
-            g = X.T @ (w * (pr - y)) / w.sum() + reg * beta
-            h = (X.T * (w * pr * (1 - pr))) @ X / w.sum() + reg * np.eye(X.shape[1])
-            beta -= np.linalg.solve(h, g)
-        ref = {tuple(p[2]): float(1 / (1 + np.exp(-np.append(list(p[2]), 1.0) @ beta))) for p in rows_b}
-        for r in got:
-            if r["block"] == b:
-                assert abs(r["p"] - ref[tuple(r["features"])]) < 1e-4
+    shape, loss, rows = gradient.Shape(3, 2, 50), gradient.distillation(0.25, 2.0), _rows(spark).persist()
+    whole = gradient.fit(rows, shape, loss, 5)
+    path = scratch_path(spark, "t-rounds")
+    calls = []
+
+    def counted(*a):
+        calls.append(1)
+        if len(calls) > 2:
+            raise RuntimeError("lost")
+        return real(*a)
+
+    real = gradient.gradient
+    gradient.gradient = counted
+    try:
+        gradient.fit(rows, shape, loss, 5, path=path)
+    except RuntimeError:
+        pass
+    finally:
+        gradient.gradient = real
+    spark.createDataFrame([], gradient.STATE).write.parquet(f"{path}/round-3")  # a round that was not written as a whole
+    calls.clear()
+    gradient.gradient = lambda *a: (calls.append(1), real(*a))[1]
+    try:
+        resumed = gradient.fit(rows, shape, loss, 5, path=path)
+    finally:
+        gradient.gradient = real
+    assert len(calls) == 3 and np.abs(resumed.weights(spark) - whole.weights(spark)).max() < 1e-9
+    series = lambda m: [(r.epoch, r.block, round(r.loss, 9)) for r in m.history(spark).orderBy("epoch", "block").collect()]
+    assert series(resumed) == series(whole) and len(series(whole)) == 15
+
+
+def test_rounds_follow_the_stored_logits(spark):
+    """D13 in DuckDB SQL over the stored logits of every round equals the loss each gradient was taken at."""
+    import duckdb
+    c = signal_corpus(spark, 240)
+    teacher, _ = models.fit_teacher(c)
+    model, frame, _ = models.fit_students(c, teacher)
+    path = scratch_path(spark, "t-scores")
+    models.round_scores(frame.where("split = 'train'"), model).select("epoch", "block", "gold", "logits", "teacher").write.parquet(path)
+    sql = f"""
+    WITH l AS (SELECT epoch, block, gold, logits[1] AS s0, logits[2] AS s1, teacher[1] AS t0, teacher[2] AS t1 FROM read_parquet('{path}/*.parquet')),
+    p AS (SELECT epoch, block, CASE WHEN gold = 1 THEN ln(1 + exp(s0 - s1)) ELSE ln(1 + exp(s1 - s0)) END AS ce,
+                 1 / (1 + exp((t0 - t1) / 2)) AS q, 1 / (1 + exp((s0 - s1) / 2)) AS u FROM l)
+    SELECT epoch, block, avg(0.75 * ce + 0.25 * 4 * (q * ln(q / u) + (1 - q) * ln((1 - q) / (1 - u)))) FROM p GROUP BY epoch, block"""
+    want = {(e, b): x for e, b, x in duckdb.sql(sql).fetchall()}
+    history = {(r["epoch"], r["block"]): r["loss"] for r in model.history(spark).collect()}
+    assert len(history) == 3 * models.ROUNDS
+    for (e, b), x in history.items():  # a round's gradient is taken at the weights of the round before
+        if e > 1:
+            assert abs(x - want[e - 1, b]) < 1e-9
+    assert all(want[e + 1, b] < want[e, b] for e, b in want if e < models.ROUNDS)
+
+
+def test_plan_of_routed_scoring_has_no_text_shuffle(spark):
+    c = signal_corpus(spark, 60)
+    teacher, _ = models.fit_teacher(c, rounds=1)
+    students = models.fit_students(c, teacher, rounds=1)[0]
+    router = models.fit_router(c.join(vocab.groups_df(spark), "target").select("target_id", "text"), rounds=1)[0]
+    plan = models.score_fitted(c, router, students)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(doc_id") == 1 and plan.count("Exchange") == 1
