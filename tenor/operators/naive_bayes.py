@@ -1,10 +1,10 @@
 """Multinomial Naive Bayes as relational jobs.
 
 Fitting is counting: tokens per (group, label), an aggregation with partial
-combine, then one row per token holding all 11 groups. Scoring counts (document,
-token) first, joins the known tokens to that model - Spark broadcasts the stored
-model when its bytes allow, else it shuffles and AQE splits a hot token - and sums
-per document; documents without a known token come from the document list.
+combine, then one row per token holding all 11 groups. Scoring has two ways, chosen by the counted
+bytes of the model: packed as arrays and broadcast (texts and tokens never leave their task), or
+joined as a table to (document, token) counts. Either way the router comes first and
+only the groups it retains are asked.
 
 Experts (one per group, hate vs neutral), add-one smoothing over the group's
 distinct tokens V_g:
@@ -21,9 +21,14 @@ long documents from saturating the softmax.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tenor import vocab
 from tenor.functions import probs
@@ -32,6 +37,7 @@ from tenor.operators import routing
 from tenor.session import scratch_path, shared_dir
 
 G = len(vocab.GROUPS)
+PACK_BYTES = 128 << 20  # largest model that is collected and broadcast as arrays
 
 
 def token_counts(train: DataFrame) -> DataFrame:
@@ -128,37 +134,138 @@ def nb_fit(train: DataFrame, path: str | None = None) -> dict:
     return {"path": path, "counts": counts, "dense": dense.select(*model_cols), "const": const}
 
 
-def doc_sums(docs: DataFrame, model: dict, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, n_x, sa ARRAY[11], k ARRAY[11], sr ARRAY[11]) for every document, also those
-    without a known token (from the document list). Texts are dealt by document once,
-    so counting and summing need no further shuffle while the model is broadcast."""
-    tf = (docs.select(key, text).repartition(key).select(key, F.explode(tokens(text)).alias("token"))
-          .groupBy(key, "token").agg(F.count(F.lit(1)).alias("_tf")))
-    j = tf.join(model["dense"], "token")
-    aggs = [F.sum("_tf").alias("n_x")]
-    for i in range(G):
-        aggs += [F.sum(F.col("_tf") * F.col(f"{p}{i}")).alias(f"_s{p}{i}") for p in ("a", "k", "r")]
-    known = j.groupBy(key).agg(*aggs)
-    s = docs.select(key).distinct().join(known, key, "left")
-    s = s.select(key, F.coalesce("n_x", F.lit(0)).alias("n_x"),
-                 *[F.coalesce(f"_sa{i}", F.lit(0.0)).alias(f"_sa{i}") for i in range(G)],
-                 *[F.coalesce(f"_sk{i}", F.lit(0)).alias(f"_k{i}") for i in range(G)],
-                 *[F.coalesce(f"_sr{i}", F.lit(0.0)).alias(f"_sr{i}") for i in range(G)])
-    return s.select(key, "n_x",
-                    F.array(*[F.col(f"_sa{i}") for i in range(G)]).alias("sa"),
-                    F.array(*[F.col(f"_k{i}") for i in range(G)]).alias("k"),
-                    F.array(*[F.col(f"_sr{i}") for i in range(G)]).alias("sr"))
+# --------------------------------------------------------------------------- the packed model
 
 
-def _lit_array(values: list[float]):
-    return F.array(*[F.lit(float(v)) for v in values])
+class Packed:
+    """The model as arrays: tokens, and per token the router's and the experts' weights of every group."""
 
+    def __init__(self, dense: pa.Table):
+        column = lambda p: np.stack([dense.column(f"{p}{g}").to_numpy() for g in range(G)], axis=1)
+        self.tokens = dense.column("token").combine_chunks()
+        self.router, self.expert, self.known = column("r"), column("a"), column("k").astype(bool)
 
-def expert_logits(sums: DataFrame, const: dict):
-    """ARRAY<DOUBLE>[11] expert logits from :func:`doc_sums`."""
-    pl, kc = _lit_array(const["prior_logit"]), _lit_array(const["kconst"])
-    return F.transform(F.sequence(F.lit(0), F.lit(G - 1)),
-                       lambda i: F.get(pl, i) + F.get(F.col("sa"), i) + F.get(F.col("k"), i) * F.get(kc, i))
+    def ids(self, tokens: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of the model's tokens in a column of token lists, row of each)."""
+        found = pc.index_in(tokens.flatten(), self.tokens)
+        row = np.repeat(np.arange(len(tokens)), tokens.value_lengths().fill_null(0).to_numpy())
+        have = found.is_valid().to_numpy(zero_copy_only=False)
+        return found.drop_null().to_numpy(), row[have]
+
+    def sums(self, values: np.ndarray, ids: np.ndarray, row: np.ndarray, n: int) -> np.ndarray:
+        """(n, groups): the tokens' rows of ``values`` added up by document."""
+        return np.stack([np.bincount(row, weights=values[ids, g], minlength=n) for g in range(values.shape[1])], axis=1)
+
+
+def pack(model: dict, limit: int | None = None) -> Packed | None:
+    """The model as arrays for a broadcast, or None when its stored rows exceed ``limit`` bytes (PACK_BYTES):
+    then scoring joins the stored table instead. The size is counted before anything is collected."""
+    limit = PACK_BYTES if limit is None else limit
+    size = model["dense"].agg(F.sum(F.octet_length("token") + 8 + G * 17)).first()[0] or 0
+    return Packed(model["dense"].toArrow()) if size <= limit else None
+
+
+def _doubles(values: np.ndarray) -> pa.Array:
+    flat = pa.array(np.ascontiguousarray(values, np.float64).ravel())
+    return pa.ListArray.from_arrays(pa.array(np.arange(len(values) + 1, dtype=np.int32) * values.shape[1]), flat)
+
+
+def _token_lists(docs: DataFrame, key: str, text: str) -> DataFrame:
+    return docs.select(F.col(key).alias("_key"), tokens(F.coalesce(F.col(text), F.lit(""))).alias("_tokens"))
+
+
+def routing_pass(docs: DataFrame, shared, const: dict, key: str, text: str = "text") -> DataFrame:
+    """(key, p ARRAY[11], ids ARRAY<INT>): a document's known tokens as ids and the router's probabilities, row by row."""
+    lp, ld = np.array(const["log_prior"]), np.array(const["log_denom"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            packed, n = shared.value, batch.num_rows
+            ids, row = packed.ids(batch.column("_tokens"))
+            n_x = np.bincount(row, minlength=n)
+            z = (lp + packed.sums(packed.router, ids, row, n) - n_x[:, None] * ld) / np.maximum(n_x, 1)[:, None]
+            p = np.exp(z - z.max(axis=1, keepdims=True, initial=-np.inf))
+            lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(n_x))).astype(np.int32)), pa.array(ids.astype(np.int32)))
+            yield pa.RecordBatch.from_arrays([batch.column("_key"), _doubles(p / p.sum(axis=1, keepdims=True)), lists], names=[key, "p", "ids"])
+
+    rows = _token_lists(docs, key, text)
+    kind = rows.schema["_key"].dataType.simpleString()
+    return rows.mapInArrow(run, f"`{key}` {kind}, p array<double>, ids array<int>")
+
+
+def all_experts(docs: DataFrame, shared, const: dict, key: str, text: str = "text") -> DataFrame:
+    """(key, logits ARRAY[11]): every expert's answer on every document, row by row."""
+    prior, shift = np.array(const["prior_logit"]), np.array(const["kconst"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            packed = shared.value
+            ids, row = packed.ids(batch.column("_tokens"))
+            values = np.where(packed.known, packed.expert + shift, 0.0)
+            yield pa.RecordBatch.from_arrays([batch.column("_key"), _doubles(prior + packed.sums(values, ids, row, batch.num_rows))],
+                                             names=[key, "logits"])
+
+    rows = _token_lists(docs, key, text)
+    return rows.mapInArrow(run, f"`{key}` {rows.schema['_key'].dataType.simpleString()}, logits array<double>")
+
+
+def expert_pass(pairs: DataFrame, shared, const: dict) -> DataFrame:
+    """Adds ``logit`` to (..., idx, ids): the answer of expert ``idx``; drops ids. Only the pairs given are evaluated."""
+    keep = [c for c in pairs.columns if c != "ids"]
+    schema = T.StructType([pairs.schema[c] for c in keep] + [T.StructField("logit", T.DoubleType())])
+    prior, shift = np.array(const["prior_logit"]), np.array(const["kconst"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            packed, column = shared.value, lambda c: batch.column(batch.schema.get_field_index(c))  # noqa: B023
+            group, lists = column("idx").to_numpy(), column("ids")
+            row = np.repeat(np.arange(batch.num_rows), lists.value_lengths().to_numpy())
+            ids, g = lists.flatten().to_numpy(), group[row]
+            known = packed.known[ids, g]
+            terms = np.where(known, packed.expert[ids, g] + shift[g], 0.0)
+            logit = prior[group] + np.bincount(row, weights=terms, minlength=batch.num_rows)
+            yield pa.RecordBatch.from_arrays([*(column(c) for c in keep), pa.array(logit)], names=schema.names)
+
+    return pairs.mapInArrow(run, schema)
+
+
+# --------------------------------------------------------------------------- the joined model
+
+
+def doc_tokens(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(key, token, n): tokens counted per document, in the map stage first; a document without tokens
+    has one row with the empty token, which no model holds."""
+    occ = docs.select(key, F.explode_outer(tokens(text)).alias("token"))
+    return (occ.groupBy(key, F.coalesce("token", F.lit("")).alias("token"))
+            .agg(F.sum(F.col("token").isNotNull().cast("int")).alias("_tf")))
+
+
+def router_sums(counted: DataFrame, model: dict, key: str = "doc_id") -> DataFrame:
+    """(key, n_x, sr ARRAY[11]) for every document of :func:`doc_tokens`; tokens outside the model add nothing."""
+    dense = model["dense"].select(F.col("token").alias("_t"), *[f"r{g}" for g in range(G)])
+    met = counted.join(dense, F.col("token") == F.col("_t"), "left")
+    sums = [F.coalesce(F.sum(F.col("_tf") * F.col(f"r{g}")), F.lit(0.0)) for g in range(G)]
+    return met.groupBy(key).agg(F.coalesce(F.sum(F.when(F.col("_t").isNotNull(), F.col("_tf"))), F.lit(0)).alias("n_x"),
+                                F.array(*sums).alias("sr"))
+
+
+def pair_logits(counted: DataFrame, pairs: DataFrame, model: dict, key: str = "doc_id") -> DataFrame:
+    """(key, idx, weight, rank, logit) of the (key, idx, weight, rank) pairs: their documents' counted tokens
+    met with the part of the model that belongs to the pair's group."""
+    const = model["const"]
+    part = model["dense"].select(F.col("token").alias("_t"), F.explode(F.array(*[
+        F.struct(F.lit(g).alias("g"), F.col(f"k{g}").alias("k"), F.col(f"a{g}").alias("a")) for g in range(G)])).alias("m")).where("m.k = 1")
+    met = (pairs.join(counted, key).join(part.select("_t", F.col("m.g").alias("_g"), "m.a"),
+                                         (F.col("token") == F.col("_t")) & (F.col("idx") == F.col("_g")), "left"))
+    by = [c for c in pairs.columns]
+    sums = met.groupBy(*by).agg(F.coalesce(F.sum(F.col("_tf") * F.col("a")), F.lit(0.0)).alias("_a"),
+                                F.coalesce(F.sum(F.when(F.col("_t").isNotNull(), F.col("_tf"))), F.lit(0)).alias("_k"))
+    at = lambda values: F.get(_lit_array(values), F.col("idx"))
+    return sums.select(*by, (at(const["prior_logit"]) + F.col("_a") + F.col("_k") * at(const["kconst"])).alias("logit"))
+
+
+def _lit_array(values: list[float]):
+    return F.array(*[F.lit(float(v)) for v in values])
 
 
 def router_scores(const: dict):
@@ -169,27 +276,53 @@ def router_scores(const: dict):
                        lambda i: (F.get(lp, i) + F.get(F.col("sr"), i) - F.col("n_x") * F.get(ld, i)) / n)
 
 
-def nb_score(docs: DataFrame, model: dict, key: str = "doc_id") -> DataFrame:
+def nb_score(docs: DataFrame, model: dict, key: str = "doc_id", limit: int | None = None) -> DataFrame:
     """(key, target, p_hate) for every document and group."""
-    s = doc_sums(docs, model, key)
-    el = expert_logits(s, model["const"])
-    out = s.select(key, F.posexplode(el).alias("target_id", "logit"))
-    return out.select(key, F.get(vocab.groups_array(), F.col("target_id")).alias("target"),
+    packed = pack(model, limit)
+    groups = F.explode(F.sequence(F.lit(0), F.lit(G - 1))).alias("idx")
+    if packed is not None:
+        shared = docs.sparkSession.sparkContext.broadcast(packed)
+        out = all_experts(docs, shared, model["const"], key).select(key, F.posexplode("logits").alias("idx", "logit"))
+    else:
+        counted = stored_counts(docs, key)
+        out = pair_logits(counted, counted.select(key).distinct().select(key, groups), model, key)
+    return out.select(key, F.get(vocab.groups_array(), F.col("idx")).alias("target"),
                       (F.lit(1.0) / (F.lit(1.0) + F.exp(-F.col("logit")))).alias("p_hate"))
 
 
-def score_corpus(docs: DataFrame, model: dict, key: str = "doc_id", threshold: float = 0.5, **kw) -> DataFrame:
-    """Routed mixture with fitted parts: NB router -> top groups -> NB experts."""
-    s = doc_sums(docs, model, key)
-    staged = (s.select(key, expert_logits(s, model["const"]).alias("el"),
-                       router_scores(model["const"]).alias("_rs"))
-              .withColumn("_p", probs.softmax("_rs")))
-    scored = routing.add_routing(staged, "_p", "kept").select(key, "kept", "el")
-    score = F.aggregate("kept", F.lit(0.0), lambda acc, k: acc + k["weight"] / (
-        F.lit(1.0) + F.exp(-F.get(F.col("el"), k["idx"]))))
-    return scored.select(
-        key,
-        F.size("kept").cast("bigint").alias("n_groups"),
-        F.array_join(probs.group_names(F.transform("kept", lambda k: k["idx"])), ",").alias("groups"),
-        score.alias("score"),
-        (score > F.lit(threshold)).cast("int").alias("prediction"))
+def stored_counts(docs: DataFrame, key: str) -> DataFrame:
+    """:func:`doc_tokens`, written to the shared folder: both passes over a model that is joined read it."""
+    path = scratch_path(docs.sparkSession, "doc-tokens")
+    counted = doc_tokens(docs, key)
+    counted.write.parquet(path)
+    return docs.sparkSession.read.schema(counted.schema).parquet(path)
+
+
+def retained_pairs(routed: DataFrame, *keep: str) -> DataFrame:
+    """(keep..., rank, idx, weight): the groups the router retains (E3, E4), from its probabilities ``p``."""
+    kept = routing.add_routing(routed, "p", "kept").select(*keep, F.posexplode("kept").alias("rank", "k"))
+    return kept.select(*keep, "rank", F.col("k.idx").cast("int").alias("idx"), F.col("k.weight").alias("weight"))
+
+
+def score_corpus(docs: DataFrame, model: dict, key: str = "doc_id", threshold: float = 0.5, limit: int | None = None) -> DataFrame:
+    """Routed mixture with fitted parts: NB router -> top groups -> NB experts of those groups only.
+
+    While the packed model fits a broadcast, texts stay where they are read: tokens become ids and router sums
+    row by row, and the retained (document, group) pairs carry the ids to their expert; the one exchange
+    adds up at most three numbers per document. A larger model is joined to the counted tokens instead, first
+    for the router, then for the pairs."""
+    packed = pack(model, limit)
+    if packed is not None:
+        shared = docs.sparkSession.sparkContext.broadcast(packed)
+        routed = routing_pass(docs, shared, model["const"], key).withColumn("_row", F.monotonically_increasing_id())
+        asked, by = expert_pass(retained_pairs(routed, key, "_row", "ids"), shared, model["const"]), [key, "_row"]
+    else:
+        counted = stored_counts(docs, key)
+        scores = router_sums(counted, model, key).withColumn("_rs", router_scores(model["const"]))
+        asked, by = pair_logits(counted, retained_pairs(scores.withColumn("p", probs.softmax("_rs")), key), model, key), [key]
+    names = F.array_sort(F.collect_list(F.struct("rank", F.get(vocab.groups_array(), F.col("idx")).alias("g"))))  # three at most
+    score = F.sum(F.col("weight") / (F.lit(1.0) + F.exp(-F.col("logit"))))
+    out = asked.groupBy(*by).agg(F.count(F.lit(1)).alias("n_groups"), F.array_join(F.transform(names, lambda x: x["g"]), ",").alias("groups"),
+                                 score.alias("score"))
+    # a group without training rows answers 0.5: a score above the threshold by rounding only does not count
+    return out.select(key, "n_groups", "groups", "score", (F.round("score", 12) > F.lit(threshold)).cast("int").alias("prediction"))

@@ -127,13 +127,10 @@ def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def wide_columns() -> dict[str, list[int]]:
-    """Survey positions re-based on the binding: positions >= 63 are the score or
-    absent, disabilities 67..74 become 0..7."""
-    out = {}
-    for grp, cols in vocab.SURVEY_COLUMNS.items():
-        kept = [c - 67 if c >= 67 else c for c in cols if c < 63 or c >= 67]
-        out[grp] = kept
-    return out
+    """Survey positions re-based on the binding's 64 columns: positions from 63 on (63 is the score here, the others do not
+    exist) go to columns no group uses, the disabilities 67..74 to 0..7 and 63, 65, 66 of ``others`` to 8, 9, 10."""
+    free = {63: 8, 65: 9, 66: 10, **{p: p - 67 for p in range(67, 75)}}
+    return {grp: [free.get(c, c) for c in cols] for grp, cols in vocab.SURVEY_COLUMNS.items()}
 
 
 def indicator_name(i: int) -> str:

@@ -212,12 +212,13 @@ def score_threshold_split_q(spark, sf_dir):
     return out.select("vec_id", "text", r6("hate_speech_score").alias("hate_speech_score"), "tone")
 
 
-def _wide_dim_sql() -> str:
-    rows = [(p, g) for g, ps in bindings.wide_columns().items() for p in ps]
-    return "SELECT * FROM " + vocab.sql_values(rows, ["col_pos", "target"])
-
-
-_MELT_SQL = {"wdim": _wide_dim_sql(), "melt": f"""
+# The oracle's own statement of the binding (column of the 64 values, group), apart from the code's map.
+_WIDE_SQL = """
+SELECT unnest(cols) AS col_pos, target FROM (VALUES
+  ([51], 'women'), ([35], 'jews'), ([22], 'asian'), ([23], 'black'), ([47, 48, 49, 50, 54, 55, 56], 'lgbtq'), ([24], 'latino'),
+  ([37], 'muslim'), ([26, 27], 'indigenous'), ([25], 'arab'), ([0, 1, 2, 3, 4, 5, 6, 7], 'disabilities'),
+  ([28, 29, 30, 31, 32, 33, 34, 36, 38, 39, 40, 41, 42, 43, 44, 45, 46, 52, 53, 57, 58, 59, 60, 61, 62, 8, 9, 10], 'others')) t(cols, target)"""
+_MELT_SQL = {"wdim": _WIDE_SQL, "melt": f"""
     SELECT e.vec_id, 'v' || CAST(e.vec_id AS VARCHAR) AS text, e.embedding[64]::DOUBLE * 5.0 AS hate_speech_score,
            d.col_pos, d.target
     FROM embeddings e JOIN wdim d ON e.embedding[d.col_pos + 1]::DOUBLE > {bindings.INDICATOR_THRESHOLD}"""}

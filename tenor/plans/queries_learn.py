@@ -20,8 +20,10 @@ def nb_train(spark, sf_dir):
 
 
 def nb_docs(spark, sf_dir):
-    """Documents to score: every document, whole text."""
-    return bindings.table(spark, sf_dir, "documents").select("doc_id", "text")
+    """Documents to score: every document, whole text. Scoring shuffles no text, so a table of a few files or
+    row groups, which would keep a few cores busy, is dealt out first; a large one has splits enough."""
+    docs, cores = bindings.table(spark, sf_dir, "documents").select("doc_id", "text"), spark.sparkContext.defaultParallelism
+    return docs.repartition(2 * cores) if docs.rdd.getNumPartitions() < 4 * cores else docs
 
 
 _NB = {
@@ -97,7 +99,7 @@ _I9_LONG = (("el",), """
 
 
 @register("score_corpus", with_ctes("""
-SELECT vec_id AS doc_id, n_groups, groups, round(score, 6) AS score, CAST(score > 0.5 AS INTEGER) AS prediction
+SELECT vec_id AS doc_id, n_groups, groups, round(score, 6) AS score, CAST(round(score, 12) > 0.5 AS INTEGER) AS prediction
 FROM scored""", "scored", replace=dict(_NB_DEFS, proba_long=_I9_LONG)))
 def score_corpus_q(spark, sf_dir):
     """Routed mixture over documents with fitted NB router and experts."""

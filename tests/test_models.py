@@ -55,25 +55,52 @@ def test_score_corpus_weights_and_coverage(spark):
     assert out.where((F.col("score") < 0) | (F.col("score") > 1)).count() == 0
 
 
-def test_nb_broadcast_and_shuffle_joins_agree(spark):
-    """Without any broadcast the scores are the same, and empty or unknown texts sit with their documents."""
+def _nb_case(spark):
     c = bindings.corpus(spark, SF_SMALL)
     train = c.select("target", (F.col("tone") == "hate").cast("int").alias("label"), "text")
     docs = bindings.table(spark, SF_SMALL, "documents").select("doc_id", "text").unionByName(
-        spark.range(900, 1400).selectExpr("id AS doc_id", "IF(id % 2 = 0, '', 'zzunknown') AS text"))
-    model = naive_bayes.nb_fit(train)
-    a = {(r["doc_id"], r["target"]): r["p_hate"] for r in naive_bayes.nb_score(docs, model).collect()}
-    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        sums = naive_bayes.doc_sums(docs, model)
-        b = {(r["doc_id"], r["target"]): r["p_hate"] for r in naive_bayes.nb_score(docs, model).collect()}
-        assert "BroadcastHashJoin" not in sums._jdf.queryExecution().executedPlan().toString()
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
-    assert a.keys() == b.keys() and all(abs(a[k] - b[k]) < 1e-9 for k in a)
-    per = [r["count"] for r in sums.where("doc_id >= 900").groupBy(F.spark_partition_id()).count().collect()]
-    assert sum(per) == 500
+        spark.range(900, 1400).selectExpr("id AS doc_id", "IF(id % 3 = 0, NULL, IF(id % 2 = 0, '', 'zzunknown')) AS text"))
+    return docs, naive_bayes.nb_fit(train)
+
+
+def test_nb_packed_and_joined_models_agree(spark):
+    """The broadcast arrays and the joined table give the same scores, also of null, empty and unknown texts."""
+    docs, model = _nb_case(spark)
+    score = lambda n: {(r["doc_id"], r["target"]): r["p_hate"] for r in naive_bayes.nb_score(docs, model, limit=n).collect()}
+    a, b = score(None), score(0)
+    assert len(a) == 11 * docs.count() and a.keys() == b.keys() and all(abs(a[k] - b[k]) < 1e-9 for k in a)
+    whole = lambda n: {r["doc_id"]: tuple(r)[1:] for r in naive_bayes.score_corpus(docs, model, limit=n).collect()}
+    a, b = whole(None), whole(0)
+    assert a.keys() == b.keys() and all(a[k][:2] == b[k][:2] and a[k][3] == b[k][3] and abs(a[k][2] - b[k][2]) < 1e-9 for k in a)
+
+
+def _nodes(plan):
+    """(name, own text, rows out) of every node of an executed plan."""
+    out, seq = [], plan.children()
+    if plan.nodeName() == "AdaptiveSparkPlan":
+        return _nodes(plan.executedPlan())
+    if plan.nodeName().endswith("QueryStage"):
+        return _nodes(plan.plan())
+    m = plan.metrics().get("numOutputRows")
+    out.append((plan.nodeName(), plan.verboseString(1000), m.get().value() if m.isDefined() else None))
+    for i in range(seq.size()):
+        out += _nodes(seq.apply(i))
+    return out
+
+
+def test_experts_meet_retained_pairs_only_and_no_text_moves(spark):
+    """Rows that reach the experts = rows of E3 (from the plan's metrics); the exchange holds neither texts nor tokens."""
+    docs, model = _nb_case(spark)
+    for limit in (None, 0):
+        out = naive_bayes.score_corpus(docs, model, limit=limit)
+        want = sum(r["n_groups"] for r in out.collect())
+        nodes = _nodes(out._jdf.queryExecution().executedPlan())
+        pairs = [n for name, text, n in nodes if name == "Generate" and "posexplode" in text]
+        assert pairs and set(pairs) == {want}
+        if limit is None:
+            moved = [text for name, text, _ in nodes if name == "Exchange"]
+            assert len(moved) == 1 and "hashpartitioning(doc_id" in moved[0]
+    assert want < 11 * docs.count() / 3
 
 
 def signal_corpus(spark, n=600):
