@@ -31,6 +31,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def shielded(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """The frame with its columns renamed by place (own_0, own_1, ...), and the new name of each, so that no
+    column of the caller's can meet one that an operator adds."""
+    return df.toDF(*[f"own_{i}" for i in range(len(df.columns))]), {c: f"own_{i}" for i, c in enumerate(df.columns)}
+
+
+def unshielded(names: dict[str, str], drop: tuple[str, ...] = ()) -> list[Column]:
+    """The caller's columns under their own names again, without those that the result defines anew."""
+    return [F.col(own).alias(c) for c, own in names.items() if c not in drop]
+
+
 def row_hash(docs: DataFrame) -> Column:
     """One key per distinct row, from all its columns; never null. Equal rows share it."""
     return F.xxhash64(*[x for c in docs.columns for x in (F.col(c), F.col(c).isNull())])

@@ -1,16 +1,12 @@
 """Sharding by a hierarchical weighted hash tree (DataFrame functions only).
 
-The tree has regions, racks and shards. At every level each child draws
-``-ln(u) / weight`` with ``u`` from a hash of (level, child, doc_id), and the
-smallest draw wins; weights of inner nodes are the sums below them. A draw
-depends on nothing but the child's own weight, so a weight change moves rows
-only into (or out of) the subtrees whose weights change.
-
-``topology(n)``: a region holds up to 2 racks x 5 shards. Growth past a full
-region opens a region of its own, so from 40 to 41 shards only the new
-region's weight changes (from nothing) and rows move only into the new shard.
-Inside a partly filled region a further shard also re-draws that region's new rows
-among its shards: movement stays inside the subtree.
+The tree has regions, racks and shards. A shard draws ``-ln(u) / weight`` with ``u`` from a hash of (shard,
+doc_id); an inner node's draw is the least draw below it, which is a draw of the summed weight. A
+row descends to the child with the smallest draw at every level. So a draw depends on nothing but the
+shard's own weight: a changed weight moves rows only into or out of that shard, and one more shard takes rows only into
+itself, at any count. A row makes one draw per shard; descending compares them node by node.
+
+``topology(n)``: a region holds up to 2 racks x 5 shards.
 
 Law: ``key`` - doc_id and the shard count decide. A null doc_id draws as the
 string ``null``; equal doc_ids share a shard. Slots are gapless per shard:
@@ -26,6 +22,8 @@ from collections import defaultdict
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tenor.llm.blocks import shielded, unshielded
+
 RACKS, SHARDS = 2, 5
 SHARD_COUNT = 40
 ROWS_PER_BUCKET = 10_000
@@ -37,42 +35,42 @@ def topology(n: int) -> list[tuple[int, int, int, float]]:
     return [(s // (RACKS * SHARDS), s // SHARDS, s, 1.0) for s in range(n)]
 
 
-def draw(level: str, child: Column, weight: Column, key: Column) -> Column:
+def draw(shard: Column, weight: Column, key: Column) -> Column:
     """Exponential draw of rate ``weight`` from a 53-bit hash."""
-    h = F.xxhash64(F.concat(F.lit(f"{level}:"), child.cast("string"), F.lit(":"), key))
+    h = F.xxhash64(F.concat(F.lit("shard:"), shard.cast("string"), F.lit(":"), key))
     return -F.log((h.bitwiseAND(F.lit((1 << 53) - 1)).cast("double") + 0.5) / F.lit(float(1 << 53))) / weight
 
 
-def _nodes(children: dict[int, float]) -> Column:
-    return F.array(*[F.struct(F.lit(c).alias("id"), F.lit(float(w)).alias("w")) for c, w in sorted(children.items())])
-
-
-def _choose(level: str, children: Column, key: Column) -> Column:
-    """Child with the smallest draw (ties: the smaller child)."""
-    return F.array_min(F.transform(children, lambda c: F.struct(
-        draw(level, c["id"], c["w"], key).alias("d"), c["id"].alias("c"))))["c"]
+def _choose(draws: Column, nodes: Column) -> Column:
+    """(id, lo, n) of the child with the smallest draw (ties: the smaller child); a child is its range of ``draws``."""
+    return F.array_min(F.transform(nodes, lambda c: F.struct(
+        F.array_min(F.slice(draws, c["lo"], c["n"])).alias("d"), c["id"], c["lo"], c["n"])))
 
 
 def assign(df: DataFrame, key: str, tree: list[tuple[int, int, int, float]], out: str) -> DataFrame:
-    """Add ``out``: the shard reached by descending region, rack and shard. Row-local; a
-    row draws only among the children of the nodes it passes."""
-    regions: dict[int, float] = defaultdict(float)
-    racks: dict[int, dict[int, float]] = defaultdict(lambda: defaultdict(float))
-    shards: dict[int, dict[int, float]] = defaultdict(dict)
-    for region, rack, shard, weight in tree:
-        if weight > 0:
-            regions[region] += weight
-            racks[region][rack] += weight
-            shards[rack][shard] = weight
-    k = F.coalesce(F.col(key).cast("string"), F.lit("null"))
+    """Add ``out``: the shard reached by descending region, rack and shard. Row-local. The frame
+    must hold no columns named _draws, _region or _rack."""
+    leaves = sorted(leaf for leaf in tree if leaf[3] > 0)
+
+    def nodes(level: int, inside: int | None = None) -> Column:
+        """The nodes of a level below a parent, as ranges of the leaves (from 1)."""
+        found: dict[int, list[int]] = defaultdict(list)
+        for place, leaf in enumerate(leaves, 1):
+            if inside is None or leaf[level - 1] == inside:
+                found[leaf[level]].append(place)
+        return F.array(*[F.struct(F.lit(c).alias("id"), F.lit(at[0]).alias("lo"), F.lit(len(at)).alias("n")) for c, at in sorted(found.items())])
+
+    def below(level: int, at: str) -> Column:
+        parents = sorted({leaf[level - 1] for leaf in leaves})
+        table = F.create_map(*[x for p in parents for x in (F.lit(p), nodes(level, p))])
+        return _choose(F.col("_draws"), F.element_at(table, F.col(f"{at}.id")))
 
-    def below(level: str, at: str, nodes: dict[int, dict[int, float]]) -> Column:
-        table = F.create_map(*[x for n, c in sorted(nodes.items()) for x in (F.lit(n), _nodes(c))])
-        return _choose(level, F.element_at(table, F.col(at)), k)
-
-    df = df.withColumn("_region", _choose("region", _nodes(regions), k))
-    df = df.withColumn("_rack", below("rack", "_region", racks))
-    return df.withColumn(out, below("shard", "_rack", shards).cast("int")).drop("_region", "_rack")
+    k = F.coalesce(F.col(key).cast("string"), F.lit("null"))
+    drawn = F.transform(F.array(*[F.struct(F.lit(s).alias("s"), F.lit(float(w)).alias("w")) for _, _, s, w in leaves]),
+                        lambda leaf: draw(leaf["s"], leaf["w"], k))
+    df = df.withColumn("_draws", drawn).withColumn("_region", _choose(F.col("_draws"), nodes(0)))
+    df = df.withColumn("_rack", below(1, "_region"))
+    return df.withColumn(out, below(2, "_rack")["id"].cast("int")).drop("_draws", "_region", "_rack")
 
 
 def with_slots(df: DataFrame, n_shards: int, key: str = "doc_id", shard: str = "shard") -> DataFrame:
@@ -88,16 +86,19 @@ def with_slots(df: DataFrame, n_shards: int, key: str = "doc_id", shard: str = "
             .withColumn("slot", (F.col("_off") + F.col("_r")).cast("long")).drop("_h", "_b", "_r", "_off"))
 
 
+NEW = ("size", "text_crc32", "law", "shard", "slot", "grown_shard")
+
+
 def shard_documents(docs: DataFrame, n_shards: int = SHARD_COUNT, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The input's columns plus size, text_crc32, law, shard, slot, grown_shard (one more
-    shard). Null text: 16 bytes, checksum 0."""
-    own = [c for c in docs.columns if c not in ("size", "text_crc32", "law", "shard", "slot", "grown_shard")]
-    t = F.coalesce(F.col(text), F.lit(""))
-    df = (docs.withColumn("size", (F.octet_length(t) + ROW_BYTES).cast("long"))
+    shard). Null text: 16 bytes, checksum 0. Any other column may have any name; one named like a new column is replaced."""
+    df, own = shielded(docs)
+    t = F.coalesce(F.col(own[text]), F.lit(""))
+    df = (df.withColumn("size", (F.octet_length(t) + ROW_BYTES).cast("long"))
           .withColumn("text_crc32", F.crc32(t.cast("binary"))).withColumn("law", F.lit("key")))
-    df = assign(df, key, topology(n_shards), "shard")
-    df = assign(df, key, topology(n_shards + 1), "grown_shard")
-    return with_slots(df, n_shards, key).select(*own, "size", "text_crc32", "law", "shard", "slot", "grown_shard")
+    df = assign(df, own[key], topology(n_shards), "shard")
+    df = assign(df, own[key], topology(n_shards + 1), "grown_shard")
+    return with_slots(df, n_shards, own[key]).select(*unshielded(own, NEW), *NEW)
 
 
 def digest(docs: DataFrame) -> DataFrame:

@@ -105,17 +105,33 @@ def test_frequent_lines_deplete(spark):
     assert all(got[50 + i] == (True, 0) for i in range(20)) and got[90] == (True, 60) and got[91] == (True, 0)
 
 
-def shard_of(doc, n):
+def shard_of(doc, n, weights=None):
+    """The least draw of all shards."""
     k = "null" if doc is None else str(doc)
-    def pick(level, nodes):
-        def draw(c):
-            h = xxhash.xxh64(f"{level}:{c}:{k}".encode(), seed=42).intdigest() & ((1 << 53) - 1)
-            return -math.log((h + 0.5) / (1 << 53)) / nodes[c]
-        return min(nodes, key=lambda c: (draw(c), c))
-    tree = hash_tree.topology(n)
-    region = pick("region", Counter(r for r, _, _, _ in tree))
-    rack = pick("rack", Counter(a for r, a, _, _ in tree if r == region))
-    return pick("shard", {s: 1 for _, a, s, _ in tree if a == rack})
+    def draw(s):
+        h = xxhash.xxh64(f"shard:{s}:{k}".encode(), seed=42).intdigest() & ((1 << 53) - 1)
+        return -math.log((h + 0.5) / (1 << 53)) / (weights or {}).get(s, 1.0)
+    return min(range(n), key=lambda s: (draw(s), s))
+
+
+def test_one_more_shard_takes_rows_only_into_itself(spark):
+    df = spark.range(2000).withColumnRenamed("id", "doc_id").persist()
+    for lo in range(1, 61, 10):  # 61 topologies in six jobs
+        at = df
+        for n in range(lo, lo + 11):
+            at = hash_tree.assign(at, "doc_id", hash_tree.topology(n), f"s{n}")
+        rows = at.collect()
+        for n in range(lo, lo + 10):
+            moved = [r[f"s{n + 1}"] for r in rows if r[f"s{n}"] != r[f"s{n + 1}"]]
+            assert set(moved) == {n} and len(moved) < 2000 / (n + 1) * 1.6 + 12, n
+
+
+def test_sharding_with_clashing_names(spark):
+    names = "doc_id long, text string, _h int, _b string, _region int, _rack string, _off int, _draws int, slot string, `a.b` int"
+    df = spark.createDataFrame([(i, "x", 1, "b", 2, "r", 3, 4, "s", 5) for i in range(50)], names)
+    got = hash_tree.shard_documents(df)
+    assert got.columns == ["doc_id", "text", "_h", "_b", "_region", "_rack", "_off", "_draws", "a.b", *hash_tree.NEW]
+    assert all((r["_h"], r["_b"], r["_region"], r["a.b"], r["shard"]) == (1, "b", 2, 5, shard_of(r["doc_id"], 40)) for r in got.collect())
 
 
 def test_sharding(spark):
@@ -138,7 +154,8 @@ def test_shard_weights_confine_movement(spark):
     heavy = [(r, a, s, 3.0 if s == 7 else w) for r, a, s, w in tree]
     both = hash_tree.assign(hash_tree.assign(df, "doc_id", tree, "old"), "doc_id", heavy, "new").collect()
     moved = [(r.old, r.new) for r in both if r.old != r.new]
-    assert moved and all(0 <= new < 10 for _, new in moved)        # only into the region whose weight changed
+    assert moved and all(new == 7 for _, new in moved)             # only into the shard whose weight grew
+    assert all(r.new == shard_of(r.doc_id, 40, {7: 3.0}) for r in both)
     assert all(r.old != 7 or r.new == 7 for r in both)
 
 
