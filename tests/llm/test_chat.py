@@ -77,6 +77,28 @@ def test_formatting(spark):
     assert special.n_turns == 2 and special.loss_sha256 == hashlib.sha256(chat_format.SPECIAL_TEXT.encode()).hexdigest()
 
 
+def test_conversations_are_rendered_as_such(spark):
+    rows = [(1, 0, "user", "a"), (1, 1, "assistant", "b"), (1, 2, "user", "c"), (2, 0, "user", "z"), (None, 0, "assistant", "n")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    template = ("<s>{% for m in messages %}{% if loop.first %}!{% endif %}{{ loop.index }}{% generation %}{{ m.text }}{% endgeneration %}"
+                "-{% generation %}{{ m.role }}{% endgeneration %}{% generation %}+{% endgeneration %};{% endfor %}</s>")
+    got = {(r.conv_id, r.seq): (r.formatted, [(x.start, x.stop) for x in r.loss]) for r in chat_format.format_turns(df, template).collect()}
+    assert got == {(1, 0): ("<s>!1a-user+;", [(5, 6), (7, 12)]), (1, 1): ("2b-assistant+;", [(1, 2), (3, 13)]),
+                   (1, 2): ("3c-user+;</s>", [(1, 2), (3, 8)]), (2, 0): ("<s>!1z-user+;</s>", [(5, 6), (7, 12)]),
+                   (None, 0): ("<s>!1n-assistant+;</s>", [(5, 6), (7, 17)])}
+    for (conv, _), _ in got.items():  # the rows of a conversation are the rendering of all its messages
+        whole = "".join(p for p, _ in compile_template(template)([{"role": r, "text": t} for c, _, r, t in rows if c == conv]))
+        assert whole == "".join(got[k][0] for k in sorted((k for k in got if k[0] == conv), key=lambda k: k[1]))
+    once = chat_format.format_turns(df, "{{ 'x' }}").where("conv_id = 1").orderBy("seq").collect()
+    assert [r.formatted for r in once] == ["x", "", ""]
+
+
+def test_long_conversation_leaves_in_batches(spark):
+    df = spark.range(9000).selectExpr("3L AS conv_id", "id AS turn", "'user' AS role", "'t' AS text")
+    got = chat_format.format_turns(df, "{% for m in messages %}{{ loop.index }}{% endfor %}").orderBy("seq").collect()
+    assert [(r.seq, r.formatted) for r in got] == [(i, str(i + 1)) for i in range(9000)]
+
+
 def test_turn_that_is_not_formatted():
     with pytest.raises(ValueError):
         chat_format.read_back("<turn user>x</turn>")
