@@ -3,7 +3,7 @@
 Base rules are row-local. The method's verdict: lines are normalised
 (lower-cased, digit runs as ``0``, white space collapsed) and hashed; for every
 host (``source``) the distinct documents holding a line are counted; a line
-above the host's limit is removed, and a document left with too small a share
+above the host's limit (MIN_LINE_DOCS and the square root of the host's documents) is removed, and a document left with too small a share
 of its line words is *depleted* and rejected. ``clean_text`` is the text without its
 removed lines: every copy of them goes, all other lines stay as they are and in order.
 
@@ -21,11 +21,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tenor.llm.blocks import shielded, unshielded
+
 SPACE = r"[\x20\x09-\x0D]"
 MIN_WORDS = 50
 REPEAT_PERCENT = 50
-MIN_LINE_DOCS = 5         # a line must be in more documents of the host than this ...
-LINE_DOC_SHARE = 0.08     # ... and in more than this share of the host's documents
+MIN_LINE_DOCS = 5         # a line must be in more documents of the host than this, and in more than the root of their number
 LEFT_PERCENT = 30         # depleted below this share of line words left
 
 
@@ -88,12 +89,12 @@ def normalise(line: Column) -> Column:
 
 
 def quality_rules(docs: DataFrame, text: str = "text", host: str = "source", min_docs: int = MIN_LINE_DOCS,
-                  share: float = LINE_DOC_SHARE, left_percent: int = LEFT_PERCENT) -> DataFrame:
+                  left_percent: int = LEFT_PERCENT) -> DataFrame:
     """The input's columns plus the base counts, ``line_words`` (words of the distinct
     lines), ``removed_words`` (those in removed lines), ``base_failed``, ``kept`` and
-    ``clean_text`` (null for a null text)."""
-    own = [c for c in docs.columns if c not in (*OUTPUT, "clean_text")]
-    docs = docs.select(*own)
+    ``clean_text`` (null for a null text). Columns may have any name; one named like a result is replaced."""
+    docs, names = shielded(docs)
+    text, host = names[text], names[host]
     t = F.coalesce(F.col(text), F.lit(""))
     rows = base_rules(docs, text)
     rows = (rows.withColumn("_n", F.array_distinct(F.transform("_l", normalise)))
@@ -111,7 +112,7 @@ def quality_rules(docs: DataFrame, text: str = "text", host: str = "source", min
     # the second aggregate keeps _words in use, so that both branches read one exchange
     frequent = (unique.groupBy("_host", "_hash").agg(F.count(F.lit(1)).alias("_in"), F.max("_words").alias("_most"))
                 .where((F.col("_in") > min_docs) & (F.col("_most") > 0)).join(sizes, "_host")
-                .where(F.col("_in") > F.lit(share) * F.col("_docs")).select("_host", "_hash"))
+                .where(F.col("_in") * F.col("_in") > F.col("_docs")).select("_host", "_hash"))
     removed = (unique.join(frequent, ["_host", "_hash"]).groupBy("_host", "_doc")
                .agg(F.sum("_words").cast("long").alias("removed_words"), F.collect_list("_hash").alias("_cut")))
     total = F.aggregate("_n", F.lit(0).cast("long"), lambda acc, line: acc + line_words(line))
@@ -120,15 +121,17 @@ def quality_rules(docs: DataFrame, text: str = "text", host: str = "source", min
     depleted = 100 * (F.col("line_words") - F.col("removed_words")) < left_percent * F.col("line_words")
     left = F.filter(F.split(F.col(text), "\n"), lambda line: ~F.array_contains("_cut", F.xxhash64(normalise(line))))
     out = out.withColumn("clean_text", F.when(F.col("_cut").isNull(), F.col(text)).otherwise(F.array_join(left, "\n")))
-    return out.withColumn("kept", ~F.col("base_failed") & ~depleted).select(*own, *OUTPUT, "clean_text")
+    out = out.withColumn("kept", ~F.col("base_failed") & ~depleted)
+    return out.select(*unshielded(names, (*OUTPUT, "clean_text")), *OUTPUT, "clean_text")
 
 
-def clean(docs: DataFrame, text: str = "text", size: str = "n_chars", **options) -> DataFrame:
+def clean(docs: DataFrame, text: str = "text", host: str = "source", size: str = "n_chars", **options) -> DataFrame:
     """The kept documents without their removed lines, in the input's columns; ``size``, if
     there, follows a text that lost lines."""
-    rules = quality_rules(docs.withColumns({f"_in_{c}": F.col(c) for c in docs.columns}), text, **options).where("kept")
-    out = {c: F.col(f"_in_{c}") for c in docs.columns} | {text: F.col("clean_text")}
-    if size in docs.columns:
+    df, names = shielded(docs)
+    rules = quality_rules(df, names[text], names[host], **options).where("kept")
+    out = {c: F.col(own) for c, own in names.items()} | {text: F.col("clean_text")}
+    if size in names:
         out[size] = F.when(F.col("removed_words") > 0, F.length("clean_text").cast(docs.schema[size].dataType)).otherwise(out[size])
     return rules.select(*[c.alias(name) for name, c in out.items()])
 
@@ -153,7 +156,7 @@ ln AS (SELECT DISTINCT d.rid, d.host, d.t, trim(regexp_replace(regexp_replace(lo
 freq AS (SELECT host, line, count(DISTINCT t) AS n FROM ln GROUP BY host, line),
 hosts AS (SELECT host, count(DISTINCT t) AS n FROM d GROUP BY host),
 frequent AS (SELECT f.host, f.line FROM freq f JOIN hosts h ON h.host = f.host
-             WHERE f.n > {MIN_LINE_DOCS} AND f.n > {LINE_DOC_SHARE}::DOUBLE * h.n),
+             WHERE f.n > {MIN_LINE_DOCS} AND f.n * f.n > h.n),
 lw AS (SELECT l.rid, sum(len(string_split(l.line, ' ')))::BIGINT AS line_words,
               coalesce(sum(CASE WHEN f.line IS NOT NULL THEN len(string_split(l.line, ' ')) END), 0)::BIGINT AS removed_words
        FROM ln l LEFT JOIN frequent f ON f.host = l.host AND f.line = l.line GROUP BY l.rid),

@@ -52,3 +52,28 @@ def test_own_columns_pass_through(spark):
                                       "source", "n_words", "kept"))
     got = quality_lines.clean(df)
     assert got.schema == df.schema and [(r.doc_id, r.n_words, r.kept) for r in got.collect()] == [(2, 7, "k")]
+
+
+def test_internal_names_as_extra_columns(spark):
+    names = ["_w", "_l", "_n", "_cut", "_host", "_doc", "_hash", "_words", "own_0", "a.b"]
+    rng = random.Random(9)
+    rows = [(i, "h", " ".join("".join(rng.choices("abcdefghij", k=7)) for _ in range(60)) + "\nshared line", *range(len(names))) for i in range(9)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string, " + ", ".join(f"`{n}` int" for n in names))
+    for got in (quality_lines.quality_rules(df).collect(), quality_lines.clean(df).collect()):
+        assert len(got) == 9 and all(r[n] == i for r in got for i, n in enumerate(names))
+    assert all(r.removed_words == 2 for r in quality_lines.quality_rules(df).collect())
+    assert quality_lines.clean(df).columns == df.columns
+
+
+def test_limit_grows_far_slower_than_the_host(spark):
+    """Boilerplate of one document in forty goes at both sizes of a host; lines of a few documents stay."""
+    for n in (600, 4000):
+        rng = random.Random(n)
+        rows = []
+        for i in range(n):
+            lines = [" ".join("".join(rng.choices("abcdefghij", k=6)) for _ in range(55))]
+            lines += ["our standard footer 2024"] * (i % 20 == 0 or i < 26) + [f"seen in a few {'xyz'[i % 3] * (i // 300 + 1)}"] * (i % 75 == 0)
+            rows.append((i, "\n".join(lines), "hot"))
+        df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+        got = {r.doc_id: r for r in quality_lines.quality_rules(df).collect()}
+        assert all(got[i].kept and (got[i].removed_words == 4) == ("footer" in rows[i][1]) for i in got)
