@@ -207,9 +207,10 @@ def jaccard_components(docs: DataFrame, k: int = WORDS, percent: int = PERCENT,
                           .select("cid", "n", "u", "gid", "prefix", "toks").dropDuplicates(["cid"]), "classes")
     label = components(links(nodes, percent))
     ids = rows.where(F.col("cid").isNotNull()).groupBy("cid").agg(F.min("doc_id").alias("rep"))
-    ids = ids.join(label.withColumnRenamed("id", "cid"), "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
-    best = ids.groupBy("comp").agg(F.min("rep").alias("component_id"))
-    table = blocks.stored(ids.join(best, "comp").select("cid", "component_id"), "components")
+    ids = blocks.stored(ids.join(label.withColumnRenamed("id", "cid"), "cid", "left").withColumn("comp", F.coalesce("comp", "cid")), "members")
+    # one row per component, stored apart: broadcast when it is small, else a join whose hot component AQE splits
+    best = blocks.stored(ids.groupBy("comp").agg(F.min("rep").alias("component_id")), "components")
+    table = ids.join(best, "comp").select("cid", "component_id")
     return (rows.select("doc_id", "n", "cid").join(table, "cid", "left")
             .select("doc_id", F.col("n").cast("long").alias("n_shingles"),
                     F.when(F.col("cid").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")))
@@ -218,8 +219,10 @@ def jaccard_components(docs: DataFrame, k: int = WORDS, percent: int = PERCENT,
 def keep_one(docs: DataFrame, k: int = WORDS, percent: int = PERCENT, key: str = "doc_id",
              text: str = "text") -> DataFrame:
     """One row of every component: the smallest doc_id (null last), then the smallest hash of
-    the row, and one of equal rows. Rows with an empty set stay."""
-    rows = docs.withColumn("_row", blocks.row_hash(docs))
+    the row, and one of equal rows. Rows with an empty set stay. Columns may have any name."""
+    own, names = blocks.shielded(docs)
+    key, text = names[key], names[text]
+    rows = own.withColumn("_row", blocks.row_hash(own))
     comp = (jaccard_components(rows, k, percent, "_row", text).where("n_shingles > 0")
             .groupBy(F.col("doc_id").alias("_row")).agg(F.min("component_id").alias("_comp"), F.count(F.lit(1)).alias("_copies")))
     named = blocks.stored(comp.join(rows.groupBy("_row").agg(F.min(key).alias("_key")), "_row"), "rows")
@@ -227,7 +230,7 @@ def keep_one(docs: DataFrame, k: int = WORDS, percent: int = PERCENT, key: str =
     stay = rows.join(named.join(lead, "_row", "left_anti").select("_row"), "_row", "left_anti")
     many = named.where("_copies > 1").select("_row")
     once = stay.join(many, "_row", "left_semi").dropDuplicates(["_row"])
-    return stay.join(many, "_row", "left_anti").unionByName(once).select(*docs.columns)
+    return stay.join(many, "_row", "left_anti").unionByName(once).select(*blocks.unshielded(names))
 
 
 ORACLE = f"""
