@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tenor.llm import textkit
-from tenor.llm.blocks import row_hash, stored
+from tenor.llm.blocks import row_hash, shielded, stored, unshielded
 
 MIN_MATCH = 5
 COVERAGE = 0.5
@@ -173,12 +173,14 @@ def leaks(docs: DataFrame, items: DataFrame, k: int = MIN_MATCH, coverage: float
           copies: DataFrame | None = None) -> DataFrame:
     """(doc_id, item_id, item_words, covered_words, coverage, n_tiles, longest_tile) of every
     document and item whose coverage reaches the threshold. ``copies``: (doc_id, copies) of the
-    keys whose rows are all equal and count as one of them."""
+    keys whose rows are all equal and count as one of them. A row without an id is judged by its text and reported with a null id."""
     spark = docs.sparkSession
     bench = stored(item_words(items, k, item_key, item_text), "items")
     shared = spark.sparkContext.broadcast(_bitmap(bench, bits))
-    slim = docs.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    runs = stored(_stretches(slim, shared, bits, k).where(F.col("doc_id").isNotNull()), "stretches")
+    body = F.coalesce(F.col(text), F.lit(""))
+    unnamed = F.xxhash64(F.lit("no id"), body)  # stands for a null id until the end
+    slim = docs.select(F.coalesce(F.col(key).cast("long"), unnamed).alias("doc_id"), body.alias("text"))
+    runs = stored(_stretches(slim, shared, bits, k), "stretches")
     by_seed = (bench.select("rid", F.size("words").alias("n"), F.explode("seeds").alias("s"))
                .groupBy("rid", "n", "s").agg(F.count(F.lit(1)).alias("many")))
     pairs = (runs.select("doc_id", F.explode(F.array_distinct("seeds")).alias("s")).distinct()
@@ -217,7 +219,9 @@ def leaks(docs: DataFrame, items: DataFrame, k: int = MIN_MATCH, coverage: float
 
     done = work.mapInArrow(tiles, "doc_id long, item_id long, item_words long, covered_words long, coverage double, "
                                   "n_tiles long, longest_tile long")
-    return done.where(F.col("coverage") >= coverage)
+    nameless = docs.where(F.col(key).isNull()).select(unnamed.alias("doc_id")).distinct().withColumn("_null", F.lit(True))
+    found = done.where(F.col("coverage") >= coverage).join(nameless, "doc_id", "left")
+    return found.withColumn("doc_id", F.when(F.col("_null").isNull(), F.col("doc_id"))).drop("_null")
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, key: str = "doc_id", **options) -> DataFrame:
@@ -227,7 +231,9 @@ def decontaminate(docs: DataFrame, items: DataFrame, key: str = "doc_id", **opti
 
 
 def decontaminate_rows(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
-    """Rows without a leak, each judged by its own text, whatever its doc_id."""
-    rows = docs.withColumn("_row", row_hash(docs))
+    """Rows without a leak, each judged by its own text, whatever its doc_id. Columns may have any name."""
+    own, names = shielded(docs)
+    rows = own.withColumn("_row", row_hash(own))
     copies = (rows.groupBy(F.col("_row").alias("doc_id")).agg(F.count(F.lit(1)).alias("copies")).where("copies > 1"))
-    return decontaminate(rows, items, key="_row", copies=copies, **options).select(*docs.columns)
+    text = names[options.pop("text", "text")]
+    return decontaminate(rows, items, key="_row", text=text, copies=copies, **options).select(*unshielded(names))

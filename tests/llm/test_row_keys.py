@@ -3,7 +3,7 @@
 import random
 
 import corpus_pipeline
-from tenor.llm import string_tiling
+from tenor.llm import jaccard_join, string_tiling
 
 SF = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -50,3 +50,19 @@ def test_equal_rows_do_not_add_up(spark):
     part, whole = f"x y {passage} z", f"x {passage} y {passage} z"
     df = frame(spark, [(1, part)] * 3 + [(2, part), (3, whole), (3, whole), (2, whole)])
     assert by_id(string_tiling.decontaminate_rows(df, item)) == [(1, part)] * 3 + [(2, part)]
+
+
+def test_stages_with_internal_names_as_columns(spark):
+    rng = random.Random(6)
+    fresh = lambda n=60: " ".join("".join(rng.choices("abcdefghij", k=7)) for _ in range(n))
+    a, b, leak = fresh(), fresh(), fresh(30)
+    names = "doc_id long, text string, _row long, _comp string, _key int, _lead int, own_0 int"
+    df = spark.createDataFrame([(1, a, 7, "c", 3, 4, 5), (2, a + " x", 8, "d", 3, 4, 5), (3, b, 9, "e", 3, 4, 5)], names)
+    got = sorted(map(tuple, jaccard_join.keep_one(df, k=5, percent=80).collect()))
+    assert got == [(1, a, 7, "c", 3, 4, 5), (3, b, 9, "e", 3, 4, 5)]
+    items = spark.createDataFrame([(1, b[:300])], "item_id long, text string")
+    assert sorted(map(tuple, string_tiling.decontaminate_rows(df, items).collect()))[0][:4] == (1, a, 7, "c")
+    assert string_tiling.decontaminate_rows(df, items).count() == 2
+    docs = spark.createDataFrame([(None, leak + " tail"), (None, leak + " tail"), (None, fresh()), (4, leak)], "doc_id long, text string")
+    found = string_tiling.leaks(docs, spark.createDataFrame([(9, leak)], "item_id long, text string")).collect()
+    assert sorted((r.doc_id is None, r.doc_id or 0, r.item_id) for r in found) == [(False, 4, 9), (True, 0, 9)]
