@@ -18,9 +18,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tenor.llm.blocks import shielded, stored, unshielded
+
 ALPHA = 0.5
 SEED = 17
-MAX_BROADCAST_SOURCES = 2_000
 
 
 def rates(docs: DataFrame, weights: dict[str, float] | None = None, alpha: float = ALPHA,
@@ -57,24 +58,24 @@ def cdf_tables(rate: DataFrame) -> DataFrame:
 def mix(docs: DataFrame, weights: dict[str, float] | None = None, alpha: float = ALPHA, seed: int = SEED,
         source: str = "source", text: str = "text", key: str = "doc_id") -> DataFrame:
     """The input's columns plus rate, copies (the document's count), copy (1..copies) and
-    mix_key, one row per copy, globally shuffled."""
-    own = [c for c in docs.columns if c not in ("rate", "copies", "copy", "mix_key")]
-    table = cdf_tables(rates(docs, weights, alpha, source, text))
-    if table.sparkSession.sparkContext.getCheckpointDir() or table.sparkSession.conf.get("spark.checkpoint.dir", None):
-        from tenor.session import shared_dir
-        shared_dir(table.sparkSession)
-        table = table.checkpoint()
-        if table.count() <= MAX_BROADCAST_SOURCES:
-            table = F.broadcast(table)
+    mix_key, one row per copy, globally shuffled. Other columns may have any name; one named like a new column is replaced.
+
+    The table of the sources' distributions is stored, so Spark knows its bytes and broadcasts it only below the session's
+    limit; otherwise both sides are shuffled and AQE splits a hot source. A document reads as many entries as
+    its source's mean copies, so this work grows with the rows that come out."""
+    docs, names = shielded(docs)
+    source, text, key = names[source], names[text], names[key]
+    table = stored(cdf_tables(rates(docs, weights, alpha, source, text)), "rates")
     k = F.coalesce(F.col(key).cast("string"), F.lit("null"))
     u = (F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), k)), 1, 13), 16, 10).cast("double") + 0.5) / float(1 << 52)
-    df = (docs.select(*own).withColumn("_src", F.coalesce(F.col(source), F.lit(""))).join(table, "_src")
+    df = (docs.withColumn("_src", F.coalesce(F.col(source), F.lit(""))).join(table, "_src")
           .withColumn("_u", u)
           .withColumn("copies", F.size(F.filter("_cdf", lambda c: c <= F.col("_u"))).cast("int")).drop("_cdf", "_u", "_src")
           .where(F.col("copies") > 0)
           .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))))
     df = df.withColumn("mix_key", F.xxhash64(F.lit(seed), k, F.col("copy"), F.col(source)))
-    return df.repartition("mix_key").sortWithinPartitions("mix_key").select(*own, "rate", "copies", "copy", "mix_key")
+    new = ("rate", "copies", "copy", "mix_key")
+    return df.repartition("mix_key").sortWithinPartitions("mix_key").select(*unshielded(names, new), *new)
 
 
 def digest(docs: DataFrame) -> DataFrame:
