@@ -20,6 +20,8 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tenor.llm.blocks import shielded, unshielded
+
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
 FIT_ROWS = 20_000
 TREES, DEPTH = 10, 4
@@ -104,10 +106,11 @@ def fit(labelled: DataFrame, rates: DataFrame, key: str, fit_rows: int = FIT_ROW
 
 
 def judge(pages: DataFrame, rules=RULES, key: str = "page_id", url: str = "url", fit_rows: int = FIT_ROWS) -> DataFrame:
-    """The input's columns plus host, path, rule and verdict."""
-    own = [c for c in pages.columns if c not in ("host", "path", "rule", "verdict")]
+    """The input's columns plus host, path, rule and verdict. Other columns may have any name; one named like a new column is replaced."""
+    pages, names = shielded(pages)
+    key, url, own = names[key], names[url], pages.columns
     name, verdict = rule_columns(rules)
-    rows = lexical(parse(pages.select(*own), url).withColumn("rule", name).withColumn("_ruled", verdict), url)
+    rows = lexical(parse(pages, url).withColumn("rule", name).withColumn("_ruled", verdict), url)
     labelled = rows.where(F.col("rule").isNotNull()).withColumn("_y", (F.col("_ruled") == "block").cast("double"))
     labelled = labelled.drop(*[c for c in own if c != key])
     rates = suffix_rates(labelled.where(F.pmod(F.xxhash64(key, F.lit("half")), F.lit(2)) == 0))
@@ -117,7 +120,8 @@ def judge(pages: DataFrame, rules=RULES, key: str = "page_id", url: str = "url",
     else:
         rows = model.transform(with_rates(rows, rates))
         method = F.when(F.col("prediction") > 0.5, "block").otherwise("allow")
-    return rows.select(*own, "host", "path", "rule", F.coalesce("_ruled", method).alias("verdict"))
+    new = ("host", "path", "rule", "verdict")
+    return rows.withColumn("verdict", F.coalesce("_ruled", method)).select(*unshielded(names, new), *new)
 
 
 def digest(pages: DataFrame) -> DataFrame:

@@ -225,3 +225,19 @@ def test_url_trees_beat_the_majority(spark):
 def test_url_query(spark):
     got = op7_url_filter(spark, SF).collect()
     assert {r.verdict for r in got} <= {"allow", "block"} and len(got) == spark.read.parquet(f"{SF}/pages.parquet").count()
+
+
+def test_url_and_mixing_with_internal_names(spark):
+    extra = ["features", "prediction", "rawPrediction", "probability", "f_len", "_y", "_ruled", "_s1", "label", "own_0"]
+    urls = [(i, f"https://{'a' if i % 2 else 'b'}{i}.{'net' if i % 3 else 'org'}/{'fr/' if i % 3 == 0 else ''}p{i}", *[i] * len(extra)) for i in range(60)]
+    urls += [(100 + i, f"https://c{i}.io/x", *[100 + i] * len(extra)) for i in range(5)]
+    df = spark.createDataFrame(urls, "page_id long, url string, " + ", ".join(f"{c} int" for c in extra))
+    got = url_filter.judge(df).collect()
+    assert len(got) == 65 and all(r[c] == r.page_id for r in got for c in extra) and {r.verdict for r in got} == {"allow", "block"}
+    names = ["_src", "_u", "_cdf", "_k", "_bytes"]
+    docs = spark.createDataFrame([(i, "t" * (i % 9 + 1), f"s{i % 3}", *[i] * 5) for i in range(200)],
+                                 "doc_id long, text string, source string, " + ", ".join(f"{c} int" for c in names))
+    mixed = poisson_mix.mix(docs).collect()
+    assert mixed and all(r[c] == r.doc_id for r in mixed for c in names)
+    plain = poisson_mix.mix(docs.select("doc_id", "text", "source")).collect()
+    assert sorted((r.doc_id, r.copy) for r in mixed) == sorted((r.doc_id, r.copy) for r in plain)
