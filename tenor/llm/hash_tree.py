@@ -37,7 +37,7 @@ def topology(n: int) -> list[tuple[int, int, int, float]]:
 
 def draw(shard: Column, weight: Column, key: Column) -> Column:
     """Exponential draw of rate ``weight`` from a 53-bit hash."""
-    h = F.xxhash64(F.concat(F.lit("shard:"), shard.cast("string"), F.lit(":"), key))
+    h = F.xxhash64(F.concat(F.lit("shard:"), shard.cast("string"), F.lit(":"), key))  # the part before the key is folded
     return -F.log((h.bitwiseAND(F.lit((1 << 53) - 1)).cast("double") + 0.5) / F.lit(float(1 << 53))) / weight
 
 
@@ -47,9 +47,15 @@ def _choose(draws: Column, nodes: Column) -> Column:
         F.array_min(F.slice(draws, c["lo"], c["n"])).alias("d"), c["id"], c["lo"], c["n"])))
 
 
-def assign(df: DataFrame, key: str, tree: list[tuple[int, int, int, float]], out: str) -> DataFrame:
-    """Add ``out``: the shard reached by descending region, rack and shard. Row-local. The frame
-    must hold no columns named _draws, _region or _rack."""
+def draws(key: str, tree: list[tuple[int, int, int, float]]) -> Column:
+    """The draws of all shards, in tree order."""
+    k = F.coalesce(F.col(key).cast("string"), F.lit("null"))
+    return F.array(*[draw(F.lit(s), F.lit(float(w)), k) for _, _, s, w in sorted(tree) if w > 0])
+
+
+def assign(df: DataFrame, key: str, tree: list[tuple[int, int, int, float]], out: str, drawn: str | None = None) -> DataFrame:
+    """Add ``out``: the shard reached by descending region, rack and shard. Row-local. ``drawn`` names a column with the draws of a
+    tree that begins with this one. The frame must hold no columns named _draws, _region or _rack."""
     leaves = sorted(leaf for leaf in tree if leaf[3] > 0)
 
     def nodes(level: int, inside: int | None = None) -> Column:
@@ -65,10 +71,7 @@ def assign(df: DataFrame, key: str, tree: list[tuple[int, int, int, float]], out
         table = F.create_map(*[x for p in parents for x in (F.lit(p), nodes(level, p))])
         return _choose(F.col("_draws"), F.element_at(table, F.col(f"{at}.id")))
 
-    k = F.coalesce(F.col(key).cast("string"), F.lit("null"))
-    drawn = F.transform(F.array(*[F.struct(F.lit(s).alias("s"), F.lit(float(w)).alias("w")) for _, _, s, w in leaves]),
-                        lambda leaf: draw(leaf["s"], leaf["w"], k))
-    df = df.withColumn("_draws", drawn).withColumn("_region", _choose(F.col("_draws"), nodes(0)))
+    df = df.withColumn("_draws", F.col(drawn) if drawn else draws(key, tree)).withColumn("_region", _choose(F.col("_draws"), nodes(0)))
     df = df.withColumn("_rack", below(1, "_region"))
     return df.withColumn(out, below(2, "_rack")["id"].cast("int")).drop("_draws", "_region", "_rack")
 
@@ -96,9 +99,10 @@ def shard_documents(docs: DataFrame, n_shards: int = SHARD_COUNT, key: str = "do
     t = F.coalesce(F.col(own[text]), F.lit(""))
     df = (df.withColumn("size", (F.octet_length(t) + ROW_BYTES).cast("long"))
           .withColumn("text_crc32", F.crc32(t.cast("binary"))).withColumn("law", F.lit("key")))
-    df = assign(df, own[key], topology(n_shards), "shard")
-    df = assign(df, own[key], topology(n_shards + 1), "grown_shard")
-    return with_slots(df, n_shards, own[key]).select(*unshielded(own, NEW), *NEW)
+    df = df.withColumn("drawn", draws(own[key], topology(n_shards + 1)))  # a shard draws alike under both counts
+    df = assign(df, own[key], topology(n_shards), "shard", "drawn")
+    df = assign(df, own[key], topology(n_shards + 1), "grown_shard", "drawn")
+    return with_slots(df.drop("drawn"), n_shards, own[key]).select(*unshielded(own, NEW), *NEW)
 
 
 def digest(docs: DataFrame) -> DataFrame:

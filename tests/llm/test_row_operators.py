@@ -115,11 +115,12 @@ def shard_of(doc, n, weights=None):
 
 
 def test_one_more_shard_takes_rows_only_into_itself(spark):
-    df = spark.range(2000).withColumnRenamed("id", "doc_id").persist()
+    df = spark.range(2000).withColumnRenamed("id", "doc_id")
+    df = df.withColumn("drawn", hash_tree.draws("doc_id", hash_tree.topology(61))).persist()
     for lo in range(1, 61, 10):  # 61 topologies in six jobs
         at = df
         for n in range(lo, lo + 11):
-            at = hash_tree.assign(at, "doc_id", hash_tree.topology(n), f"s{n}")
+            at = hash_tree.assign(at, "doc_id", hash_tree.topology(n), f"s{n}", "drawn")
         rows = at.collect()
         for n in range(lo, lo + 10):
             moved = [r[f"s{n + 1}"] for r in rows if r[f"s{n}"] != r[f"s{n + 1}"]]
