@@ -87,11 +87,12 @@ def macro_f1(df: DataFrame, gold: str = "gold", pred: str = "prediction", by: tu
         F.avg("f1").alias("macro_f1"))
 
 
-def batch_mean_metrics(df: DataFrame, batch: str = "batch_id", gold: str = "gold", pred: str = "prediction") -> DataFrame:
-    """Accuracy and macro F1 per batch, then their means over batches."""
-    per = macro_f1(df, gold, pred, by=(batch,))
-    return per.agg(F.count(F.lit(1)).alias("n_batches"), F.avg("accuracy").alias("mean_accuracy"),
-                   F.avg("macro_f1").alias("mean_macro_f1"))
+def batch_mean_metrics(df: DataFrame, batch: str = "batch_id", gold: str = "gold", pred: str = "prediction",
+                       by: tuple[str, ...] = ("epoch", "mode")) -> DataFrame:
+    """Accuracy and macro F1 per batch, then their means over the batches of every (epoch, mode)."""
+    per = macro_f1(df, gold, pred, by=(*by, batch))
+    return per.groupBy(*by).agg(F.count(F.lit(1)).alias("n_batches"), F.avg("accuracy").alias("mean_accuracy"),
+                                F.avg("macro_f1").alias("mean_macro_f1"))
 
 
 SERIES = [("train", "loss"), ("train", "acc"), ("train", "f1"), ("eval", "loss"), ("eval", "acc"), ("eval", "f1")]

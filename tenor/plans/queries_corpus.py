@@ -77,7 +77,8 @@ _ENC = f"""
 SELECT doc_id, CAST(w AS INTEGER) AS window, CAST(len(tk) AS INTEGER) AS n_tokens,
        array_to_string(list_concat(part, list_transform(range({T.MAX_LEN} - len(part)), lambda x: 0)), ',')
          AS input_ids,
-       CAST(len(part) AS INTEGER) AS attention_sum
+       array_to_string(list_transform(range({T.MAX_LEN}), lambda i: CASE WHEN i < len(part) THEN 1 ELSE 0 END), ',') AS attention_mask,
+       array_to_string(list_transform(range({T.MAX_LEN}), lambda i: 0), ',') AS token_type_ids
 FROM (SELECT doc_id, tk, w, ids[w * {T.MAX_LEN} + 1 : w * {T.MAX_LEN} + {T.MAX_LEN}] AS part
       FROM (SELECT doc_id, tk, ids,
                    unnest(range(0, greatest(1, CAST(ceil(len(ids) / {T.MAX_LEN}) AS BIGINT)))) AS w
@@ -88,15 +89,14 @@ FROM (SELECT doc_id, tk, w, ids[w * {T.MAX_LEN} + 1 : w * {T.MAX_LEN} + {T.MAX_L
 
 @register("encode_pad", with_ctes(_ENC))
 def encode_pad_q(spark, sf_dir):
-    """H5: hashed token ids in model-length windows (padded, with attention mask) -
+    """H5: hashed token ids in model-length windows, padded, with attention mask and token type ids (one segment) -
     the whole text, window by window."""
     c = bindings.table(spark, sf_dir, "documents")
     ids = c.select("doc_id", T.tokens("text").alias("_tk")).select(
         "doc_id", F.size("_tk").alias("n_tokens"), T.token_ids("_tk").alias("_ids"))
     out = ids.select("doc_id", "n_tokens", F.posexplode(T.encode_windows("_ids")).alias("window", "e"))
     return out.select("doc_id", F.col("window").cast("int").alias("window"), "n_tokens",
-                      F.array_join("e.input_ids", ",").alias("input_ids"),
-                      F.aggregate("e.attention_mask", F.lit(0), lambda a, x: a + x).alias("attention_sum"))
+                      *[F.array_join(f"e.{c}", ",").alias(c) for c in ("input_ids", "attention_mask", "token_type_ids")])
 
 
 # --------------------------------------------------------------------------- D1, D2

@@ -210,23 +210,38 @@ def macro_f1_q(spark, sf_dir):
     return m.select("n_classes", "n", r6("accuracy").alias("accuracy"), r6("macro_f1").alias("macro_f1"))
 
 
-_BATCH_EXTRA = dict(_MULTI_EXTRA)
-_BATCH_EXTRA["mcb"] = f"""
-    SELECT *, (row_number() OVER (ORDER BY {hash_sql('vec_id', vocab.BATCH_SEED)}, vec_id) - 1) // 50 AS batch_id
-    FROM mc"""
-_BATCH_EXTRA["ct"] = class_table_sql("mcb", "gold", "prediction", by="batch_id")
-_BATCH_EXTRA["per"] = """SELECT batch_id, sum(tp) / sum(support) AS accuracy, avg(f1) AS macro_f1 FROM ct GROUP BY batch_id"""
+# Three epochs of predictions: the arg-max class of the binding's three logit arrays; mode by the hash split, batches of 50 per mode.
+_BATCH_EXTRA = {
+    "modes": f"""
+    SELECT *, CAST((row_number() OVER (PARTITION BY mode ORDER BY {hash_sql('vec_id', vocab.BATCH_SEED)}, vec_id) - 1) // 50 AS BIGINT) AS batch_id
+    FROM (SELECT vec_id, label AS gold, CASE WHEN {hash_sql('vec_id')} < {int(vocab.TEST_FRACTION * (1 << 32))} THEN 'eval' ELSE 'train' END AS mode
+          FROM embeddings)""",
+    "answers": """
+    SELECT vec_id, epoch, arg_max(idx, (z, -idx)) AS prediction FROM (
+      SELECT vec_id, idx, unnest([1, 2, 3]) AS epoch, unnest([logit, l0, l1]) AS z FROM proba_long) GROUP BY vec_id, epoch""",
+    "mcb": """
+    SELECT a.epoch, m.mode, m.batch_id, m.gold, a.prediction, a.epoch || ':' || m.mode || ':' || m.batch_id AS k
+    FROM answers a JOIN modes m ON a.vec_id = m.vec_id""",
+    "ct": class_table_sql("mcb", "gold", "prediction", by="k"),
+    "per": """
+    SELECT any_value(split_part(k, ':', 1)) AS epoch, any_value(split_part(k, ':', 2)) AS mode, sum(tp) / sum(support) AS accuracy, avg(f1) AS macro_f1
+    FROM ct GROUP BY k"""}
 
 
 @register("batch_mean_metrics", with_ctes("""
-SELECT CAST(count(*) AS BIGINT) AS n_batches, round(avg(accuracy), 6) AS mean_accuracy,
+SELECT CAST(epoch AS INTEGER) AS epoch, mode, CAST(count(*) AS BIGINT) AS n_batches, round(avg(accuracy), 6) AS mean_accuracy,
        round(avg(macro_f1), 6) AS mean_macro_f1
-FROM per""", "proba_long", extra=_BATCH_EXTRA))
+FROM per GROUP BY epoch, mode""", "proba_long", extra=_BATCH_EXTRA))
 def batch_mean_metrics_q(spark, sf_dir):
-    """Per-batch accuracy and macro F1 (shuffled batches of 50), averaged."""
-    mc = sampling.assign_batches(_multiclass(spark, sf_dir), batch_size=50, key="vec_id")
-    m = metrics.batch_mean_metrics(mc)
-    return m.select("n_batches", r6("mean_accuracy").alias("mean_accuracy"), r6("mean_macro_f1").alias("mean_macro_f1"))
+    """Accuracy and macro F1 of shuffled batches of 50, averaged by (epoch, mode)."""
+    p = sampling.train_test_split(bindings.proba(spark, sf_dir), key="vec_id")
+    p = p.withColumn("mode", F.when(F.col("split") == "test", "eval").otherwise("train"))
+    ranked = sampling.exact_rank(p, ["mode"], "vec_id", vocab.BATCH_SEED).withColumn("batch_id", F.floor(F.col("rank") / 50).cast("bigint"))
+    epochs = F.explode(F.array(*[F.struct(F.lit(e).alias("epoch"), probs.argmax(c).alias("prediction"))
+                                 for e, c in enumerate(("router", "l0", "l1"), 1)]))
+    rows = ranked.select("mode", "batch_id", F.col("label").alias("gold"), epochs.alias("e")).select("mode", "batch_id", "gold", "e.*")
+    m = metrics.batch_mean_metrics(rows)
+    return m.select("epoch", "mode", "n_batches", r6("mean_accuracy").alias("mean_accuracy"), r6("mean_macro_f1").alias("mean_macro_f1"))
 
 
 # --------------------------------------------------------------------------- D12, D13

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tenor.operators import consensus, routing
 from tenor.plans import bindings
-from tenor.plans.contract import r6, register
+from tenor.plans.contract import ORACLES, r6, register
 from tenor.plans.oracle import strip_sql, with_ctes
 from tenor.plans.queries_corpus import _POST_SQL
 from tenor.plans.queries_scoring import SCORE_ROUTED_SQL
@@ -56,6 +56,16 @@ def read_annotations_q(spark, sf_dir):
                        F.array_join("targets", ",").alias("targets"), "sentence")
 
 
+@register("read_annotations_object", ORACLES["read_annotations"])
+def read_annotations_object_q(spark, sf_dir):
+    """A3, the original layout: large objects keyed by post id, read in splits."""
+    path = scratch_path(spark, "annotations-object")
+    files.write_annotations_object(bindings.posts(spark, sf_dir), path)
+    flat = consensus.flatten_posts(files.read_annotations(spark, path, layout="object"))
+    return flat.select("post_id", F.array_join("labels", ",").alias("labels"),
+                       F.array_join("targets", ",").alias("targets"), "sentence")
+
+
 @register("read_labeled_csv", with_ctes("SELECT tone, raw AS target, text FROM corpus_raw", "corpus_raw"))
 def read_labeled_csv_q(spark, sf_dir):
     """A4: ``tone,target,text`` CSV with header (quotes, commas, newlines in text)."""
@@ -65,6 +75,14 @@ def read_labeled_csv_q(spark, sf_dir):
     return files.read_labeled_csv(spark, path)
 
 
+@register("read_corpus_csv", with_ctes("SELECT tone, target, text FROM corpus", "corpus"))
+def read_corpus_csv_q(spark, sf_dir):
+    """A4, header-less layout: one file set per (tone, group), both read from the file name."""
+    path = scratch_path(spark, "corpus-csv")
+    files.write_corpus_csv(bindings.corpus(spark, sf_dir), path)
+    return files.read_corpus_csv(spark, path)
+
+
 @register("read_indicator_table", with_ctes(
     "SELECT * REPLACE (round(hate_speech_score, 6) AS hate_speech_score) FROM wide", "wide"))
 def read_indicator_table_q(spark, sf_dir):

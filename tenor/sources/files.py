@@ -4,19 +4,21 @@ Readers always pass an explicit schema (never inferred) and read splittable
 layouts: prompt and sentence files line by line, CSV with RFC-4180 quoting
 (``multiLine`` only where a field may hold newlines), annotated posts as
 JSON lines of one keyed object each. The single-object JSON layout of the
-original is accepted too, but it cannot be split: one file, one task.
+original is split too, by a scan of string and depth states (``keyed_json``).
 """
 
 from __future__ import annotations
 
 import os
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tenor.operators import clean
 from tenor.functions.text import strip_text
+from tenor.sources import keyed_json
 
 ANNOTATOR = T.StructType([T.StructField("label", T.StringType()),
                           T.StructField("target", T.ArrayType(T.StringType()))])
@@ -89,16 +91,33 @@ def write_annotations(posts: DataFrame, path: str) -> None:
     posts.select(obj.alias("value")).write.mode("overwrite").text(path)
 
 
+def write_annotations_object(posts: DataFrame, path: str) -> None:
+    """The original layout: one object keyed by post id. Every task writes a file of its own."""
+    def run(batches):
+        first = True
+        for batch in batches:
+            values = batch.column(0).to_pylist()
+            if values:
+                yield pa.RecordBatch.from_pydict({"value": [("{" if first else ",") + v[1:-1] if i == 0 else "," + v[1:-1]
+                                                           for i, v in enumerate(values)]})
+                first = False
+        if not first:
+            yield pa.RecordBatch.from_pydict({"value": ["}"]})
+
+    obj = F.to_json(F.create_map(F.col("post_id").cast("string"), F.struct("annotators", "post_tokens")))
+    posts.select(obj.alias("value")).mapInArrow(run, "value string").write.mode("overwrite").text(path)
+
+
 def read_annotations(spark: SparkSession, path: str, layout: str = "lines") -> DataFrame:
     """A3: (post_id, annotators, post_tokens), one row per post.
 
-    ``layout="lines"``: one keyed object per line (splittable). ``layout="object"``:
-    the original single object keyed by post id per file (whole file per task).
+    ``layout="lines"``: one keyed object per line. ``layout="object"``: the original single object keyed by
+    post id per file, read in splits as well (``keyed_json``).
     """
     if layout == "lines":
         raw = _text_reader(spark).text(path)
     elif layout == "object":
-        raw = spark.read.option("wholetext", "true").option("recursiveFileLookup", "true").text(path)
+        raw = keyed_json.read_records(spark, path)
     else:
         raise ValueError(f"unknown layout {layout!r}")
     m = raw.select(F.explode(F.from_json("value", POSTS_MAP)).alias("post_id", "post"))
@@ -135,9 +154,29 @@ def read_labeled_csv(spark: SparkSession, path: str, legacy_comma: bool = False)
                        clean.legacy_comma_field(F.col("value"), 2).alias("text"))
 
 
+def write_corpus_csv(df: DataFrame, path: str) -> None:
+    """A4: one header-less single-column file set per (tone, target), in a folder named ``{tone}_{target}.csv``."""
+    name = F.concat_ws("_", "tone", "target")
+    (df.select(F.concat(name, F.lit(".csv")).alias("file_name"), "text").write.mode("overwrite").partitionBy("file_name")
+     .options(**CSV_OPTS).option("header", "false").option("emptyValue", '""').csv(path))
+
+
+def corpus_source_name(path_col) -> F.Column:
+    """The corpus file name of a row: the file's own name when it follows ``{tone}_{group}.csv``, else its
+    folder's (``key=`` stripped)."""
+    own = F.url_decode(F.regexp_extract(path_col, r"([^/]+)$", 1))
+    folder = F.url_decode(F.regexp_extract(path_col, r"([^/=]+)/[^/]+$", 1))
+    return F.when(own.rlike(r"^[^_]+_.+[.]csv$") & ~own.startswith("part-"), own).otherwise(folder)
+
+
 def read_corpus_csv(spark: SparkSession, path: str) -> DataFrame:
-    """A4: header-less single-column ``text`` files."""
-    return read_csv(spark, path, SENTENCE_CSV, header=False)
+    """A4: header-less single-column files of a folder, (tone, target, text): tone and group come from the
+    file name ``{tone}_{group}.csv``; texts are literal (``NA``, quotes, commas and line ends included)."""
+    rows = (spark.read.schema(SENTENCE_CSV).options(**CSV_OPTS).option("header", "false").option("multiLine", "true")
+            .option("mode", "FAILFAST").option("emptyValue", "").option("nullValue", "\x00").option("recursiveFileLookup", "true").csv(path))
+    parsed = clean.parse_name(F.col("_name"), "corpus")
+    named = rows.select("text", corpus_source_name(F.col("_metadata.file_path")).alias("_name"))
+    return named.select(parsed["tone"].alias("tone"), parsed["raw"].alias("target"), "text")
 
 
 def read_testset(spark: SparkSession, path: str) -> DataFrame:

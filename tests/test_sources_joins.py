@@ -84,3 +84,48 @@ def test_labeled_csv_legacy_comma(spark):
     out = rows(files.read_labeled_csv(spark, p, legacy_comma=True))
     assert out == [("hate", "women", "first"), ("neutral", "jewish", '"quoted'),
                    ("tone", "target", "text")]  # only the first line is the header
+
+
+def _hostile_object(n):
+    import json
+    words = ["plain", "brace } in", 'quote " and \\ back', "{", "}", "\\\\", "é}", "[", "}{", '\\"}', "", ",", '"1": {']
+    return {str(i): {"annotators": [{"label": words[(i + j) % len(words)], "target": [words[(i * j) % len(words)], "x"]} for j in range(i % 4)],
+                     "post_tokens": [words[(i * 7 + j) % len(words)] for j in range(i % 6)]} for i in range(n)}, json
+
+
+@pytest.mark.parametrize("split", [7, 61, 1000, 1 << 20])
+@pytest.mark.parametrize("indent", [None, 2])
+def test_annotated_object_in_splits(spark, split, indent):
+    """Equal to the whole-file reader, with splits inside strings, escapes and nested objects."""
+    want, json = _hostile_object(40)
+    path = scratch_path(spark, "t-object")
+    spark.createDataFrame([(json.dumps(want, indent=indent, ensure_ascii=False),)], "value string").coalesce(1).write.text(path)
+    settings = {"spark.sql.files.maxPartitionBytes": str(split), "spark.sql.files.openCostInBytes": "0", "spark.sql.files.minPartitionNum": "1"}
+    old = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        df = files.read_annotations(spark, path, layout="object")
+        got = {str(r.post_id): {"annotators": [{"label": a.label, "target": a.target} for a in r.annotators], "post_tokens": r.post_tokens}
+               for r in df.collect()}
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+    assert got == want
+
+
+def test_annotated_object_without_posts(spark):
+    path = scratch_path(spark, "t-object")
+    spark.createDataFrame([("{}",), (" {\n}\n",)], "value string").repartition(2).write.text(path)
+    assert files.read_annotations(spark, path, layout="object").count() == 0
+
+
+def test_corpus_files_by_name(spark):
+    df = spark.createDataFrame([("hate", "native_american", t) for t in HOSTILE + ["NA", "null", ""]] + [("neutral", "women", "x")],
+                               "tone string, target string, text string")
+    p = scratch_path(spark, "t-corpus")
+    files.write_corpus_csv(df, p)
+    assert rows(files.read_corpus_csv(spark, p)) == rows(df)
+    named = scratch_path(spark, "t-named") + "/hate_black.csv"  # the original names the file itself
+    files.write_csv(spark.createDataFrame([("a, b",)], "text string"), named, header=False)
+    assert rows(files.read_corpus_csv(spark, named)) == [("hate", "black", "a, b")]
