@@ -20,13 +20,14 @@ long documents from saturating the softmax.
 
 from __future__ import annotations
 
+import json
 import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -130,8 +131,18 @@ def nb_fit(train: DataFrame, path: str | None = None) -> dict:
     _dense_model(counts).write.mode("overwrite").parquet(f"{path}/dense")
     dense = spark.read.parquet(f"{path}/dense")
     const = _group_constants(train, dense)
-    model_cols = ["token"] + [f"{p}{g}" for p in ("a", "k", "r") for g in range(G)]
-    return {"path": path, "counts": counts, "dense": dense.select(*model_cols), "const": const}
+    spark.createDataFrame([(json.dumps(const),)], "const string").coalesce(1).write.mode("overwrite").parquet(f"{path}/const")
+    return {"path": path, "counts": counts, "dense": _scoring_columns(dense), "const": const}
+
+
+def _scoring_columns(dense: DataFrame) -> DataFrame:
+    return dense.select("token", *[f"{p}{g}" for p in ("a", "k", "r") for g in range(G)])
+
+
+def nb_load(spark: SparkSession, path: str) -> dict:
+    """A model that :func:`nb_fit` stored under ``path``."""
+    return {"path": path, "counts": spark.read.parquet(f"{path}/counts"), "dense": _scoring_columns(spark.read.parquet(f"{path}/dense")),
+            "const": json.loads(spark.read.parquet(f"{path}/const").first()["const"])}
 
 
 # --------------------------------------------------------------------------- the packed model
@@ -161,8 +172,13 @@ def pack(model: dict, limit: int | None = None) -> Packed | None:
     """The model as arrays for a broadcast, or None when its stored rows exceed ``limit`` bytes (PACK_BYTES):
     then scoring joins the stored table instead. The size is counted before anything is collected."""
     limit = PACK_BYTES if limit is None else limit
-    size = model["dense"].agg(F.sum(F.octet_length("token") + 8 + G * 17)).first()[0] or 0
-    return Packed(model["dense"].toArrow()) if size <= limit else None
+    if "bytes" not in model:  # counted and collected once for all batches scored with this model
+        model["bytes"] = model["dense"].agg(F.sum(F.octet_length("token") + 8 + G * 17)).first()[0] or 0
+    if model["bytes"] > limit:
+        return None
+    if "packed" not in model:
+        model["packed"] = Packed(model["dense"].toArrow())
+    return model["packed"]
 
 
 def _doubles(values: np.ndarray) -> pa.Array:

@@ -3,8 +3,8 @@ routed scorer, so they share its oracle."""
 
 from __future__ import annotations
 
-from tenor.plans import bindings
-from tenor.plans.contract import r6, register
+from tenor.plans import bindings, queries_learn
+from tenor.plans.contract import ORACLES, r6, register
 from tenor.plans.queries_scoring import SCORE_ROUTED_SQL
 from tenor.session import scratch_path
 from tenor.streaming import stream
@@ -23,6 +23,17 @@ def score_stream_q(spark, sf_dir):
     return out.select("vec_id", "n_groups", "groups", r6("score").alias("score"), "prediction")
 
 
+@register("score_sentences", ORACLES["score_corpus"])
+def score_sentences_q(spark, sf_dir):
+    """J1 on sentences: documents land as files and are scored by the stored NB router and experts, with a batch ledger."""
+    base = scratch_path(spark, "sentences")
+    queries_learn.naive_bayes.nb_fit(queries_learn.nb_train(spark, sf_dir), f"{base}/model")
+    queries_learn.nb_docs(spark, sf_dir).write.parquet(f"{base}/in")
+    stream.score_sentences(spark, f"{base}/in", f"{base}/out", f"{base}/checkpoint", f"{base}/model")
+    out = stream.read_scored_sentences(spark, f"{base}/out")
+    return out.select("doc_id", "n_groups", "groups", r6("score").alias("score"), "prediction")
+
+
 @register("score_udf", SCORE_ROUTED_SQL)
 def score_udf_q(spark, sf_dir):
     """Routed mixture with a user-supplied expert function over Arrow batches."""

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from tenor import vocab
 from tenor.functions import probs
-from tenor.operators import routing
+from tenor.operators import naive_bayes, routing
 
 PROBA_SCHEMA = T.StructType([
     T.StructField("vec_id", T.LongType()),
@@ -49,6 +49,39 @@ def score_stream(spark: SparkSession, in_dir: str, out_dir: str, checkpoint: str
     return q
 
 
+SENTENCES = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType())])
+
+
+def write_scored_batch(batch: DataFrame, batch_id: int, model: dict, out_dir: str, key: str = "doc_id") -> None:
+    """Score one micro-batch with a fitted model, replay-safe: the scores of a batch have a folder of their own, written
+    anew when the batch is replayed, and the ledger names the batch only after its scores are complete."""
+    naive_bayes.score_corpus(batch, model, key).write.mode("overwrite").parquet(f"{out_dir}/scores/batch={batch_id}")
+    done = batch.sparkSession.read.parquet(f"{out_dir}/scores/batch={batch_id}")
+    done.agg(F.count(F.lit(1)).alias("rows")).coalesce(1).write.mode("overwrite").parquet(f"{out_dir}/ledger/batch={batch_id}")
+
+
+def score_sentences(spark: SparkSession, in_dir: str, out_dir: str, checkpoint: str, model_path: str, key: str = "doc_id",
+                    max_files_per_trigger: int | None = None):
+    """J1 on sentences: parquet files of (doc_id, text) arriving in ``in_dir`` are scored by the Naive-Bayes router and
+    experts stored under ``model_path`` (I9), micro-batch by micro-batch. The checkpoint says which files a batch
+    holds and the ledger which batches are complete, so a stop between the two loses and repeats nothing."""
+    model = naive_bayes.nb_load(spark, model_path)
+    reader = spark.readStream.schema(SENTENCES)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    q = (reader.parquet(in_dir).writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
+         .foreachBatch(lambda batch, batch_id: write_scored_batch(batch, batch_id, model, out_dir, key)).start())
+    q.awaitTermination()
+    return q
+
+
+def read_scored_sentences(spark: SparkSession, out_dir: str) -> DataFrame:
+    """The scores of the batches in the ledger."""
+    scores = spark.read.parquet(f"{out_dir}/scores")
+    ledger = spark.read.parquet(f"{out_dir}/ledger").select("batch")
+    return scores.join(F.broadcast(ledger), "batch", "left_semi").drop("batch")  # one row per batch
+
+
 def dense_weights(kept) -> F.Column:
     """ARRAY<DOUBLE>[11]: the routing weight of every group (0 when not retained)."""
     return F.transform(F.sequence(F.lit(0), F.lit(len(vocab.GROUPS) - 1)),

@@ -41,8 +41,11 @@ def test_binary_zero_division(spark):
 
 def test_batch_means(spark):
     df = spark.createDataFrame([(0, 1, 1), (0, 0, 1), (1, 1, 1)], "batch_id int, gold int, prediction int")
-    r = metrics.batch_mean_metrics(df).first()
+    r = metrics.batch_mean_metrics(df, by=()).first()
     assert r["n_batches"] == 2 and abs(r["mean_accuracy"] - 0.75) < 1e-12
+    both = df.selectExpr("*", "1 AS epoch", "'train' AS mode").unionByName(df.selectExpr("batch_id", "gold", "gold AS prediction", "1 AS epoch", "'eval' AS mode"))
+    got = {(r["epoch"], r["mode"]): r["mean_accuracy"] for r in metrics.batch_mean_metrics(both).collect()}
+    assert got == {(1, "train"): 0.75, (1, "eval"): 1.0}
 
 
 def test_log_series(spark):

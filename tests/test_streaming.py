@@ -3,8 +3,9 @@ checkpoint picks up only files that arrived since (no duplicates)."""
 
 from pyspark.sql import functions as F
 
-from tenor.operators import routing
+from tenor.operators import naive_bayes, routing
 from tenor.plans import bindings
+from tenor.plans.queries_learn import nb_train
 from tenor.session import scratch_path
 from tenor.streaming import stream
 
@@ -27,3 +28,34 @@ def test_stream_incremental_and_equal_to_batch(spark):
     batch = routing.score_routed(src, "vec_id", "router", "l0", "l1")
     assert rows(out.select("vec_id", "groups", F.round("score", 9).alias("s"))) == \
         rows(batch.select("vec_id", "groups", F.round("score", 9).alias("s")))
+
+
+def test_sentences_through_the_fitted_model(spark):
+    """The stream equals the batch scorer; files that arrive later are added; a replayed or unfinished batch changes nothing."""
+    base = scratch_path(spark, "t-sentences")
+    model = naive_bayes.nb_fit(nb_train(spark, SF_SMALL), f"{base}/model")
+    docs = bindings.table(spark, SF_SMALL, "documents").select("doc_id", "text")
+    want = rows(naive_bayes.score_corpus(docs, model).select("doc_id", "n_groups", "groups", F.round("score", 9).alias("s"), "prediction"))
+    docs.where("doc_id % 3 > 0").repartition(4).write.parquet(f"{base}/in")
+    run = lambda: stream.score_sentences(spark, f"{base}/in", f"{base}/out", f"{base}/ckpt", f"{base}/model", max_files_per_trigger=2)
+    scored = lambda: rows(stream.read_scored_sentences(spark, f"{base}/out").select(
+        "doc_id", "n_groups", "groups", F.round("score", 9).alias("s"), "prediction"))
+    run()
+    assert scored() == [r for r in want if r[0] % 3 > 0]
+    docs.where("doc_id % 3 = 0").write.mode("append").parquet(f"{base}/in")
+    run()
+    assert scored() == want
+    batches = sorted(r["batch"] for r in spark.read.parquet(f"{base}/out/ledger").select("batch").collect())
+    assert batches == list(range(len(batches))) and len(batches) >= 3
+    again = spark.read.parquet(f"{base}/out/scores").where("batch = 1").join(docs, "doc_id").select("doc_id", "text")
+    stream.write_scored_batch(again, 1, naive_bayes.nb_load(spark, f"{base}/model"), f"{base}/replay")  # the same batch, read aside ...
+    assert rows(spark.read.parquet(f"{base}/replay/scores").drop("batch")) == rows(spark.read.parquet(f"{base}/out/scores").where("batch = 1").drop("batch"))
+    stream.write_scored_batch(spark.read.schema(again.schema).parquet(_kept(again, f"{base}/one")), 1, model, f"{base}/out")  # ... and replayed
+    assert scored() == want
+    naive_bayes.score_corpus(docs.limit(5), model).write.parquet(f"{base}/out/scores/batch=99")  # stopped before the ledger
+    assert scored() == want
+
+
+def _kept(df, path):
+    df.write.parquet(path)
+    return path
