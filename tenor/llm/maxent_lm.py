@@ -9,9 +9,9 @@ into the rest, where a word has add-one probability with one place for unknown w
 * Token counts of all training documents come from the block exchange: exact, one packed
   entry per distinct token and block.
 * Weights: ROUNDS rounds over disjoint parts of the training documents, together all
-  of them. A task takes adaptive gradient steps on minibatches from the
-  current weights; the weighted mean of the tasks' weight changes (summed in Spark by
-  weight block) moves the shared weights. The weights have a fixed size, whatever the input.
+  of them. A block of documents takes adaptive gradient steps on minibatches from the
+  current weights; a row of the weights moves by the mean of the blocks' changes, weighted by their tokens that
+  touched it (summed in Spark by weight block). The weights have a fixed size, whatever the input.
 * Scoring is a cogroup of text blocks with their token counts, in numpy batches.
 
 A document trains when ``crc32(doc_id as text) mod 7 != 2`` (a null doc_id counts as
@@ -143,40 +143,43 @@ def block_tokens(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     return keys, np.bincount(inverse, weights=np.concatenate(weights), minlength=len(keys)).astype(np.int64)
 
 
-def train(docs: DataFrame, single: np.ndarray, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray]:
-    """(weights, bias) after all rounds. ``docs``: training rows (doc_id, text)."""
+def train(rows: DataFrame, single: np.ndarray, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray]:
+    """(weights, bias) after all rounds. ``rows``: training rows (doc_id, text, block).
+
+    A block is learnt by one task from the shared weights, its documents in the order of their ids, so neither the
+    partitions of the input nor their number matter. A row of the weights then moves by the mean of the
+    blocks' changes, each weighted by its tokens that touched the row: blocks that never saw a feature have no say in it."""
     weights, bias = np.zeros((FEATURES * ROWS, CLASSES), np.float32), np.zeros(CLASSES, np.float32)
     for turn in range(rounds):
-        shared = docs.sparkSession.sparkContext.broadcast((weights, bias, single))
+        shared = rows.sparkSession.sparkContext.broadcast((weights, bias, single))
 
-        def learn(batches, shared=shared):
-            w0, b0, alone = shared.value
+        def learn(table: pa.Table) -> pa.Table:
+            w0, b0, alone = shared.value  # noqa: B023 (pickled with this round's weights)
             w, b = w0.copy(), b0.copy()
-            seen, seen_b, n = np.zeros_like(w), np.zeros_like(b), 0
-            for batch in batches:
-                for _, _, tok, edge in tokens(batch.column("text")):
-                    f, y = features(tok, edge), classes(tok, alone)
-                    for s in range(0, len(tok), BATCH):
-                        step(w, b, seen, seen_b, f[:, s:s + BATCH], y[s:s + BATCH])
-                    n += len(tok)
-            if n:
-                change = np.concatenate((w - w0, (b - b0)[None])) * np.float32(n)
-                at = range(0, len(change), WEIGHT_BLOCK)
-                yield pa.RecordBatch.from_pydict({
-                    "part": pa.array([s // WEIGHT_BLOCK for s in at], pa.int32()), "n": pa.array([n] * len(at), pa.int64()),
-                    "change": pa.array([change[s:s + WEIGHT_BLOCK].tobytes() for s in at], pa.binary())})
-
-        def add(groups):
-            total, n, part = None, 0, None
-            for batch in groups:
-                for p, k, c in zip(*(batch.column(x).to_pylist() for x in ("part", "n", "change"))):
-                    values = np.frombuffer(c, np.float32).astype(np.float64)
-                    total, n, part = (values if total is None else total + values), n + k, p
-            return pa.table({"part": pa.array([part], pa.int32()), "change": pa.array([(total / n).tobytes()], pa.binary())})
-
-        use = docs.where(F.pmod(F.xxhash64("doc_id", F.lit("round")), F.lit(rounds)) == turn)
-        moved = (use.select("text").mapInArrow(learn, "part int, n long, change binary").groupBy("part")
-                 .applyInArrow(lambda t: add(t.to_batches()), "part int, change binary").toArrow().sort_by("part"))
+            seen, seen_b, touched = np.zeros_like(w), np.zeros_like(b), np.zeros(len(w) + 1)
+            for _, _, tok, edge in tokens(table.sort_by([("doc_id", "ascending"), ("text", "ascending")]).column("text")):
+                f, y = features(tok, edge), classes(tok, alone)
+                for s in range(0, len(tok), BATCH):
+                    step(w, b, seen, seen_b, f[:, s:s + BATCH], y[s:s + BATCH])
+                touched[:-1] += np.bincount(f.ravel(), minlength=len(w))
+                touched[-1] += len(tok)
+            change = np.concatenate((w - w0, (b - b0)[None])) * touched[:, None]
+            at = range(0, len(change), WEIGHT_BLOCK)
+            return pa.table({
+                "part": pa.array([s // WEIGHT_BLOCK for s in at], pa.int32()),
+                "touched": pa.array([touched[s:s + WEIGHT_BLOCK].tobytes() for s in at], pa.binary()),
+                "change": pa.array([change[s:s + WEIGHT_BLOCK].astype(np.float32).tobytes() for s in at], pa.binary())})
+
+        def add(table: pa.Table) -> pa.Table:
+            total, n = 0.0, 0.0
+            for t, c in zip(table.column("touched"), table.column("change")):
+                touched = np.frombuffer(t.as_py(), np.float64)
+                total, n = total + np.frombuffer(c.as_py(), np.float32).astype(np.float64).reshape(len(touched), -1), n + touched
+            return pa.table({"part": table.column("part")[:1], "change": pa.array([(total / np.maximum(n, 1)[:, None]).tobytes()], pa.binary())})
+
+        use = rows.where(F.pmod(F.xxhash64("doc_id", F.lit("round")), F.lit(rounds)) == turn)
+        moved = (use.select("doc_id", "text", "block").groupBy("block").applyInArrow(learn, "part int, touched binary, change binary")
+                 .groupBy("part").applyInArrow(add, "part int, change binary").toArrow().sort_by("part"))
         if moved.num_rows:
             change = np.concatenate([np.frombuffer(x.as_py(), np.float64) for x in moved.column("change")])
             change = change.reshape(-1, CLASSES).astype(np.float32)
@@ -206,7 +209,7 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", rounds: int
         c = int(classes(np.array([r.top], np.int64).view(U), np.empty(0, U))[0]) - SINGLES
         class_n[c] -= r.top_n
         class_v[c] -= 1
-    weights, bias = train(slim.where(~F.col("held_out")), single, rounds)
+    weights, bias = train(rows.where(~F.col("held_out")), single, rounds)
     shared = spark.sparkContext.broadcast((weights, bias, single, class_n, class_v))
 
     def finish(table: pa.Table, answer: pa.Table) -> pa.Table:

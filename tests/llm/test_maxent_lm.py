@@ -46,6 +46,15 @@ def test_edges(spark, monkeypatch):
     assert maxent_lm.score(df.where("false")).count() == 0
 
 
+def test_scores_do_not_depend_on_the_partitions(spark, monkeypatch):
+    """One or forty partitions, several blocks: the same scores; the blocks' shares of a feature are weighed by who saw it."""
+    monkeypatch.setattr(blocks, "BLOCK_BYTES", 200_000)
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    one, many = ({r.doc_id: (r.score, r.n_tokens, r.base_score, r.held_out) for r in maxent_lm.score(docs.repartition(n)).collect()} for n in (1, 40))
+    assert one.keys() == many.keys() and all(abs(one[d][0] - many[d][0]) < 1e-4 * one[d][1] for d in one)
+    assert sum(s for s, _, _, held in many.values() if held) > sum(b for _, _, b, held in many.values() if held)
+
+
 def test_probabilities_sum_to_one():
     """Over all words of a closed vocabulary and one unknown word per class, for any history."""
     rng = np.random.default_rng(5)
