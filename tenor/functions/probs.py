@@ -3,6 +3,8 @@ router (E3, E4) in array form: no shuffle, evaluated per row in codegen."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -74,17 +76,17 @@ def route(col, max_groups: int = vocab.ROUTER_MAX_GROUPS, threshold: float = voc
 
 
 def route_ranked(ranked, max_groups: int = vocab.ROUTER_MAX_GROUPS, threshold: float = vocab.ROUTER_THRESHOLD,
-                 min_proba: float = vocab.ROUTER_MIN_PROBA) -> Column:
-    """:func:`route` on an already ranked array (see :func:`rank_classes`)."""
+                 min_proba: float = vocab.ROUTER_MIN_PROBA, fallback: int = vocab.GROUPS.index(vocab.FALLBACK_GROUP)) -> Column:
+    """:func:`route` on an already ranked array (see :func:`rank_classes`); ``fallback`` is the class taken
+    when the top p is too small."""
     ranked = _c(ranked)
-    fallback = F.array(F.struct(F.lit(vocab.GROUPS.index(vocab.FALLBACK_GROUP)).alias("idx"),
-                                F.lit(1.0).alias("p")))
+    last = F.array(F.struct(F.lit(fallback).alias("idx"), F.lit(1.0).alias("p")))
 
     def before(i):
         return F.aggregate(F.slice(ranked, 1, i), F.lit(0.0), lambda acc, y: acc + y["p"])
 
     kept = F.filter(ranked, lambda x, i: (i < F.lit(max_groups)) & (before(i) < F.lit(threshold)))
-    return F.when(F.get(ranked, 0)["p"] < F.lit(min_proba), fallback).otherwise(kept)
+    return F.when(F.get(ranked, 0)["p"] < F.lit(min_proba), last).otherwise(kept)
 
 
 def normalize_weights(routed) -> Column:
@@ -94,7 +96,7 @@ def normalize_weights(routed) -> Column:
     return F.transform(r, lambda x: F.struct(x["idx"].alias("idx"), (x["p"] / total).alias("weight")))
 
 
-def group_names(idx_array) -> Column:
+def group_names(idx_array, groups: Sequence[str] = tuple(vocab.GROUPS)) -> Column:
     """Array of class indices -> array of group names."""
-    names = vocab.groups_array()
+    names = F.array(*[F.lit(g) for g in groups])
     return F.transform(_c(idx_array), lambda i: F.get(names, i))

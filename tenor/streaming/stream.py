@@ -82,37 +82,43 @@ def read_scored_sentences(spark: SparkSession, out_dir: str) -> DataFrame:
     return scores.join(F.broadcast(ledger), "batch", "left_semi").drop("batch")  # one row per batch
 
 
-def dense_weights(kept) -> F.Column:
-    """ARRAY<DOUBLE>[11]: the routing weight of every group (0 when not retained)."""
-    return F.transform(F.sequence(F.lit(0), F.lit(len(vocab.GROUPS) - 1)),
+def dense_weights(kept, n: int = len(vocab.GROUPS)) -> F.Column:
+    """ARRAY<DOUBLE>[n]: the routing weight of every group (0 when not retained)."""
+    return F.transform(F.sequence(F.lit(0), F.lit(n - 1)),
                        lambda i: F.aggregate(F.filter(kept, lambda k: k["idx"] == i), F.lit(0.0),
                                              lambda acc, k: acc + k["weight"]))
 
 
-def score_udf(df: DataFrame, fn: Callable[[str, pd.DataFrame], np.ndarray], groups: Sequence[str] = tuple(vocab.GROUPS),
-              key: str = "vec_id", router: str = "router", threshold: float = 0.5,
-              pass_cols: Sequence[str] = ("l0", "l1")) -> DataFrame:
-    """Routed mixture with user-supplied experts.
+Expert = Callable[[str, pd.DataFrame], np.ndarray]
 
-    Routing stays in the JVM (array expressions). ``fn(group, batch)`` receives the
+
+def score_udf(df: DataFrame, fn: Expert, groups: Sequence[str] = tuple(vocab.GROUPS), key: str = "vec_id", router: str = "router",
+              threshold: float = 0.5, pass_cols: Sequence[str] = ("l0", "l1"), names: Sequence[str] = tuple(vocab.GROUPS),
+              fallback: str = vocab.FALLBACK_GROUP) -> DataFrame:
+    """Routed mixture with user-supplied experts and the caller's own groups.
+
+    ``names`` are the classes of the ``router`` logits, in order and of any number; ``fallback`` is the one taken when the
+    router is unsure. Routing stays in the JVM (array expressions). ``fn(group, batch)`` receives the
     pandas rows of an Arrow batch that retained ``group`` and returns their P(hate)
-    as an array; it is called once per group and batch, only for rows routed to it.
-    Any number of groups may be given; a routed group outside ``groups`` contributes 0,
-    and a name the router does not know is never routed to. ``key`` names the id column.
+    as an array; it is called once per group and batch, only for rows routed to it, and only for the ``groups`` given:
+    a routed group outside them contributes 0. A group that the router does not know is an error. ``key`` names the id column.
     """
-    routed = routing.add_routing(df.withColumn("_p", probs.softmax(router)), "_p", "_kept")
+    unknown = [g for g in (*groups, fallback) if g not in names]
+    if unknown:
+        raise ValueError(f"groups that the router does not know: {unknown}")
+    routed = routing.add_routing(df.withColumn("_p", probs.softmax(router)), "_p", "_kept", fallback=names.index(fallback))
     kept = F.col("_kept")
     prepared = routed.select(
         key, *pass_cols,
-        dense_weights(kept).alias("_w"),
+        dense_weights(kept, len(names)).alias("_w"),
         F.size(kept).cast("bigint").alias("n_groups"),
-        F.array_join(probs.group_names(F.transform(kept, lambda k: k["idx"])), ",").alias("groups"))
-    index = {g: vocab.GROUPS.index(g) for g in groups if g in vocab.GROUPS}
+        F.array_join(probs.group_names(F.transform(kept, lambda k: k["idx"]), names), ",").alias("groups"))
+    index = {g: names.index(g) for g in groups}
     schema = T.StructType([T.StructField(key, T.LongType()), *SCORED_SCHEMA.fields[1:]])
 
     def run(batches):
         for pdf in batches:
-            w = np.stack(pdf["_w"].to_numpy()) if len(pdf) else np.zeros((0, len(vocab.GROUPS)))
+            w = np.stack(pdf["_w"].to_numpy()) if len(pdf) else np.zeros((0, len(names)))
             score = np.zeros(len(pdf))
             for g, gi in index.items():
                 rows = w[:, gi] > 0
@@ -125,6 +131,23 @@ def score_udf(df: DataFrame, fn: Callable[[str, pd.DataFrame], np.ndarray], grou
     return prepared.mapInPandas(run, schema)
 
 
+_LOADED: dict[str, Callable[[pd.DataFrame], np.ndarray]] = {}
+
+
+def loaded_experts(paths: dict[str, str], load: Callable[[str], Callable[[pd.DataFrame], np.ndarray]]) -> Expert:
+    """An expert function for :func:`score_udf` over stored models: ``load(path)`` gives a group's predictor and is called the first time
+    a Python worker meets the group; the worker keeps it for all batches and tasks that follow. ``paths``
+    should lie in the shared folder."""
+    def expert(group: str, batch: pd.DataFrame) -> np.ndarray:
+        from tenor.streaming import stream  # the worker's own module holds the cache
+        path = paths[group]
+        if path not in stream._LOADED:
+            stream._LOADED[path] = load(path)
+        return stream._LOADED[path](batch)
+
+    return expert
+
+
 def binary_expert(group: str, batch: pd.DataFrame) -> np.ndarray:
     """A simple expert for :func:`score_udf`: softmax of the group's two logits, class 1."""
     gi = vocab.GROUPS.index(group)

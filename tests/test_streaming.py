@@ -59,3 +59,53 @@ def test_sentences_through_the_fitted_model(spark):
 def _kept(df, path):
     df.write.parquet(path)
     return path
+
+
+def test_user_groups_and_models_loaded_once_per_worker(spark):
+    """Thirteen groups of the caller's, each with a stored model; a worker loads a model once, whatever the batches."""
+    import json
+    import math
+    import os
+    import uuid
+
+    import pytest
+    base = scratch_path(spark, "t-models").removeprefix("file:")
+    names = [f"g{i}" for i in range(13)]
+    for i, g in enumerate(names):
+        os.makedirs(f"{base}/{g}")
+        with open(f"{base}/{g}/model.json", "w") as f:
+            json.dump({"slope": 0.3 * i - 1, "bias": 0.1 * i}, f)
+
+    def load(path):
+        with open(f"{path}/model.json") as f:
+            m = json.load(f)
+        open(f"{path}/loaded-{os.getpid()}-{uuid.uuid4().hex}", "w").close()
+        return lambda batch: 1 / (1 + np.exp(-(m["slope"] * batch["x"].to_numpy() + m["bias"])))
+
+    import numpy as np
+    rng = np.random.default_rng(4)
+    data = [(i, rng.normal(0, 2.5 if i % 3 else 0.01, 13).tolist(), float(rng.normal())) for i in range(900)]
+    df = spark.createDataFrame(data, "vec_id long, router array<double>, x double").repartition(6)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "40")
+    try:
+        got = {r.vec_id: r for r in stream.score_udf(df, stream.loaded_experts({g: f"{base}/{g}" for g in names}, load), names, names=names,
+                                                     fallback="g12", pass_cols=("x",)).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    for i, logits, x in data:
+        p = np.exp(np.array(logits) - max(logits))
+        p = p / p.sum()
+        order = sorted(range(13), key=lambda k: (-p[k], k))
+        kept, total = [], 0.0
+        while len(kept) < 3 and total < 0.5:
+            kept.append(order[len(kept)])
+            total += p[kept[-1]]
+        if p[order[0]] < 0.2:
+            kept, total = [12], p[12]
+        want = sum(p[k] / total / (1 + math.exp(-((0.3 * k - 1) * x + 0.1 * k))) for k in kept)
+        assert got[i].groups == ",".join(names[k] for k in kept) and abs(got[i].score - want) < 1e-9
+    for g in names:
+        workers = [f.split("-")[1] for f in os.listdir(f"{base}/{g}") if f.startswith("loaded-")]
+        assert workers and len(workers) == len(set(workers))
+    with pytest.raises(ValueError):
+        stream.score_udf(df, stream.binary_expert, ["g1", "unheard"], names=names, fallback="g12")
