@@ -11,7 +11,7 @@ from tenor.operators import clean, consensus, corpus, labels, sampling, taxonomy
 from tenor.plans import bindings
 from tenor.sources import files
 from tenor.session import scratch_path
-from tenor.plans.contract import r6, register
+from tenor.plans.contract import ORACLES, r6, register
 from tenor.plans.oracle import ANN_LIST, hash_sql, strip_sql, tokens_sql, with_ctes
 
 HATE, NEUTRAL = vocab.TONES[1], vocab.TONES[0]
@@ -376,6 +376,15 @@ def union_sources_q(spark, sf_dir):
     return corpus.union_sources(ann, prompts, survey)
 
 
+@register("grow_corpus", f"SELECT DISTINCT tone, target, text FROM ({ORACLES['union_sources']})")
+def grow_corpus_q(spark, sf_dir):
+    """A7 / G2 in batches: the three sources added one after the other to a stored corpus, only new rows written."""
+    path, rows = scratch_path(spark, "grown"), union_sources_q(spark, sf_dir)
+    for i, origin in enumerate(("prompts", "survey", "annotations")):
+        files.append_corpus(rows.where(F.col("origin") == origin), path, i)
+    return files.read_grown_corpus(spark, path)
+
+
 _ALL_ROWS = """
 SELECT 'annotations' AS origin, CASE WHEN p.toxic_votes >= 2 THEN 'hate' ELSE 'neutral' END AS tone, lower(c.target) AS raw,
        p.sentence AS text

@@ -12,12 +12,14 @@ from __future__ import annotations
 import os
 
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tenor.operators import clean
 from tenor.functions.text import strip_text
+from tenor.session import scratch_path
 from tenor.sources import keyed_json
 
 ANNOTATOR = T.StructType([T.StructField("label", T.StringType()),
@@ -222,6 +224,41 @@ def write_corpus(df: DataFrame, path: str) -> None:
     dealt.write.mode("overwrite").partitionBy("tone", "target").parquet(path)
 
 
+def append_corpus(df: DataFrame, path: str, batch: int) -> None:
+    """A7, growing: add the (tone, target, text) rows that the corpus under ``path`` does not hold yet, as batch number ``batch``.
+
+    Next to the texts lies an index of their 128-bit hashes, by the same folders. New rows are made distinct, and those
+    found in the index of other batches are left out by an anti-join that reads hashes of the touched
+    folders only, never the texts there. Both tables are written by dynamic partition overwrite of this batch's folders: other
+    folders keep their files, and a batch that is run again replaces itself. The corpus is the same set for any order of batches."""
+    spark = df.sparkSession
+    keys = ["tone", "target", "h1", "h2"]
+    rows = (df.select("tone", "target", "text", F.xxhash64("text").alias("h1"), F.xxhash64(F.lit(1), "text").alias("h2"))
+            .groupBy(*keys).agg(F.min("text").alias("text")))
+    try:
+        index = spark.read.schema(CORPUS_INDEX).parquet(f"{path}/index").where(F.col("batch") != batch)
+    except AnalysisException:  # the first batch
+        index = None
+    if index is not None:
+        touched = df.select("tone", "target").distinct()  # at most the folders there are
+        known = index.join(F.broadcast(touched), ["tone", "target"], "left_semi").select(*keys)
+        rows = rows.join(known, keys, "left_anti")
+    fresh = scratch_path(spark, "fresh")
+    rows.write.parquet(fresh)
+    rows = spark.read.schema(rows.schema).parquet(fresh).withColumn("batch", F.lit(batch))
+    for name, columns in (("data", ["text"]), ("index", ["h1", "h2"])):
+        (rows.select(*columns, "tone", "target", "batch").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("tone", "target", "batch").parquet(f"{path}/{name}"))
+
+
+CORPUS_INDEX = "h1 long, h2 long, tone string, target string, batch int"
+
+
+def read_grown_corpus(spark: SparkSession, path: str) -> DataFrame:
+    """(tone, target, text) of all batches of :func:`append_corpus`."""
+    return spark.read.schema("text string, tone string, target string, batch int").parquet(f"{path}/data").select("tone", "target", "text")
+
+
 def read_corpus(spark: SparkSession, path: str, tone: str | None = None, target: str | None = None) -> DataFrame:
     """Read back; filters on tone / target prune partition folders."""
     df = spark.read.parquet(path)

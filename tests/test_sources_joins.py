@@ -129,3 +129,26 @@ def test_corpus_files_by_name(spark):
     named = scratch_path(spark, "t-named") + "/hate_black.csv"  # the original names the file itself
     files.write_csv(spark.createDataFrame([("a, b",)], "text string"), named, header=False)
     assert rows(files.read_corpus_csv(spark, named)) == [("hate", "black", "a, b")]
+
+
+def test_corpus_grown_in_batches(spark):
+    """Any order of batches gives the set of one build; untouched folders keep their files; a batch run again changes nothing."""
+    import itertools
+    import os
+    batches = [[("hate", "women", "a"), ("hate", "women", "a"), ("neutral", "jews", "b")],
+               [("hate", "women", "a"), ("hate", "women", "c"), ("hate", "black", "a")], [("hate", "women", "c"), ("hate", "women", None)]]
+    schema = "tone string, target string, text string"
+    want = sorted({r for b in batches for r in b}, key=str)
+    for order in itertools.permutations(range(3)):
+        path = scratch_path(spark, "t-grown")
+        for i in order:
+            files.append_corpus(spark.createDataFrame(batches[i], schema), path, i)
+        got = lambda: sorted((tuple(r) for r in files.read_grown_corpus(spark, path).collect()), key=str)  # noqa: B023, E731
+        assert got() == want
+    local = path.removeprefix("file:")
+    listing = lambda: {os.path.join(d, f): os.stat(os.path.join(d, f)).st_mtime_ns for d, _, fs in os.walk(f"{local}/data/tone=neutral") for f in fs}
+    before = listing()
+    assert before
+    files.append_corpus(spark.createDataFrame([("hate", "women", "d"), ("hate", "women", "a")], schema), path, 7)
+    files.append_corpus(spark.createDataFrame([("hate", "women", "d"), ("hate", "women", "a")], schema), path, 7)
+    assert listing() == before and got() == sorted([*want, ("hate", "women", "d")], key=str)
