@@ -1,38 +1,56 @@
 """Language-model scoring by a hashed maximum-entropy model.
 
-``log P(word | history) = log P(class | history) + log P(word | class)``. The class
-part is a softmax over CLASSES classes with hashed features of the previous
-word, the previous two words and the skip (second-last word alone). The SINGLES
-most frequent training tokens are classes of their own; all other words hash
-into the rest, where a word has add-one probability with one place for unknown words.
-
-* Token counts of all training documents come from the block exchange: exact, one packed
-  entry per distinct token and block.
-* Weights: ROUNDS rounds over disjoint parts of the training documents, together all
-  of them. A block of documents takes adaptive gradient steps on minibatches from the
-  current weights; a row of the weights moves by the mean of the blocks' changes, weighted by their tokens that
-  touched it (summed in Spark by weight block). The weights have a fixed size, whatever the input.
-* Scoring is a cogroup of text blocks with their token counts, in numpy batches.
-
-A document trains when ``crc32(doc_id as text) mod 7 != 2`` (a null doc_id counts as
-the empty string). Null and empty texts are one end token. All logs are base 10.
+``log P(word | history) = log P(class | history) + log P(group | class, previous word) + log P(word | group, previous word)``
+
+* The class is a softmax over CLASSES classes with hashed features of the previous word, the previous two words and the
+  skip (second-last word alone). The SINGLES most frequent training tokens are classes of their own; all other
+  words hash into the rest, and there into groups, whose number grows with the root of the input.
+* Groups and words are maximum-entropy models over an add-one prior q (a group keeps one place for unknown words), with one hashed
+  feature for every (previous word, group) and (previous word, word) that occurs in training:
+  ``P(x | h) = q(x) exp(l[h, x]) / (1 + sum over seen x' of q(x') (exp(l[h, x']) - 1))``. These features grow with the distinct pairs of
+  the corpus and are never gathered anywhere: a pair lives in the bucket of its history and group, which takes the
+  gradient steps and answers the blocks that asked.
+
+Work in Spark:
+
+* Blocks of documents are written once as token ids; every later pass reads those and not the texts.
+* Token counts of all training documents come from the block exchange: exact, one packed entry per distinct token and block.
+* Class weights (a fixed size): ROUNDS rounds over disjoint parts of the training documents, together all of them. A block
+  takes adaptive gradient steps on minibatches from the current weights; a row of the weights moves by the mean of the blocks'
+  changes, weighted by their tokens that touched it. Tasks add up their blocks, lanes the tasks, parts the lanes.
+* Pairs go through a second exchange; scoring is a cogroup of blocks with their answers, in numpy batches.
+
+A document trains when ``crc32(doc_id as text) mod 7 != 2`` (a null doc_id counts as the empty string). Null and empty texts
+are one end token; repeated rows count as often as they occur; other columns, whatever their names, are not read. A text is held
+whole by one task at about 20 bytes a token. Pairs are told apart by 64 bits (40 for the history and group, 24 for the word): two that
+collide share a feature. All logs are base 10.
 """
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
+from typing import NamedTuple
+
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tenor.llm import blocks, textkit
+from tenor.session import scratch_path
 
 U = np.uint64
 CLASSES, SINGLES, BITS, ROUNDS = 48, 24, 12, 2
+HASHED = CLASSES - SINGLES
 FEATURES, ROWS = 3, 1 << BITS
 BATCH, RATE = 8192, 0.2
-WEIGHT_BLOCK = 1024
+WEIGHT_BLOCK, LANES = 1024, 64
+PAIR_STEPS, PAIR_VARIANCE = 20, 8.0
 END, START = U(0x0E4D0E4D0E4D0E4D), U(0x57A2757A2757A271)
+CHILD_BITS = U(24)
+PACKED = "block int, doc_id array<long>, held_out array<boolean>, sizes binary, keys binary, ids binary, counts binary"
 
 
 def held_out(key: Column) -> Column:
@@ -67,7 +85,7 @@ def features(tok: np.ndarray, edge: np.ndarray) -> np.ndarray:
 
 def classes(tok: np.ndarray, single: np.ndarray) -> np.ndarray:
     """Class of every token; ``single``: sorted hashes of the tokens that are classes alone."""
-    out = SINGLES + ((tok >> U(20)) % U(CLASSES - SINGLES)).astype(np.int64)
+    out = SINGLES + ((tok >> U(20)) % U(HASHED)).astype(np.int64)
     if len(single):
         at = np.minimum(np.searchsorted(single, tok), len(single) - 1)
         out = np.where(single[at] == tok, at, out)
@@ -98,13 +116,60 @@ def step(weights, bias, seen, seen_bias, f, y) -> None:
         weights[at] -= RATE * grad / np.sqrt(seen[at] + 1)
 
 
-def _counts(rows: DataFrame, n_blocks: int) -> DataFrame:
+class Block(NamedTuple):
+    """One block of documents as token ids: ``keys[ids]`` are the tokens, ``edge`` the first token of each document."""
+
+    doc_id: pa.Array
+    held_out: np.ndarray
+    edge: np.ndarray
+    keys: np.ndarray
+    ids: np.ndarray
+
+
+def block_of(table: pa.Table | pa.RecordBatch, i: int = 0) -> Block:
+    cell = {c: table.column(c)[i] for c in ("doc_id", "held_out", "sizes", "keys", "ids")}
+    sizes = np.frombuffer(cell["sizes"].as_buffer(), np.int64)
+    return Block(cell["doc_id"].values, cell["held_out"].values.to_numpy(zero_copy_only=False).astype(bool),
+                 np.concatenate(([0], np.cumsum(sizes))), np.frombuffer(cell["keys"].as_buffer(), U),
+                 np.frombuffer(cell["ids"].as_buffer(), np.int32))
+
+
+def _packed(rows: DataFrame) -> DataFrame:
+    """Stored: one row per block, its documents in the order of their ids, with the sorted distinct tokens and their training counts."""
+    def pack(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("doc_id", "ascending"), ("text", "ascending")])
+        held = table.column("held_out").to_numpy(zero_copy_only=False).astype(bool)
+        parts, sizes = [], []
+        for _, _, tok, edge in tokens(table.column("text")):
+            parts.append(tok)
+            sizes.append(np.diff(edge))
+        sizes = np.concatenate(sizes).astype(np.int64)
+        keys, ids = np.unique(np.concatenate(parts), return_inverse=True)
+        counts = np.bincount(ids, weights=np.repeat(~held, sizes), minlength=len(keys)).astype(np.int64)
+        return pa.table({"block": table.column("block")[:1], "doc_id": pa.array([table.column("doc_id").to_pylist()], pa.list_(pa.int64())),
+                         "held_out": pa.array([held.tolist()], pa.list_(pa.bool_())),
+                         **{c: pa.array([v.tobytes()], pa.binary()) for c, v in (("sizes", sizes), ("keys", keys), ("ids", ids.astype(np.int32)), ("counts", counts))}})
+
+    path = scratch_path(rows.sparkSession, "token-blocks")
+    # rows are megabytes: row groups are closed by bytes, checked at every row
+    (rows.groupBy("block").applyInArrow(pack, PACKED).write.option("compression", "zstd").option("parquet.block.size", 16 << 20)
+     .option("parquet.block.size.row.check.min", 1).option("parquet.block.size.row.check.max", 1).parquet(path))
+    return rows.sparkSession.read.schema(PACKED).parquet(path)
+
+
+def groups_of(tok: np.ndarray, groups: int) -> np.ndarray:
+    """Group of every token: its hashed class (of ``classes``), cut into ``groups``."""
+    return ((tok >> U(20)) % U(HASHED)).astype(np.int64) * groups + ((textkit.mix(tok) >> U(16)) % U(groups)).astype(np.int64)
+
+
+def _counts(packed: DataFrame, n_blocks: int, groups: int) -> DataFrame:
     """Stored answers: per block its tokens' training counts; per bucket (block -1) its totals:
-    tokens, distinct tokens, the same per class, and its most frequent tokens."""
-    def emit(table: pa.Table) -> pa.Table:
-        keys, counts = block_tokens(table)
-        return blocks.pack(table.column("block")[0].as_py(), blocks.bucket_edges64(keys, n_blocks),
-                           {"keys": keys, "counts": counts})
+    tokens, distinct tokens, the same per group, and its most frequent tokens."""
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block, keys, counts in zip(*(batch.column(c) for c in ("block", "keys", "counts"))):
+                keys, counts = np.frombuffer(keys.as_buffer(), U), np.frombuffer(counts.as_buffer(), np.int64)
+                yield from blocks.pack(block.as_py(), blocks.bucket_edges64(keys, n_blocks), {"keys": keys, "counts": counts}).to_batches()
 
     def merge(table: pa.Table) -> pa.Table:
         keys, sizes = blocks.unpack(table.column("keys"), U)
@@ -114,10 +179,9 @@ def _counts(rows: DataFrame, n_blocks: int) -> DataFrame:
         np.add.at(total, inverse, counts)
         ends, mine = np.cumsum(sizes), total[inverse]
         known = total > 0
-        cls = classes(distinct[known], np.empty(0, U)) - SINGLES
-        n = CLASSES - SINGLES
-        stats = np.concatenate(([total.sum(), known.sum()], np.bincount(cls, weights=total[known], minlength=n),
-                                np.bincount(cls, minlength=n))).astype(np.int64)
+        group, n = groups_of(distinct[known], groups), HASHED * groups
+        stats = np.concatenate(([total.sum(), known.sum()], np.bincount(group, weights=total[known], minlength=n),
+                                np.bincount(group, minlength=n))).astype(np.int64)
         top = np.lexsort((distinct, -total))[:SINGLES]
         kinds = {"block": pa.int32(), "bucket": pa.int32(), "counts": pa.binary(), "stats": pa.list_(pa.int64()),
                  "top": pa.list_(pa.int64()), "top_n": pa.list_(pa.int64())}
@@ -127,117 +191,202 @@ def _counts(rows: DataFrame, n_blocks: int) -> DataFrame:
                 "top_n": [None] * len(sizes) + [total[top]]}
         return pa.table({c: pa.array(v, kinds[c]) for c, v in cols.items()})
 
-    out = blocks.exchange(rows, emit, "bucket int, block int, keys binary, counts binary", merge,
-                          "block int, bucket int, counts binary, stats array<long>, top array<long>, top_n array<long>")
+    out = (packed.select("block", "keys", "counts").mapInArrow(emit, "bucket int, block int, keys binary, counts binary").groupBy("bucket")
+           .applyInArrow(merge, "block int, bucket int, counts binary, stats array<long>, top array<long>, top_n array<long>"))
     return blocks.stored(out, "counts")
 
 
-def block_tokens(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """(sorted distinct tokens, their training counts) of a block."""
-    train = ~table.column("held_out").to_numpy(zero_copy_only=False).astype(bool)
-    parts, weights = [np.empty(0, U)], [np.empty(0, bool)]
-    for lo, n, tok, edge in tokens(table.column("text")):
-        parts.append(tok)
-        weights.append(np.repeat(train[lo:lo + n], np.diff(edge)))
-    keys, inverse = np.unique(np.concatenate(parts), return_inverse=True)
-    return keys, np.bincount(inverse, weights=np.concatenate(weights), minlength=len(keys)).astype(np.int64)
-
-
-def train(rows: DataFrame, single: np.ndarray, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray]:
-    """(weights, bias) after all rounds. ``rows``: training rows (doc_id, text, block).
+def train(packed: DataFrame, single: np.ndarray, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray]:
+    """(weights, bias) of the classes after all rounds.
 
-    A block is learnt by one task from the shared weights, its documents in the order of their ids, so neither the
+    A block is learnt on its own from the shared weights, its documents in the order of their ids, so neither the
     partitions of the input nor their number matter. A row of the weights then moves by the mean of the
     blocks' changes, each weighted by its tokens that touched the row: blocks that never saw a feature have no say in it."""
+    spark = packed.sparkSession
     weights, bias = np.zeros((FEATURES * ROWS, CLASSES), np.float32), np.zeros(CLASSES, np.float32)
+    sent = "part int, lane int, touched binary, change binary"
+
+    def parts(lane: int, touched: np.ndarray, change: np.ndarray) -> pa.RecordBatch:
+        at = range(0, len(change), WEIGHT_BLOCK)
+        return pa.RecordBatch.from_pydict({
+            "part": pa.array([s // WEIGHT_BLOCK for s in at], pa.int32()), "lane": pa.array([lane] * len(at), pa.int32()),
+            "touched": pa.array([touched[s:s + WEIGHT_BLOCK].tobytes() for s in at], pa.binary()),
+            "change": pa.array([change[s:s + WEIGHT_BLOCK].astype(np.float32).tobytes() for s in at], pa.binary())})
+
+    def add(table: pa.Table) -> pa.Table:
+        total, n = 0.0, 0.0
+        for t, c in zip(table.column("touched"), table.column("change")):
+            touched = np.frombuffer(t.as_buffer(), np.float64)
+            total, n = total + np.frombuffer(c.as_buffer(), np.float32).astype(np.float64).reshape(len(touched), -1), n + touched
+        return pa.table({"part": table.column("part")[:1], "lane": table.column("lane")[:1], "touched": pa.array([n.tobytes()], pa.binary()),
+                         "change": pa.array([total.astype(np.float32).tobytes()], pa.binary())})
+
     for turn in range(rounds):
-        shared = rows.sparkSession.sparkContext.broadcast((weights, bias, single))
+        shared = spark.sparkContext.broadcast((weights, bias, single))
 
-        def learn(table: pa.Table) -> pa.Table:
+        def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             w0, b0, alone = shared.value  # noqa: B023 (pickled with this round's weights)
-            w, b = w0.copy(), b0.copy()
-            seen, seen_b, touched = np.zeros_like(w), np.zeros_like(b), np.zeros(len(w) + 1)
-            for _, _, tok, edge in tokens(table.sort_by([("doc_id", "ascending"), ("text", "ascending")]).column("text")):
-                f, y = features(tok, edge), classes(tok, alone)
-                for s in range(0, len(tok), BATCH):
-                    step(w, b, seen, seen_b, f[:, s:s + BATCH], y[s:s + BATCH])
-                touched[:-1] += np.bincount(f.ravel(), minlength=len(w))
-                touched[-1] += len(tok)
-            change = np.concatenate((w - w0, (b - b0)[None])) * touched[:, None]
-            at = range(0, len(change), WEIGHT_BLOCK)
-            return pa.table({
-                "part": pa.array([s // WEIGHT_BLOCK for s in at], pa.int32()),
-                "touched": pa.array([touched[s:s + WEIGHT_BLOCK].tobytes() for s in at], pa.binary()),
-                "change": pa.array([change[s:s + WEIGHT_BLOCK].astype(np.float32).tobytes() for s in at], pa.binary())})
-
-        def add(table: pa.Table) -> pa.Table:
-            total, n = 0.0, 0.0
-            for t, c in zip(table.column("touched"), table.column("change")):
-                touched = np.frombuffer(t.as_py(), np.float64)
-                total, n = total + np.frombuffer(c.as_py(), np.float32).astype(np.float64).reshape(len(touched), -1), n + touched
-            return pa.table({"part": table.column("part")[:1], "change": pa.array([(total / np.maximum(n, 1)[:, None]).tobytes()], pa.binary())})
-
-        use = rows.where(F.pmod(F.xxhash64("doc_id", F.lit("round")), F.lit(rounds)) == turn)
-        moved = (use.select("doc_id", "text", "block").groupBy("block").applyInArrow(learn, "part int, touched binary, change binary")
-                 .groupBy("part").applyInArrow(add, "part int, change binary").toArrow().sort_by("part"))
+            total, n = np.zeros((len(w0) + 1, CLASSES)), np.zeros(len(w0) + 1)
+            for batch in batches:
+                for i in range(batch.num_rows):
+                    block = block_of(batch, i)
+                    dealt = textkit.mix(block.doc_id.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64).view(U)) % U(rounds)
+                    use, sizes = ~block.held_out & (dealt == U(turn)), np.diff(block.edge)  # noqa: B023
+                    if not use.any():
+                        continue
+                    tok = block.keys[block.ids[np.repeat(use, sizes)]]
+                    f, y = features(tok, np.concatenate(([0], np.cumsum(sizes[use])))), classes(tok, alone)
+                    w, b, seen, seen_b = w0.copy(), b0.copy(), np.zeros_like(w0), np.zeros_like(b0)
+                    for s in range(0, len(tok), BATCH):
+                        step(w, b, seen, seen_b, f[:, s:s + BATCH], y[s:s + BATCH])
+                    touched = np.append(np.bincount(f.ravel(), minlength=len(w)), len(tok)).astype(np.float64)
+                    total += np.concatenate((w - w0, (b - b0)[None])) * touched[:, None]
+                    n += touched
+            if n[-1]:
+                yield parts(TaskContext.get().partitionId() % LANES, n, total)
+
+        moved = (packed.select("doc_id", "held_out", "sizes", "keys", "ids").mapInArrow(learn, sent)
+                 .groupBy("part", "lane").applyInArrow(add, sent).groupBy("part").applyInArrow(add, sent).toArrow().sort_by("part"))
         if moved.num_rows:
-            change = np.concatenate([np.frombuffer(x.as_py(), np.float64) for x in moved.column("change")])
-            change = change.reshape(-1, CLASSES).astype(np.float32)
+            n = np.concatenate([np.frombuffer(x.as_buffer(), np.float64) for x in moved.column("touched")])
+            change = np.concatenate([np.frombuffer(x.as_buffer(), np.float32) for x in moved.column("change")]).reshape(-1, CLASSES)
+            change = (change / np.maximum(n, 1)[:, None]).astype(np.float32)
             weights, bias = weights + change[:-1], bias + change[-1]
         shared.unpersist()
     return weights, bias
 
 
+def fit_pairs(group: np.ndarray, n: np.ndarray, q: np.ndarray, variance: float = PAIR_VARIANCE, steps: int = PAIR_STEPS) -> tuple[np.ndarray, np.ndarray]:
+    """(weight per entry, log normaliser per entry). ``group``: sorted group of each entry, ``n``: its training count, ``q``: its prior.
+
+    Gradient ascent on the groups' log likelihood under a Gaussian prior of the weights, each coordinate scaled by the
+    bound ``n P + 1 / variance`` of its curvature and moved by one at most; entries that were not seen keep the weight 0."""
+    begin = np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1]))) if len(group) else np.empty(0, np.int64)
+    if not len(begin):
+        return np.empty(0), np.empty(0)
+    size = np.diff(np.append(begin, len(group)))
+    total = np.repeat(np.add.reduceat(n, begin), size)
+    lam = np.zeros(len(n))
+
+    def normaliser():
+        return np.repeat(1 + np.add.reduceat(q * np.expm1(lam), begin), size)
+
+    for _ in range(steps):
+        expected = total * q * np.exp(lam) / normaliser()
+        move = (n - expected - lam / variance) / (expected + 1 / variance)
+        lam += np.where(n > 0, np.clip(move, -1, 1), 0)
+    return lam, np.log(normaliser())
+
+
+class Pairs(NamedTuple):
+    """What a block asks of the pair features, and where the answers go."""
+
+    keys: np.ndarray      # sorted distinct entries: history and parent in the upper bits, child in the lower
+    n: np.ndarray         # training count here
+    q: np.ndarray         # prior of the child within its parent
+    at: np.ndarray        # tokens (positions) that have a hashed class
+    prior: np.ndarray     # their log priors, all levels together
+    entry: list           # per level: their entries
+
+
+def pairs_of(block: Block, count: np.ndarray, single: np.ndarray, group_n: np.ndarray, group_v: np.ndarray) -> Pairs:
+    """``count``: training counts of ``block.keys``; ``group_n``, ``group_v``: tokens and distinct tokens per group."""
+    groups = len(group_n) // HASHED
+    cls, group = classes(block.keys, single), groups_of(block.keys, groups)
+    room = group_n + group_v + 1
+    q_group = (room / np.repeat(room.reshape(HASHED, groups).sum(axis=1), groups))[group]
+    q_word = (count + 1) / room[group]
+    width = len(block.keys) + 1
+    before = np.empty(len(block.ids), np.int64)
+    before[1:] = block.ids[:-1]
+    before[block.edge[:-1]] = width - 1
+    at = np.flatnonzero(cls[block.ids] >= SINGLES)
+    codes, word = np.unique(before[at] * width + block.ids[at], return_inverse=True)
+    trains = np.repeat(~block.held_out, np.diff(block.edge))[at]
+    n = np.bincount(word, weights=trains, minlength=len(codes))
+    h, w = np.append(block.keys, START)[codes // width], codes % width
+
+    def entries(parent, child, salt):
+        return (textkit.mix(textkit.mix(h + U(salt)) + parent.astype(U)) >> CHILD_BITS << CHILD_BITS) | (textkit.mix(child) >> (U(64) - CHILD_BITS))
+
+    levels = [(entries(group[w], block.keys[w], 1), q_word[w])]
+    if groups > 1:  # with one group a class, the group says nothing
+        levels.append((entries(group[w] // groups, group[w].astype(U) + U(3), 2), q_group[w]))
+    keys, inverse = np.unique(np.concatenate([k for k, _ in levels]), return_inverse=True)
+    q = np.zeros(len(keys))
+    q[inverse] = np.concatenate([x for _, x in levels])
+    prior = sum(np.log(x) for _, x in levels)
+    return Pairs(keys, np.bincount(inverse, weights=np.tile(n, len(levels)), minlength=len(keys)), q.astype(np.float32),
+                 at, prior[word], [part[word] for part in np.split(inverse, len(levels))])
+
+
 def score(docs: DataFrame, key: str = "doc_id", text: str = "text", rounds: int = ROUNDS) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) per row."""
     spark = docs.sparkSession
     slim = docs.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"),
                        held_out(F.col(key)).alias("held_out"))
     n_blocks = blocks.block_count(slim)
-    rows = blocks.with_block(slim, n_blocks)
-    counts = _counts(rows, n_blocks)
+    groups = max(1, math.isqrt(n_blocks) // 2)
+    packed = _packed(blocks.with_block(slim, n_blocks))
+    counts = _counts(packed, n_blocks, groups)
     stats = counts.where("block = -1")
     summed = dict(stats.select(F.posexplode("stats")).groupBy("pos").agg(F.sum("col")).collect())
     n_tokens, n_types = summed.get(0, 0), summed.get(1, 0)
-    m = CLASSES - SINGLES
-    class_n = np.array([summed.get(2 + i, 0) for i in range(m)], np.float64)
-    class_v = np.array([summed.get(2 + m + i, 0) for i in range(m)], np.float64)
+    m = HASHED * groups
+    group_n = np.array([summed.get(2 + i, 0) for i in range(m)], np.float64)
+    group_v = np.array([summed.get(2 + m + i, 0) for i in range(m)], np.float64)
     top = (stats.select(F.explode(F.arrays_zip("top", "top_n")).alias("t")).select("t.top", "t.top_n")
            .where("top_n > 0").orderBy(F.desc("top_n"), "top").limit(SINGLES).collect())
     single = np.sort(np.array([r.top for r in top], np.int64).view(U))
-    for r in top:  # a class of its own leaves its hashed class
-        c = int(classes(np.array([r.top], np.int64).view(U), np.empty(0, U))[0]) - SINGLES
-        class_n[c] -= r.top_n
-        class_v[c] -= 1
-    weights, bias = train(rows.where(~F.col("held_out")), single, rounds)
-    shared = spark.sparkContext.broadcast((weights, bias, single, class_n, class_v))
+    for r in top:  # a class of its own leaves its group
+        g = int(groups_of(np.array([r.top], np.int64).view(U), groups)[0])
+        group_n[g] -= r.top_n
+        group_v[g] -= 1
+    weights, bias = train(packed, single, rounds)
+    shared = spark.sparkContext.broadcast((weights, bias, single, group_n, group_v))
+
+    def ask(table: pa.Table, answer: pa.Table) -> pa.Table:
+        block, total = block_of(table), blocks.answers(answer, "counts", np.int64)
+        p = pairs_of(block, total, *shared.value[2:])
+        return blocks.pack(table.column("block")[0].as_py(), blocks.bucket_edges64(p.keys, n_blocks),
+                           {"keys": p.keys, "n": p.n.astype(np.int32), "q": p.q})
+
+    def fit(table: pa.Table) -> pa.Table:
+        table = table.sort_by("block")
+        keys, sizes = blocks.unpack(table.column("keys"), U)
+        distinct, inverse = np.unique(keys, return_inverse=True)
+        n = np.bincount(inverse, weights=blocks.unpack(table.column("n"), np.int32)[0], minlength=len(distinct))
+        q = np.zeros(len(distinct))
+        q[inverse] = blocks.unpack(table.column("q"), np.float32)[0]
+        lam, log_z = fit_pairs(distinct >> CHILD_BITS, n, q)
+        mine, ends = (lam - log_z).astype(np.float32)[inverse], np.cumsum(sizes)
+        return pa.table({"block": table.column("block"), "bucket": table.column("bucket"), "kind": pa.array([1] * len(sizes), pa.int32()),
+                         "values": pa.array([mine[e - s:e].tobytes() for s, e in zip(sizes, ends)], pa.binary())})
 
     def finish(table: pa.Table, answer: pa.Table) -> pa.Table:
-        w, b, alone, in_class, kinds = shared.value
-        keys = block_tokens(table)[0]
-        total = blocks.answers(answer, "counts", np.int64)
-        n = table.num_rows
-        base, model = np.zeros(n), np.zeros(n)
-        size, known = np.zeros(n, np.int64), np.zeros(n, np.int64)
-        for lo, many, tok, edge in tokens(table.column("text")):
-            c = total[np.searchsorted(keys, tok)]
-            y = classes(tok, alone)
-            h = np.maximum(y - SINGLES, 0)
-            word = np.where(y >= SINGLES, np.log((c + 1) / (in_class[h] + kinds[h] + 1)), 0.0)
-            f = features(tok, edge)
-            for s in range(0, len(tok), BATCH):
-                part = log_softmax(w, b, f[:, s:s + BATCH])
-                word[s:s + BATCH] += part[np.arange(part.shape[0]), y[s:s + BATCH]]
-            at = slice(lo, lo + many)
-            size[at] = np.diff(edge)
-            known[at] = np.add.reduceat(c > 0, edge[:-1], dtype=np.int64)
-            base[at] = np.add.reduceat(np.log10((c + 1) / (n_tokens + 1 * (n_types + 1))), edge[:-1])
-            model[at] = np.add.reduceat(word, edge[:-1]) / np.log(10)
-        return pa.table({"doc_id": table.column("doc_id"), "held_out": table.column("held_out"),
-                         "n_tokens": pa.array(size), "n_known": pa.array(known),
+        w, b, alone, in_group, kinds = shared.value
+        block, kind = block_of(table), answer.column("kind").to_numpy()
+        total = blocks.answers(answer.filter(pa.array(kind == 0)), "values", np.int64)
+        p = pairs_of(block, total, alone, in_group, kinds)
+        gain = blocks.answers(answer.filter(pa.array(kind == 1)), "values", np.float32)
+        word = np.zeros(len(block.ids))
+        word[p.at] = p.prior + sum(gain[e].astype(np.float64) for e in p.entry)
+        tok, c = block.keys[block.ids], total[block.ids]
+        f, y = features(tok, block.edge), classes(tok, alone)
+        for s in range(0, len(tok), BATCH):
+            part = log_softmax(w, b, f[:, s:s + BATCH])
+            word[s:s + BATCH] += part[np.arange(part.shape[0]), y[s:s + BATCH]]
+        n, first = len(block.doc_id), block.edge[:-1]
+        return pa.table({"doc_id": block.doc_id, "held_out": pa.array(block.held_out),
+                         "n_tokens": pa.array(np.diff(block.edge)), "n_known": pa.array(np.add.reduceat(c > 0, first, dtype=np.int64)),
                          "train_tokens": pa.array(np.full(n, n_tokens, np.int64)),
-                         "base_score": pa.array(base), "score": pa.array(model)})
-
-    answers = counts.where("block >= 0").select("block", "bucket", "counts")
-    return rows.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
+                         "base_score": pa.array(np.add.reduceat(np.log10((c + 1) / (n_tokens + 1 * (n_types + 1))), first)),
+                         "score": pa.array(np.add.reduceat(word, first) / np.log(10))})
+
+    slim_blocks = packed.drop("counts")
+    known = counts.where("block >= 0").select("block", "bucket", "counts")
+    gains = (slim_blocks.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(ask, "bucket int, block int, keys binary, n binary, q binary")
+             .groupBy("bucket").applyInArrow(fit, "block int, bucket int, kind int, values binary"))
+    replies = known.select("block", "bucket", F.lit(0).alias("kind"), F.col("counts").alias("values")).unionByName(gains)
+    return slim_blocks.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(
         finish, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
