@@ -22,8 +22,8 @@ Work in Spark:
 
 A document trains when ``crc32(doc_id as text) mod 7 != 2`` (a null doc_id counts as the empty string). Null and empty texts
 are one end token; repeated rows count as often as they occur; other columns, whatever their names, are not read. A text is held
-whole by one task at about 20 bytes a token. Pairs are told apart by 64 bits (40 for the history and group, 24 for the word): two that
-collide share a feature. All logs are base 10.
+whole by one task at about 20 bytes a token. Pairs are told apart by a 64-bit hash of history and parent and a 24-bit hash of the
+child: two that collide share a feature. All logs are base 10.
 """
 
 from __future__ import annotations
@@ -47,10 +47,44 @@ HASHED = CLASSES - SINGLES
 FEATURES, ROWS = 3, 1 << BITS
 BATCH, RATE = 8192, 0.2
 WEIGHT_BLOCK, LANES = 1024, 64
-PAIR_STEPS, PAIR_VARIANCE = 20, 8.0
+PAIR_STEPS, PAIR_VARIANCE = 14, 8.0
 END, START = U(0x0E4D0E4D0E4D0E4D), U(0x57A2757A2757A271)
-CHILD_BITS = U(24)
+CHILD_BYTES = 3
+GROUP_GROWTH = 8
 PACKED = "block int, doc_id array<long>, held_out array<boolean>, sizes binary, keys binary, ids binary, counts binary"
+_ZSTD = pa.Codec("zstd", compression_level=1)
+
+
+def squeeze(values: np.ndarray, width: int | None = None) -> bytes:
+    """Non-negative integers or floats as compressed byte planes (the low ``width`` bytes): length, then planes."""
+    raw = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), values.dtype.itemsize)
+    planes = np.ascontiguousarray(raw[:, :width or raw.shape[1]].T).tobytes()
+    return len(values).to_bytes(8, "little") + (_ZSTD.compress(planes, asbytes=True) if planes else b"")
+
+
+def expand(cell: bytes, dtype, width: int | None = None) -> np.ndarray:
+    n, dtype = int.from_bytes(cell[:8], "little"), np.dtype(dtype)
+    width = width or dtype.itemsize
+    out = np.zeros((n, dtype.itemsize), np.uint8)
+    if n:
+        out[:, :width] = np.frombuffer(_ZSTD.decompress(cell[8:], n * width, asbytes=True), np.uint8).reshape(width, n).T
+    return out.reshape(-1).view(dtype)
+
+
+def expand_all(column: pa.ChunkedArray, dtype, width: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(all values, values per row) of a squeezed column."""
+    rows = [expand(x.as_py(), dtype, width) for x in column]
+    return (np.concatenate(rows) if rows else np.empty(0, dtype)), np.array([len(r) for r in rows], np.int64)
+
+
+def deltas(sorted_keys: np.ndarray) -> np.ndarray:
+    return np.diff(sorted_keys, prepend=U(0)) if len(sorted_keys) else sorted_keys
+
+
+def answers(replies: pa.Table, dtype) -> np.ndarray:
+    """A block's answers in the order of its sorted keys."""
+    order = np.argsort(replies.column("bucket").to_numpy(), kind="stable")
+    return expand_all(replies.column("values").take(pa.array(order)), dtype)[0]
 
 
 def held_out(key: Column) -> Column:
@@ -108,7 +142,7 @@ def step(weights, bias, seen, seen_bias, f, y) -> None:
     seen_bias += grad * grad
     bias -= RATE * grad / np.sqrt(seen_bias + 1)
     for row in f:
-        order = np.argsort(row, kind="stable")
+        order = np.argsort(row.astype(np.uint16), kind="stable")  # FEATURES * ROWS fits in 16 bits
         r = row[order]
         begin = np.flatnonzero(np.concatenate(([True], r[1:] != r[:-1])))
         grad, at = np.add.reduceat(error[order], begin, axis=0), r[begin]
@@ -127,11 +161,11 @@ class Block(NamedTuple):
 
 
 def block_of(table: pa.Table | pa.RecordBatch, i: int = 0) -> Block:
-    cell = {c: table.column(c)[i] for c in ("doc_id", "held_out", "sizes", "keys", "ids")}
-    sizes = np.frombuffer(cell["sizes"].as_buffer(), np.int64)
+    cell = {c: table.column(c)[i] for c in ("doc_id", "held_out", "sizes", "keys", "ids", "counts")}
+    sizes, keys = expand(cell["sizes"].as_py(), np.int64), np.cumsum(expand(cell["keys"].as_py(), U), dtype=U)
+    order = np.argsort(-expand(cell["counts"].as_py(), np.int64), kind="stable")
     return Block(cell["doc_id"].values, cell["held_out"].values.to_numpy(zero_copy_only=False).astype(bool),
-                 np.concatenate(([0], np.cumsum(sizes))), np.frombuffer(cell["keys"].as_buffer(), U),
-                 np.frombuffer(cell["ids"].as_buffer(), np.int32))
+                 np.concatenate(([0], np.cumsum(sizes))), keys, order[expand(cell["ids"].as_py(), np.int32)])
 
 
 def _packed(rows: DataFrame) -> DataFrame:
@@ -146,13 +180,16 @@ def _packed(rows: DataFrame) -> DataFrame:
         sizes = np.concatenate(sizes).astype(np.int64)
         keys, ids = np.unique(np.concatenate(parts), return_inverse=True)
         counts = np.bincount(ids, weights=np.repeat(~held, sizes), minlength=len(keys)).astype(np.int64)
+        rank = np.empty(len(keys), np.int32)  # frequent tokens have small ids, which pack well
+        rank[np.argsort(-counts, kind="stable")] = np.arange(len(keys))
+        cells = {"sizes": sizes, "keys": deltas(keys), "ids": rank[ids], "counts": counts}
         return pa.table({"block": table.column("block")[:1], "doc_id": pa.array([table.column("doc_id").to_pylist()], pa.list_(pa.int64())),
                          "held_out": pa.array([held.tolist()], pa.list_(pa.bool_())),
-                         **{c: pa.array([v.tobytes()], pa.binary()) for c, v in (("sizes", sizes), ("keys", keys), ("ids", ids.astype(np.int32)), ("counts", counts))}})
+                         **{c: pa.array([squeeze(v)], pa.binary()) for c, v in cells.items()}})
 
     path = scratch_path(rows.sparkSession, "token-blocks")
     # rows are megabytes: row groups are closed by bytes, checked at every row
-    (rows.groupBy("block").applyInArrow(pack, PACKED).write.option("compression", "zstd").option("parquet.block.size", 16 << 20)
+    (rows.groupBy("block").applyInArrow(pack, PACKED).write.option("compression", "none").option("parquet.block.size", 16 << 20)
      .option("parquet.block.size.row.check.min", 1).option("parquet.block.size.row.check.max", 1).parquet(path))
     return rows.sparkSession.read.schema(PACKED).parquet(path)
 
@@ -168,12 +205,17 @@ def _counts(packed: DataFrame, n_blocks: int, groups: int) -> DataFrame:
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block, keys, counts in zip(*(batch.column(c) for c in ("block", "keys", "counts"))):
-                keys, counts = np.frombuffer(keys.as_buffer(), U), np.frombuffer(counts.as_buffer(), np.int64)
-                yield from blocks.pack(block.as_py(), blocks.bucket_edges64(keys, n_blocks), {"keys": keys, "counts": counts}).to_batches()
+                keys, counts = np.cumsum(expand(keys.as_py(), U), dtype=U), expand(counts.as_py(), np.int64)
+                edges = blocks.bucket_edges64(keys, n_blocks)
+                used = np.flatnonzero(np.diff(edges)).tolist()
+                yield pa.RecordBatch.from_pydict({
+                    "bucket": pa.array(used, pa.int32()), "block": pa.array([block.as_py()] * len(used), pa.int32()),
+                    "keys": pa.array([squeeze(deltas(keys[edges[b]:edges[b + 1]])) for b in used], pa.binary()),
+                    "counts": pa.array([squeeze(counts[edges[b]:edges[b + 1]]) for b in used], pa.binary())})
 
     def merge(table: pa.Table) -> pa.Table:
-        keys, sizes = blocks.unpack(table.column("keys"), U)
-        counts, _ = blocks.unpack(table.column("counts"), np.int64)
+        keys = np.concatenate([np.cumsum(expand(x.as_py(), U), dtype=U) for x in table.column("keys")])
+        counts, sizes = expand_all(table.column("counts"), np.int64)
         distinct, inverse = np.unique(keys, return_inverse=True)
         total = np.zeros(len(distinct), np.int64)
         np.add.at(total, inverse, counts)
@@ -183,16 +225,16 @@ def _counts(packed: DataFrame, n_blocks: int, groups: int) -> DataFrame:
         stats = np.concatenate(([total.sum(), known.sum()], np.bincount(group, weights=total[known], minlength=n),
                                 np.bincount(group, minlength=n))).astype(np.int64)
         top = np.lexsort((distinct, -total))[:SINGLES]
-        kinds = {"block": pa.int32(), "bucket": pa.int32(), "counts": pa.binary(), "stats": pa.list_(pa.int64()),
+        kinds = {"block": pa.int32(), "bucket": pa.int32(), "values": pa.binary(), "stats": pa.list_(pa.int64()),
                  "top": pa.list_(pa.int64()), "top_n": pa.list_(pa.int64())}
         cols = {"block": table.column("block").to_pylist() + [-1], "bucket": table.column("bucket").to_pylist() + [0],
-                "counts": [mine[e - s:e].tobytes() for s, e in zip(sizes, ends)] + [None],
+                "values": [squeeze(mine[e - s:e]) for s, e in zip(sizes, ends)] + [None],
                 "stats": [None] * len(sizes) + [stats], "top": [None] * len(sizes) + [distinct[top].view(np.int64)],
                 "top_n": [None] * len(sizes) + [total[top]]}
         return pa.table({c: pa.array(v, kinds[c]) for c, v in cols.items()})
 
     out = (packed.select("block", "keys", "counts").mapInArrow(emit, "bucket int, block int, keys binary, counts binary").groupBy("bucket")
-           .applyInArrow(merge, "block int, bucket int, counts binary, stats array<long>, top array<long>, top_n array<long>"))
+           .applyInArrow(merge, "block int, bucket int, values binary, stats array<long>, top array<long>, top_n array<long>"))
     return blocks.stored(out, "counts")
 
 
@@ -234,8 +276,9 @@ def train(packed: DataFrame, single: np.ndarray, rounds: int = ROUNDS) -> tuple[
                     use, sizes = ~block.held_out & (dealt == U(turn)), np.diff(block.edge)  # noqa: B023
                     if not use.any():
                         continue
-                    tok = block.keys[block.ids[np.repeat(use, sizes)]]
-                    f, y = features(tok, np.concatenate(([0], np.cumsum(sizes[use])))), classes(tok, alone)
+                    ids = block.ids[np.repeat(use, sizes)]
+                    tok, y = block.keys[ids], classes(block.keys, alone)[ids]
+                    f = features(tok, np.concatenate(([0], np.cumsum(sizes[use]))))
                     w, b, seen, seen_b = w0.copy(), b0.copy(), np.zeros_like(w0), np.zeros_like(b0)
                     for s in range(0, len(tok), BATCH):
                         step(w, b, seen, seen_b, f[:, s:s + BATCH], y[s:s + BATCH])
@@ -245,7 +288,7 @@ def train(packed: DataFrame, single: np.ndarray, rounds: int = ROUNDS) -> tuple[
             if n[-1]:
                 yield parts(TaskContext.get().partitionId() % LANES, n, total)
 
-        moved = (packed.select("doc_id", "held_out", "sizes", "keys", "ids").mapInArrow(learn, sent)
+        moved = (packed.mapInArrow(learn, sent)
                  .groupBy("part", "lane").applyInArrow(add, sent).groupBy("part").applyInArrow(add, sent).toArrow().sort_by("part"))
         if moved.num_rows:
             n = np.concatenate([np.frombuffer(x.as_buffer(), np.float64) for x in moved.column("touched")])
@@ -259,29 +302,35 @@ def train(packed: DataFrame, single: np.ndarray, rounds: int = ROUNDS) -> tuple[
 def fit_pairs(group: np.ndarray, n: np.ndarray, q: np.ndarray, variance: float = PAIR_VARIANCE, steps: int = PAIR_STEPS) -> tuple[np.ndarray, np.ndarray]:
     """(weight per entry, log normaliser per entry). ``group``: sorted group of each entry, ``n``: its training count, ``q``: its prior.
 
-    Gradient ascent on the groups' log likelihood under a Gaussian prior of the weights, each coordinate scaled by the
-    bound ``n P + 1 / variance`` of its curvature and moved by one at most; entries that were not seen keep the weight 0."""
+    Ascent on the groups' log likelihood under a Gaussian prior of the weights, along the gradient scaled by the inverse curvature
+    (diagonal less one outer product a group, so it is inverted in closed form); a weight moves by one a step at
+    most. Entries that were not seen keep the weight 0."""
     begin = np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1]))) if len(group) else np.empty(0, np.int64)
     if not len(begin):
         return np.empty(0), np.empty(0)
-    size = np.diff(np.append(begin, len(group)))
-    total = np.repeat(np.add.reduceat(n, begin), size)
+    size, seen = np.diff(np.append(begin, len(group))), n > 0
+    total = np.add.reduceat(n, begin)
+    spread = np.repeat(total, size)
     lam = np.zeros(len(n))
 
     def normaliser():
         return np.repeat(1 + np.add.reduceat(q * np.expm1(lam), begin), size)
 
     for _ in range(steps):
-        expected = total * q * np.exp(lam) / normaliser()
-        move = (n - expected - lam / variance) / (expected + 1 / variance)
-        lam += np.where(n > 0, np.clip(move, -1, 1), 0)
+        p = np.where(seen, q * np.exp(lam) / normaliser(), 0)
+        flat = spread * p + 1 / variance
+        move, pull = (n - spread * p - lam / variance) / flat, p / flat
+        shift = total * np.add.reduceat(p * move, begin) / (1 - total * np.add.reduceat(p * pull, begin))
+        move += np.repeat(shift, size) * pull
+        lam += np.where(seen, np.clip(move, -1, 1), 0)
     return lam, np.log(normaliser())
 
 
 class Pairs(NamedTuple):
     """What a block asks of the pair features, and where the answers go."""
 
-    keys: np.ndarray      # sorted distinct entries: history and parent in the upper bits, child in the lower
+    parent: np.ndarray    # distinct entries in order: hash of history and parent ...
+    child: np.ndarray     # ... and of the child
     n: np.ndarray         # training count here
     q: np.ndarray         # prior of the child within its parent
     at: np.ndarray        # tokens (positions) that have a hashed class
@@ -307,26 +356,37 @@ def pairs_of(block: Block, count: np.ndarray, single: np.ndarray, group_n: np.nd
     h, w = np.append(block.keys, START)[codes // width], codes % width
 
     def entries(parent, child, salt):
-        return (textkit.mix(textkit.mix(h + U(salt)) + parent.astype(U)) >> CHILD_BITS << CHILD_BITS) | (textkit.mix(child) >> (U(64) - CHILD_BITS))
+        return textkit.mix(textkit.mix(h + U(salt)) + parent.astype(U)), textkit.mix(child) >> U(64 - 8 * CHILD_BYTES)
 
-    levels = [(entries(group[w], block.keys[w], 1), q_word[w])]
+    levels = [(*entries(group[w], block.keys[w], 1), q_word[w])]
     if groups > 1:  # with one group a class, the group says nothing
-        levels.append((entries(group[w] // groups, group[w].astype(U) + U(3), 2), q_group[w]))
-    keys, inverse = np.unique(np.concatenate([k for k, _ in levels]), return_inverse=True)
-    q = np.zeros(len(keys))
-    q[inverse] = np.concatenate([x for _, x in levels])
-    prior = sum(np.log(x) for _, x in levels)
-    return Pairs(keys, np.bincount(inverse, weights=np.tile(n, len(levels)), minlength=len(keys)), q.astype(np.float32),
+        levels.append((*entries(group[w] // groups, group[w].astype(U) + U(3), 2), q_group[w]))
+    parent, child, inverse = distinct_entries(*(np.concatenate(x) for x in list(zip(*levels))[:2]))
+    q = np.zeros(len(parent), np.float32)
+    q[inverse] = np.concatenate([x for _, _, x in levels])
+    prior = sum(np.log(x) for _, _, x in levels)
+    return Pairs(parent, child, np.bincount(inverse, weights=np.tile(n, len(levels)), minlength=len(parent)), q,
                  at, prior[word], [part[word] for part in np.split(inverse, len(levels))])
 
 
+def distinct_entries(parent: np.ndarray, child: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted distinct (parent, child), and the place of every entry among them."""
+    order = np.lexsort((child, parent))
+    p, c = parent[order], child[order]
+    new = np.ones(len(p), bool)
+    new[1:] = (p[1:] != p[:-1]) | (c[1:] != c[:-1])
+    inverse = np.empty(len(p), np.int64)
+    inverse[order] = np.cumsum(new) - 1
+    return p[new], c[new], inverse
+
+
 def score(docs: DataFrame, key: str = "doc_id", text: str = "text", rounds: int = ROUNDS) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) per row."""
     spark = docs.sparkSession
     slim = docs.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"),
                        held_out(F.col(key)).alias("held_out"))
     n_blocks = blocks.block_count(slim)
-    groups = max(1, math.isqrt(n_blocks) // 2)
+    groups = max(1, math.isqrt(n_blocks) // GROUP_GROWTH)
     packed = _packed(blocks.with_block(slim, n_blocks))
     counts = _counts(packed, n_blocks, groups)
     stats = counts.where("block = -1")
@@ -346,33 +406,40 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", rounds: int
     shared = spark.sparkContext.broadcast((weights, bias, single, group_n, group_v))
 
     def ask(table: pa.Table, answer: pa.Table) -> pa.Table:
-        block, total = block_of(table), blocks.answers(answer, "counts", np.int64)
-        p = pairs_of(block, total, *shared.value[2:])
-        return blocks.pack(table.column("block")[0].as_py(), blocks.bucket_edges64(p.keys, n_blocks),
-                           {"keys": p.keys, "n": p.n.astype(np.int32), "q": p.q})
+        p = pairs_of(block_of(table), answers(answer, np.int64), *shared.value[2:])
+        edges = blocks.bucket_edges64(p.parent, n_blocks)
+        used = np.flatnonzero(np.diff(edges)).tolist()
+        out = {"bucket": pa.array(used, pa.int32()), "block": pa.array(table.column("block").to_pylist() * len(used), pa.int32())}
+        parts = [slice(edges[b], edges[b + 1]) for b in used]
+        out["parent"] = pa.array([squeeze(deltas(p.parent[x])) for x in parts], pa.binary())
+        out["child"] = pa.array([squeeze(p.child[x], CHILD_BYTES) for x in parts], pa.binary())
+        out["n"] = pa.array([squeeze(p.n[x].astype(np.int32)) for x in parts], pa.binary())
+        out["q"] = pa.array([squeeze(p.q[x]) for x in parts], pa.binary())
+        return pa.table(out)
 
     def fit(table: pa.Table) -> pa.Table:
         table = table.sort_by("block")
-        keys, sizes = blocks.unpack(table.column("keys"), U)
-        distinct, inverse = np.unique(keys, return_inverse=True)
-        n = np.bincount(inverse, weights=blocks.unpack(table.column("n"), np.int32)[0], minlength=len(distinct))
-        q = np.zeros(len(distinct))
-        q[inverse] = blocks.unpack(table.column("q"), np.float32)[0]
-        lam, log_z = fit_pairs(distinct >> CHILD_BITS, n, q)
+        parent = np.concatenate([np.cumsum(expand(x.as_py(), U), dtype=U) for x in table.column("parent")])
+        child, sizes = expand_all(table.column("child"), U, CHILD_BYTES)
+        group, _, inverse = distinct_entries(parent, child)
+        n = np.bincount(inverse, weights=expand_all(table.column("n"), np.int32)[0], minlength=len(group))
+        q = np.zeros(len(group))
+        q[inverse] = expand_all(table.column("q"), np.float32)[0]
+        lam, log_z = fit_pairs(group, n, q)
         mine, ends = (lam - log_z).astype(np.float32)[inverse], np.cumsum(sizes)
         return pa.table({"block": table.column("block"), "bucket": table.column("bucket"), "kind": pa.array([1] * len(sizes), pa.int32()),
-                         "values": pa.array([mine[e - s:e].tobytes() for s, e in zip(sizes, ends)], pa.binary())})
+                         "values": pa.array([squeeze(mine[e - s:e]) for s, e in zip(sizes, ends)], pa.binary())})
 
     def finish(table: pa.Table, answer: pa.Table) -> pa.Table:
         w, b, alone, in_group, kinds = shared.value
         block, kind = block_of(table), answer.column("kind").to_numpy()
-        total = blocks.answers(answer.filter(pa.array(kind == 0)), "values", np.int64)
+        total = answers(answer.filter(pa.array(kind == 0)), np.int64)
         p = pairs_of(block, total, alone, in_group, kinds)
-        gain = blocks.answers(answer.filter(pa.array(kind == 1)), "values", np.float32)
+        gain = answers(answer.filter(pa.array(kind == 1)), np.float32)
         word = np.zeros(len(block.ids))
         word[p.at] = p.prior + sum(gain[e].astype(np.float64) for e in p.entry)
         tok, c = block.keys[block.ids], total[block.ids]
-        f, y = features(tok, block.edge), classes(tok, alone)
+        f, y = features(tok, block.edge), classes(block.keys, alone)[block.ids]
         for s in range(0, len(tok), BATCH):
             part = log_softmax(w, b, f[:, s:s + BATCH])
             word[s:s + BATCH] += part[np.arange(part.shape[0]), y[s:s + BATCH]]
@@ -383,10 +450,9 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", rounds: int
                          "base_score": pa.array(np.add.reduceat(np.log10((c + 1) / (n_tokens + 1 * (n_types + 1))), first)),
                          "score": pa.array(np.add.reduceat(word, first) / np.log(10))})
 
-    slim_blocks = packed.drop("counts")
-    known = counts.where("block >= 0").select("block", "bucket", "counts")
-    gains = (slim_blocks.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(ask, "bucket int, block int, keys binary, n binary, q binary")
-             .groupBy("bucket").applyInArrow(fit, "block int, bucket int, kind int, values binary"))
-    replies = known.select("block", "bucket", F.lit(0).alias("kind"), F.col("counts").alias("values")).unionByName(gains)
-    return slim_blocks.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(
+    known = counts.where("block >= 0").select("block", "bucket", F.lit(0).alias("kind"), "values")
+    asked = packed.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(
+        ask, "bucket int, block int, parent binary, child binary, n binary, q binary")
+    gains = blocks.stored(asked.groupBy("bucket").applyInArrow(fit, "block int, bucket int, kind int, values binary"), "gains")
+    return packed.groupBy("block").cogroup(known.unionByName(gains).groupBy("block")).applyInArrow(
         finish, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
