@@ -22,7 +22,7 @@ Work in Spark:
 
 A document trains when ``crc32(doc_id as text) mod 7 != 2`` (a null doc_id counts as the empty string). Null and empty texts
 are one end token; repeated rows count as often as they occur; other columns, whatever their names, are not read. A text is held
-whole by one task at about 20 bytes a token. Pairs are told apart by a 64-bit hash of history and parent and a 24-bit hash of the
+whole by one task at about 20 bytes a token. Pairs are told apart by a 48-bit hash of history and parent and a 24-bit hash of the
 child: two that collide share a feature. All logs are base 10.
 """
 
@@ -30,6 +30,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from contextlib import contextmanager
 from typing import NamedTuple
 
 import numpy as np
@@ -50,7 +51,7 @@ WEIGHT_BLOCK, LANES = 1024, 64
 PAIR_STEPS, PAIR_VARIANCE = 14, 8.0
 END, START = U(0x0E4D0E4D0E4D0E4D), U(0x57A2757A2757A271)
 CHILD_BYTES = 3
-GROUP_GROWTH = 8
+GROUP_GROWTH, BLOCKS_A_BUCKET = 8, 8
 PACKED = "block int, doc_id array<long>, held_out array<boolean>, sizes binary, keys binary, ids binary, counts binary"
 _ZSTD = pa.Codec("zstd", compression_level=1)
 
@@ -168,8 +169,8 @@ def block_of(table: pa.Table | pa.RecordBatch, i: int = 0) -> Block:
                  np.concatenate(([0], np.cumsum(sizes))), keys, order[expand(cell["ids"].as_py(), np.int32)])
 
 
-def _packed(rows: DataFrame) -> DataFrame:
-    """Stored: one row per block, its documents in the order of their ids, with the sorted distinct tokens and their training counts."""
+def _packed(rows: DataFrame, n_blocks: int) -> DataFrame:
+    """Stored by block, so that later passes need no shuffle of it: one row per block, its documents in the order of their ids, with the sorted distinct tokens and their training counts."""
     def pack(table: pa.Table) -> pa.Table:
         table = table.sort_by([("doc_id", "ascending"), ("text", "ascending")])
         held = table.column("held_out").to_numpy(zero_copy_only=False).astype(bool)
@@ -187,11 +188,28 @@ def _packed(rows: DataFrame) -> DataFrame:
                          "held_out": pa.array([held.tolist()], pa.list_(pa.bool_())),
                          **{c: pa.array([squeeze(v)], pa.binary()) for c, v in cells.items()}})
 
-    path = scratch_path(rows.sparkSession, "token-blocks")
+    spark = rows.sparkSession
+    path = scratch_path(spark, "token-blocks")
+    name = "token_blocks_" + path.rstrip("/").rsplit("/", 1)[-1].replace("-", "_")
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), n_blocks // BLOCKS_A_BUCKET)
     # rows are megabytes: row groups are closed by bytes, checked at every row
-    (rows.groupBy("block").applyInArrow(pack, PACKED).write.option("compression", "none").option("parquet.block.size", 16 << 20)
-     .option("parquet.block.size.row.check.min", 1).option("parquet.block.size.row.check.max", 1).parquet(path))
-    return rows.sparkSession.read.schema(PACKED).parquet(path)
+    with shuffles_freed(spark):
+        (rows.repartition(buckets, "block").groupBy("block").applyInArrow(pack, PACKED).write.option("compression", "none")
+         .option("parquet.block.size", 16 << 20).option("parquet.block.size.row.check.min", 1).option("parquet.block.size.row.check.max", 1)
+         .bucketBy(buckets, "block").option("path", path).saveAsTable(name))
+    return spark.table(name)
+
+
+@contextmanager
+def shuffles_freed(spark):
+    """Shuffle files of what is written inside are removed at its end, and not only when the driver's heap is next cleaned."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, "false")
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
 
 
 def groups_of(tok: np.ndarray, groups: int) -> np.ndarray:
@@ -235,7 +253,8 @@ def _counts(packed: DataFrame, n_blocks: int, groups: int) -> DataFrame:
 
     out = (packed.select("block", "keys", "counts").mapInArrow(emit, "bucket int, block int, keys binary, counts binary").groupBy("bucket")
            .applyInArrow(merge, "block int, bucket int, values binary, stats array<long>, top array<long>, top_n array<long>"))
-    return blocks.stored(out, "counts")
+    with shuffles_freed(packed.sparkSession):
+        return blocks.stored(out, "counts")
 
 
 def train(packed: DataFrame, single: np.ndarray, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray]:
@@ -288,8 +307,9 @@ def train(packed: DataFrame, single: np.ndarray, rounds: int = ROUNDS) -> tuple[
             if n[-1]:
                 yield parts(TaskContext.get().partitionId() % LANES, n, total)
 
-        moved = (packed.mapInArrow(learn, sent)
-                 .groupBy("part", "lane").applyInArrow(add, sent).groupBy("part").applyInArrow(add, sent).toArrow().sort_by("part"))
+        with shuffles_freed(spark):
+            moved = (packed.mapInArrow(learn, sent)
+                     .groupBy("part", "lane").applyInArrow(add, sent).groupBy("part").applyInArrow(add, sent).toArrow().sort_by("part"))
         if moved.num_rows:
             n = np.concatenate([np.frombuffer(x.as_buffer(), np.float64) for x in moved.column("touched")])
             change = np.concatenate([np.frombuffer(x.as_buffer(), np.float32) for x in moved.column("change")]).reshape(-1, CLASSES)
@@ -356,7 +376,7 @@ def pairs_of(block: Block, count: np.ndarray, single: np.ndarray, group_n: np.nd
     h, w = np.append(block.keys, START)[codes // width], codes % width
 
     def entries(parent, child, salt):
-        return textkit.mix(textkit.mix(h + U(salt)) + parent.astype(U)), textkit.mix(child) >> U(64 - 8 * CHILD_BYTES)
+        return textkit.mix(textkit.mix(h + U(salt)) + parent.astype(U)) >> U(16) << U(16), textkit.mix(child) >> U(64 - 8 * CHILD_BYTES)
 
     levels = [(*entries(group[w], block.keys[w], 1), q_word[w])]
     if groups > 1:  # with one group a class, the group says nothing
@@ -387,7 +407,7 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", rounds: int
                        held_out(F.col(key)).alias("held_out"))
     n_blocks = blocks.block_count(slim)
     groups = max(1, math.isqrt(n_blocks) // GROUP_GROWTH)
-    packed = _packed(blocks.with_block(slim, n_blocks))
+    packed = _packed(blocks.with_block(slim, n_blocks), n_blocks)
     counts = _counts(packed, n_blocks, groups)
     stats = counts.where("block = -1")
     summed = dict(stats.select(F.posexplode("stats")).groupBy("pos").agg(F.sum("col")).collect())
@@ -453,6 +473,7 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", rounds: int
     known = counts.where("block >= 0").select("block", "bucket", F.lit(0).alias("kind"), "values")
     asked = packed.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(
         ask, "bucket int, block int, parent binary, child binary, n binary, q binary")
-    gains = blocks.stored(asked.groupBy("bucket").applyInArrow(fit, "block int, bucket int, kind int, values binary"), "gains")
+    with shuffles_freed(spark):
+        gains = blocks.stored(asked.groupBy("bucket").applyInArrow(fit, "block int, bucket int, kind int, values binary"), "gains")
     return packed.groupBy("block").cogroup(known.unionByName(gains).groupBy("block")).applyInArrow(
         finish, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
