@@ -22,7 +22,7 @@ Work in Spark:
 
 A document trains when ``crc32(doc_id as text) mod 7 != 2`` (a null doc_id counts as the empty string). Null and empty texts
 are one end token; repeated rows count as often as they occur; other columns, whatever their names, are not read. A text is held
-whole by one task at about 20 bytes a token. Pairs are told apart by a 48-bit hash of history and parent and a 24-bit hash of the
+whole by one task at about 20 bytes a token. Pairs are told apart by a hash of history and parent, whose bits grow with the blocks, and a 24-bit hash of the
 child: two that collide share a feature. All logs are base 10.
 """
 
@@ -137,7 +137,12 @@ def log_softmax(weights: np.ndarray, bias: np.ndarray, f: np.ndarray) -> np.ndar
 
 def step(weights, bias, seen, seen_bias, f, y) -> None:
     """One adaptive gradient step on a minibatch, in place."""
-    error = np.exp(log_softmax(weights, bias, f))
+    error = bias + weights[f[0]]
+    for row in f[1:]:
+        error += weights[row]
+    error -= error.max(axis=1, keepdims=True)
+    np.exp(error, out=error)
+    error /= error.sum(axis=1, keepdims=True)
     error[np.arange(len(y)), y] -= 1
     grad = error.sum(axis=0)
     seen_bias += grad * grad
@@ -147,8 +152,9 @@ def step(weights, bias, seen, seen_bias, f, y) -> None:
         r = row[order]
         begin = np.flatnonzero(np.concatenate(([True], r[1:] != r[:-1])))
         grad, at = np.add.reduceat(error[order], begin, axis=0), r[begin]
-        seen[at] += grad * grad
-        weights[at] -= RATE * grad / np.sqrt(seen[at] + 1)
+        total = seen[at] + grad * grad
+        seen[at] = total
+        weights[at] -= RATE * grad / np.sqrt(total + 1)
 
 
 class Block(NamedTuple):
@@ -349,8 +355,8 @@ def fit_pairs(group: np.ndarray, n: np.ndarray, q: np.ndarray, variance: float =
 class Pairs(NamedTuple):
     """What a block asks of the pair features, and where the answers go."""
 
-    parent: np.ndarray    # distinct entries in order: hash of history and parent ...
-    child: np.ndarray     # ... and of the child
+    parent: np.ndarray    # entries sorted by the hash of history and parent ...
+    child: np.ndarray     # ... and the hash of the child
     n: np.ndarray         # training count here
     q: np.ndarray         # prior of the child within its parent
     at: np.ndarray        # tokens (positions) that have a hashed class
@@ -358,12 +364,18 @@ class Pairs(NamedTuple):
     entry: list           # per level: their entries
 
 
-def pairs_of(block: Block, count: np.ndarray, single: np.ndarray, group_n: np.ndarray, group_v: np.ndarray) -> Pairs:
+def parent_shift(n_blocks: int) -> int:
+    """Low bits of a parent's hash that are not used: what is left tells a bucket's parents apart by 39 to 40 bits, so that an entry of a bucket is
+    one 64-bit number."""
+    return max(0, 64 - 39 - (n_blocks.bit_length() - 1))
+
+
+def pairs_of(block: Block, count: np.ndarray, single: np.ndarray, group_n: np.ndarray, group_v: np.ndarray, shift: int = 16) -> Pairs:
     """``count``: training counts of ``block.keys``; ``group_n``, ``group_v``: tokens and distinct tokens per group."""
     groups = len(group_n) // HASHED
     cls, group = classes(block.keys, single), groups_of(block.keys, groups)
     room = group_n + group_v + 1
-    q_group = (room / np.repeat(room.reshape(HASHED, groups).sum(axis=1), groups))[group]
+    q_group_of = room / np.repeat(room.reshape(HASHED, groups).sum(axis=1), groups)
     q_word = (count + 1) / room[group]
     width = len(block.keys) + 1
     before = np.empty(len(block.ids), np.int64)
@@ -373,31 +385,27 @@ def pairs_of(block: Block, count: np.ndarray, single: np.ndarray, group_n: np.nd
     codes, word = np.unique(before[at] * width + block.ids[at], return_inverse=True)
     trains = np.repeat(~block.held_out, np.diff(block.edge))[at]
     n = np.bincount(word, weights=trains, minlength=len(codes))
-    h, w = np.append(block.keys, START)[codes // width], codes % width
 
-    def entries(parent, child, salt):
-        return textkit.mix(textkit.mix(h + U(salt)) + parent.astype(U)) >> U(16) << U(16), textkit.mix(child) >> U(64 - 8 * CHILD_BYTES)
+    def entries(history, parent, child, salt):
+        mixed = textkit.mix(textkit.mix(np.append(block.keys, START)[history] + U(salt)) + parent.astype(U))
+        return mixed >> U(shift) << U(shift), textkit.mix(child) >> U(64 - 8 * CHILD_BYTES)
 
-    levels = [(*entries(group[w], block.keys[w], 1), q_word[w])]
+    h, w = codes // width, codes % width
+    levels = [(*entries(h, group[w], block.keys[w], 1), n, q_word[w], word)]
+    prior = np.log(q_word[w])
     if groups > 1:  # with one group a class, the group says nothing
-        levels.append((*entries(group[w] // groups, group[w].astype(U) + U(3), 2), q_group[w]))
-    parent, child, inverse = distinct_entries(*(np.concatenate(x) for x in list(zip(*levels))[:2]))
-    q = np.zeros(len(parent), np.float32)
-    q[inverse] = np.concatenate([x for _, _, x in levels])
-    prior = sum(np.log(x) for _, _, x in levels)
-    return Pairs(parent, child, np.bincount(inverse, weights=np.tile(n, len(levels)), minlength=len(parent)), q,
-                 at, prior[word], [part[word] for part in np.split(inverse, len(levels))])
-
-
-def distinct_entries(parent: np.ndarray, child: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Sorted distinct (parent, child), and the place of every entry among them."""
-    order = np.lexsort((child, parent))
-    p, c = parent[order], child[order]
-    new = np.ones(len(p), bool)
-    new[1:] = (p[1:] != p[:-1]) | (c[1:] != c[:-1])
-    inverse = np.empty(len(p), np.int64)
-    inverse[order] = np.cumsum(new) - 1
-    return p[new], c[new], inverse
+        above, part = np.unique(h * len(group_n) + group[w], return_inverse=True)
+        g = above % len(group_n)
+        levels.append((*entries(above // len(group_n), g // groups, g.astype(U) + U(3), 2),
+                       np.bincount(part, weights=n, minlength=len(above)), q_group_of[g], part[word]))
+        prior += np.log(q_group_of[group[w]])
+    parent, child, n, q = (np.concatenate([x[i] for x in levels]) for i in range(4))
+    order = np.argsort(parent)
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    starts = np.cumsum([0] + [len(x[0]) for x in levels])
+    return Pairs(parent[order], child[order], n[order], q[order].astype(np.float32), at, prior[word],
+                 [place[x[4] + start] for x, start in zip(levels, starts)])
 
 
 def score(docs: DataFrame, key: str = "doc_id", text: str = "text", rounds: int = ROUNDS) -> DataFrame:
@@ -424,9 +432,10 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", rounds: int
         group_v[g] -= 1
     weights, bias = train(packed, single, rounds)
     shared = spark.sparkContext.broadcast((weights, bias, single, group_n, group_v))
+    shift = parent_shift(n_blocks)
 
     def ask(table: pa.Table, answer: pa.Table) -> pa.Table:
-        p = pairs_of(block_of(table), answers(answer, np.int64), *shared.value[2:])
+        p = pairs_of(block_of(table), answers(answer, np.int64), *shared.value[2:], shift)
         edges = blocks.bucket_edges64(p.parent, n_blocks)
         used = np.flatnonzero(np.diff(edges)).tolist()
         out = {"bucket": pa.array(used, pa.int32()), "block": pa.array(table.column("block").to_pylist() * len(used), pa.int32())}
@@ -441,11 +450,11 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", rounds: int
         table = table.sort_by("block")
         parent = np.concatenate([np.cumsum(expand(x.as_py(), U), dtype=U) for x in table.column("parent")])
         child, sizes = expand_all(table.column("child"), U, CHILD_BYTES)
-        group, _, inverse = distinct_entries(parent, child)
-        n = np.bincount(inverse, weights=expand_all(table.column("n"), np.int32)[0], minlength=len(group))
-        q = np.zeros(len(group))
+        entry, inverse = np.unique((parent - parent.min() >> U(shift) << U(8 * CHILD_BYTES)) | child, return_inverse=True)
+        n = np.bincount(inverse, weights=expand_all(table.column("n"), np.int32)[0], minlength=len(entry))
+        q = np.zeros(len(entry))
         q[inverse] = expand_all(table.column("q"), np.float32)[0]
-        lam, log_z = fit_pairs(group, n, q)
+        lam, log_z = fit_pairs(entry >> U(8 * CHILD_BYTES), n, q)
         mine, ends = (lam - log_z).astype(np.float32)[inverse], np.cumsum(sizes)
         return pa.table({"block": table.column("block"), "bucket": table.column("bucket"), "kind": pa.array([1] * len(sizes), pa.int32()),
                          "values": pa.array([squeeze(mine[e - s:e]) for s, e in zip(sizes, ends)], pa.binary())})
@@ -454,7 +463,7 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", rounds: int
         w, b, alone, in_group, kinds = shared.value
         block, kind = block_of(table), answer.column("kind").to_numpy()
         total = answers(answer.filter(pa.array(kind == 0)), np.int64)
-        p = pairs_of(block, total, alone, in_group, kinds)
+        p = pairs_of(block, total, alone, in_group, kinds, shift)
         gain = answers(answer.filter(pa.array(kind == 1)), np.float32)
         word = np.zeros(len(block.ids))
         word[p.at] = p.prior + sum(gain[e].astype(np.float64) for e in p.entry)
