@@ -35,6 +35,12 @@ SHORT = 32
 _SPACES = "\t\n\r\x0b\x0c"
 # The vocabulary's splitter on lower-cased printable ASCII without white space.
 _ASCII_PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
+# Fixed values of the tokenizer file that the cuts above rely on.
+_NORMAL = ["NFC", "Replace", "Lowercase"]
+_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_PLAIN_MODEL = {"type": "BPE", "dropout": None, "unk_token": None, "continuing_subword_prefix": None, "fuse_unk": False,
+                "byte_fallback": False, "ignore_merges": False}
+_PLAIN_TOKEN = {"single_word": False, "lstrip": False, "rstrip": False, "normalized": False}
 
 
 def default_path() -> str:
@@ -42,6 +48,22 @@ def default_path() -> str:
     return public_tokenizers.path(WORD_FILE)
 
 
+def refuse_others(spec: dict, path: str) -> None:
+    """An error for a file whose normaliser, splitter, merges or special strings work otherwise than the count assumes:
+    its texts would be counted wrongly."""
+    normal = (spec["normalizer"] or {}).get("normalizers", [])
+    split = (spec["pre_tokenizer"] or {}).get("pretokenizers", [{}])
+    spaces = [n.get("pattern") for n in normal if n["type"] == "Replace"]
+    fits = ([n["type"] for n in normal] == _NORMAL and spaces == [{"Regex": r"\s+"}]
+            and [p.get("type") for p in split] == ["Split", "ByteLevel"] and split[0]["pattern"] == {"Regex": _SPLIT}
+            and split[0]["behavior"] == "Removed" and split[0]["invert"]
+            and not split[1]["add_prefix_space"] and not split[1]["use_regex"]
+            and all(spec["model"].get(k) == v for k, v in _PLAIN_MODEL.items())
+            and all(t[k] == v for t in spec["added_tokens"] for k, v in _PLAIN_TOKEN.items()))
+    if not fits:
+        raise ValueError(f"{path}: not a lower-casing word vocabulary of the kind whose tokens this operator counts")
+
+
 class WordBpe:
     """Vocabulary, merge ranks and special strings of one tokenizer file (bounded by the file)."""
 
@@ -49,6 +71,7 @@ class WordBpe:
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model = spec["model"]
+        refuse_others(spec, path)
         self.path = path
         self.suffix = model["end_of_word_suffix"] or ""
         self.vocab = set(model["vocab"])

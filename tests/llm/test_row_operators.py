@@ -1,5 +1,6 @@
 """Token counts, quality rules, sharding, mixing and URL filters on small fixtures and given tables."""
 
+import json
 import math
 import random
 import re
@@ -22,6 +23,18 @@ def library():
     return Tokenizer.from_file(token_counts.default_path())
 
 
+def test_other_vocabularies_are_refused(tmp_path):
+    import public_tokenizers
+    with pytest.raises(ValueError, match="byte_bpe_50k"):
+        token_counts.WordBpe(public_tokenizers.path("byte_bpe_50k.json"))
+    with open(token_counts.default_path(), encoding="utf-8") as f:
+        spec = json.load(f)
+    spec["normalizer"]["normalizers"].pop()  # a cased vocabulary
+    (tmp_path / "cased.json").write_text(json.dumps(spec), encoding="utf-8")
+    with pytest.raises(ValueError, match="cased"):
+        token_counts.WordBpe(str(tmp_path / "cased.json"))
+
+
 def test_token_counts_equal_the_library(spark, library):
     rng = random.Random(3)
     signs = "abAB01'st ré́éßΣσς \x85\x1c中文日本☃👍🏽 \n\t　"
