@@ -86,8 +86,9 @@ def suffix_rates(labelled: DataFrame) -> DataFrame:
 
 
 def with_rates(df: DataFrame, rates: DataFrame) -> DataFrame:
+    """Every suffix meets the suffixes of its own kind only, so a kind with few of them is a small table whatever the number of hosts."""
     for k in SUFFIXES:
-        table = rates.select(F.col("_s").alias(f"_s{k}"), F.col("_rate").alias(f"f_suffix{k}"))
+        table = rates.where(F.startswith("_s", F.lit(f"{k}:"))).select(F.col("_s").alias(f"_s{k}"), F.col("_rate").alias(f"f_suffix{k}"))
         df = df.join(table, f"_s{k}", "left").withColumn(f"f_suffix{k}", F.coalesce(f"f_suffix{k}", F.lit(0.5)))
     return df
 
