@@ -123,6 +123,16 @@ def write_probabilities_q(spark, sf_dir):
     return back.select("vec_id", r6("score").alias("score"), "prediction")
 
 
+@register("write_probabilities_document", _PROBS_SQL)
+def write_probabilities_document_q(spark, sf_dir):
+    """A8, original layout: routed scores as one JSON array from many tasks, read back."""
+    path = scratch_path(spark, "probabilities-document")
+    out = routing.score_routed(bindings.proba(spark, sf_dir), "vec_id", "router", "l0", "l1")
+    files.write_probabilities_document(out.select("vec_id", "score", "prediction"), path)
+    back = files.read_probabilities_document(spark, path)
+    return back.select("vec_id", r6("score").alias("score"), "prediction")
+
+
 @register("metrics_log", with_ctes("SELECT epoch, mode, metric, round(value, 6) AS value FROM mlog", "mlog"))
 def metrics_log_q(spark, sf_dir):
     """The epoch/mode/metric/value log through a header-less CSV."""

@@ -278,6 +278,33 @@ def read_probabilities(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(PROBABILITIES).json(path)
 
 
+def write_probabilities_document(df: DataFrame, path: str, order: tuple[str, ...] = ("vec_id",)) -> None:
+    """A8, original layout: one JSON array with an object per row, in the order of ``order`` (ties in any order; an empty table is ``[]``).
+
+    The array is written by many tasks: its part files, put together by part number, are the document. An
+    element is a line, and only the first lacks the comma before it; which one that is, is known from the places that the sorted
+    rows are stored with. Spark's commit protocol covers the parts: a failed task or job leaves no element behind, and ``_SUCCESS``
+    says that the document is complete."""
+    spark = df.sparkSession
+    own = df.columns
+    value = F.to_json(F.struct(*[F.col(c) for c in own]), {"ignoreNullFields": "false"}).alias("value")
+    place = scratch_path(spark, "elements")
+    ordered = df.orderBy(*order).select(value).withColumn("at", F.monotonically_increasing_id())
+    ordered.write.parquet(place)
+    rows = spark.read.schema("value string, at long").parquet(place)
+    first = rows.agg(F.min("at")).first()[0]
+    body = rows.select("at", F.concat(F.when(F.col("at") == first, "").otherwise(","), "value").alias("value")) if first is not None else rows
+    marks = spark.createDataFrame([(-1, "["), ((1 << 63) - 1, "]")], "at long, value string")
+    body.unionByName(marks).orderBy("at").select("value").write.mode("overwrite").text(path)
+
+
+def read_probabilities_document(spark: SparkSession, path: str, schema: T.StructType | str = PROBABILITIES) -> DataFrame:
+    """The elements of :func:`write_probabilities_document`, every line parsed on its own."""
+    lines = _text_reader(spark).text(path).where(~F.col("value").isin("[", "]"))
+    element = F.from_json(F.regexp_replace("value", "^,", ""), schema, {"mode": "FAILFAST"})
+    return lines.select(element.alias("e")).select("e.*")
+
+
 def read_indicator_table(spark: SparkSession, path: str) -> DataFrame:
     """A5: the wide survey table (text, score, boolean indicators)."""
     return spark.read.parquet(path)

@@ -152,3 +152,43 @@ def test_corpus_grown_in_batches(spark):
     files.append_corpus(spark.createDataFrame([("hate", "women", "d"), ("hate", "women", "a")], schema), path, 7)
     files.append_corpus(spark.createDataFrame([("hate", "women", "d"), ("hate", "women", "a")], schema), path, 7)
     assert listing() == before and got() == sorted([*want, ("hate", "women", "d")], key=str)
+
+
+def _document(path):
+    """The part files put together by part number."""
+    import glob
+    import os
+    parts = sorted(glob.glob(f"{path}/part-*"), key=lambda f: int(os.path.basename(f).split("-")[1]))
+    return "".join(open(f, encoding="utf-8").read() for f in parts)
+
+
+def test_probabilities_document_is_one_array_in_order(spark):
+    import json
+    data = [(i // 2, None if i % 7 == 0 else i / 3, i % 2) for i in range(500)]  # ties and nulls
+    df = spark.createDataFrame(data, "vec_id long, score double, prediction int").repartition(7)
+    p = scratch_path(spark, "t-document")
+    files.write_probabilities_document(df, p, ("vec_id", "prediction"))
+    assert [(e["vec_id"], e["score"], e["prediction"]) for e in json.loads(_document(p))] == sorted(data, key=lambda r: (r[0], r[2]))
+    assert sorted(map(str, files.read_probabilities_document(spark, p).collect())) == sorted(map(str, df.collect()))
+
+
+def test_probabilities_document_empty_and_hostile_texts(spark):
+    import json
+    p = scratch_path(spark, "t-document")
+    files.write_probabilities_document(spark.createDataFrame([], files.PROBABILITIES), p)
+    assert json.loads(_document(p)) == [] and files.read_probabilities_document(spark, p).count() == 0
+    texts = HOSTILE + ["[", "]", ",", "{", ""]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "at long, value string")  # clashing names
+    p = scratch_path(spark, "t-document")
+    files.write_probabilities_document(df, p, ("at",))
+    assert [e["value"] for e in json.loads(_document(p))] == texts
+    assert rows(files.read_probabilities_document(spark, p, "at long, value string")) == rows(df)
+
+
+def test_failed_probabilities_document_leaves_nothing(spark):
+    import os
+    df = spark.range(100).select(F.col("id").alias("vec_id"), F.when(F.col("id") == 77, F.raise_error(F.lit("lost"))).otherwise(0.5).alias("score"))
+    p = scratch_path(spark, "t-document")
+    with pytest.raises(Exception, match="lost"):
+        files.write_probabilities_document(df, p)
+    assert not os.path.exists(p) or not [f for f in os.listdir(p) if not f.startswith((".", "_temporary"))]
