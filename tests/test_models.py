@@ -7,6 +7,7 @@ from collections import Counter
 from pyspark.sql import functions as F
 
 from tenor import vocab
+from tenor.functions import text as text_fn
 from tenor.operators import gradient, naive_bayes
 from tenor.plans import bindings, models
 
@@ -74,6 +75,26 @@ def test_nb_packed_and_joined_models_agree(spark):
     assert a.keys() == b.keys() and all(a[k][:2] == b[k][:2] and a[k][3] == b[k][3] and abs(a[k][2] - b[k][2]) < 1e-9 for k in a)
 
 
+def test_nb_head_and_rest_agree_with_the_packed_model(spark):
+    """A model of which only the frequent tokens fit a broadcast gives every row its scores, also rows whose key repeats or is null,
+    and what is joined is the rest of the model, not every token of every (document, group)."""
+    docs, model = _nb_case(spark)
+    docs = docs.unionByName(docs.where("doc_id % 5 = 0")).unionByName(docs.where("doc_id % 7 = 0").selectExpr("NULL AS doc_id", "text"))
+    rounded = lambda df: sorted(tuple(str(round(x, 9) if isinstance(x, float) else x) for x in r) for r in df.collect())
+    naive_bayes.pack(model)
+    want = rounded(naive_bayes.nb_score(docs, model)), rounded(naive_bayes.score_corpus(docs, model))
+    assert len(want[0]) == 11 * docs.count() and len(want[1]) == docs.count()
+    for limit in (0, model["bytes"] // 10):
+        head, rest = naive_bayes.head_and_rest(model, limit)
+        assert len(head.tokens) + rest.count() == model["dense"].count() and (len(head.tokens) > 0) == (limit > 0)
+        scored = naive_bayes.nb_score(docs, model, limit=limit)
+        assert rounded(scored) == want[0]
+        assert rounded(naive_bayes.score_corpus(docs, model, limit=limit)) == want[1]
+    held = docs.select(F.monotonically_increasing_id().alias("r"), F.explode(text_fn.tokens("text")).alias("t")).distinct().count()
+    met = [n for name, _, n in _nodes(scored._jdf.queryExecution().executedPlan()) if name.endswith("Join")]
+    assert met and max(met) < held
+
+
 def _nodes(plan):
     """(name, own text, rows out) of every node of an executed plan."""
     out, seq = [], plan.children()
