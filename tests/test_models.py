@@ -132,6 +132,20 @@ def signal_corpus(spark, n=600):
     return spark.createDataFrame(rows, "doc_id long, tone string, target string, text string")
 
 
+def test_router_frame_makes_the_group_ids_once(spark):
+    """Class weights, test set and training part read the stored group-id table: the job that makes it runs once."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    ids = signal_corpus(spark, 60).join(vocab.groups_df(spark), "target").select("target_id", "text")
+    frame = models.router_frame(ids.mapInArrow(count, ids.schema))
+    assert frame.where("split = 'train'").count() == 60 and seen.value == 60
+
+
 def test_fits_beat_the_majority(spark):
     """Teacher, students, router, sweep and rounds on a corpus with a signal: better than the majority class."""
     c = signal_corpus(spark)
