@@ -61,10 +61,9 @@ def student_frame(corpus: DataFrame, teacher: Model) -> DataFrame:
     lab = sampling.train_test_split(bal.select("doc_id", "target", "text", _gold()), key="doc_id")
     rows = gradient.add_features(lab).join(F.broadcast(vocab.groups_df(corpus.sparkSession)), "target")
     rows = rows.select("doc_id", "target", "gold", "split", F.col("target_id").alias("group"), F.lit(0).alias("block"),
-                       F.lit(1.0).alias("weight"), "idx", F.col("idx").alias("_idx"))
-    asked = gradient.logits(rows, teacher, out="teacher")
-    return _stored(asked.select("doc_id", "target", "gold", "split", F.col("group").alias("block"), "weight",
-                                F.col("_idx").alias("idx"), "teacher"), "student-rows")
+                       F.lit(1.0).alias("weight"), "idx")
+    asked = gradient.logits(rows, teacher, out="teacher", features=True)
+    return _stored(asked.select("doc_id", "target", "gold", "split", F.col("group").alias("block"), "weight", "idx", "teacher"), "student-rows")
 
 
 def router_frame(group_ids: DataFrame, inverse: bool = False, disjoint: bool = False) -> DataFrame:
@@ -190,9 +189,9 @@ def score_fitted(docs: DataFrame, router: Model, students: Model, key: str = "do
     group's student asked, the answers mixed by weight (D7). Only retained (document, group) pairs meet a
     student; their features stay in the row, so nothing but the last sum is shuffled. Rows that share a key are one document.
     A score that differs from the threshold by rounding only (groups without a student answer 0.5) does not exceed it."""
-    rows = gradient.add_features(docs.select(key, text), text).select(key, F.lit(0).alias("block"), "idx", F.col("idx").alias("_idx"))
-    routed = gradient.logits(rows, router, out="router").select(key, "_idx", probs.softmax("router").alias("_p"))
-    kept = routing.add_routing(routed, "_p", "kept").select(key, F.col("_idx").alias("idx"), F.posexplode("kept").alias("rank", "k"))
+    rows = gradient.add_features(docs.select(key, text), text).select(key, F.lit(0).alias("block"), "idx")
+    routed = gradient.logits(rows, router, out="router", features=True).select(key, "idx", probs.softmax("router").alias("_p"))
+    kept = routing.add_routing(routed, "_p", "kept").select(key, "idx", F.posexplode("kept").alias("rank", "k"))
     pairs = kept.select(key, "rank", F.col("k.idx").cast("int").alias("block"), F.col("k.weight").alias("weight"), "idx")
     asked = gradient.logits(pairs, students).withColumn("p", probs.p_binary(F.get("logits", 0), F.get("logits", 1)))
     names = F.array_sort(F.collect_list(F.struct("rank", F.get(vocab.groups_array(), F.col("block")).alias("g"))))  # three at most

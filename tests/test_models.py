@@ -4,6 +4,8 @@ import math
 import re
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from tenor import vocab
@@ -146,6 +148,20 @@ def test_router_frame_makes_the_group_ids_once(spark):
     assert frame.where("split = 'train'").count() == 60 and seen.value == 60
 
 
+def test_tasks_work_on_slices_and_features_travel_once(spark):
+    """A batch is worked on in slices of a bounded number of features; a scored row carries its features once."""
+    sizes = [gradient.ENTRIES // 2, gradient.ENTRIES // 2, 7, 0, 2 * gradient.ENTRIES, 1]
+    batch = pa.RecordBatch.from_pydict({"id": list(range(6)), "idx": [np.zeros(n, np.int32) for n in sizes]})
+    parts = list(gradient.sliced(iter([batch]), "idx"))
+    assert [i for p in parts for i in p.column("id").to_pylist()] == list(range(6))
+    assert all(p.num_rows == 1 or len(p.column("idx").flatten()) <= gradient.ENTRIES for p in parts) and len(parts) > 3
+    c = signal_corpus(spark, 60)
+    router = models.fit_router(c.join(vocab.groups_df(spark), "target").select("target_id", "text"), rounds=1)[0]
+    rows = gradient.add_features(c).select("doc_id", F.lit(0).alias("block"), "idx")
+    kept = {r["doc_id"]: r["idx"] for r in gradient.logits(rows, router, features=True).collect()}
+    assert kept == {r["doc_id"]: r["idx"] for r in rows.collect()}
+
+
 def test_fits_beat_the_majority(spark):
     """Teacher, students, router, sweep and rounds on a corpus with a signal: better than the majority class."""
     c = signal_corpus(spark)
