@@ -97,6 +97,51 @@ def test_nb_head_and_rest_agree_with_the_packed_model(spark):
     assert met and max(met) < held
 
 
+def _exchanged(plan):
+    """(own text, rows written) of every shuffle of an executed plan."""
+    seq, out = plan.children(), []
+    if plan.nodeName() == "AdaptiveSparkPlan":
+        return _exchanged(plan.executedPlan())
+    if plan.nodeName().endswith("QueryStage"):
+        return _exchanged(plan.plan())
+    if plan.nodeName() == "Exchange":
+        out.append((plan.verboseString(1000), plan.metrics().get("shuffleRecordsWritten").get().value()))
+    for i in range(seq.size()):
+        out += _exchanged(seq.apply(i))
+    return out
+
+
+def test_rest_of_a_model_moves_one_row_per_document_and_token(spark):
+    """What the rest of a large model sends to the documents does not grow with the groups that know a token, and adds up to the same weights."""
+    docs, model = _nb_case(spark)
+    pairs = docs.select("doc_id", F.explode(text_fn.tokens("text")).alias("t")).distinct()
+    known = pairs.join(model["counts"].select(F.col("token").alias("t"), "target").distinct(), "t")
+    want, wide = known.select("doc_id", "t").distinct().count(), known.count()
+    assert docs.count() == docs.select("doc_id").distinct().count() and wide > 2 * want
+    for scored in (naive_bayes.nb_score(docs, model, limit=0), naive_bayes.score_corpus(docs, model, limit=0)):
+        scored.collect()
+        moved = [n for text, n in _exchanged(scored._jdf.queryExecution().executedPlan()) if "hashpartitioning(_row" in text]
+        assert max(moved) == want
+
+
+def test_rest_counts_are_exact_up_to_their_limit(spark):
+    """Counts travel as bits: the largest that a token outside the head may have come back as they were."""
+    top = (1 << naive_bayes.COUNT_BITS) - 1
+    zero = {f"{c}{g}": 0 for c in ("k", "c1_", "c0_") for g in range(naive_bayes.G)}
+    rest = spark.createDataFrame([{"token": "t"} | zero | {"k0": 1, "c1_0": top, "k10": 1, "c0_10": top, "c1_10": 3}],
+                                 "token string, " + ", ".join(f"{c} long" for c in zero))
+    parts = spark.createDataFrame([("t", [7, 8], [1, 2]), ("u", [9], [1])], "token string, rows array<long>, tfs array<int>")
+    shift = [0.5 + g for g in range(naive_bayes.G)]
+    got = {r["_row"]: r for r in naive_bayes.rest_sums(parts, rest, {"kconst": shift}, "a", "r").collect()}
+    assert got.keys() == {7, 8} and [got[k]["n"] for k in (7, 8)] == [1, 2]
+    for k, tf in ((7, 1), (8, 2)):
+        want_a = [0.0] * naive_bayes.G
+        want_r = [0.0] * naive_bayes.G
+        want_a[0], want_a[10] = tf * (math.log(top + 1) + 0.5), tf * (math.log(4) - math.log(top + 1) + 10.5)
+        want_r[0], want_r[10] = tf * math.log(top + 1), tf * math.log(top + 4)
+        assert np.allclose(got[k]["a"], want_a, atol=1e-12) and np.allclose(got[k]["r"], want_r, atol=1e-12)
+
+
 def _nodes(plan):
     """(name, own text, rows out) of every node of an executed plan."""
     out, seq = [], plan.children()
