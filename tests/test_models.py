@@ -142,6 +142,17 @@ def test_rest_counts_are_exact_up_to_their_limit(spark):
         assert np.allclose(got[k]["a"], want_a, atol=1e-12) and np.allclose(got[k]["r"], want_r, atol=1e-12)
 
 
+def test_head_pass_takes_in_a_bounded_number_of_texts(spark):
+    """Beside the head of a large model a task holds few whole texts: a token of all rows is collected once a batch; the setting is set back."""
+    _, model = _nb_case(spark)
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    docs = spark.range(0, 2 * naive_bayes.BATCH_ROWS + 1, 1, 1).selectExpr("id AS doc_id", "'zzunknown' AS text")
+    head, _ = naive_bayes.head_and_rest(model, model["dense"].count())
+    parts = naive_bayes.head_pass(docs, spark.sparkContext.broadcast(head), lambda m: m.router, True, "doc_id")
+    assert [parts.where(f"token IS {x} NULL").count() for x in ("", "NOT")] == [docs.count(), 3] and spark.conf.get(name) == before
+
+
 def _nodes(plan):
     """(name, own text, rows out) of every node of an executed plan."""
     out, seq = [], plan.children()
