@@ -3,6 +3,7 @@ checkpoint picks up only files that arrived since (no duplicates)."""
 
 from pyspark.sql import functions as F
 
+from tenor.functions import text as text_fn
 from tenor.operators import naive_bayes, routing
 from tenor.plans import bindings
 from tenor.plans.queries_learn import nb_train
@@ -10,6 +11,7 @@ from tenor.session import scratch_path
 from tenor.streaming import stream
 
 from conftest import SF_SMALL, rows
+from test_models import _exchanged
 
 
 def test_stream_incremental_and_equal_to_batch(spark):
@@ -56,6 +58,33 @@ def test_sentences_through_the_fitted_model(spark):
     assert scored() == want
 
 
+def test_sentences_through_a_model_larger_than_a_broadcast(spark, monkeypatch):
+    """When only the frequent tokens of the stored model are broadcast, the stream gives the same scores, rows whose key repeats or is null
+    included, and its shuffles move fewer rows than the documents have tokens."""
+    base = scratch_path(spark, "t-sentences-large")
+    model = naive_bayes.nb_fit(nb_train(spark, SF_SMALL), f"{base}/model")
+    docs = bindings.table(spark, SF_SMALL, "documents").select("doc_id", "text")
+    docs = docs.unionByName(docs.where("doc_id % 5 = 0")).unionByName(docs.where("doc_id % 7 = 0").selectExpr("NULL AS doc_id", "text"))
+    scores = lambda df: sorted(str(tuple(r)) for r in df.select("doc_id", "n_groups", "groups", F.round("score", 9), "prediction").collect())
+    want = scores(naive_bayes.score_corpus(docs, model))
+    monkeypatch.setattr(naive_bayes, "PACK_BYTES", 0)
+    monkeypatch.setattr(naive_bayes, "HEAD_BYTES", model["bytes"] // 4, raising=False)
+    score, moved = naive_bayes.score_corpus, []
+
+    def counted(batch, *args):
+        out = score(batch, *args)
+        out.collect()
+        moved.append(sum(n for _, n in _exchanged(out._jdf.queryExecution().executedPlan())))
+        return out
+
+    monkeypatch.setattr(naive_bayes, "score_corpus", counted)
+    docs.repartition(3).write.parquet(f"{base}/in")
+    stream.score_sentences(spark, f"{base}/in", f"{base}/out", f"{base}/ckpt", f"{base}/model", max_files_per_trigger=2)
+    assert scores(stream.read_scored_sentences(spark, f"{base}/out")) == want and len(want) == docs.count()
+    held = docs.select(F.monotonically_increasing_id().alias("r"), F.explode(text_fn.tokens("text")).alias("t")).distinct().count()
+    assert len(moved) == 2 and 0 < sum(moved) < held
+
+
 def _kept(df, path):
     df.write.parquet(path)
     return path
